@@ -67,3 +67,29 @@ def _fct_incremental(spark, sf_dir):
 @query("mart_customer_lifetime_incremental")
 def _mart_incremental(spark, sf_dir):
     return pipeline.incremental_from_tables(spark, sf_dir).mart
+
+
+# ---------------------------------------------------------------- quality and freshness
+
+@query("dq_report")
+def _dq_report(spark, sf_dir):
+    """All 41 declared assertions over the six models."""
+    from .reports import dq_report
+    return dq_report(_models(spark, sf_dir))
+
+
+for _test in ["not_null", "unique", "accepted_values", "between", "matches_regex", "length_between", "of_type",
+              "relationships"]:
+    def _make_dq(t):
+        def fn(spark, sf_dir):
+            from .reports import dq_report
+            return dq_report(_models(spark, sf_dir), tests=(t,))
+        return fn
+    query(f"dq_{_test}")(_make_dq(_test))
+
+
+@query("freshness_report")
+def _freshness(spark, sf_dir):
+    from .reports import freshness_report
+    # Bronze as it stood at as_of: later-ingested rows were not there to be measured.
+    return freshness_report(derived.bronze(spark, sf_dir, cutoff=pipeline.AS_OF), pipeline.AS_OF)

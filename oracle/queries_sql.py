@@ -16,3 +16,57 @@ for _n in ["stg_orders", "stg_customers", "stg_transactions", "dim_customers", "
 
 ORACLE["fct_orders_incremental"] = f"with {m.incremental_ctes()} select * from fct_merged"
 ORACLE["mart_customer_lifetime_incremental"] = f"with {m.incremental_ctes()} select * from mart_merged"
+
+
+def _check_sql(ck) -> str:
+    from ferrolake.plans.reports import ALL_CHECKS  # noqa: F401  (the declared list, shared as data)
+    m_, c, t, a = ck.model, ck.column, ck.test, ck.args
+    head = f"select '{m_}' as model, '{c}' as column_name, '{t}' as test, "
+    if t == "not_null":
+        return head + f"count(*) filter (where {c} is null) as failing_rows from {m_}"
+    if t == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in a["values"])
+        return head + f"count(*) filter (where {c} is not null and {c} not in ({vals})) as failing_rows from {m_}"
+    if t == "between":
+        return head + (f"count(*) filter (where {c} is not null and ({c} < {a['min']} or {c} > {a['max']})) "
+                       f"as failing_rows from {m_}")
+    if t == "matches_regex":
+        return head + (f"count(*) filter (where {c} is not null and not regexp_matches({c}, '{a['regex']}')) "
+                       f"as failing_rows from {m_}")
+    if t == "length_between":
+        return head + (f"count(*) filter (where {c} is not null and (length({c}) < {a['min']} or length({c}) > {a['max']})) "
+                       f"as failing_rows from {m_}")
+    if t == "unique":
+        return head + (f"(select count(*) from (select {c} from {m_} where {c} is not null group by {c} "
+                       f"having count(*) > 1)) as failing_rows")
+    if t == "relationships":
+        return head + (f"(select count(*) from {m_} x where x.{c} is not null and not exists "
+                       f"(select 1 from {a['to']} p where p.{a['field']} = x.{c})) as failing_rows")
+    if t == "of_type":
+        return head + "0 as failing_rows"
+    raise ValueError(t)
+
+
+def _dq_sql(tests=None) -> str:
+    from ferrolake.plans.reports import ALL_CHECKS
+    parts = [_check_sql(c) for c in ALL_CHECKS if tests is None or c.test in tests]
+    body = "\nunion all\n".join(f"({p})" for p in parts)
+    return m.with_models(
+        f"select model, column_name, test, cast(failing_rows as bigint) as failing_rows, "
+        f"failing_rows = 0 as passed from (\n{body}\n) r")
+
+
+ORACLE["dq_report"] = _dq_sql()
+for _t in ["not_null", "unique", "accepted_values", "between", "matches_regex", "length_between", "of_type",
+           "relationships"]:
+    ORACLE[f"dq_{_t}"] = _dq_sql((_t,))
+
+ORACLE["freshness_report"] = f"""with {m.bronze(cutoff=m.AS_OF)},
+f as (
+  select 'raw_orders' as source, max(_ingestion_timestamp) as max_loaded_at, count(*) as row_count, 60 as target_lag_minutes from raw_orders
+  union all select 'raw_customers', max(_ingestion_timestamp), count(*), 1440 from raw_customers
+  union all select 'raw_transactions', max(_ingestion_timestamp), count(*), 30 from raw_transactions)
+select source, max_loaded_at, row_count, lag_minutes, cast(target_lag_minutes as bigint) as target_lag_minutes,
+  case when lag_minutes is null then 'error' when lag_minutes > 1440 then 'error' when lag_minutes > 360 then 'warn' else 'pass' end as status,
+  coalesce(lag_minutes <= target_lag_minutes, false) as meets_target
+from (select *, cast(floor((epoch({m.ts(m.AS_OF)}) - epoch(max_loaded_at)) / 60) as bigint) as lag_minutes from f) x"""
