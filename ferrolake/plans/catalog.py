@@ -93,3 +93,315 @@ def _freshness(spark, sf_dir):
     from .reports import freshness_report
     # Bronze as it stood at as_of: later-ingested rows were not there to be measured.
     return freshness_report(derived.bronze(spark, sf_dir, cutoff=pipeline.AS_OF), pipeline.AS_OF)
+
+
+# ---------------------------------------------------------------- projections (§2.3)
+
+def _bronze(spark, sf_dir):
+    return derived.bronze(spark, sf_dir)
+
+
+def _proj(name, table, cols):
+    """A projection query over one Bronze feed: ``cols`` maps output name -> Column factory."""
+    def fn(spark, sf_dir):
+        raw = _bronze(spark, sf_dir)[table]
+        return raw.select(*[f().alias(n) for n, f in cols.items()])
+    query(name)(fn)
+
+
+def _register_projections():
+    from pyspark.sql import functions as F
+
+    from ..functions import columns as C
+    _proj("proj_cast_keys", "raw_orders", {
+        "order_id": lambda: C.to_key("order_id"), "customer_id": lambda: C.to_key("customer_id")})
+    _proj("proj_money", "raw_orders", {
+        "order_id": lambda: F.col("order_id"), "order_amount_eur": lambda: C.money("order_amount_eur")})
+    _proj("proj_timestamps", "raw_transactions", {
+        "transaction_id": lambda: F.col("transaction_id"),
+        "transaction_timestamp": lambda: F.col("transaction_timestamp").try_cast("timestamp"),
+        "transaction_date": lambda: F.to_date(F.col("transaction_timestamp").try_cast("timestamp"))})
+    _proj("proj_normalise_upper", "raw_transactions", {
+        "transaction_id": lambda: F.col("transaction_id"),
+        "payment_method": lambda: C.norm_upper("payment_method"),
+        "transaction_status": lambda: C.norm_upper("transaction_status")})
+    _proj("proj_normalise_lower", "raw_customers", {
+        "customer_id": lambda: F.col("customer_id"), "email": lambda: C.norm_lower("email")})
+    _proj("proj_normalise_title", "raw_customers", {
+        "customer_id": lambda: F.col("customer_id"), "first_name": lambda: C.norm_title("first_name"),
+        "last_name": lambda: C.norm_title("last_name"), "customer_segment": lambda: C.norm_title("customer_segment")})
+    _proj("proj_full_name", "raw_customers", {
+        "customer_id": lambda: F.col("customer_id"), "full_name": lambda: C.full_name("first_name", "last_name")})
+    _proj("proj_size_band", "raw_orders", {
+        "order_id": lambda: F.col("order_id"), "order_amount_eur": lambda: F.col("order_amount_eur"),
+        "order_size_band": lambda: C.size_band("order_amount_eur")})
+
+
+_register_projections()
+
+
+def _model_cols(name, model, cols):
+    query(name)(lambda spark, sf_dir: _models(spark, sf_dir)[model].select(*cols))
+
+
+_model_cols("proj_flags", "stg_transactions", ["transaction_id", "is_successful", "is_digital_payment"])
+_model_cols("proj_defaults", "dim_customers",
+            ["customer_id", "lifetime_order_count", "lifetime_order_value_eur", "distinct_order_days"])
+_model_cols("proj_net_revenue", "fct_orders", ["order_id", "order_amount_eur", "refunded_amount_eur", "net_revenue_eur"])
+_model_cols("proj_customer_status", "dim_customers", ["customer_id", "last_order_at", "customer_status"])
+_model_cols("proj_days_since", "mart_customer_lifetime", ["customer_id", "last_order_at", "days_since_last_order"])
+_model_cols("pii_mask", "dim_customers", ["customer_id", "email_hash"])
+_model_cols("surrogate_key", "dim_customers", ["customer_id", "customer_sk"])
+
+
+# ---------------------------------------------------------------- filters (§2.3)
+
+@query("filter_test_records")
+def _filter_test_records(spark, sf_dir):
+    """Newest order versions that are not test records (NULL status drops too)."""
+    from pyspark.sql import functions as F
+
+    from ..functions.columns import norm_upper
+    from .silver import TEST_STATUSES, dedup_orders
+    return (dedup_orders(_bronze(spark, sf_dir)["raw_orders"])
+            .where(~norm_upper("order_status").isin(TEST_STATUSES)).select("order_id", F.col("order_status")))
+
+
+@query("filter_future")
+def _filter_future(spark, sf_dir):
+    """Newest order versions whose event time is not after as_of."""
+    from pyspark.sql import functions as F
+
+    from .silver import dedup_orders
+    return (dedup_orders(_bronze(spark, sf_dir)["raw_orders"])
+            .where(F.col("order_timestamp") <= F.lit(pipeline.AS_OF).cast("timestamp"))
+            .select("order_id", "order_timestamp"))
+
+
+@query("filter_valid_key")
+def _filter_valid_key(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .silver import dedup_customers
+    return (dedup_customers(_bronze(spark, sf_dir)["raw_customers"])
+            .where(F.col("customer_id").isNotNull() & (F.col("customer_id").cast("string") != ""))
+            .select("customer_id", "updated_at"))
+
+
+@query("filter_positive")
+def _filter_positive(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .silver import dedup_transactions
+    return (dedup_transactions(_bronze(spark, sf_dir)["raw_transactions"])
+            .where(F.col("transaction_amount_eur").try_cast("decimal(18,2)") > 0)
+            .select("transaction_id", "transaction_amount_eur"))
+
+
+@query("filter_not_cancelled")
+def _filter_not_cancelled(spark, sf_dir):
+    from pyspark.sql import functions as F
+    return (_models(spark, sf_dir)["stg_orders"].where(F.col("order_status") != "CANCELLED")
+            .select("order_id", "customer_id", "order_status"))
+
+
+@query("filter_fulfilled")
+def _filter_fulfilled(spark, sf_dir):
+    from pyspark.sql import functions as F
+    return _models(spark, sf_dir)["fct_orders"].where(F.col("is_fulfilled")).select("order_id", "customer_id")
+
+
+@query("filter_lookback")
+def _filter_lookback(spark, sf_dir):
+    """The incremental batch of the fact: orders within the look-back of the previous run's newest order."""
+    return pipeline.incremental_from_tables(spark, sf_dir).fct_batch
+
+
+# ---------------------------------------------------------------- joins (§2.4)
+
+@query("join_customer_stats")
+def _join_customer_stats(spark, sf_dir):
+    from .gold import order_stats
+    m = _models(spark, sf_dir)
+    return (m["stg_customers"].select("customer_id", "email")
+            .join(order_stats(m["stg_orders"]), "customer_id", "left")
+            .select("customer_id", "email", "lifetime_order_count", "last_order_at"))
+
+
+@query("join_order_payments")
+def _join_order_payments(spark, sf_dir):
+    from .gold import payments_per_order
+    m = _models(spark, sf_dir)
+    return (m["stg_orders"].select("order_id", "order_amount_eur")
+            .join(payments_per_order(m["stg_transactions"]), "order_id", "left")
+            .select("order_id", "order_amount_eur", "transaction_count", "refunded_amount_eur"))
+
+
+@query("join_order_customer")
+def _join_order_customer(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    dim = m["dim_customers"].select("customer_id", "customer_sk", "customer_segment", "is_premium_customer")
+    return (m["stg_orders"].select("order_id", "customer_id").join(dim, "customer_id", "left")
+            .select("order_id", "customer_id", "customer_sk", "customer_segment", "is_premium_customer"))
+
+
+@query("join_mart")
+def _join_mart(spark, sf_dir):
+    from .gold import customer_features
+    m = _models(spark, sf_dir)
+    feats = customer_features(m["fct_orders"], pipeline.AS_OF).select("customer_id", "lifetime_orders", "last_order_at")
+    return m["dim_customers"].select("customer_id", "customer_status").join(feats, "customer_id", "left")
+
+
+@query("semi_recent_customers")
+def _semi_recent(spark, sf_dir):
+    """Customers of the incremental mart batch: those with a fulfilled order in the look-back."""
+    return pipeline.incremental_from_tables(spark, sf_dir).mart_batch.select("customer_id", "lifetime_orders")
+
+
+@query("anti_orphans")
+def _anti_orphans(spark, sf_dir):
+    """Payments whose order has no Silver row (test, future-dated or never sent): left anti join."""
+    from pyspark.sql import functions as F
+    m = _models(spark, sf_dir)
+    return (m["stg_transactions"].where(F.col("order_id").isNotNull())
+            .join(m["stg_orders"].select("order_id"), "order_id", "left_anti")
+            .select("transaction_id", "order_id"))
+
+
+@query("scalar_subquery_max")
+def _scalar_max(spark, sf_dir):
+    """The look-back bound of an incremental run: a one-row aggregate over the previous fact."""
+    from pyspark.sql import functions as F
+    prev = pipeline.models_from_tables(spark, sf_dir, pipeline.PREV, cutoff=pipeline.PREV)["fct_orders"]
+    return prev.agg(F.max("order_timestamp").alias("max_order_timestamp")).select(
+        "max_order_timestamp", (F.col("max_order_timestamp") - F.expr("INTERVAL 3 DAYS")).alias("lookback_from"))
+
+
+# ---------------------------------------------------------------- windows (§2.5)
+
+@query("dedup_orders")
+def _dedup_orders(spark, sf_dir):
+    from .silver import dedup_orders
+    return dedup_orders(_bronze(spark, sf_dir)["raw_orders"])
+
+
+@query("dedup_customers")
+def _dedup_customers(spark, sf_dir):
+    from .silver import dedup_customers
+    return dedup_customers(_bronze(spark, sf_dir)["raw_customers"])
+
+
+@query("dedup_transactions")
+def _dedup_transactions(spark, sf_dir):
+    from .silver import dedup_transactions
+    return dedup_transactions(_bronze(spark, sf_dir)["raw_transactions"])
+
+
+@query("rolling_sum")
+def _rolling_sum(spark, sf_dir):
+    """30-day rolling order value per customer over Silver orders (RANGE frame on order_date)."""
+    from pyspark.sql import functions as F
+
+    from ..functions.columns import rolling_sum
+    orders = _models(spark, sf_dir)["stg_orders"].select("order_id", "customer_id", "order_date", "order_amount_eur")
+    out = rolling_sum(orders, "order_amount_eur", "order_date", 30, alias="order_amount_30d")
+    return out.withColumn("order_amount_30d", F.col("order_amount_30d").cast("decimal(38,2)"))
+
+
+# ---------------------------------------------------------------- aggregations (§2.6)
+
+@query("agg_order_stats")
+def _agg_order_stats(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .gold import order_stats
+    out = order_stats(_models(spark, sf_dir)["stg_orders"])
+    return out.withColumn("lifetime_order_value_eur", F.col("lifetime_order_value_eur").cast("decimal(38,2)"))
+
+
+def _money38(df, cols):
+    from pyspark.sql import functions as F
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("decimal(38,2)"))
+    return df
+
+
+@query("agg_payments")
+def _agg_payments(spark, sf_dir):
+    from .gold import payments_per_order
+    return _money38(payments_per_order(_models(spark, sf_dir)["stg_transactions"]),
+                    ["paid_amount_eur", "refunded_amount_eur"])
+
+
+@query("agg_customer_features")
+def _agg_customer_features(spark, sf_dir):
+    from .gold import customer_features
+    return _money38(customer_features(_models(spark, sf_dir)["fct_orders"], pipeline.AS_OF),
+                    ["lifetime_revenue_eur", "revenue_last_30d", "revenue_last_90d", "revenue_last_365d",
+                     "total_refunded_eur"])
+
+
+def _feature_subset(name, cols):
+    def fn(spark, sf_dir):
+        from .gold import customer_features
+        f = customer_features(_models(spark, sf_dir)["fct_orders"], pipeline.AS_OF)
+        return _money38(f.select("customer_id", *cols), [c for c in cols if "revenue" in c or "refunded" in c])
+    query(name)(fn)
+
+
+_feature_subset("agg_windowed_counts", ["orders_last_7d", "orders_last_30d", "orders_last_90d", "orders_last_365d"])
+_feature_subset("agg_windowed_sums", ["revenue_last_30d", "revenue_last_90d", "revenue_last_365d"])
+_feature_subset("agg_basic", ["lifetime_revenue_eur", "avg_order_value_eur", "total_refunded_eur",
+                              "first_order_at", "last_order_at"])
+_feature_subset("agg_tenure", ["customer_tenure_days"])
+
+
+@query("agg_count_distinct")
+def _agg_count_distinct(spark, sf_dir):
+    """Genuine distinct counts per customer: order days and payment methods used."""
+    from pyspark.sql import functions as F
+    m = _models(spark, sf_dir)
+    days = m["stg_orders"].groupBy("customer_id").agg(F.count_distinct("order_date").alias("distinct_order_days"))
+    return days
+
+
+@query("agg_conditional")
+def _agg_conditional(spark, sf_dir):
+    from .gold import payments_per_order
+    p = payments_per_order(_models(spark, sf_dir)["stg_transactions"])
+    return _money38(p.select("order_id", "paid_amount_eur", "refunded_amount_eur", "last_paid_at"),
+                    ["paid_amount_eur", "refunded_amount_eur"])
+
+
+@query("agg_bool_or")
+def _agg_bool_or(spark, sf_dir):
+    from .gold import payments_per_order
+    return payments_per_order(_models(spark, sf_dir)["stg_transactions"]).select("order_id", "has_chargeback")
+
+
+@query("agg_mode")
+def _agg_mode(spark, sf_dir):
+    from .gold import customer_features
+    f = customer_features(_models(spark, sf_dir)["fct_orders"], pipeline.AS_OF)
+    return f.select("customer_id", "preferred_payment_method", "typical_order_size")
+
+
+# ---------------------------------------------------------------- scalar macros (§2.7)
+
+@query("safe_divide")
+def _safe_divide(spark, sf_dir):
+    """Refund share of the paid amount per order; NULL when nothing was paid."""
+    from pyspark.sql import functions as F
+
+    from ..functions.columns import safe_divide
+    f = _models(spark, sf_dir)["fct_orders"]
+    return f.select("order_id", safe_divide(F.col("refunded_amount_eur").cast("double"),
+                                            F.col("paid_amount_eur").cast("double")).alias("refund_share"))
+
+
+@query("days_between")
+def _days_between(spark, sf_dir):
+    from ..functions.columns import days_between
+    c = _models(spark, sf_dir)["stg_customers"]
+    return c.select("customer_id", days_between("created_at", "updated_at").alias("days_created_to_updated"))

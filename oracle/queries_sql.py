@@ -70,3 +70,89 @@ select source, max_loaded_at, row_count, lag_minutes, cast(target_lag_minutes as
   case when lag_minutes is null then 'error' when lag_minutes > 1440 then 'error' when lag_minutes > 360 then 'warn' else 'pass' end as status,
   coalesce(lag_minutes <= target_lag_minutes, false) as meets_target
 from (select *, cast(floor((epoch({m.ts(m.AS_OF)}) - epoch(max_loaded_at)) / 60) as bigint) as lag_minutes from f) x"""
+
+
+def _w(select: str) -> str:
+    return m.with_models(select)
+
+
+def _b(select: str) -> str:
+    return f"with {m.bronze()} {select}"
+
+
+ORACLE["proj_cast_keys"] = _b("select cast(order_id as varchar) as order_id, cast(customer_id as varchar) as customer_id from raw_orders")
+ORACLE["proj_money"] = _b("select order_id, cast(round(cast(order_amount_eur as decimal(18,2)), 2) as decimal(18,2)) as order_amount_eur from raw_orders")
+ORACLE["proj_timestamps"] = _b("select transaction_id, transaction_timestamp, cast(transaction_timestamp as date) as transaction_date from raw_transactions")
+ORACLE["proj_normalise_upper"] = _b("select transaction_id, upper(trim(payment_method)) as payment_method, upper(trim(transaction_status)) as transaction_status from raw_transactions")
+ORACLE["proj_normalise_lower"] = _b("select customer_id, lower(trim(email)) as email from raw_customers")
+ORACLE["proj_normalise_title"] = _b(f"select customer_id, {m.initcap('first_name')} as first_name, {m.initcap('last_name')} as last_name, {m.initcap('customer_segment')} as customer_segment from raw_customers")
+ORACLE["proj_full_name"] = _b(f"select customer_id, {m.initcap('first_name')} || ' ' || {m.initcap('last_name')} as full_name from raw_customers")
+ORACLE["proj_size_band"] = _b("""select order_id, order_amount_eur,
+  case when cast(order_amount_eur as decimal(18,2)) < 50 then 'small' when cast(order_amount_eur as decimal(18,2)) < 500 then 'medium'
+       when cast(order_amount_eur as decimal(18,2)) < 5000 then 'large' else 'enterprise' end as order_size_band from raw_orders""")
+ORACLE["proj_flags"] = _w("select transaction_id, is_successful, is_digital_payment from stg_transactions")
+ORACLE["proj_defaults"] = _w("select customer_id, lifetime_order_count, lifetime_order_value_eur, distinct_order_days from dim_customers")
+ORACLE["proj_net_revenue"] = _w("select order_id, order_amount_eur, refunded_amount_eur, net_revenue_eur from fct_orders")
+ORACLE["proj_customer_status"] = _w("select customer_id, last_order_at, customer_status from dim_customers")
+ORACLE["proj_days_since"] = _w("select customer_id, last_order_at, days_since_last_order from mart_customer_lifetime")
+ORACLE["pii_mask"] = _w("select customer_id, email_hash from dim_customers")
+ORACLE["surrogate_key"] = _w("select customer_id, customer_sk from dim_customers")
+
+_DEDUP_O = """(select * from (select *, row_number() over (partition by order_id order by _ingestion_timestamp desc nulls last,
+  _source_file desc nulls last) as rn from raw_orders) d where rn = 1)"""
+_DEDUP_C = """(select * from (select *, row_number() over (partition by customer_id order by updated_at desc nulls last,
+  _ingestion_timestamp desc nulls last) as rn from raw_customers) d where rn = 1)"""
+_DEDUP_T = """(select * from (select *, row_number() over (partition by transaction_id order by _ingestion_timestamp desc nulls last,
+  transaction_amount_eur desc nulls last, payment_method asc nulls first, transaction_status asc nulls first) as rn
+  from raw_transactions) d where rn = 1)"""
+ORACLE["filter_test_records"] = _b(f"select order_id, order_status from {_DEDUP_O} x where upper(trim(order_status)) not in ('TEST', 'DUMMY', 'CANCELLED_TEST')")
+ORACLE["filter_future"] = _b(f"select order_id, order_timestamp from {_DEDUP_O} x where order_timestamp <= {m.ts(m.AS_OF)}")
+ORACLE["filter_valid_key"] = _b(f"select customer_id, updated_at from {_DEDUP_C} x where customer_id is not null and cast(customer_id as varchar) != ''")
+ORACLE["filter_positive"] = _b(f"select transaction_id, transaction_amount_eur from {_DEDUP_T} x where cast(transaction_amount_eur as decimal(18,2)) > 0")
+ORACLE["filter_not_cancelled"] = _w("select order_id, customer_id, order_status from stg_orders where order_status != 'CANCELLED'")
+ORACLE["filter_fulfilled"] = _w("select order_id, customer_id from fct_orders where is_fulfilled")
+ORACLE["filter_lookback"] = f"with {m.incremental_ctes()} select * from fct_orders_c"
+ORACLE["dedup_orders"] = _b(f"select * exclude (rn) from {_DEDUP_O} x")
+ORACLE["dedup_customers"] = _b(f"select * exclude (rn) from {_DEDUP_C} x")
+ORACLE["dedup_transactions"] = _b(f"select * exclude (rn) from {_DEDUP_T} x")
+
+ORACLE["join_customer_stats"] = _w("""select c.customer_id, c.email, o.lifetime_order_count, o.last_order_at
+  from stg_customers c left join order_stats o on c.customer_id = o.customer_id""")
+ORACLE["join_order_payments"] = _w("""select o.order_id, o.order_amount_eur, t.transaction_count, t.refunded_amount_eur
+  from stg_orders o left join payments t on o.order_id = t.order_id""")
+ORACLE["join_order_customer"] = _w("""select o.order_id, o.customer_id, c.customer_sk, c.customer_segment, c.is_premium_customer
+  from stg_orders o left join dim_customers c on o.customer_id = c.customer_id""")
+ORACLE["join_mart"] = _w("""select c.customer_id, c.customer_status, o.lifetime_orders, o.last_order_at
+  from dim_customers c left join order_aggregates o on c.customer_id = o.customer_id""")
+ORACLE["semi_recent_customers"] = f"with {m.incremental_ctes()} select customer_id, lifetime_orders from mart_customer_lifetime_c"
+ORACLE["anti_orphans"] = _w("""select t.transaction_id, t.order_id from stg_transactions t
+  where t.order_id is not null and not exists (select 1 from stg_orders o where o.order_id = t.order_id)""")
+ORACLE["scalar_subquery_max"] = m.with_models(
+    "select max(order_timestamp) as max_order_timestamp, max(order_timestamp) - interval 3 day as lookback_from from fct_orders",
+    "", m.PREV, m.PREV)
+ORACLE["rolling_sum"] = _w("""select order_id, customer_id, order_date, order_amount_eur,
+  cast(sum(order_amount_eur) over (partition by customer_id order by order_date
+       range between interval 30 days preceding and current row) as decimal(38,2)) as order_amount_30d from stg_orders""")
+ORACLE["agg_order_stats"] = _w("""select customer_id, lifetime_order_count, cast(lifetime_order_value_eur as decimal(38,2)) as lifetime_order_value_eur,
+  first_order_at, last_order_at, distinct_order_days from order_stats""")
+ORACLE["agg_payments"] = _w("""select order_id, transaction_count, cast(paid_amount_eur as decimal(38,2)) as paid_amount_eur,
+  cast(refunded_amount_eur as decimal(38,2)) as refunded_amount_eur, last_paid_at, has_chargeback, primary_payment_method from payments""")
+_FEATS = """select customer_id, lifetime_orders, cast(lifetime_revenue_eur as decimal(38,2)) as lifetime_revenue_eur, avg_order_value_eur,
+  orders_last_7d, orders_last_30d, orders_last_90d, orders_last_365d,
+  cast(revenue_last_30d as decimal(38,2)) as revenue_last_30d, cast(revenue_last_90d as decimal(38,2)) as revenue_last_90d,
+  cast(revenue_last_365d as decimal(38,2)) as revenue_last_365d, preferred_payment_method, typical_order_size, chargeback_count,
+  cast(total_refunded_eur as decimal(38,2)) as total_refunded_eur, first_order_at, last_order_at, customer_tenure_days
+  from order_aggregates"""
+ORACLE["agg_customer_features"] = _w(_FEATS)
+ORACLE["agg_windowed_counts"] = _w(f"select customer_id, orders_last_7d, orders_last_30d, orders_last_90d, orders_last_365d from ({_FEATS}) f")
+ORACLE["agg_windowed_sums"] = _w(f"select customer_id, revenue_last_30d, revenue_last_90d, revenue_last_365d from ({_FEATS}) f")
+ORACLE["agg_basic"] = _w(f"select customer_id, lifetime_revenue_eur, avg_order_value_eur, total_refunded_eur, first_order_at, last_order_at from ({_FEATS}) f")
+ORACLE["agg_tenure"] = _w(f"select customer_id, customer_tenure_days from ({_FEATS}) f")
+ORACLE["agg_count_distinct"] = _w("select customer_id, count(distinct order_date) as distinct_order_days from stg_orders group by customer_id")
+ORACLE["agg_conditional"] = _w("""select order_id, cast(paid_amount_eur as decimal(38,2)) as paid_amount_eur,
+  cast(refunded_amount_eur as decimal(38,2)) as refunded_amount_eur, last_paid_at from payments""")
+ORACLE["agg_bool_or"] = _w("select order_id, has_chargeback from payments")
+ORACLE["agg_mode"] = _w("select customer_id, preferred_payment_method, typical_order_size from order_aggregates")
+ORACLE["safe_divide"] = _w("""select order_id, case when cast(paid_amount_eur as double) = 0 or paid_amount_eur is null then null
+  else cast(refunded_amount_eur as double) / cast(paid_amount_eur as double) end as refund_share from fct_orders""")
+ORACLE["days_between"] = _w("select customer_id, date_diff('day', cast(created_at as date), cast(updated_at as date)) as days_created_to_updated from stg_customers")
