@@ -405,3 +405,235 @@ def _days_between(spark, sf_dir):
     from ..functions.columns import days_between
     c = _models(spark, sf_dir)["stg_customers"]
     return c.select("customer_id", days_between("created_at", "updated_at").alias("days_created_to_updated"))
+
+
+# ---------------------------------------------------------------- table writes (§2.1)
+
+def _scratch(spark, name):
+    from ..session import scratch_path
+    return scratch_path(spark, name)
+
+
+@query("silver_view")
+def _silver_view(spark, sf_dir):
+    """Silver is a view: registered lazily, recomputed on read."""
+    _models(spark, sf_dir)["stg_orders"].createOrReplaceTempView("stg_orders")
+    return spark.table("stg_orders")
+
+
+@query("gold_overwrite")
+def _gold_overwrite(spark, sf_dir):
+    """The dimension materialised as a full overwrite, clustered on customer_id, read back."""
+    from ..operators.layout import layout_by
+    path = _scratch(spark, "dim_customers")
+    layout_by(_models(spark, sf_dir)["dim_customers"], ["customer_id"]).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("incremental_merge")
+def _incremental_merge(spark, sf_dir):
+    """Mart upsert into a versioned table: full build at the previous run, then a merged version."""
+    from ..operators.upsert import VersionedTable
+    run = pipeline.incremental_from_tables(spark, sf_dir)
+    table = VersionedTable(spark, _scratch(spark, "mart_customer_lifetime"))
+    table.upsert(run.previous["mart_customer_lifetime"], "customer_id")
+    prev = table.read()
+    dim = run.current["dim_customers"]
+    from . import gold
+    batch = gold.mart_customer_lifetime(dim, run.fct, pipeline.AS_OF, target=prev)
+    table.upsert(batch, "customer_id")
+    return table.read()
+
+
+@query("partitioned_write")
+def _partitioned_write(spark, sf_dir):
+    """Fact stored partitioned by order_date; the incremental batch rewrites only touched partitions."""
+    from ..operators.layout import partitioned_write
+    from ..operators.upsert import upsert_partitions
+    from . import gold
+    run = pipeline.incremental_from_tables(spark, sf_dir)
+    path = _scratch(spark, "fct_orders")
+    partitioned_write(run.previous["fct_orders"], path, "order_date", cluster=["customer_id", "order_status"])
+    target = spark.read.parquet(path)
+    now = run.current
+    batch = gold.fct_orders(now["stg_orders"], now["stg_transactions"], now["dim_customers"], pipeline.AS_OF,
+                            target=target)
+    upsert_partitions(spark, path, batch, "order_id", "order_date")
+    return spark.read.parquet(path)
+
+
+@query("layout_by")
+def _layout_by(spark, sf_dir):
+    """Mart clustered on (customer_segment, customer_status) by z-value, written and read back."""
+    from ..operators.layout import layout_by
+    path = _scratch(spark, "mart_layout")
+    layout_by(_models(spark, sf_dir)["mart_customer_lifetime"], ["customer_segment", "customer_status"]) \
+        .write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("analyze_stats")
+def _analyze_stats(spark, sf_dir):
+    """Exact per-column statistics of the stored fact (row, NULL counts, longest string)."""
+    from ..operators.layout import column_stats
+    path = _scratch(spark, "fct_stats")
+    _models(spark, sf_dir)["fct_orders"].write.mode("overwrite").parquet(path)
+    return column_stats(spark.read.parquet(path))
+
+
+@query("audit_append")
+def _audit_append(spark, sf_dir):
+    from ..operators.audit import audit_append
+    m = _models(spark, sf_dir)
+    path = _scratch(spark, "audit_log")
+    for name in ["dim_customers", "fct_orders", "mart_customer_lifetime"]:
+        audit_append(m[name], path, name, "prod", pipeline.AS_OF)
+    return spark.read.parquet(path)
+
+
+def _two_marts(spark, sf_dir):
+    before = pipeline.models_from_tables(spark, sf_dir, pipeline.PREV, cutoff=pipeline.PREV)["mart_customer_lifetime"]
+    after = _models(spark, sf_dir)["mart_customer_lifetime"]
+    return before, after
+
+
+@query("audit_compare")
+def _audit_compare(spark, sf_dir):
+    """Mart of the previous run against the mart now: rows added / removed / changed per column."""
+    from ..operators.audit import audit_compare
+    before, after = _two_marts(spark, sf_dir)
+    return audit_compare(before, after, "customer_id")
+
+
+@query("feature_publish")
+def _feature_publish(spark, sf_dir):
+    """Customers whose features changed since the previous run (what goes to the feature topic)."""
+    from ..operators.publish import changed_rows
+    before, after = _two_marts(spark, sf_dir)
+    return changed_rows(before, after, "customer_id")
+
+
+@query("feature_publish_records")
+def _feature_publish_records(spark, sf_dir):
+    """The same changes as key / JSON value / topic records, written to the sink and read back."""
+    from ..operators.publish import changed_rows, publish, to_records
+    before, after = _two_marts(spark, sf_dir)
+    path = _scratch(spark, "feature_records")
+    publish(to_records(changed_rows(before, after, "customer_id"), "customer_id"), sink="parquet", path=path)
+    return spark.read.parquet(path)
+
+
+def _customer_versions(spark, sf_dir):
+    """Typed CRM rows of every snapshot (Silver projections, before dedup)."""
+    from pyspark.sql import functions as F
+
+    from ..functions.columns import full_name, norm_lower, norm_title, norm_upper, to_key
+    raw = _bronze(spark, sf_dir)["raw_customers"]
+    return raw.where(F.col("customer_id").isNotNull()).select(
+        to_key("customer_id").alias("customer_id"), norm_title("first_name").alias("first_name"),
+        norm_title("last_name").alias("last_name"), norm_lower("email").alias("email"),
+        full_name("first_name", "last_name").alias("full_name"), norm_upper("country_code").alias("country_code"),
+        norm_title("customer_segment").alias("customer_segment"), "created_at", "updated_at", "_ingestion_timestamp")
+
+
+@query("snapshot_scd2")
+def _snapshot_scd2(spark, sf_dir):
+    """Type-2 customer history over all CRM snapshots in updated_at order."""
+    from ..operators.history import history_from_versions
+    return history_from_versions(_customer_versions(spark, sf_dir), "customer_id").drop("_ingestion_timestamp")
+
+
+# ---------------------------------------------------------------- seeds and streams
+
+@query("seed_load")
+def _seed_load(spark, sf_dir):
+    """A country lookup seed: the nation table exported as CSV, loaded with a schema, stored."""
+    from ..sources.seeds import load_seed, write_seed
+    csv = _scratch(spark, "seed_csv")
+    spark.read.parquet(f"{sf_dir}/nation.parquet").write.option("header", True).csv(csv)
+    out = _scratch(spark, "seeds_nation")
+    write_seed(load_seed(spark, csv, "n_nationkey INT, n_name STRING, n_regionkey INT"), out)
+    return spark.read.parquet(out)
+
+
+@query("bronze_ingest_stream")
+def _bronze_ingest_stream(spark, sf_dir):
+    """Order events landed as several files, appended to Bronze by a file stream (one file per
+    trigger), then read back: every landed row exactly once, with its audit columns set."""
+    from pyspark.sql import functions as F
+
+    from ..sources.bronze import RAW_ORDERS_SCHEMA
+    from ..streaming.ingest import ingest_to_bronze
+    cols = ["order_id", "customer_id", "order_status", "order_amount_eur", "order_timestamp"]
+    landing = _scratch(spark, "landing_orders")
+    derived.raw_orders(spark, sf_dir).select(*cols).repartition(4).write.parquet(landing)
+    schema = RAW_ORDERS_SCHEMA.__class__([f for f in RAW_ORDERS_SCHEMA.fields if f.name in cols])
+    bronze_dir, ckpt = _scratch(spark, "bronze_orders"), _scratch(spark, "ckpt_orders")
+    ingest_to_bronze(spark, landing, schema, bronze_dir, ckpt, max_files_per_trigger=1)
+    ingest_to_bronze(spark, landing, schema, bronze_dir, ckpt, max_files_per_trigger=1)  # rerun: no duplicates
+    out = spark.read.parquet(bronze_dir)
+    return out.select(*cols, (F.col("_ingestion_timestamp").isNotNull() & F.col("_source_file").isNotNull())
+                      .alias("has_audit_columns"))
+
+
+@query("late_data_lookback")
+def _late_data_lookback(spark, sf_dir):
+    """Two daily runs fed by a stream of Bronze order files: the previous run's files, then the
+    rest; each micro-batch upserts the look-back window of the partitioned fact."""
+    from pyspark.sql import functions as F
+
+    from ..streaming.ingest import ingest_with
+    from ..streaming.late_data import fact_upsert_handler
+    from ..sources.bronze import RAW_ORDERS_SCHEMA
+    landing, bronze_dir = _scratch(spark, "landing_late"), _scratch(spark, "bronze_late")
+    fact_dir, ckpt = _scratch(spark, "fct_late"), _scratch(spark, "ckpt_late")
+    orders = derived.raw_orders(spark, sf_dir)
+    prev_ts = F.lit(pipeline.PREV).cast("timestamp")
+    runs = [(pipeline.PREV, orders.where(F.col("_ingestion_timestamp") <= prev_ts), pipeline.PREV),
+            (pipeline.AS_OF, orders.where(F.col("_ingestion_timestamp") > prev_ts), None)]
+    for as_of, files, cutoff in runs:
+        files.write.mode("append").parquet(landing)
+
+        def others(c=cutoff):
+            return {"raw_customers": derived.raw_customers(spark, sf_dir, c),
+                    "raw_transactions": derived.raw_transactions(spark, sf_dir, c)}
+        handler = fact_upsert_handler(spark, bronze_dir, fact_dir, others, lambda a=as_of: a)
+        ingest_with(spark, landing, RAW_ORDERS_SCHEMA, ckpt, handler)
+    return spark.read.parquet(fact_dir)
+
+
+# ---------------------------------------------------------------- lineage and classification (§2.11)
+
+def _lineage(spark, sf_dir):
+    from ..sources.manifests import read_manifests
+    from .lineage import lineage_models
+    path = _scratch(spark, "manifests")
+    derived.run_manifests(spark, sf_dir).write.text(path)
+    return lineage_models(read_manifests(spark, path, one_per_file=False))
+
+
+@query("lineage_models")
+def _lineage_models(spark, sf_dir):
+    from .lineage import public
+    return public(_lineage(spark, sf_dir)).drop("entity_id")
+
+
+@query("lineage_columns")
+def _lineage_columns(spark, sf_dir):
+    from .lineage import lineage_columns
+    return lineage_columns(_lineage(spark, sf_dir))
+
+
+@query("lineage_edges")
+def _lineage_edges(spark, sf_dir):
+    from .lineage import lineage_edges
+    return lineage_edges(_lineage(spark, sf_dir))
+
+
+@query("classify_columns")
+def _classify_columns(spark, sf_dir):
+    """E-mail columns: Silver customers (anchored pattern) and document text (unanchored)."""
+    from ..operators.classify import EMAIL_FIELD, EMAIL_TEXT, classify_columns
+    cust = classify_columns(_models(spark, sf_dir)["stg_customers"], "stg_customers", EMAIL_FIELD)
+    docs = classify_columns(spark.read.parquet(f"{sf_dir}/documents.parquet"), "documents", EMAIL_TEXT)
+    return cust.unionByName(docs)

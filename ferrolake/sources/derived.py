@@ -116,3 +116,42 @@ def bronze(spark: SparkSession, sf_dir: str, cutoff=None) -> dict[str, DataFrame
         "raw_customers": raw_customers(spark, sf_dir, cutoff),
         "raw_transactions": raw_transactions(spark, sf_dir, cutoff),
     }
+
+
+def run_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run manifest (a JSON line) per order: a model node per line item, chained by line number
+    and rooted in a source node; documented columns and a tag come from the item's values.
+
+    The per-order map holds one entry per distinct line number, so each group stays small.
+    """
+    li = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.min("l_quantity").alias("q"), F.min("l_linestatus").alias("st"), F.min("l_returnflag").alias("rf"))
+    k = F.col("l_orderkey")
+    ln = F.col("l_linenumber")
+    proj = F.concat(F.lit("p"), k.cast("string"))
+    uid = F.concat(F.lit("model."), proj, F.lit(".line_"), ln.cast("string"))
+    source_id = F.concat(F.lit("source."), proj, F.lit(".raw_orders"))
+    dep = F.when(ln == 1, source_id).otherwise(F.concat(F.lit("model."), proj, F.lit(".line_"), (ln - 1).cast("string")))
+    null_s = F.lit(None).cast("string")
+    node = F.struct(
+        F.lit("model").alias("resource_type"),
+        F.concat(F.lit("line_"), ln.cast("string")).alias("name"),
+        F.when(ln % 2 == 1, "gold").otherwise("silver").alias("schema"),
+        F.when(k % 3 == 0, null_s).otherwise(F.lit("lake")).alias("database"),
+        F.struct(F.array(dep).alias("nodes")).alias("depends_on"),
+        F.create_map(
+            F.lit("quantity"), F.struct(F.concat(F.lit("qty "), F.col("q").cast("bigint").cast("string")).alias("description"),
+                                        F.lit("decimal(18,2)").alias("data_type")),
+            F.lit("status"), F.struct(F.col("st").alias("description"), null_s.alias("data_type"))).alias("columns"),
+        F.array(F.col("rf")).alias("tags"),
+        F.when(ln % 2 == 1, F.concat(F.lit("line "), ln.cast("string"))).alias("description"))
+    source_node = F.struct(
+        F.lit("source").alias("resource_type"), F.lit("raw_orders").alias("name"), F.lit("bronze").alias("schema"),
+        null_s.alias("database"), F.struct(F.array().cast("array<string>").alias("nodes")).alias("depends_on"),
+        F.create_map().cast("map<string,struct<description:string,data_type:string>>").alias("columns"),
+        F.array().cast("array<string>").alias("tags"), null_s.alias("description"))
+    per_order = (li.groupBy("l_orderkey")
+                 .agg(F.map_from_entries(F.collect_list(F.struct(uid.alias("k"), node.alias("v")))).alias("m")))
+    nodes = F.map_concat(F.col("m"), F.create_map(
+        F.concat(F.lit("source.p"), k.cast("string"), F.lit(".raw_orders")), source_node))
+    return per_order.select(F.to_json(F.struct(nodes.alias("nodes"))).alias("value"))

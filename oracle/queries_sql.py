@@ -156,3 +156,113 @@ ORACLE["agg_mode"] = _w("select customer_id, preferred_payment_method, typical_o
 ORACLE["safe_divide"] = _w("""select order_id, case when cast(paid_amount_eur as double) = 0 or paid_amount_eur is null then null
   else cast(refunded_amount_eur as double) / cast(paid_amount_eur as double) end as refund_share from fct_orders""")
 ORACLE["days_between"] = _w("select customer_id, date_diff('day', cast(created_at as date), cast(updated_at as date)) as days_created_to_updated from stg_customers")
+
+
+# ---------------------------------------------------------------- table writes, history, audit, publish
+
+_INC = m.incremental_ctes()
+ORACLE["silver_view"] = ORACLE["stg_orders"]
+ORACLE["gold_overwrite"] = ORACLE["dim_customers"]
+ORACLE["incremental_merge"] = f"with {_INC} select * from mart_merged"
+ORACLE["partitioned_write"] = f"with {_INC} select * from fct_merged"
+ORACLE["late_data_lookback"] = f"with {_INC} select * from fct_merged"
+ORACLE["layout_by"] = ORACLE["mart_customer_lifetime"]
+
+_FCT_STRINGS = {"order_id", "customer_sk", "customer_id", "order_status", "order_size_band", "customer_segment",
+                "primary_payment_method"}
+_FCT_COLUMNS = ["order_id", "customer_sk", "customer_id", "order_date", "order_timestamp", "order_status",
+                "order_size_band", "order_amount_eur", "customer_segment", "is_premium_customer",
+                "transaction_count", "paid_amount_eur", "refunded_amount_eur", "last_paid_at", "has_chargeback",
+                "primary_payment_method", "net_revenue_eur", "is_fulfilled", "_ingestion_timestamp",
+                "_dbt_loaded_at"]
+ORACLE["analyze_stats"] = _w("\nunion all\n".join(
+    f"select '{c}' as column_name, count(*) as row_count, count(*) filter (where {c} is null) as null_count, "
+    + (f"cast(max(length({c})) as bigint)" if c in _FCT_STRINGS else "cast(null as bigint)")
+    + " as max_length from fct_orders" for c in _FCT_COLUMNS))
+
+ORACLE["audit_append"] = _w(f"""
+select 'dim_customers' as model_name, 'prod' as environment, {m.ts(m.AS_OF)} as run_at, count(*) as row_count from dim_customers
+union all select 'fct_orders', 'prod', {m.ts(m.AS_OF)}, count(*) from fct_orders
+union all select 'mart_customer_lifetime', 'prod', {m.ts(m.AS_OF)}, count(*) from mart_customer_lifetime""")
+
+_MART_COLS = ["customer_sk", "country_code", "customer_segment", "is_premium_customer", "customer_status",
+              "lifetime_orders", "lifetime_revenue_eur", "avg_order_value_eur", "orders_last_7d", "orders_last_30d",
+              "orders_last_90d", "orders_last_365d", "revenue_last_30d", "revenue_last_90d", "revenue_last_365d",
+              "chargeback_count", "total_refunded_eur", "is_high_risk", "preferred_payment_method",
+              "typical_order_size", "customer_tenure_days", "days_since_last_order", "first_order_at",
+              "last_order_at", "customer_created_at"]
+_BOTH = f"with {m.models('_p', m.PREV, m.PREV)}, {m.models()}"
+_anydiff = " or ".join(f"a.{c} is distinct from b.{c}" for c in _MART_COLS)
+_stack = "\nunion all\n".join(
+    f"select '{c}' as column_name, count(*) filter (where a.customer_id is not null and b.customer_id is not null "
+    f"and a.{c} is distinct from b.{c}) as values_changed from mart_customer_lifetime_p b full outer join "
+    f"mart_customer_lifetime a on a.customer_id = b.customer_id" for c in _MART_COLS)
+ORACLE["audit_compare"] = f"""{_BOTH},
+j as (select a.customer_id as a_id, b.customer_id as b_id, ({_anydiff}) as any_diff
+      from mart_customer_lifetime_p b full outer join mart_customer_lifetime a on a.customer_id = b.customer_id),
+t as (select count(*) filter (where b_id is null) as rows_added, count(*) filter (where a_id is null) as rows_removed,
+             count(*) filter (where a_id is not null and b_id is not null and any_diff) as rows_changed from j),
+c as ({_stack})
+select t.rows_added, t.rows_removed, t.rows_changed, c.column_name, c.values_changed from t cross join c"""
+
+_pub_cols = ", ".join(f"a.{c}" for c in _MART_COLS)
+ORACLE["feature_publish"] = f"""{_BOTH}
+select a.customer_id, {_pub_cols} from mart_customer_lifetime a
+left join mart_customer_lifetime_p b on a.customer_id = b.customer_id
+where b.customer_id is null or {_anydiff}"""
+
+_TYPED_CUST = f"""typed as (select cast(customer_id as varchar) as customer_id, {m.initcap('first_name')} as first_name,
+  {m.initcap('last_name')} as last_name, lower(trim(email)) as email,
+  {m.initcap('first_name')} || ' ' || {m.initcap('last_name')} as full_name, upper(trim(country_code)) as country_code,
+  {m.initcap('customer_segment')} as customer_segment, created_at, updated_at, _ingestion_timestamp
+  from raw_customers where customer_id is not null)"""
+ORACLE["snapshot_scd2"] = f"""with {m.bronze()}, {_TYPED_CUST},
+v as (select * exclude (rn) from (select *, row_number() over (partition by customer_id, updated_at
+        order by _ingestion_timestamp asc nulls last, first_name, last_name, email, full_name, country_code,
+        customer_segment, created_at) as rn from typed) x where rn = 1)
+select customer_id, first_name, last_name, email, full_name, country_code, customer_segment, created_at, updated_at,
+  updated_at as valid_from, lead(updated_at) over (partition by customer_id order by updated_at asc nulls first) as valid_to,
+  lead(updated_at) over (partition by customer_id order by updated_at asc nulls first) is null as is_current
+from v"""
+
+ORACLE["seed_load"] = "select cast(n_nationkey as integer) as n_nationkey, n_name, cast(n_regionkey as integer) as n_regionkey from nation"
+ORACLE["bronze_ingest_stream"] = _b("select order_id, customer_id, order_status, order_amount_eur, order_timestamp, true as has_audit_columns from raw_orders")
+
+# ---------------------------------------------------------------- lineage and classification
+
+_LINEAGE = """with pl as (select l_orderkey as k, l_linenumber as l, min(l_quantity) as q, min(l_linestatus) as st,
+                           min(l_returnflag) as rf from lineitem group by 1, 2),
+md as (select k, l, q, st, 'model.p' || cast(k as varchar) || '.line_' || cast(l as varchar) as unique_id,
+         'line_' || cast(l as varchar) as name, case when l % 2 = 1 then 'gold' else 'silver' end as schema_name,
+         case when k % 3 = 0 then 'main' else 'lake' end as database_name, rf as tags,
+         case when l % 2 = 1 then 'line ' || cast(l as varchar) else '' end as description from pl),
+mf as (select *, database_name || '.' || schema_name || '.' || name as fqn from md)"""
+ORACLE["lineage_models"] = _LINEAGE + " select unique_id, name, schema_name, database_name, fqn, tags, description from mf"
+ORACLE["lineage_columns"] = _LINEAGE + """
+select fqn || '#quantity' as qualified_name, fqn as table_fqn, 'quantity' as column_name,
+  'qty ' || cast(cast(q as bigint) as varchar) as description, 'decimal(18,2)' as data_type from mf
+union all
+select fqn || '#status', fqn, 'status', st, 'unknown' from mf"""
+ORACLE["lineage_edges"] = _LINEAGE + """
+select 'process://' || o.unique_id as process_name, i.fqn as input_fqn, o.fqn as output_fqn
+from mf o join mf i on i.k = o.k and i.l = o.l - 1"""
+
+_EMAIL_FIELD = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+_EMAIL_TEXT = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+
+
+def _classify(table: str, cols: list[str], pattern: str) -> str:
+    return "\nunion all\n".join(
+        f"select '{table}' as table_name, '{c}' as column_name, count({c}) as non_null, "
+        f"count(*) filter (where regexp_matches({c}, '{pattern}')) as matches from {table}" for c in cols)
+
+
+ORACLE["classify_columns"] = _w(f"""
+select table_name, column_name, non_null, matches,
+  case when non_null > 0 then matches / non_null end as match_share,
+  case when non_null > 0 and matches / non_null >= 0.5 then 'PersonalData.Email' end as tag
+from (
+{_classify('stg_customers', ['customer_id', 'first_name', 'last_name', 'email', 'full_name', 'country_code', 'customer_segment'], _EMAIL_FIELD)}
+union all
+{_classify('documents', ['text', 'lang', 'source'], _EMAIL_TEXT)}
+) r""")
