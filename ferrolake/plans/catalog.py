@@ -61,12 +61,12 @@ for _name in ["stg_orders", "stg_customers", "stg_transactions", "dim_customers"
 @query("fct_orders_incremental")
 def _fct_incremental(spark, sf_dir):
     """Fact after an incremental run at as_of upserted into the full build of the previous run."""
-    return pipeline.incremental_from_tables(spark, sf_dir).fct
+    return pipeline.incremental_from_tables(spark, sf_dir).tables["fct_orders"]
 
 
 @query("mart_customer_lifetime_incremental")
 def _mart_incremental(spark, sf_dir):
-    return pipeline.incremental_from_tables(spark, sf_dir).mart
+    return pipeline.incremental_from_tables(spark, sf_dir).tables["mart_customer_lifetime"]
 
 
 # ---------------------------------------------------------------- quality and freshness
@@ -432,34 +432,15 @@ def _gold_overwrite(spark, sf_dir):
 
 @query("incremental_merge")
 def _incremental_merge(spark, sf_dir):
-    """Mart upsert into a versioned table: full build at the previous run, then a merged version."""
-    from ..operators.upsert import VersionedTable
-    run = pipeline.incremental_from_tables(spark, sf_dir)
-    table = VersionedTable(spark, _scratch(spark, "mart_customer_lifetime"))
-    table.upsert(run.previous["mart_customer_lifetime"], "customer_id")
-    prev = table.read()
-    dim = run.current["dim_customers"]
-    from . import gold
-    batch = gold.mart_customer_lifetime(dim, run.fct, pipeline.AS_OF, target=prev)
-    table.upsert(batch, "customer_id")
-    return table.read()
+    """Mart upserted into a versioned table: full build at the previous run, then a merged version."""
+    return pipeline.incremental_from_tables(spark, sf_dir).tables["mart_customer_lifetime"]
 
 
 @query("partitioned_write")
 def _partitioned_write(spark, sf_dir):
-    """Fact stored partitioned by order_date; the incremental batch rewrites only touched partitions."""
-    from ..operators.layout import partitioned_write
-    from ..operators.upsert import upsert_partitions
-    from . import gold
-    run = pipeline.incremental_from_tables(spark, sf_dir)
-    path = _scratch(spark, "fct_orders")
-    partitioned_write(run.previous["fct_orders"], path, "order_date", cluster=["customer_id", "order_status"])
-    target = spark.read.parquet(path)
-    now = run.current
-    batch = gold.fct_orders(now["stg_orders"], now["stg_transactions"], now["dim_customers"], pipeline.AS_OF,
-                            target=target)
-    upsert_partitions(spark, path, batch, "order_id", "order_date")
-    return spark.read.parquet(path)
+    """Fact stored partitioned by order_date (clustered inside); the incremental batch rewrites only
+    the touched partitions."""
+    return pipeline.incremental_from_tables(spark, sf_dir).tables["fct_orders"]
 
 
 @query("layout_by")

@@ -1,8 +1,14 @@
 """Model graph wiring: Bronze -> Silver -> dimension -> fact -> mart, at a point in time.
 
-``models(...)`` returns lazy DataFrames; nothing runs until a sink or action. ``run_daily``
-materialises the layers to Parquet once per run (Silver is read by two Gold models, so it is
-written once instead of recomputed or cached).
+``models(...)`` returns lazy DataFrames (one plan, nothing stored). ``run_full`` and
+``run_incremental`` are the daily jobs: each layer is written once to Parquet and read back, so
+Silver (read by two Gold models) is computed once, every later stage starts from stored files
+(lineage is cut, a lost executor only recomputes from the last stored layer), and the previous
+run's Gold tables are real tables the incremental run merges into.
+
+Storage under ``root``: ``silver/<model>/v*`` and ``gold/dim_customers/v*``,
+``gold/mart_customer_lifetime/v*`` (versioned full writes), ``gold/fct_orders`` (partitioned by
+``order_date``, upserted partition by partition).
 """
 
 from __future__ import annotations
@@ -11,6 +17,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.layout import layout_by, partitioned_write
+from ..operators.upsert import VersionedTable, exists, upsert_partitions
+from ..session import scratch_path
 from ..sources import derived
 from . import gold, silver
 
@@ -18,6 +27,9 @@ from . import gold, silver
 AS_OF = "2001-07-01 00:00:00"
 PREV = "2001-06-01 00:00:00"
 
+FACT_CLUSTER = ["customer_id", "order_status"]
+MART_CLUSTER = ["customer_segment", "customer_status"]
+
 
 def models(bronze: dict[str, DataFrame], as_of) -> dict[str, DataFrame]:
     out = dict(bronze)
@@ -33,29 +45,60 @@ def models_from_tables(spark: SparkSession, sf_dir: str, as_of=AS_OF, cutoff=Non
     return models(derived.bronze(spark, sf_dir, cutoff), as_of)
 
 
+def _store(spark: SparkSession, df: DataFrame, path: str, cluster=()) -> DataFrame:
+    table = VersionedTable(spark, path)
+    table.write(layout_by(df, cluster) if cluster else df)
+    return table.read()
+
+
+def _silver_and_dim(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> dict[str, DataFrame]:
+    out = {n: _store(spark, df, f"{root}/silver/{n}") for n, df in silver.silver(bronze, as_of).items()}
+    dim = gold.dim_customers(out["stg_customers"], out["stg_orders"], as_of)
+    out["dim_customers"] = _store(spark, dim, f"{root}/gold/dim_customers", cluster=["customer_id"])
+    return out
+
+
+def run_full(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> dict[str, DataFrame]:
+    """Full rebuild of every layer (also the cure for everything the look-back misses)."""
+    out = _silver_and_dim(spark, bronze, as_of, root)
+    fct = gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of)
+    fct_path = f"{root}/gold/fct_orders"
+    partitioned_write(fct, fct_path, "order_date", cluster=FACT_CLUSTER)
+    out["fct_orders"] = spark.read.parquet(fct_path)
+    mart = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of)
+    out["mart_customer_lifetime"] = _store(spark, mart, f"{root}/gold/mart_customer_lifetime", cluster=MART_CLUSTER)
+    return out
+
+
 @dataclass
 class IncrementalRun:
-    previous: dict[str, DataFrame]     # full build of the earlier run
-    current: dict[str, DataFrame]      # Silver and dimension of this run
-    fct_batch: DataFrame               # look-back batch of the fact
-    fct: DataFrame                     # fact after the upsert
-    mart_batch: DataFrame              # customers with recent fulfilled orders
-    mart: DataFrame                    # mart after the upsert
+    tables: dict[str, DataFrame]   # Silver, dimension, fact and mart after the run
+    fct_batch: DataFrame           # look-back batch of the fact
+    mart_batch: DataFrame          # customers with recent fulfilled orders
+
+
+def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> IncrementalRun:
+    """Incremental run into the tables of an earlier run under ``root`` (full mode if none)."""
+    fct_path = f"{root}/gold/fct_orders"
+    mart_table = VersionedTable(spark, f"{root}/gold/mart_customer_lifetime")
+    if not exists(spark, fct_path) or mart_table.read() is None:
+        out = run_full(spark, bronze, as_of, root)
+        return IncrementalRun(out, out["fct_orders"], out["mart_customer_lifetime"])
+    out = _silver_and_dim(spark, bronze, as_of, root)
+    target_fct = spark.read.parquet(fct_path)
+    fct_batch = gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of,
+                                target=target_fct)
+    upsert_partitions(spark, fct_path, fct_batch, "order_id", "order_date")
+    out["fct_orders"] = spark.read.parquet(fct_path)
+    mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of,
+                                             target=mart_table.read())
+    mart_table.upsert(layout_by(mart_batch, MART_CLUSTER), "customer_id")
+    out["mart_customer_lifetime"] = mart_table.read()
+    return IncrementalRun(out, fct_batch, mart_batch)
 
 
 def incremental_from_tables(spark: SparkSession, sf_dir: str, prev=PREV, as_of=AS_OF) -> IncrementalRun:
     """Full run at ``prev`` on Bronze as ingested by then, then an incremental run at ``as_of``."""
-    from ..operators.upsert import merge
-
-    before = models_from_tables(spark, sf_dir, prev, cutoff=prev)
-    cur = derived.bronze(spark, sf_dir)
-    now = dict(cur)
-    now.update(silver.silver(cur, as_of))
-    now["dim_customers"] = gold.dim_customers(now["stg_customers"], now["stg_orders"], as_of)
-    fct_batch = gold.fct_orders(now["stg_orders"], now["stg_transactions"], now["dim_customers"], as_of,
-                                target=before["fct_orders"])
-    fct = merge(before["fct_orders"], fct_batch, "order_id")
-    mart_batch = gold.mart_customer_lifetime(now["dim_customers"], fct, as_of,
-                                             target=before["mart_customer_lifetime"])
-    mart = merge(before["mart_customer_lifetime"], mart_batch, "customer_id")
-    return IncrementalRun(before, now, fct_batch, fct, mart_batch, mart)
+    root = scratch_path(spark, "lakehouse")
+    run_full(spark, derived.bronze(spark, sf_dir, prev), prev, root)
+    return run_incremental(spark, derived.bronze(spark, sf_dir), as_of, root)
