@@ -104,38 +104,47 @@ class VersionedTable:
 
 # ---------------------------------------------------------------- partition-scoped upsert
 
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str, partition_col: str) -> list[str]:
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str, partition_col: str,
+                      target: DataFrame | None = None) -> list[str]:
     """Rewrite only the partitions touched by ``source`` (matched old rows and new rows).
 
     ``path`` is a Parquet table written with ``partitionBy(partition_col)``; when it does not exist
-    yet the source is written in full. Returns the touched partition directory names. Their number
-    is bounded by the table's partition count (dates), so listing them on the driver is metadata,
-    not data.
+    yet the source is written in full. Returns the touched partition directory names.
+
+    1. Touched partition values: the partition of every target row whose key is in the source
+       (a key-only scan: Parquet reads just the key column, the partition value is in the path)
+       plus the source's own values. Their number is bounded by the table's partition count
+       (dates), so they are collected as metadata, not data.
+    2. Old rows are read from the touched partitions only (a literal IN on the partition column
+       prunes directories), merged with the source, staged, and written back with dynamic
+       partition overwrite; partitions that lost their last row are deleted.
     """
     src = source.where(F.col(key).isNotNull())
     if not exists(spark, path):
         src.repartition(partition_col).write.partitionBy(partition_col).parquet(path)
         return []
-    target = spark.read.parquet(path)
+    target = target if target is not None else spark.read.parquet(path)
     src = src.select(*target.columns)
-    touched = (target.join(src.select(key), key, "left_semi").select(partition_col)
-               .unionByName(src.select(partition_col)).distinct())
-    # Partition filters on the target prune directories: only touched partitions are scanned.
-    old_in_touched = target.join(touched, partition_col, "left_semi")
+    touched_df = (target.select(key, partition_col).join(src.select(key), key, "left_semi").select(partition_col)
+                  .unionByName(src.select(partition_col)).distinct())
+    touched = [r[0] for r in touched_df.collect()]
+    if not touched:
+        return []
+    old_in_touched = target.where(F.col(partition_col).isin([v for v in touched if v is not None]) |
+                                  (F.col(partition_col).isNull() if None in touched else F.lit(False)))
     new_parts = merge(old_in_touched, src, key)
     # Stage first: a path cannot be overwritten by a plan that still reads it.
     stage = scratch_path(spark, "upsert-stage")
     new_parts.repartition(partition_col).write.partitionBy(partition_col).parquet(stage)
-    touched_dirs = [_partition_dir(partition_col, r[0]) for r in touched.select(
-        F.col(partition_col).cast("string")).collect()]
     prev_mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (spark.read.parquet(stage).select(*target.columns).repartition(partition_col)
+        (spark.read.parquet(stage).select(*target.columns)
          .write.mode("overwrite").partitionBy(partition_col).parquet(path))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev_mode)
     written = set(list_dirs(spark, stage))
+    touched_dirs = [_partition_dir(partition_col, None if v is None else str(v)) for v in touched]
     for name in touched_dirs:
         if name not in written and exists(spark, f"{path}/{name}"):
             delete(spark, f"{path}/{name}")   # its last row moved to another partition

@@ -88,7 +88,7 @@ def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
     target_fct = spark.read.parquet(fct_path)
     fct_batch = gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of,
                                 target=target_fct)
-    upsert_partitions(spark, fct_path, fct_batch, "order_id", "order_date")
+    upsert_partitions(spark, fct_path, fct_batch, "order_id", "order_date", target=target_fct)
     out["fct_orders"] = spark.read.parquet(fct_path)
     mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of,
                                              target=mart_table.read())
