@@ -43,27 +43,45 @@ def z_value(a: Column, b: Column, bits: int = Z_BITS) -> Column:
     return z
 
 
+def _num_partitions(df: DataFrame, n: int | None) -> int:
+    return int(n or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """Deterministic per-row tiebreak: lets a range split rows that share the clustering key (a hot
+    customer, a hot day) over several tasks. Deterministic, so a retried task routes rows the same."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def layout_by(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None,
               within: Sequence[str] = ()) -> DataFrame:
     """Cluster rows on one or two columns before a write (``within`` = leading partition columns)."""
     cols = list(cols)
-    n = num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    n = int(n)
+    n = _num_partitions(df, num_partitions)
     if len(cols) == 1:
         keys = [*within, cols[0]]
-        return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        return (df.withColumn("__h", _row_hash(df)).repartitionByRange(n, *keys, "__h")
+                .sortWithinPartitions(*keys).drop("__h"))
     if len(cols) != 2:
         raise ValueError("layout_by clusters on one or two columns")
-    zed = df.withColumn("__z", z_value(_bucket(df, cols[0]), _bucket(df, cols[1])))
+    zed = df.withColumn("__z", z_value(_bucket(df, cols[0]), _bucket(df, cols[1]))).withColumn("__h", _row_hash(df))
     keys = [*within, "__z"]
-    return zed.repartitionByRange(n, *keys).sortWithinPartitions(*keys, *cols).drop("__z")
+    return zed.repartitionByRange(n, *keys, "__h").sortWithinPartitions(*keys, *cols).drop("__z", "__h")
+
+
+def spread_by(df: DataFrame, partition_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Group rows by a partition column for a ``partitionBy`` write without letting one hot value
+    land in one task: range on (value, row hash) keeps each task on few directories and splits a
+    large directory over several tasks/files."""
+    n = _num_partitions(df, num_partitions)
+    return df.withColumn("__h", _row_hash(df)).repartitionByRange(n, partition_col, "__h").drop("__h")
 
 
 def partitioned_write(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite",
                       cluster: Sequence[str] = ()) -> None:
-    """``partitionBy`` write; rows are first grouped by the partition column so each task writes
-    few partition directories (no tiny-file explosion), optionally clustered inside them."""
-    out = layout_by(df, cluster, within=[partition_col]) if cluster else df.repartition(partition_col)
+    """``partitionBy`` write; rows are first range-grouped by the partition column so each task
+    writes few partition directories (no tiny-file explosion), optionally clustered inside them."""
+    out = layout_by(df, cluster, within=[partition_col]) if cluster else spread_by(df, partition_col)
     out.write.mode(mode).partitionBy(partition_col).parquet(path)
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .layout import spread_by
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -121,7 +122,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     """
     src = source.where(F.col(key).isNotNull())
     if not exists(spark, path):
-        src.repartition(partition_col).write.partitionBy(partition_col).parquet(path)
+        spread_by(src, partition_col).write.partitionBy(partition_col).parquet(path)
         return []
     target = target if target is not None else spark.read.parquet(path)
     src = src.select(*target.columns)
@@ -135,7 +136,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     new_parts = merge(old_in_touched, src, key)
     # Stage first: a path cannot be overwritten by a plan that still reads it.
     stage = scratch_path(spark, "upsert-stage")
-    new_parts.repartition(partition_col).write.partitionBy(partition_col).parquet(stage)
+    spread_by(new_parts, partition_col).write.partitionBy(partition_col).parquet(stage)
     prev_mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:

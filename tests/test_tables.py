@@ -63,3 +63,39 @@ def test_layout_and_column_stats(spark):
     assert out.count() == 1000 and out.rdd.getNumPartitions() == 4
     st = {r.column_name: r for r in column_stats(df).collect()}
     assert st["b"].max_length == 1 and st["a"].row_count == 1000 and st["a"].null_count == 0
+
+
+def test_daily_run_stops_on_stale_source_then_runs(spark):
+    import pytest
+    from conftest import SF_SMALL
+    from ferrolake.plans import daily, pipeline
+    from ferrolake.sources import derived
+    root = scratch_path(spark, "t-daily")
+    with pytest.raises(daily.StaleSourceError):   # customers were last loaded months before as_of
+        daily.run_daily(spark, derived.bronze(spark, SF_SMALL, pipeline.AS_OF), pipeline.AS_OF, root)
+    # sf0.01 has orders and shipments every day, so all three feeds are within the error threshold.
+    fresh_bronze = derived.bronze(spark, "/root/testdata/sf0.01", "2001-01-02 12:00:00")
+    res = daily.run_daily(spark, fresh_bronze, "2001-01-02 12:00:00", root)
+    assert res.quality.count() == 41 and res.published.count() == res.tables["mart_customer_lifetime"].count()
+
+
+def test_partition_pruning_on_event_date(spark):
+    from conftest import SF_SMALL
+    from ferrolake.sources import derived
+    from ferrolake.sources.bronze import write_raw_transactions
+    path = scratch_path(spark, "t-raw-tx")
+    write_raw_transactions(derived.raw_transactions(spark, SF_SMALL), path)
+    df = spark.read.parquet(path).where(F.col("event_date") >= F.lit("2001-06-01").cast("date"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert df.count() == derived.raw_transactions(spark, SF_SMALL).where(
+        F.to_date("transaction_timestamp") >= F.lit("2001-06-01").cast("date")).count()
+
+
+def test_analyze_table_statistics(spark):
+    from ferrolake.operators.layout import analyze_stats, register_table
+    path = scratch_path(spark, "t-analyze")
+    spark.range(100).withColumn("s", F.col("id").cast("string")).write.parquet(path)
+    register_table(spark, "t_analyze", path)
+    stats = analyze_stats(spark, "t_analyze").first()
+    assert "100 rows" in stats.data_type
