@@ -33,18 +33,27 @@ def _now(as_of):
     return F.lit(as_of).cast("timestamp")
 
 
+def _keyed(raw: DataFrame, *keys: str) -> DataFrame:
+    """Cast id columns to their Silver string form BEFORE the dedup window: the cast is one-to-one,
+    so the groups are the same, and the window's hash partitioning on the string key is then the
+    partitioning the Gold joins and aggregates need (no second shuffle of the table)."""
+    for k in keys:
+        raw = raw.withColumn(k, to_key(k))
+    return raw
+
+
 def dedup_orders(raw_orders: DataFrame) -> DataFrame:
-    return keep_latest(raw_orders, "order_id",
+    return keep_latest(_keyed(raw_orders, "order_id", "customer_id"), "order_id",
                        [F.col("_ingestion_timestamp").desc_nulls_last(), F.col("_source_file").desc_nulls_last()])
 
 
 def dedup_customers(raw_customers: DataFrame) -> DataFrame:
-    return keep_latest(raw_customers, "customer_id",
+    return keep_latest(_keyed(raw_customers, "customer_id"), "customer_id",
                        [F.col("updated_at").desc_nulls_last(), F.col("_ingestion_timestamp").desc_nulls_last()])
 
 
 def dedup_transactions(raw_transactions: DataFrame) -> DataFrame:
-    return keep_latest(raw_transactions, "transaction_id",
+    return keep_latest(_keyed(raw_transactions, "transaction_id", "order_id"), "transaction_id",
                        [F.col("_ingestion_timestamp").desc_nulls_last(),
                         F.col("transaction_amount_eur").desc_nulls_last(),
                         F.col("payment_method").asc_nulls_first(), F.col("transaction_status").asc_nulls_first()])

@@ -105,16 +105,18 @@ _DEDUP_C = """(select * from (select *, row_number() over (partition by customer
 _DEDUP_T = """(select * from (select *, row_number() over (partition by transaction_id order by _ingestion_timestamp desc nulls last,
   transaction_amount_eur desc nulls last, payment_method asc nulls first, transaction_status asc nulls first) as rn
   from raw_transactions) d where rn = 1)"""
-ORACLE["filter_test_records"] = _b(f"select order_id, order_status from {_DEDUP_O} x where upper(trim(order_status)) not in ('TEST', 'DUMMY', 'CANCELLED_TEST')")
-ORACLE["filter_future"] = _b(f"select order_id, order_timestamp from {_DEDUP_O} x where order_timestamp <= {m.ts(m.AS_OF)}")
-ORACLE["filter_valid_key"] = _b(f"select customer_id, updated_at from {_DEDUP_C} x where customer_id is not null and cast(customer_id as varchar) != ''")
-ORACLE["filter_positive"] = _b(f"select transaction_id, transaction_amount_eur from {_DEDUP_T} x where cast(transaction_amount_eur as decimal(18,2)) > 0")
+ORACLE["filter_test_records"] = _b(f"select cast(order_id as varchar) as order_id, order_status from {_DEDUP_O} x where upper(trim(order_status)) not in ('TEST', 'DUMMY', 'CANCELLED_TEST')")
+ORACLE["filter_future"] = _b(f"select cast(order_id as varchar) as order_id, order_timestamp from {_DEDUP_O} x where order_timestamp <= {m.ts(m.AS_OF)}")
+ORACLE["filter_valid_key"] = _b(f"select cast(customer_id as varchar) as customer_id, updated_at from {_DEDUP_C} x where customer_id is not null and cast(customer_id as varchar) != ''")
+ORACLE["filter_positive"] = _b(f"select cast(transaction_id as varchar) as transaction_id, transaction_amount_eur from {_DEDUP_T} x where cast(transaction_amount_eur as decimal(18,2)) > 0")
 ORACLE["filter_not_cancelled"] = _w("select order_id, customer_id, order_status from stg_orders where order_status != 'CANCELLED'")
 ORACLE["filter_fulfilled"] = _w("select order_id, customer_id from fct_orders where is_fulfilled")
 ORACLE["filter_lookback"] = f"with {m.incremental_ctes()} select * from fct_orders_c"
-ORACLE["dedup_orders"] = _b(f"select * exclude (rn) from {_DEDUP_O} x")
-ORACLE["dedup_customers"] = _b(f"select * exclude (rn) from {_DEDUP_C} x")
-ORACLE["dedup_transactions"] = _b(f"select * exclude (rn) from {_DEDUP_T} x")
+ORACLE["dedup_orders"] = _b(f"select * exclude (rn, order_id, customer_id), cast(order_id as varchar) as order_id, "
+                            f"cast(customer_id as varchar) as customer_id from {_DEDUP_O} x")
+ORACLE["dedup_customers"] = _b(f"select * exclude (rn, customer_id), cast(customer_id as varchar) as customer_id from {_DEDUP_C} x")
+ORACLE["dedup_transactions"] = _b(f"select * exclude (rn, transaction_id, order_id), cast(transaction_id as varchar) as transaction_id, "
+                                  f"cast(order_id as varchar) as order_id from {_DEDUP_T} x")
 
 ORACLE["join_customer_stats"] = _w("""select c.customer_id, c.email, o.lifetime_order_count, o.last_order_at
   from stg_customers c left join order_stats o on c.customer_id = o.customer_id""")
