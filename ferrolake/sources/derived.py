@@ -118,11 +118,16 @@ def bronze(spark: SparkSession, sf_dir: str, cutoff=None) -> dict[str, DataFrame
     }
 
 
+MANIFEST_NODES = 8
+
+
 def run_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run manifest (a JSON line) per order: a model node per line item, chained by line number
+    """Run manifests (JSON lines) per order: a model node per line item, chained by line number
     and rooted in a source node; documented columns and a tag come from the item's values.
 
-    The per-order map holds one entry per distinct line number, so each group stays small.
+    Each manifest holds at most ``MANIFEST_NODES`` line items of one order (an order with more lines
+    gets several manifests), so no group grows with the data; dependencies between manifests
+    resolve in the global id join of the lineage tables.
     """
     li = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_quantity").alias("q"), F.min("l_linestatus").alias("st"), F.min("l_returnflag").alias("rf"))
@@ -150,8 +155,9 @@ def run_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
         null_s.alias("database"), F.struct(F.array().cast("array<string>").alias("nodes")).alias("depends_on"),
         F.create_map().cast("map<string,struct<description:string,data_type:string>>").alias("columns"),
         F.array().cast("array<string>").alias("tags"), null_s.alias("description"))
-    per_order = (li.groupBy("l_orderkey")
+    chunk = F.floor((ln - 1) / MANIFEST_NODES).alias("chunk")
+    per_chunk = (li.groupBy("l_orderkey", chunk)
                  .agg(F.map_from_entries(F.collect_list(F.struct(uid.alias("k"), node.alias("v")))).alias("m")))
-    nodes = F.map_concat(F.col("m"), F.create_map(
-        F.concat(F.lit("source.p"), k.cast("string"), F.lit(".raw_orders")), source_node))
-    return per_order.select(F.to_json(F.struct(nodes.alias("nodes"))).alias("value"))
+    source_entry = F.create_map(F.concat(F.lit("source.p"), k.cast("string"), F.lit(".raw_orders")), source_node)
+    nodes = F.when(F.col("chunk") == 0, F.map_concat(F.col("m"), source_entry)).otherwise(F.col("m"))
+    return per_chunk.select(F.to_json(F.struct(nodes.alias("nodes"))).alias("value"))
