@@ -194,7 +194,10 @@ def mart_customer_lifetime(dim: DataFrame, fct: DataFrame, as_of, target: DataFr
     customers = dim
     orders = fct
     if bound is not None:
-        recent = (fct.where(F.col("is_fulfilled") & (F.col("order_timestamp") >= bound))
+        # order_date = date(order_timestamp) (UTC), so the implied date bound is exact and prunes
+        # the fact's order_date partitions; the timestamp bound keeps the precise cut.
+        recent = (fct.where((F.col("order_date") >= F.to_date(bound)) & F.col("is_fulfilled")
+                            & (F.col("order_timestamp") >= bound))
                   .select("customer_id").distinct())
         customers = dim.join(recent, "customer_id", "left_semi")
         orders = fct.join(recent, "customer_id", "left_semi")
