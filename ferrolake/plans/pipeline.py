@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.layout import layout_by, partitioned_write
 from ..operators.upsert import VersionedTable, exists, upsert_partitions
@@ -51,8 +52,10 @@ def _store(spark: SparkSession, df: DataFrame, path: str, cluster=()) -> DataFra
     return table.read()
 
 
-def _silver_and_dim(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> dict[str, DataFrame]:
-    out = {n: _store(spark, df, f"{root}/silver/{n}") for n, df in silver.silver(bronze, as_of).items()}
+def _silver_and_dim(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str,
+                    models_: tuple[str, ...] = ("stg_orders", "stg_customers", "stg_transactions")) -> dict[str, DataFrame]:
+    views = silver.silver(bronze, as_of)
+    out = {n: (_store(spark, df, f"{root}/silver/{n}") if n in models_ else df) for n, df in views.items()}
     dim = gold.dim_customers(out["stg_customers"], out["stg_orders"], as_of)
     out["dim_customers"] = _store(spark, dim, f"{root}/gold/dim_customers", cluster=["customer_id"])
     return out
@@ -84,10 +87,17 @@ def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
     if not exists(spark, fct_path) or mart_table.read() is None:
         out = run_full(spark, bronze, as_of, root)
         return IncrementalRun(out, out["fct_orders"], out["mart_customer_lifetime"])
-    out = _silver_and_dim(spark, bronze, as_of, root)
+    # Silver orders and customers feed the full dimension, so they are stored; Silver payments stay
+    # a view (what quality checks read) and the fact batch reads only its own orders' payments.
+    out = _silver_and_dim(spark, bronze, as_of, root, models_=("stg_orders", "stg_customers"))
     target_fct = spark.read.parquet(fct_path)
-    fct_batch = gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of,
-                                target=target_fct)
+    bound = gold.lookback_bound(target_fct, "order_timestamp")
+    if bound is None:   # empty target: the batch is every order
+        payments = out["stg_transactions"]
+    else:
+        batch_orders = out["stg_orders"].where(F.col("order_timestamp") >= bound).select("order_id")
+        payments = silver.stg_transactions_for_orders(bronze["raw_transactions"], batch_orders, as_of)
+    fct_batch = gold.fct_orders(out["stg_orders"], payments, out["dim_customers"], as_of, target=target_fct)
     upsert_partitions(spark, fct_path, fct_batch, "order_id", "order_date", target=target_fct)
     out["fct_orders"] = spark.read.parquet(fct_path)
     mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of,

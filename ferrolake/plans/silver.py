@@ -128,3 +128,19 @@ def silver(bronze: dict[str, DataFrame], as_of) -> dict[str, DataFrame]:
         "stg_customers": stg_customers(bronze["raw_customers"], as_of),
         "stg_transactions": stg_transactions(bronze["raw_transactions"], as_of),
     }
+
+
+def stg_transactions_for_orders(raw_transactions: DataFrame, order_ids: DataFrame, as_of) -> DataFrame:
+    """Silver payments of the given orders only, without deduplicating the whole payment history.
+
+    Exact: the winning version of a payment that belongs to one of the orders is itself a raw row
+    with that ``order_id``, so keeping every version of each ``transaction_id`` that has such a row
+    and deduplicating those gives the same winners; the winners are then narrowed to the orders.
+    Both narrowing steps are left-semi joins against small key sets (AQE broadcasts them when
+    their runtime size allows), so only the batch's payment rows are shuffled and sorted.
+    """
+    keys = order_ids.select(to_key("order_id").alias("order_id")).distinct()
+    raw = _keyed(raw_transactions, "transaction_id", "order_id")
+    touched = raw.join(keys, "order_id", "left_semi").select("transaction_id").distinct()
+    versions = raw.join(touched, "transaction_id", "left_semi")
+    return stg_transactions(versions, as_of).join(keys, "order_id", "left_semi")

@@ -65,3 +65,18 @@ def test_dedup_is_deterministic_on_ties(spark):
     df = payments(spark, [(1, 1, "card", 5, "completed", t, t), (1, 1, "card", 7, "failed", t, t)])
     r = silver.stg_transactions(df, AS_OF).first()
     assert str(r.transaction_amount_eur) == "7.00"
+
+
+def test_payments_for_orders_equal_full_silver_restricted(spark):
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+
+    from ferrolake.sources import derived
+    raw = derived.raw_transactions(spark, SF_SMALL)
+    orders_ = derived.raw_orders(spark, SF_SMALL).where(F.col("order_id") % 3 == 0).select("order_id")
+    full = silver.stg_transactions(raw, AS_OF).join(
+        orders_.select(F.col("order_id").cast("string").alias("order_id")), "order_id", "left_semi")
+    pruned = silver.stg_transactions_for_orders(raw, orders_, AS_OF)
+    cols = ["transaction_id", "order_id", "transaction_amount_eur", "transaction_status"]
+    assert sorted(full.select(*cols).collect()) == sorted(pruned.select(*cols).collect())
+    assert pruned.count() > 0
