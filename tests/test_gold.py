@@ -49,3 +49,18 @@ def test_net_revenue_identity_at_sf_small(spark):
                             F.sum("refunded_amount_eur").alias("r")).first()
     assert f.n == f.o - f.r
     assert m["dim_customers"].count() == m["dim_customers"].select("customer_id").distinct().count()
+
+
+def test_late_rows_within_lookback_admitted_older_missed(spark):
+    from ferrolake.session import scratch_path
+    root = scratch_path(spark, "t-late")
+    a = (1, 1, "DELIVERED", 10, "2001-06-10 00:00:00", "2001-06-11 00:00:00", "f")
+    late_ok = (2, 1, "DELIVERED", 20, "2001-06-08 00:00:00", "2001-06-20 00:00:00", "f")   # 2 days before max
+    late_old = (3, 1, "DELIVERED", 30, "2001-06-01 00:00:00", "2001-06-20 00:00:00", "f")  # 9 days before max
+    cust = [customer(1)]
+    pipeline.run_full(spark, _bronze(spark, [a], cust, []), "2001-06-12 00:00:00", root)
+    run = pipeline.run_incremental(spark, _bronze(spark, [a, late_ok, late_old], cust, []), "2001-06-21 00:00:00", root)
+    assert sorted(r.order_id for r in run.tables["fct_orders"].collect()) == ["1", "2"]
+    full = pipeline.run_full(spark, _bronze(spark, [a, late_ok, late_old], cust, []), "2001-06-21 00:00:00",
+                             scratch_path(spark, "t-late-full"))
+    assert sorted(r.order_id for r in full["fct_orders"].collect()) == ["1", "2", "3"]
