@@ -102,8 +102,8 @@ def payments_per_order(stg_transactions: DataFrame) -> DataFrame:
     amount = F.col("transaction_amount_eur")
     return (stg_transactions.groupBy("order_id")
             .agg(F.count("transaction_id").alias("transaction_count"),
-                 F.sum(F.when(ok, amount).otherwise(0)).alias("paid_amount_eur"),
-                 F.sum(F.when(status == "REFUNDED", amount).otherwise(0)).alias("refunded_amount_eur"),
+                 F.sum(F.when(ok, amount).otherwise(0)).cast(MONEY_SUM).alias("paid_amount_eur"),
+                 F.sum(F.when(status == "REFUNDED", amount).otherwise(0)).cast(MONEY_SUM).alias("refunded_amount_eur"),
                  F.max(F.when(ok, F.col("transaction_timestamp"))).alias("last_paid_at"),
                  F.bool_or(status == "CHARGEBACK").alias("has_chargeback"),
                  F.mode("payment_method", deterministic=True).alias("primary_payment_method")))

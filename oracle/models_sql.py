@@ -22,13 +22,13 @@ raw_orders{sfx} as (select * from (
     case when o_orderkey % 20 = 13 then 'test' when o_orderkey % 20 = 17 then 'Refunded'
          when o_orderkey % 7 = 0 then ' pending' when o_orderkey % 7 = 1 then 'Confirmed'
          when o_orderkey % 7 = 2 then 'shipped ' when o_orderkey % 7 = 3 then 'cancelled' else 'DELIVERED' end as order_status,
-    cast(cast(floor(round(o_totalprice * 100) / case o_orderkey % 4 when 0 then 20000 when 1 then 1000 when 2 then 100 else 1 end) as bigint) as decimal(18,2)) * cast(0.01 as decimal(3,2)) as order_amount_eur,
+    cast(cast(cast(floor(round(o_totalprice * 100) / case o_orderkey % 4 when 0 then 20000 when 1 then 1000 when 2 then 100 else 1 end) as bigint) as decimal(18,2)) * cast(0.01 as decimal(3,2)) as decimal(22,4)) as order_amount_eur,
     cast(o_orderdate as timestamp) as order_timestamp, cast(o_orderdate as timestamp) + interval 1 day as _ingestion_timestamp,
     'orders/v1' as _source_file
   from orders
   union all
   select o_orderkey, o_custkey, 'delivered',
-    cast(cast(round(o_totalprice * 100) as bigint) as decimal(18,2)) * cast(0.01 as decimal(3,2)),
+    cast(cast(cast(round(o_totalprice * 100) as bigint) as decimal(18,2)) * cast(0.01 as decimal(3,2)) as decimal(22,4)),
     cast(o_orderdate as timestamp), cast(o_orderdate as timestamp) + interval 5 day, 'orders/v2'
   from orders where o_orderkey % 10 = 0) r {cut}),
 raw_customers{sfx} as (select * from (
