@@ -120,17 +120,19 @@ def lookback_bound(target: DataFrame | None, column: str, days: int = LOOKBACK_D
 
 
 def fct_orders(stg_orders: DataFrame, stg_transactions: DataFrame, dim: DataFrame, as_of,
-               target: DataFrame | None = None, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+               target: DataFrame | None = None, lookback_days: int = LOOKBACK_DAYS, bound=None) -> DataFrame:
     """One row per order with payment enrichment and net revenue.
 
     Incremental (``target`` given, not empty): only orders with ``order_timestamp`` at or after
     ``max(target.order_timestamp) - lookback_days`` are rebuilt; payments are first narrowed to the
     batch's orders with a left-semi join (same result, as payments are left-joined to orders).
     A refund for an order older than the look-back never reaches the fact: full mode is the cure.
+    ``bound`` may be passed when already known (see ``pipeline.fact_lookback_bound``).
     """
     orders = stg_orders
     payments = stg_transactions
-    bound = lookback_bound(target, "order_timestamp", lookback_days)
+    if bound is None:
+        bound = lookback_bound(target, "order_timestamp", lookback_days)
     if bound is not None:
         orders = orders.where(F.col("order_timestamp") >= bound)
         payments = payments.join(orders.select("order_id"), "order_id", "left_semi")

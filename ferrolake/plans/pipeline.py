@@ -61,6 +61,29 @@ def _silver_and_dim(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
     return out
 
 
+def fact_lookback_bound(spark: SparkSession, fct_path: str, days: int = gold.LOOKBACK_DAYS):
+    """``max(order_timestamp) - days`` of the stored fact without scanning it.
+
+    ``order_date`` is ``date(order_timestamp)``, so the maximum lies in the newest ``order_date``
+    partition: its name comes from a directory listing (bounded by the number of days), and a
+    literal partition filter limits the scan to that one directory. None for an empty fact.
+    """
+    import datetime as dt
+
+    from ..operators.upsert import list_dirs
+    dates = []
+    for name in list_dirs(spark, fct_path):
+        if name.startswith("order_date=") and "__HIVE_DEFAULT_PARTITION__" not in name:
+            try:
+                dates.append(dt.date.fromisoformat(name.split("=", 1)[1]))
+            except ValueError:
+                continue
+    if not dates:
+        return None
+    newest = spark.read.parquet(fct_path).where(F.col("order_date") == F.lit(max(dates)))
+    return gold.lookback_bound(newest, "order_timestamp", days)
+
+
 def run_full(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> dict[str, DataFrame]:
     """Full rebuild of every layer (also the cure for everything the look-back misses)."""
     out = _silver_and_dim(spark, bronze, as_of, root)
@@ -91,13 +114,14 @@ def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
     # a view (what quality checks read) and the fact batch reads only its own orders' payments.
     out = _silver_and_dim(spark, bronze, as_of, root, models_=("stg_orders", "stg_customers"))
     target_fct = spark.read.parquet(fct_path)
-    bound = gold.lookback_bound(target_fct, "order_timestamp")
+    bound = fact_lookback_bound(spark, fct_path)
     if bound is None:   # empty target: the batch is every order
         payments = out["stg_transactions"]
     else:
         batch_orders = out["stg_orders"].where(F.col("order_timestamp") >= bound).select("order_id")
         payments = silver.stg_transactions_for_orders(bronze["raw_transactions"], batch_orders, as_of)
-    fct_batch = gold.fct_orders(out["stg_orders"], payments, out["dim_customers"], as_of, target=target_fct)
+    fct_batch = gold.fct_orders(out["stg_orders"], payments, out["dim_customers"], as_of, target=target_fct,
+                                bound=bound)
     upsert_partitions(spark, fct_path, fct_batch, "order_id", "order_date", target=target_fct)
     out["fct_orders"] = spark.read.parquet(fct_path)
     mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of,

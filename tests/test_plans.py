@@ -62,3 +62,16 @@ def test_incremental_mart_prunes_fact_partitions(spark):
     batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], pipeline.AS_OF,
                                         target=out["mart_customer_lifetime"])
     assert re.search(r"PartitionFilters: \[.*order_date#\d+ >= 2001-05-29", _plan(batch))
+
+
+def test_fact_lookback_bound_reads_one_partition(spark):
+    from pyspark.sql import functions as F
+
+    from ferrolake.session import scratch_path
+    from ferrolake.sources import derived
+    root = scratch_path(spark, "t-bound")
+    out = pipeline.run_full(spark, derived.bronze(spark, SF_SMALL, pipeline.PREV), pipeline.PREV, root)
+    fast = pipeline.fact_lookback_bound(spark, f"{root}/gold/fct_orders")
+    slow = F.lit(out["fct_orders"].agg(F.max("order_timestamp")).first()[0]).cast("timestamp") - F.expr("INTERVAL 3 DAYS")
+    a, b = spark.range(1).select(fast.alias("a"), slow.alias("b")).first()
+    assert a == b
