@@ -61,7 +61,8 @@ def _silver_and_dim(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
     return out
 
 
-def fact_lookback_bound(spark: SparkSession, fct_path: str, days: int = gold.LOOKBACK_DAYS):
+def fact_lookback_bound(spark: SparkSession, fct_path: str, days: int = gold.LOOKBACK_DAYS,
+                        target: DataFrame | None = None):
     """``max(order_timestamp) - days`` of the stored fact without scanning it.
 
     ``order_date`` is ``date(order_timestamp)``, so the maximum lies in the newest ``order_date``
@@ -80,7 +81,8 @@ def fact_lookback_bound(spark: SparkSession, fct_path: str, days: int = gold.LOO
                 continue
     if not dates:
         return None
-    newest = spark.read.parquet(fct_path).where(F.col("order_date") == F.lit(max(dates)))
+    table = target if target is not None else spark.read.parquet(fct_path)   # reuse its file listing
+    newest = table.where(F.col("order_date") == F.lit(max(dates)))
     return gold.lookback_bound(newest, "order_timestamp", days)
 
 
@@ -114,7 +116,7 @@ def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
     # a view (what quality checks read) and the fact batch reads only its own orders' payments.
     out = _silver_and_dim(spark, bronze, as_of, root, models_=("stg_orders", "stg_customers"))
     target_fct = spark.read.parquet(fct_path)
-    bound = fact_lookback_bound(spark, fct_path)
+    bound = fact_lookback_bound(spark, fct_path, target=target_fct)
     if bound is None:   # empty target: the batch is every order
         payments = out["stg_transactions"]
     else:

@@ -29,6 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Local mode only: listing partition directories on the driver beats a listing job inside
+        # the same JVM. Clusters keep Spark's parallel listing for object storage.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
