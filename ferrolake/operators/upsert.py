@@ -96,6 +96,17 @@ class VersionedTable:
         w.parquet(out)
         return out
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` committed versions (and unfinished older attempts)."""
+        committed = self.versions()
+        if len(committed) <= keep:
+            return []
+        cutoff = committed[-keep]
+        gone = [n for n in list_dirs(self.spark, self.path) if n.startswith("v") and n < cutoff]
+        for n in gone:
+            delete(self.spark, f"{self.path}/{n}")
+        return gone
+
     def upsert(self, source: DataFrame, key: str | Sequence[str], partition_by: Sequence[str] = ()) -> str:
         """Full mode when the table is empty, else merge into a new version."""
         current = self.read()

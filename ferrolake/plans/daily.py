@@ -50,4 +50,9 @@ def run_daily(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: st
     changes = changed_rows(previous_mart, tables["mart_customer_lifetime"], "customer_id")
     records = to_records(changes, "customer_id")
     publish(records, sink=publish_sink, path=f"{root}/published/customer_features", options=publish_options)
+    # Retention: the current and the previous version of each versioned table stay (the previous
+    # one is what the next run's change detection and a rollback need).
+    for name in ("silver/stg_orders", "silver/stg_customers", "silver/stg_transactions",
+                 "gold/dim_customers", "gold/mart_customer_lifetime"):
+        VersionedTable(spark, f"{root}/{name}").vacuum(keep=2)
     return DailyResult(fresh, tables, spark.read.parquet(f"{root}/reports/dq_report"), records)

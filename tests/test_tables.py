@@ -99,3 +99,11 @@ def test_analyze_table_statistics(spark):
     register_table(spark, "t_analyze", path)
     stats = analyze_stats(spark, "t_analyze").first()
     assert "100 rows" in stats.data_type
+
+
+def test_versioned_table_vacuum_keeps_newest(spark):
+    table = VersionedTable(spark, scratch_path(spark, "t-vacuum"))
+    for v in range(4):
+        table.upsert(_fact(spark, [("a", "2001-01-01", v)]), "order_id")
+    assert table.vacuum(keep=2) == ["v000001", "v000002"]
+    assert table.versions() == ["v000003", "v000004"] and _rows(table.read()) == [("a", "2001-01-01", 3)]
