@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -29,9 +28,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Local mode only: listing partition directories on the driver beats a listing job inside
-        # the same JVM. Clusters keep Spark's parallel listing for object storage.
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
@@ -47,24 +43,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (any file system Spark reads).
 
-    Only when the session leaves it unset (local tests) is a local folder created and registered.
+    Only a local session that leaves it unset (tests) gets a temporary folder; on a cluster a machine's
+    own disk would be seen by one executor only, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="ferrolake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _local_scratch:
+            _local_scratch[app] = tempfile.mkdtemp(prefix="ferrolake-")
+        root = _local_scratch[app]
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory below the shared scratch root."""
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    """A fresh, unique directory name below the shared scratch root (Spark's writers create it)."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

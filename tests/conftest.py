@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,11 +11,6 @@ sys.path.insert(0, ROOT)
 def spark():
     from ferrolake.session import local_session
     s = local_session(4, 4, app="ferrolake-tests")
-    # Tests own their scratch folder (on a cluster the session names a shared one).
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="ferrolake-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
 
 

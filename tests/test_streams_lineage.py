@@ -17,7 +17,7 @@ def test_manifest_file_per_run(spark):
     from ferrolake.plans.lineage import lineage_columns, lineage_edges, lineage_models
     from ferrolake.sources.manifests import read_manifests
     d = scratch_path(spark, "t-manifests")
-    os.makedirs(d)
+    os.makedirs(d)  # written with open() below, so the local folder must exist
     nodes = {
         "model.p.a": {"resource_type": "model", "name": "a", "schema": "silver", "depends_on": {"nodes": ["source.p.raw"]},
                       "columns": {"id": {"description": "key"}}, "tags": ["t"]},
