@@ -1,14 +1,15 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree (operator 10).
 
-Every document is hashed into one of about sqrt(documents) blocks of its source. A source whose target is r
+Every document is hashed into a block of its source; blocks hold about 256 documents, or the square root of
+the source's documents where that is more. A source whose target is r
 times its size is drawn floor(r) whole times; the rest is drawn from its blocks in a keyed permutation: whole
-blocks while they fit, then, inside the one block where the target falls, documents in hash order up to the
-document boundary nearest to the target. Each (epoch, block) is one draw, so a source has an exact quota of
+blocks while they fit, then, inside the one block where the target falls, documents in hash order, each that
+still fits. Each (epoch, block) is one draw, so a source has an exact quota of
 draws. The quotas of all sources are split between the two halves of the output shards by a multivariate
 hypergeometric draw, and so on down to single shards; shards then own disjoint ranges of each source's
 permuted draws, and a shard's rows are shuffled by a keyed hash.
 
-Scale: per source, one task sees about sqrt(documents) rows (block totals; the documents of one block), and
+Scale: one task sees a block's documents, or a row per block of a source (about sqrt(documents) each), and
 the tree holds one row per node and source. Sums over documents are combined before the shuffle. All random
 choices are keyed hashes or generators seeded by the node, so reruns and retried tasks agree.
 
@@ -35,6 +36,8 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MOST_REPEATS = 3
 #: Words in an output shard; the number of shards follows the input.
 SHARD_WORDS = 4_000_000
+#: A block holds so many documents, or the square root of its source's documents where that is more.
+BLOCK_DOCS = 256
 SEED = 17
 _NODE = "lo long, hi long, sid long, quota long"
 
@@ -102,14 +105,28 @@ def _split(seed: int):
     return split
 
 
+def _fill(block: pd.DataFrame) -> pd.DataFrame:
+    """The documents of one block (about sqrt of a source's) that fill ``need``, and one more if that is nearer."""
+    block = block.sort_values("key")
+    left, taken, spare = float(block["need"].iloc[0]), [], None
+    for key, size in zip(block["key"], block["size"]):
+        if size <= left:
+            left -= size
+            taken.append(key)
+        elif spare is None or size < spare[0]:
+            spare = (size, key)
+    if spare and spare[0] - left < left:
+        taken.append(spare[1])
+    return pd.DataFrame({"sid": block["sid"].iloc[0], "block": block["block"].iloc[0], "key": taken})
+
+
 def mix_plan(spark: SparkSession, docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS,
-             shard_words: int = SHARD_WORDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(documents, draws). Documents: doc_id, size, no_source, source_key, sid, block, key, source_size, target.
-    Draws, one row per (source, block): n_draws, epochs, shards, and for the block where the target falls
-    ``partly`` (the last draw takes only documents whose key is at most ``upto``)."""
+             shard_words: int = SHARD_WORDS, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, draws, parts). Documents: doc_id, size, sid, block, key, source_size, target and more.
+    Draws: sid, block, shard, epoch, partial. A partial draw takes only the documents whose keys are in parts."""
     sized = stored(spark, sizes(docs, seed), "mix-sizes")
     sources = stored(spark, targets(spark, sized, weights, most), "mix-targets")
-    n_blocks = F.greatest(F.lit(1), F.ceil(F.sqrt("n_docs"))).cast("long")
+    n_blocks = F.ceil(F.col("n_docs") / F.greatest(F.lit(float(BLOCK_DOCS)), F.sqrt("n_docs"))).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0)
     sources = sources.withColumns({"n_blocks": n_blocks, "epochs": epochs.cast("long")})
     sources = sources.withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size")))
@@ -122,20 +139,16 @@ def mix_plan(spark: SparkSession, docs: DataFrame, weights: tuple = WEIGHTS, mos
     blocks = blocks.withColumn("before", F.col("until") - F.col("words"))
     blocks = stored(spark, blocks, "mix-blocks")
 
-    # The document boundary nearest to the target, inside the block where the target falls.
+    # Inside the block where the target falls: documents in hash order, each that still fits.
     edge = blocks.where("before <= rest and rest < until").select("sid", "block", (F.col("rest") - F.col("before")).alias("need"))
     inside = (placed.select("sid", "block", "key", "size").join(edge, ["sid", "block"])
-              .groupBy("sid", "block", "need", "key").agg(F.sum("size").alias("size"))
-              .withColumn("got", F.sum("size").over(Window.partitionBy("sid", "block").orderBy("key"))))
-    upto = inside.groupBy("sid", "block").agg(
-        F.min_by(F.struct("key", "got"), F.abs(F.col("got") - F.col("need"))).alias("best"), F.first("need").alias("need"))
-    upto = upto.where(F.abs(F.col("best.got") - F.col("need")) < F.col("need")).select(
-        "sid", "block", F.col("best.key").alias("upto"))
-
-    drawn = blocks.join(upto, ["sid", "block"], "left").withColumns({
-        "whole": (F.col("until") <= F.col("rest")).cast("long"), "partly": F.col("upto").isNotNull()})
+              .groupBy("sid", "block", "need", "key").agg(F.sum("size").alias("size")))
+    parts = stored(spark, inside.groupBy("sid", "block").applyInPandas(_fill, "sid long, block long, key long"), "mix-parts")
+
+    drawn = blocks.join(parts.select("sid", "block").distinct().withColumn("partly", F.lit(True)), ["sid", "block"], "left")
+    drawn = drawn.withColumns({"whole": (F.col("until") <= F.col("rest")).cast("long"), "partly": F.coalesce("partly", F.lit(False))})
     drawn = drawn.withColumn("n_draws", F.col("epochs") + F.col("whole") + F.col("partly").cast("long"))
-    drawn = stored(spark, drawn.select("sid", "block", "pos", "held", "epochs", "n_draws", "partly", "upto"), "mix-drawn")
+    drawn = stored(spark, drawn.select("sid", "block", "pos", "held", "epochs", "n_draws", "partly"), "mix-drawn")
 
     # The tree: exact quotas of draws, from all shards down to each one.
     words = sources.agg(F.sum("source_size")).first()[0] or 0
@@ -151,29 +164,29 @@ def mix_plan(spark: SparkSession, docs: DataFrame, weights: tuple = WEIGHTS, mos
     draws = draws.withColumn("draw", F.col("epoch") * F.col("held") + F.col("pos"))
     # The last pass draws its blocks in permuted order, but a block whose part is empty leaves a gap: close it.
     draws = draws.withColumn("draw", F.row_number().over(Window.partitionBy("sid").orderBy("draw")).cast("long") - 1)
-    draws = draws.join(owned, ["sid", "draw"]).withColumn(
-        "upto", F.when(F.col("epoch") == F.col("n_draws") - 1, F.col("upto")))
-    return placed, stored(spark, draws.select("sid", "block", "shard", "epoch", "upto"), "mix-draws")
+    draws = draws.join(owned, ["sid", "draw"]).select(
+        "sid", "block", "shard", "epoch", (F.col("partly") & (F.col("epoch") == F.col("n_draws") - 1)).alias("partial"))
+    return placed, stored(spark, draws, "mix-draws"), parts
 
 
 def mix_report(spark: SparkSession, docs: DataFrame, **params) -> DataFrame:
     """One row per input row: doc_id, size, source_size, target, taken (words, repeats counted)."""
-    placed, draws = mix_plan(spark, docs, **params)
-    by_block = draws.groupBy("sid", "block").agg(F.count(F.when(F.col("upto").isNull(), 1)).alias("times"),
-                                                 F.max("upto").alias("upto"))
-    extra = (F.col("upto").isNotNull() & (F.col("key") <= F.col("upto"))).cast("long")
-    return (placed.join(by_block, ["sid", "block"], "left")
-            .select("doc_id", "size", "source_size", "target",
-                    (F.col("size") * (F.coalesce("times", F.lit(0)) + extra)).alias("taken")))
+    placed, draws, parts = mix_plan(spark, docs, **params)
+    times = draws.where("not partial").groupBy("sid", "block").agg(F.count("*").alias("times"))
+    out = (placed.join(times, ["sid", "block"], "left")
+           .join(parts.withColumn("once", F.lit(1)), ["sid", "block", "key"], "left"))
+    taken = F.col("size") * (F.coalesce("times", F.lit(0)) + F.coalesce("once", F.lit(0)))
+    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, seed: int = SEED, **params) -> DataFrame:
     """The mix itself: every drawn row with all columns of ``docs``, repeats included, plus shard and order_key."""
-    placed, draws = mix_plan(spark, docs, seed=seed, **params)
+    placed, draws, parts = mix_plan(spark, docs, seed=seed, **params)
     sources = placed.select("no_source", "source_key", "sid", "n_blocks").distinct()
     rows = _with_source(docs.select("source", _key(seed).alias("key"), F.struct(*(docs[c] for c in docs.columns)).alias("row")))
     rows = rows.join(sources, ["no_source", "source_key"]).withColumn("block", F.pmod(F.xxhash64("key"), "n_blocks"))
-    taken = rows.join(draws, ["sid", "block"]).where("upto is null or key <= upto")
+    taken = (rows.join(draws, ["sid", "block"])
+             .join(parts.withColumn("once", F.lit(True)), ["sid", "block", "key"], "left").where("not partial or once"))
     return taken.select("row.*", F.col("shard").alias("__shard"),
                         F.xxhash64(F.lit(seed), "shard", "key", "epoch").alias("__order"))
 
