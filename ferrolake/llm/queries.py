@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, secrets
 from .common import table
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(spark, table(spark, sf_dir, "documents")).drop("row_id")
 
@@ -16,9 +20,34 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_exact_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op7_secrets, op9_exact_dedup, op10_mixing)}
+
+def _secret_sql() -> str:
+    """Leftmost non-overlapping matches: the gaps between them and their lengths give the positions."""
+    found = []
+    for i, r in enumerate((*secrets.BASE, *secrets.MORE)):
+        rx = r.regex.replace("'", "''")
+        found.append(f"""
+            SELECT doc_id, {i} AS k, '{r.kind}' AS kind, g, h, v, i,
+                   list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0) AS s
+            FROM (SELECT doc_id, g, h, v, unnest(generate_series(1, len(h))) AS i FROM (
+                SELECT doc_id, string_split_regex(t, '{rx}') AS g, regexp_extract_all(t, '{rx}', 0) AS h,
+                       regexp_extract_all(t, '{rx}', {r.group}) AS v FROM n))
+            WHERE length(v[i]) >= {r.least}""")
+    return f"""
+        WITH n AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        f AS (SELECT doc_id, k, kind, s, kind || ':' || s::BIGINT || ':' || (s + length(h[i]))::BIGINT AS span
+              FROM ({" UNION ALL ".join(found)})),
+        a AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+                     count(*) FILTER (k = 2) AS n_hex, string_agg(span, ',' ORDER BY s, k) FILTER (k < 3) AS base,
+                     string_agg(span, ',' ORDER BY s, k) AS spans FROM f GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+               coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM n LEFT JOIN a USING (doc_id)"""
+
 
 ORACLE = {
+    "op7_secrets": _secret_sql(),
     "op9_exact_dedup": """
         WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                             'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
