@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrolake.llm import exact_dedup, mixing
+from ferrolake.llm import exact_dedup, mixing, quality
 from ferrolake.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject; it learns from the labelled ones among its input."""
+    return quality.keep_good(docs, docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, docs)
 
@@ -22,6 +27,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
     ("exact_dedup", exact_dedup_stage),
     ("mixing", mixing_stage),
 ]
