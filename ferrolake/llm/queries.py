@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, quality, secrets
+from . import exact_dedup, imatch, mixing, quality, secrets
 from .common import table
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.imatch_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,7 +28,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_quality, op7_secrets, op9_exact_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op6_quality, op7_secrets, op9_exact_dedup, op10_mixing)}
 
 def _secret_sql() -> str:
     """Leftmost non-overlapping matches: the gaps between them and their lengths give the positions."""
