@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrolake.llm import exact_dedup, mixing, quality
+from ferrolake.llm import exact_dedup, mixing, near_dedup, quality, sentencepieces
 from ferrolake.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,15 +21,27 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.exact_dedup(spark, docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return near_dedup.near_dedup(spark, docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row that the mix takes, as often as it takes it."""
     return mixing.mixed(spark, docs).drop("__shard", "__order")
 
 
+def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every row: doc_id, n_pieces, pieces, round_trip."""
+    return sentencepieces.encode(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality_stage),
     ("exact_dedup", exact_dedup_stage),
+    ("near_dedup", near_dedup_stage),
     ("mixing", mixing_stage),
+    ("sentencepiece", sentencepiece_stage),
 ]
 
 #: Sampling, trained models and tokenizers can't be expressed in SQL; tests compare with brute force.
