@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, imatch, mixing, near_dedup, quality, secrets, sentencepieces
+from . import exact_dedup, imatch, mixing, near_dedup, pii, quality, secrets, sentencepieces
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,7 +40,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op3_near_dedup, op4_sentencepiece, op6_quality, op7_secrets, op9_exact_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op9_exact_dedup, op10_mixing)}
 
 def _secret_sql() -> str:
     """Leftmost non-overlapping matches: the gaps between them and their lengths give the positions."""
