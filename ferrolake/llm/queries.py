@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, imatch, mixing, near_dedup, pii, quality, secrets, sentencepieces
+from . import exact_dedup, imatch, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.imatch_report(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeat_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(spark, table(spark, sf_dir, "documents")).drop("id", "hash")
 
@@ -40,7 +44,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op9_exact_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_substring_dedup, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op9_exact_dedup, op10_mixing)}
 
 def _secret_sql() -> str:
     """Leftmost non-overlapping matches: the gaps between them and their lengths give the positions."""
