@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, imatch, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup
+from . import exact_dedup, imatch, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, tool_calls
 from .common import table
 
 
@@ -36,6 +36,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.from_chat(table(spark, sf_dir, "conversations"))
+    return tool_calls.linked(spark, calls, results, tool_calls.CHAT_TOOLS)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(spark, table(spark, sf_dir, "documents")).drop("row_id")
 
@@ -44,7 +49,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op2_substring_dedup, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op9_exact_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_substring_dedup, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op8_tool_calls, op9_exact_dedup, op10_mixing)}
 
 def _secret_sql() -> str:
     """Leftmost non-overlapping matches: the gaps between them and their lengths give the positions."""
