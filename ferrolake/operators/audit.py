@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,9 +13,19 @@ def audit_row(df: DataFrame, model_name: str, environment: str, run_at) -> DataF
         F.lit(run_at).cast("timestamp").alias("run_at"), "row_count")
 
 
+def write_run(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Write a report's rows under their run's keys, replacing those of an earlier attempt at the same run."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+
+
 def audit_append(df: DataFrame, path: str, model_name: str, environment: str, run_at) -> None:
-    """Append the audit row to the log (a Parquet directory shared by all runs)."""
-    audit_row(df, model_name, environment, run_at).coalesce(1).write.mode("append").parquet(path)
+    """Add the audit row to the log (a Parquet directory shared by all runs); a rerun replaces its own row."""
+    row = audit_row(df, model_name, environment, run_at).coalesce(1)
+    write_run(row, path, ["run_at", "environment", "model_name"])
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("model_name string, environment string, run_at timestamp, row_count long").parquet(path)
 
 
 def audit_compare(before: DataFrame, after: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:

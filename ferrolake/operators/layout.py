@@ -7,34 +7,53 @@ covers a narrow key range and min/max statistics let Parquet skip files.
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-Z_BITS = 8   # 256 buckets per column
+SAMPLE_VALUES = 4096   # distinct values from which a string column's cut points are taken
 
 
-def _bucket(df: DataFrame, col: str, bits: int = Z_BITS) -> Column:
-    """Order-preserving rank bucket for numbers and dates (approximate quantiles), hash bucket otherwise."""
+def _z_bits(df: DataFrame) -> int:
+    """Buckets per column follow the number of files a large write makes: about four cells for each."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(4, math.ceil(math.log2(max(2, n)) / 2) + 1)
+
+
+def _cuts(df: DataFrame, col: str, n: int) -> tuple[Column, list]:
+    """The column in comparable form and at most n - 1 cut points: only those reach the driver.
+
+    Numbers and dates: approximate quantiles of the rows. Strings: quantiles of a bounded sample of their
+    distinct values (those with the smallest hashes; a top-k, so combined before it is shuffled).
+    """
     dt = df.schema[col].dataType
-    n = 1 << bits
-    if isinstance(dt, (T.NumericType, T.DateType, T.TimestampType)):
-        num = F.col(col).cast("double") if isinstance(dt, T.NumericType) else F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-        probe = df.select(num.alias("__v"))
-        # Distributed sketch; only the n-1 cut points come back to the driver.
-        cuts = sorted(set(probe.approxQuantile("__v", [i / n for i in range(1, n)], 0.01)))
-        if not cuts:
-            return F.lit(0)
-        b = F.lit(0)
-        for c in cuts:
-            b = b + F.when(num >= F.lit(c), 1).otherwise(0)
-        return F.coalesce(b, F.lit(0))
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(n))
-
-
-def z_value(a: Column, b: Column, bits: int = Z_BITS) -> Column:
+    if isinstance(dt, T.StringType):
+        some = (df.select(F.col(col).alias("v")).where(F.col("v").isNotNull()).distinct()
+                .orderBy(F.xxhash64("v"), "v").limit(SAMPLE_VALUES).collect())
+        values = sorted((r.v for r in some), key=lambda v: v.encode())
+        return F.col(col), sorted({values[len(values) * i // n] for i in range(1, n)}, key=lambda v: v.encode()) if values else []
+    num = F.col(col).cast("double") if isinstance(dt, T.NumericType) else F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return num, sorted(set(df.select(num.alias("v")).approxQuantile("v", [i / n for i in range(1, n)], 0.01)))
+
+
+def _bucket(df: DataFrame, col: str, bits: int) -> Column:
+    """Order-preserving bucket number: how many cut points are not above the value (found by halving)."""
+    value, cuts = _cuts(df, col, 1 << bits)
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value >= F.lit(cuts[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return F.when(value.isNull(), F.lit(0)).otherwise(search(0, len(cuts)))
+
+
+def z_value(a: Column, b: Column, bits: int) -> Column:
     """Interleave the bits of two bucket numbers: a on even, b on odd positions."""
     z = F.lit(0).cast("long")
     for i in range(bits):
@@ -43,8 +62,9 @@ def z_value(a: Column, b: Column, bits: int = Z_BITS) -> Column:
     return z
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    return int(n or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _ranged(df: DataFrame, n: int | None, *keys: str) -> DataFrame:
+    """Range partitions. Without ``n`` adaptive execution merges small ones, so files follow the bytes written."""
+    return df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -57,24 +77,23 @@ def layout_by(df: DataFrame, cols: Sequence[str], num_partitions: int | None = N
               within: Sequence[str] = ()) -> DataFrame:
     """Cluster rows on one or two columns before a write (``within`` = leading partition columns)."""
     cols = list(cols)
-    n = _num_partitions(df, num_partitions)
+    n = num_partitions
     if len(cols) == 1:
         keys = [*within, cols[0]]
-        return (df.withColumn("__h", _row_hash(df)).repartitionByRange(n, *keys, "__h")
-                .sortWithinPartitions(*keys).drop("__h"))
+        return _ranged(df.withColumn("__h", _row_hash(df)), n, *keys, "__h").sortWithinPartitions(*keys).drop("__h")
     if len(cols) != 2:
         raise ValueError("layout_by clusters on one or two columns")
-    zed = df.withColumn("__z", z_value(_bucket(df, cols[0]), _bucket(df, cols[1]))).withColumn("__h", _row_hash(df))
+    bits = _z_bits(df)
+    zed = df.withColumn("__z", z_value(_bucket(df, cols[0], bits), _bucket(df, cols[1], bits), bits)).withColumn("__h", _row_hash(df))
     keys = [*within, "__z"]
-    return zed.repartitionByRange(n, *keys, "__h").sortWithinPartitions(*keys, *cols).drop("__z", "__h")
+    return _ranged(zed, n, *keys, "__h").sortWithinPartitions(*keys, *cols).drop("__z", "__h")
 
 
 def spread_by(df: DataFrame, partition_col: str, num_partitions: int | None = None) -> DataFrame:
     """Group rows by a partition column for a ``partitionBy`` write without letting one hot value
     land in one task: range on (value, row hash) keeps each task on few directories and splits a
     large directory over several tasks/files."""
-    n = _num_partitions(df, num_partitions)
-    return df.withColumn("__h", _row_hash(df)).repartitionByRange(n, partition_col, "__h").drop("__h")
+    return _ranged(df.withColumn("__h", _row_hash(df)), num_partitions, partition_col, "__h").drop("__h")
 
 
 def partitioned_write(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite",
@@ -101,6 +120,18 @@ def analyze_stats(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Statistics")
 
 
+def analyzed_columns(spark: SparkSession, name: str) -> DataFrame:
+    """What ``ANALYZE`` stored in the catalog, one row per column: rows, NULLs, longest string."""
+    text = analyze_stats(spark, name).first()["data_type"]
+    rows = int(re.search(r"(\d+) rows", text)[1])
+    out = []
+    for f in spark.table(name).schema.fields:
+        info = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {name} `{f.name}`").collect()}
+        longest = int(info["max_col_len"]) if isinstance(f.dataType, T.StringType) and info["max_col_len"] != "NULL" else None
+        out.append((f.name, rows, int(info["num_nulls"]), longest))
+    return spark.createDataFrame(out, "column_name string, row_count long, null_count long, max_length long")
+
+
 def column_stats(df: DataFrame) -> DataFrame:
     """Exact per-column row count, NULL count and (strings) maximum length in ONE pass, as rows.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 FEATURE_TOPIC = "feature-store.customer-features"   # fixed value of the reference
@@ -29,12 +29,16 @@ def to_records(changed: DataFrame, key: str, topic: str = FEATURE_TOPIC) -> Data
                           F.lit(topic).alias("topic"))
 
 
-def publish(records: DataFrame, sink: str = "kafka", path: str | None = None, options: dict | None = None) -> None:
-    """Write records to Kafka (``kafka.bootstrap.servers`` in ``options``) or, without a broker, to Parquet."""
+def publish(records: DataFrame, sink: str = "kafka", path: str | None = None, options: dict | None = None) -> int:
+    """Write records to Kafka (``kafka.bootstrap.servers`` in ``options``) or, without a broker, to Parquet
+    (a folder of this run's own, so a rerun replaces it). Returns how many there were, counted on the way."""
+    seen = Observation("published")
+    records = records.observe(seen, F.count(F.lit(1)).alias("n"))
     if sink == "kafka":
         w = records.write.format("kafka")
         for k, v in (options or {}).items():
             w = w.option(k, v)
         w.save()
     else:
-        records.write.mode("append").parquet(path)
+        records.write.mode("overwrite").parquet(path)
+    return int(seen.get["n"])

@@ -4,14 +4,17 @@
 delete clause. NULL source keys never match, so they are dropped (``not_null`` reports them).
 It is idempotent: merging the same source twice gives the same table.
 
-Two ways to store the result, both safe to rerun after a lost executor or driver:
+Two ways to store the result. Both change nothing for readers until a marker is written last, so
+they are safe to rerun after a lost executor or driver:
 
 * ``VersionedTable``: each write goes to a new version directory; readers take the newest version
   that holds a ``_SUCCESS`` marker. Overwriting a path that is being read is never needed.
-* ``upsert_partitions``: for a table partitioned by a column (the fact by ``order_date``), only the
-  partitions holding a matched old row or a new row are rewritten (staged first, then written with
-  dynamic partition overwrite), and partitions left empty are deleted. An order whose date changes
-  therefore leaves its old partition, and untouched partitions are never read or rewritten.
+* ``PartitionedTable``: a table partitioned by a column (the fact by ``order_date``). Rewritten
+  partitions go to a new version folder; a small manifest that says which version holds which
+  partition is written last and commits the change. Readers follow the newest committed manifest, so
+  an interrupted write leaves the table as it was and is simply run again. ``upsert`` rewrites only
+  the partitions holding a matched old row or a new row; an order whose date changes leaves its old
+  partition, and untouched partitions are never read or rewritten.
 """
 
 from __future__ import annotations
@@ -20,9 +23,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .layout import spread_by
+from .layout import partitioned_write
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -96,13 +100,17 @@ class VersionedTable:
         w.parquet(out)
         return out
 
-    def vacuum(self, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` committed versions (and unfinished older attempts)."""
+    def version(self, name: str | None) -> DataFrame | None:
+        """One committed version by name; None if there is no such version."""
+        return self.spark.read.parquet(f"{self.path}/{name}") if name in self.versions() else None
+
+    def vacuum(self, keep: int = 2, pinned: str | None = None) -> list[str]:
+        """Delete all but the newest ``keep`` committed versions and ``pinned`` (and unfinished older attempts)."""
         committed = self.versions()
         if len(committed) <= keep:
             return []
         cutoff = committed[-keep]
-        gone = [n for n in list_dirs(self.spark, self.path) if n.startswith("v") and n < cutoff]
+        gone = [n for n in list_dirs(self.spark, self.path) if n.startswith("v") and n < cutoff and n != pinned]
         for n in gone:
             delete(self.spark, f"{self.path}/{n}")
         return gone
@@ -114,55 +122,120 @@ class VersionedTable:
         return self.write(new, partition_by)
 
 
-# ---------------------------------------------------------------- partition-scoped upsert
+# ---------------------------------------------------------------- partitioned table
+
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str, partition_col: str,
-                      target: DataFrame | None = None) -> list[str]:
-    """Rewrite only the partitions touched by ``source`` (matched old rows and new rows).
 
-    ``path`` is a Parquet table written with ``partitionBy(partition_col)``; when it does not exist
-    yet the source is written in full. Returns the touched partition directory names.
+class PartitionedTable:
+    """Parquet partitions below ``data/version=N/<column>=<value>`` and manifests of what is current.
 
-    1. Touched partition values: the partition of every target row whose key is in the source
-       (a key-only scan: Parquet reads just the key column, the partition value is in the path)
-       plus the source's own values. Their number is bounded by the table's partition count
-       (dates), so they are collected as metadata, not data.
-    2. Old rows are read from the touched partitions only (a literal IN on the partition column
-       prunes directories), merged with the source, staged, and written back with dynamic
-       partition overwrite; partitions that lost their last row are deleted.
+    A manifest is a list of (partition folder, version): one row per partition, so its size is bounded
+    by their number (days), not by the data. It is a Parquet folder whose ``_SUCCESS`` marker commits it.
     """
-    src = source.where(F.col(key).isNotNull())
-    if not exists(spark, path):
-        spread_by(src, partition_col).write.partitionBy(partition_col).parquet(path)
-        return []
-    target = target if target is not None else spark.read.parquet(path)
-    src = src.select(*target.columns)
-    touched_df = (target.select(key, partition_col).join(src.select(key), key, "left_semi").select(partition_col)
-                  .unionByName(src.select(partition_col)).distinct())
-    touched = [r[0] for r in touched_df.collect()]
-    if not touched:
-        return []
-    old_in_touched = target.where(F.col(partition_col).isin([v for v in touched if v is not None]) |
-                                  (F.col(partition_col).isNull() if None in touched else F.lit(False)))
-    new_parts = merge(old_in_touched, src, key)
-    # Stage first: a path cannot be overwritten by a plan that still reads it.
-    stage = scratch_path(spark, "upsert-stage")
-    spread_by(new_parts, partition_col).write.partitionBy(partition_col).parquet(stage)
-    prev_mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (spark.read.parquet(stage).select(*target.columns)
-         .write.mode("overwrite").partitionBy(partition_col).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev_mode)
-    written = set(list_dirs(spark, stage))
-    touched_dirs = [_partition_dir(partition_col, None if v is None else str(v)) for v in touched]
-    for name in touched_dirs:
-        if name not in written and exists(spark, f"{path}/{name}"):
-            delete(spark, f"{path}/{name}")   # its last row moved to another partition
-    delete(spark, stage)
-    return touched_dirs
-
-
-def _partition_dir(col: str, value: str | None) -> str:
-    return f"{col}={value if value is not None else '__HIVE_DEFAULT_PARTITION__'}"
+
+    def __init__(self, spark: SparkSession, path: str, partition_col: str, cluster: Sequence[str] = ()):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.partition_col, self.cluster = partition_col, list(cluster)
+
+    def manifests(self) -> list[str]:
+        names = list_dirs(self.spark, f"{self.path}/manifests")
+        return [n for n in names if exists(self.spark, f"{self.path}/manifests/{n}/_SUCCESS")]
+
+    def _manifest(self, name: str) -> dict[str, int]:
+        rows = self.spark.read.schema("partition string, version long").parquet(f"{self.path}/manifests/{name}").collect()
+        return {r["partition"]: r["version"] for r in rows}
+
+    def current(self) -> dict[str, int] | None:
+        """Partition folder -> version as last committed; None for a table never written."""
+        names = self.manifests()
+        return self._manifest(names[-1]) if names else None
+
+    def exists(self) -> bool:
+        return bool(self.manifests())
+
+    def partitions(self) -> list[str]:
+        """Committed partition values (the default partition left out)."""
+        names = [d.split("=", 1)[1] for d in (self.current() or {})]
+        return sorted(n for n in names if n != _NULL_PARTITION)
+
+    def read(self, only: Sequence[str] | None = None) -> DataFrame | None:
+        """The committed rows (of the given partition folders only)."""
+        now = self.current()
+        if now is None:
+            return None
+        schema = self.spark.read.parquet(f"{self.path}/schema").schema
+        paths = [f"{self.path}/data/version={v}/{d}" for d, v in sorted(now.items()) if only is None or d in only]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        full = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
+        return self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*paths).select(*schema.names)
+
+    def _next(self) -> int:
+        used = [int(n.split("=")[1]) for n in list_dirs(self.spark, f"{self.path}/data") if n.startswith("version=")]
+        return max(used, default=0) + 1
+
+    def write(self, df: DataFrame, replaces: Sequence[str] | None = None) -> None:
+        """Store ``df`` as a new version. It takes the place of the partition folders in ``replaces``, or of the
+        whole table if that is None; until the manifest is committed nothing changes for readers."""
+        now = {} if replaces is None else self.current() or {}
+        version = self._next()
+        if not exists(self.spark, f"{self.path}/schema/_SUCCESS"):
+            df.limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")
+        partitioned_write(df, f"{self.path}/data/version={version}", self.partition_col, cluster=self.cluster)
+        kept = {d: v for d, v in now.items() if d not in set(replaces or ())}
+        new = {d: version for d in list_dirs(self.spark, f"{self.path}/data/version={version}") if "=" in d}
+        rows = sorted({**kept, **new}.items())
+        (self.spark.createDataFrame(rows, "partition string, version long").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/manifests/m{version:08d}"))
+
+    def upsert(self, source: DataFrame, key: str) -> list[str]:
+        """Merge ``source`` by ``key``; returns the rewritten partition folders.
+
+        1. The source is stored once; all later steps read that copy.
+        2. Touched partitions: those of target rows whose key is in the source (a key-only scan that grows
+           with the table, as any merge's does) and the source's own. They are collected: metadata, bounded by
+           the number of partitions.
+        3. Old rows of those partitions only are merged with the source and written, clustered, as a new version.
+        """
+        stage = scratch_path(self.spark, "upsert-stage")
+        source.where(F.col(key).isNotNull()).write.parquet(stage)
+        src = self.spark.read.parquet(stage)
+        target = self.read()
+        if target is None:
+            self.write(src)
+        else:
+            src = src.select(*target.columns)
+            col = self.partition_col
+            moved = target.select(key, col).join(src.select(key), key, "left_semi").select(col)
+            touched = [_partition_dir(col, r[0]) for r in moved.unionByName(src.select(col)).distinct().collect()]
+            if touched:
+                self.write(merge(self.read(touched), src, key), replaces=touched)
+            delete(self.spark, stage)
+            return touched
+        delete(self.spark, stage)
+        return sorted(self.current())
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete manifests but the newest ``keep``, and versions and partitions that none of those names."""
+        names = self.manifests()[-keep:]
+        used = {(v, d) for n in names for d, v in self._manifest(n).items()}
+        for n in list_dirs(self.spark, f"{self.path}/manifests"):
+            if names and n < names[0]:
+                delete(self.spark, f"{self.path}/manifests/{n}")
+        last = int(names[-1][1:]) if names else 0
+        for folder in list_dirs(self.spark, f"{self.path}/data"):
+            version = int(folder.split("=")[1])
+            if version > last:
+                continue  # a write that may be under way
+            live = {d for v, d in used if v == version}
+            if not live:
+                delete(self.spark, f"{self.path}/data/{folder}")
+                continue
+            for d in list_dirs(self.spark, f"{self.path}/data/{folder}"):
+                if "=" in d and d not in live:
+                    delete(self.spark, f"{self.path}/data/{folder}/{d}")
+
+
+def _partition_dir(col: str, value: object) -> str:
+    return f"{col}={value if value is not None else _NULL_PARTITION}"

@@ -13,6 +13,11 @@ from ..session import configure
 from ..sources import derived
 from . import pipeline
 
+#: The clock of the freshness query: not before the newest row of any feed.
+FRESH_AS_OF = "2001-11-04 05:00:00"
+#: The first of the two customer snapshots sees what was loaded by then.
+SNAPSHOT_PREV = "1995-01-01 00:00:00"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -34,19 +39,31 @@ def _models(spark, sf_dir):
 
 # ---------------------------------------------------------------- sources
 
+def _landed(spark, sf_dir, name):
+    """One derived feed stored as its files and loaded with the Bronze reader (payments by event date)."""
+    from ..sources.bronze import read_raw, write_raw_transactions
+    path = _scratch(spark, name)
+    feed = getattr(derived, name)(spark, sf_dir)
+    if name == "raw_transactions":
+        write_raw_transactions(feed, path)
+    else:
+        feed.write.parquet(path)
+    return read_raw(spark, name, path)
+
+
 @query("src_raw_orders")
 def _src_raw_orders(spark, sf_dir):
-    return derived.raw_orders(spark, sf_dir)
+    return _landed(spark, sf_dir, "raw_orders")
 
 
 @query("src_raw_customers")
 def _src_raw_customers(spark, sf_dir):
-    return derived.raw_customers(spark, sf_dir)
+    return _landed(spark, sf_dir, "raw_customers")
 
 
 @query("src_raw_transactions")
 def _src_raw_transactions(spark, sf_dir):
-    return derived.raw_transactions(spark, sf_dir)
+    return _landed(spark, sf_dir, "raw_transactions")
 
 
 # ---------------------------------------------------------------- models
@@ -78,7 +95,7 @@ def _dq_report(spark, sf_dir):
     return dq_report(_models(spark, sf_dir))
 
 
-for _test in ["not_null", "unique", "accepted_values", "between", "matches_regex", "length_between", "of_type",
+for _test in ["not_null", "unique", "accepted_values", "between", "matches_regex", "length_between",
               "relationships"]:
     def _make_dq(t):
         def fn(spark, sf_dir):
@@ -91,8 +108,7 @@ for _test in ["not_null", "unique", "accepted_values", "between", "matches_regex
 @query("freshness_report")
 def _freshness(spark, sf_dir):
     from .reports import freshness_report
-    # Bronze as it stood at as_of: later-ingested rows were not there to be measured.
-    return freshness_report(derived.bronze(spark, sf_dir, cutoff=pipeline.AS_OF), pipeline.AS_OF)
+    return freshness_report(derived.bronze(spark, sf_dir), FRESH_AS_OF)
 
 
 # ---------------------------------------------------------------- projections (§2.3)
@@ -455,21 +471,28 @@ def _layout_by(spark, sf_dir):
 
 @query("analyze_stats")
 def _analyze_stats(spark, sf_dir):
-    """Exact per-column statistics of the stored fact (row, NULL counts, longest string)."""
-    from ..operators.layout import column_stats
-    path = _scratch(spark, "fct_stats")
+    """The stored fact's statistics as ANALYZE put them into the catalog (row, NULL counts, longest string)."""
+    import uuid
+
+    from ..operators.layout import analyzed_columns, register_table
+    path, name = _scratch(spark, "fct_stats"), f"fct_orders_{uuid.uuid4().hex[:8]}"
     _models(spark, sf_dir)["fct_orders"].write.mode("overwrite").parquet(path)
-    return column_stats(spark.read.parquet(path))
+    register_table(spark, name, path)
+    try:
+        return analyzed_columns(spark, name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 @query("audit_append")
 def _audit_append(spark, sf_dir):
-    from ..operators.audit import audit_append
+    """Row counts of three models; the log is written twice, as by a rerun, and holds each run once."""
+    from ..operators.audit import audit_append, read_audit
     m = _models(spark, sf_dir)
     path = _scratch(spark, "audit_log")
-    for name in ["dim_customers", "fct_orders", "mart_customer_lifetime"]:
+    for name in ["dim_customers", "fct_orders", "mart_customer_lifetime", "dim_customers"]:
         audit_append(m[name], path, name, "prod", pipeline.AS_OF)
-    return spark.read.parquet(path)
+    return read_audit(spark, path)
 
 
 def _two_marts(spark, sf_dir):
@@ -496,12 +519,16 @@ def _feature_publish(spark, sf_dir):
 
 @query("feature_publish_records")
 def _feature_publish_records(spark, sf_dir):
-    """The same changes as key / JSON value / topic records, written to the sink and read back."""
+    """The same changes as key / JSON value / topic records, written to the sink, read back and parsed."""
+    from pyspark.sql import functions as F
+
     from ..operators.publish import changed_rows, publish, to_records
     before, after = _two_marts(spark, sf_dir)
+    changes = changed_rows(before, after, "customer_id")
     path = _scratch(spark, "feature_records")
-    publish(to_records(changed_rows(before, after, "customer_id"), "customer_id"), sink="parquet", path=path)
-    return spark.read.parquet(path)
+    publish(to_records(changes, "customer_id"), sink="parquet", path=path)
+    sent = spark.read.parquet(path)
+    return sent.select("key", "topic", F.from_json("value", changes.schema).alias("v")).select("key", "topic", "v.*")
 
 
 def _customer_versions(spark, sf_dir):
@@ -519,7 +546,20 @@ def _customer_versions(spark, sf_dir):
 
 @query("snapshot_scd2")
 def _snapshot_scd2(spark, sf_dir):
-    """Type-2 customer history over all CRM snapshots in updated_at order."""
+    """Type-2 customer history: the CRM state of the previous run, stored, then closed and extended by the state now."""
+    from ..operators.history import snapshot_scd2
+    from ..operators.upsert import VersionedTable
+    from ..sources.bronze import ingested_until
+    versions = _customer_versions(spark, sf_dir)
+    history = VersionedTable(spark, _scratch(spark, "customer_history"))
+    for cutoff in (SNAPSHOT_PREV, None):
+        history.write(snapshot_scd2(history.read(), ingested_until(versions, cutoff), "customer_id"))
+    return history.read().drop("_ingestion_timestamp")
+
+
+@query("history_from_versions")
+def _history_from_versions(spark, sf_dir):
+    """Type-2 customer history over all CRM snapshots in updated_at order, in one pass."""
     from ..operators.history import history_from_versions
     return history_from_versions(_customer_versions(spark, sf_dir), "customer_id").drop("_ingestion_timestamp")
 
@@ -567,7 +607,8 @@ def _late_data_lookback(spark, sf_dir):
     from ..streaming.late_data import fact_upsert_handler
     from ..sources.bronze import RAW_ORDERS_SCHEMA
     landing, bronze_dir = _scratch(spark, "landing_late"), _scratch(spark, "bronze_late")
-    fact_dir, ckpt = _scratch(spark, "fct_late"), _scratch(spark, "ckpt_late")
+    from ..operators.upsert import PartitionedTable
+    fact, ckpt = PartitionedTable(spark, _scratch(spark, "fct_late"), "order_date"), _scratch(spark, "ckpt_late")
     orders = derived.raw_orders(spark, sf_dir)
     prev_ts = F.lit(pipeline.PREV).cast("timestamp")
     runs = [(pipeline.PREV, orders.where(F.col("_ingestion_timestamp") <= prev_ts), pipeline.PREV),
@@ -578,9 +619,9 @@ def _late_data_lookback(spark, sf_dir):
         def others(c=cutoff):
             return {"raw_customers": derived.raw_customers(spark, sf_dir, c),
                     "raw_transactions": derived.raw_transactions(spark, sf_dir, c)}
-        handler = fact_upsert_handler(spark, bronze_dir, fact_dir, others, lambda a=as_of: a)
+        handler = fact_upsert_handler(spark, bronze_dir, fact, others, lambda a=as_of: a)
         ingest_with(spark, landing, RAW_ORDERS_SCHEMA, ckpt, handler)
-    return spark.read.parquet(fact_dir)
+    return fact.read()
 
 
 # ---------------------------------------------------------------- lineage and classification (§2.11)

@@ -1,7 +1,10 @@
-"""The daily run as one plain function: freshness -> Silver -> dimension -> fact -> mart ->
-quality -> audit -> feature publish. A freshness ``error`` stops the run before any model is built.
-Outputs go below ``root`` (a folder on shared storage); reruns after a failure are safe: layers
-are versioned or upserted idempotently.
+"""The daily run as one plain function: freshness -> Silver -> dimension -> customer history -> fact
+-> mart -> statistics -> quality -> audit -> feature publish. A freshness ``error`` stops the run
+before any model is built. Outputs go below ``root`` (a folder on shared storage).
+
+Reruns after a failure are safe: tables change only when their marker is committed, reports are
+written per run and a rerun replaces its own rows, and features are compared with the version that was
+published last, so a failed sink loses nothing.
 """
 
 from __future__ import annotations
@@ -9,13 +12,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.audit import audit_append
+from ..operators.audit import audit_append, write_run
+from ..operators.history import snapshot_scd2
 from ..operators.publish import changed_rows, publish, to_records
 from ..operators.upsert import VersionedTable
 from . import pipeline
 from .reports import dq_report, freshness_report
 
+VERSIONED = ("silver/stg_orders", "silver/stg_customers", "silver/stg_transactions", "gold/dim_customers",
+             "gold/customer_history")
+
 
 class StaleSourceError(RuntimeError):
     pass
@@ -27,32 +35,51 @@ class DailyResult:
     tables: dict[str, DataFrame]
     quality: DataFrame
     published: DataFrame
+    n_published: int
+
+
+def publish_changes(spark: SparkSession, mart_table: VersionedTable, root: str, sink: str = "parquet",
+                    options: dict | None = None) -> tuple[DataFrame, int]:
+    """Send the customers whose features differ from the version published last; then note the version.
+
+    The marker is written after the sink has succeeded: a failed run is repeated in full (at least once,
+    keyed records), and no change is lost.
+    """
+    marker = VersionedTable(spark, f"{root}/published/marker")
+    seen = marker.read()
+    last = seen.first()["version"] if seen is not None else None
+    current = mart_table.versions()[-1]
+    changes = changed_rows(mart_table.version(last), mart_table.read(), "customer_id")
+    records = to_records(changes, "customer_id")
+    n = publish(records, sink=sink, path=f"{root}/published/customer_features/{current}", options=options)
+    marker.write(spark.createDataFrame([(current,)], "version string"))
+    marker.vacuum()
+    mart_table.vacuum(pinned=current)
+    return records, n
 
 
 def run_daily(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str, environment: str = "prod",
               publish_sink: str = "parquet", publish_options: dict | None = None) -> DailyResult:
+    run_at = F.lit(as_of).cast("timestamp")
     fresh = freshness_report(bronze, as_of)
-    fresh.write.mode("append").parquet(f"{root}/reports/freshness")
+    write_run(fresh.withColumn("run_at", run_at), f"{root}/reports/freshness", ["run_at"])
     stale = [r.source for r in fresh.where("status = 'error'").select("source").collect()]
     if stale:   # at most one row per source
         raise StaleSourceError(f"sources past the error threshold: {stale}")
 
     mart_table = VersionedTable(spark, f"{root}/gold/mart_customer_lifetime")
-    previous_mart = mart_table.read()
-    run = pipeline.run_incremental(spark, bronze, as_of, root)
-    tables = run.tables
+    tables = dict(pipeline.run_incremental(spark, bronze, as_of, root).tables)
+    history = VersionedTable(spark, f"{root}/gold/customer_history")
+    history.write(snapshot_scd2(history.read(), tables["stg_customers"], "customer_id"))
+    tables["customer_history"] = history.read()
 
-    quality = dq_report(tables)
-    quality.write.mode("append").parquet(f"{root}/reports/dq_report")
+    write_run(dq_report(tables).withColumn("run_at", run_at), f"{root}/reports/dq_report", ["run_at"])
     for name in ("dim_customers", "fct_orders", "mart_customer_lifetime"):
         audit_append(tables[name], f"{root}/reports/audit_log", name, environment, as_of)
-
-    changes = changed_rows(previous_mart, tables["mart_customer_lifetime"], "customer_id")
-    records = to_records(changes, "customer_id")
-    publish(records, sink=publish_sink, path=f"{root}/published/customer_features", options=publish_options)
-    # Retention: the current and the previous version of each versioned table stay (the previous
-    # one is what the next run's change detection and a rollback need).
-    for name in ("silver/stg_orders", "silver/stg_customers", "silver/stg_transactions",
-                 "gold/dim_customers", "gold/mart_customer_lifetime"):
+    records, n = publish_changes(spark, mart_table, root, publish_sink, publish_options)
+    # Retention: the current and the previous version of each table stay.
+    for name in VERSIONED:
         VersionedTable(spark, f"{root}/{name}").vacuum(keep=2)
-    return DailyResult(fresh, tables, spark.read.parquet(f"{root}/reports/dq_report"), records)
+    pipeline.fact_table(spark, root).vacuum(keep=2)
+    quality = spark.read.parquet(f"{root}/reports/dq_report").where(F.col("run_at") == run_at)
+    return DailyResult(fresh, tables, quality, records, n)

@@ -52,11 +52,6 @@ def _zero_money(c):
     return F.coalesce(F.col(c), F.lit(0)).cast(MONEY_SUM)
 
 
-def max_value(df: DataFrame, column: str):
-    """One scalar from a table (a single-row aggregate, not data collection)."""
-    return df.agg(F.max(column).alias("m")).first()["m"]
-
-
 # ---------------------------------------------------------------- dimension
 
 def order_stats(stg_orders: DataFrame) -> DataFrame:
@@ -113,10 +108,10 @@ def lookback_bound(target: DataFrame | None, column: str, days: int = LOOKBACK_D
     """``max(target.column) - days``, or None when there is no target or it is empty (full mode)."""
     if target is None:
         return None
-    top = max_value(target, column)
+    top = target.agg(F.max(F.unix_micros(column)).alias("m")).first()["m"]   # a number: no driver time zone
     if top is None:
         return None
-    return F.lit(top).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
+    return F.timestamp_micros(F.lit(top)) - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
 def fct_orders(stg_orders: DataFrame, stg_transactions: DataFrame, dim: DataFrame, as_of,

@@ -1,8 +1,9 @@
-"""Lineage tables from run manifests: models, documented columns and model-to-model edges.
+"""Lineage tables from run manifests: models, documented columns and model-to-model edges, per run.
 
-Edge inputs are resolved by joining the dependency id to the model's fully qualified name, so
-every edge points at a real table; Bronze sources (ids not starting ``model.``) drop out.
-Entity ids are stable ``xxhash64`` values, not process-randomised hashes.
+Edge inputs are resolved within their run by joining the dependency id to the model's fully qualified
+name; a run may be spread over several manifests, and a model given twice in a run counts once. A
+model that no manifest of the run describes keeps its raw id, with ``resolved`` false. Bronze sources
+(ids not starting ``model.``) drop out. Entity ids are stable ``xxhash64`` values.
 """
 
 from __future__ import annotations
@@ -15,12 +16,12 @@ UNKNOWN_TYPE = "unknown"
 
 
 def lineage_models(manifests: DataFrame) -> DataFrame:
-    nodes = manifests.select(F.explode("nodes").alias("unique_id", "n"))
+    nodes = manifests.select("run_id", F.explode("nodes").alias("unique_id", "n"))
     db = F.coalesce(F.col("n.database"), F.lit(DEFAULT_DATABASE))
     schema = F.coalesce(F.col("n.schema"), F.lit(""))
     fqn = F.concat_ws(".", db, schema, F.col("n.name"))
     return (nodes.where(F.col("n.resource_type") == "model")
-            .select("unique_id", F.col("n.name").alias("name"), schema.alias("schema_name"),
+            .select("run_id", "unique_id", F.col("n.name").alias("name"), schema.alias("schema_name"),
                     db.alias("database_name"), fqn.alias("fqn"),
                     F.array_join(F.coalesce(F.col("n.tags"), F.array()), ",").alias("tags"),
                     F.coalesce(F.col("n.description"), F.lit("")).alias("description"),
@@ -30,21 +31,22 @@ def lineage_models(manifests: DataFrame) -> DataFrame:
 
 
 def lineage_columns(models: DataFrame) -> DataFrame:
-    cols = models.select("fqn", F.explode("_columns").alias("column_name", "c"))
-    return cols.select(F.concat(F.col("fqn"), F.lit("#"), F.col("column_name")).alias("qualified_name"),
+    cols = models.select("run_id", "fqn", F.explode("_columns").alias("column_name", "c"))
+    return cols.select("run_id", F.concat(F.col("fqn"), F.lit("#"), F.col("column_name")).alias("qualified_name"),
                        F.col("fqn").alias("table_fqn"), "column_name",
                        F.coalesce(F.col("c.description"), F.lit("")).alias("description"),
                        F.coalesce(F.col("c.data_type"), F.lit(UNKNOWN_TYPE)).alias("data_type"))
 
 
 def lineage_edges(models: DataFrame) -> DataFrame:
-    deps = (models.select(F.col("unique_id").alias("output_id"), F.col("fqn").alias("output_fqn"),
+    deps = (models.select("run_id", F.col("unique_id").alias("output_id"), F.col("fqn").alias("output_fqn"),
                           F.explode("_depends_on").alias("input_id"))
-            .where(F.col("input_id").startswith("model.")))
-    targets = models.select(F.col("unique_id").alias("input_id"), F.col("fqn").alias("input_fqn"))
-    return (deps.join(targets, "input_id")
-            .select(F.concat(F.lit("process://"), F.col("output_id")).alias("process_name"),
-                    "input_fqn", "output_fqn"))
+            .where(F.col("input_id").startswith("model.")).distinct())
+    known = (models.groupBy("run_id", F.col("unique_id").alias("input_id")).agg(F.min("fqn").alias("known_fqn")))
+    return (deps.join(known, ["run_id", "input_id"], "left")
+            .select("run_id", F.concat(F.lit("process://"), F.col("output_id")).alias("process_name"),
+                    F.coalesce("known_fqn", "input_id").alias("input_fqn"), "output_fqn",
+                    F.col("known_fqn").isNotNull().alias("resolved")))
 
 
 def public(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ run's Gold tables are real tables the incremental run merges into.
 
 Storage under ``root``: ``silver/<model>/v*`` and ``gold/dim_customers/v*``,
 ``gold/mart_customer_lifetime/v*`` (versioned full writes), ``gold/fct_orders`` (partitioned by
-``order_date``, upserted partition by partition).
+``order_date``, upserted partition by partition, each change committed by a manifest).
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.layout import layout_by, partitioned_write
-from ..operators.upsert import VersionedTable, exists, upsert_partitions
+from ..operators.layout import layout_by
+from ..operators.upsert import PartitionedTable, VersionedTable, merge
 from ..session import scratch_path
 from ..sources import derived
 from . import gold, silver
@@ -61,38 +61,30 @@ def _silver_and_dim(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
     return out
 
 
-def fact_lookback_bound(spark: SparkSession, fct_path: str, days: int = gold.LOOKBACK_DAYS,
-                        target: DataFrame | None = None):
-    """``max(order_timestamp) - days`` of the stored fact without scanning it.
+def fact_table(spark: SparkSession, root: str) -> PartitionedTable:
+    return PartitionedTable(spark, f"{root}/gold/fct_orders", "order_date", cluster=FACT_CLUSTER)
 
-    ``order_date`` is ``date(order_timestamp)``, so the maximum lies in the newest ``order_date``
-    partition: its name comes from a directory listing (bounded by the number of days), and a
-    literal partition filter limits the scan to that one directory. None for an empty fact.
+
+def fact_lookback_bound(fact: PartitionedTable, days: int = gold.LOOKBACK_DAYS):
+    """``max(order_timestamp) - days`` of the committed fact without scanning it.
+
+    ``order_date`` is ``date(order_timestamp)``, so the maximum lies in the newest committed
+    ``order_date`` partition: its name is in the manifest, and only that folder is read. None for an
+    empty fact.
     """
-    import datetime as dt
-
-    from ..operators.upsert import list_dirs
-    dates = []
-    for name in list_dirs(spark, fct_path):
-        if name.startswith("order_date=") and "__HIVE_DEFAULT_PARTITION__" not in name:
-            try:
-                dates.append(dt.date.fromisoformat(name.split("=", 1)[1]))
-            except ValueError:
-                continue
-    if not dates:
+    days_there = fact.partitions()
+    if not days_there:
         return None
-    table = target if target is not None else spark.read.parquet(fct_path)   # reuse its file listing
-    newest = table.where(F.col("order_date") == F.lit(max(dates)))
-    return gold.lookback_bound(newest, "order_timestamp", days)
+    return gold.lookback_bound(fact.read([f"order_date={days_there[-1]}"]), "order_timestamp", days)
 
 
 def run_full(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> dict[str, DataFrame]:
     """Full rebuild of every layer (also the cure for everything the look-back misses)."""
     out = _silver_and_dim(spark, bronze, as_of, root)
     fct = gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of)
-    fct_path = f"{root}/gold/fct_orders"
-    partitioned_write(fct, fct_path, "order_date", cluster=FACT_CLUSTER)
-    out["fct_orders"] = spark.read.parquet(fct_path)
+    fact = fact_table(spark, root)
+    fact.write(fct)
+    out["fct_orders"] = fact.read()
     mart = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of)
     out["mart_customer_lifetime"] = _store(spark, mart, f"{root}/gold/mart_customer_lifetime", cluster=MART_CLUSTER)
     return out
@@ -107,28 +99,31 @@ class IncrementalRun:
 
 def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> IncrementalRun:
     """Incremental run into the tables of an earlier run under ``root`` (full mode if none)."""
-    fct_path = f"{root}/gold/fct_orders"
+    fact = fact_table(spark, root)
     mart_table = VersionedTable(spark, f"{root}/gold/mart_customer_lifetime")
-    if not exists(spark, fct_path) or mart_table.read() is None:
+    if not fact.exists() or mart_table.read() is None:
         out = run_full(spark, bronze, as_of, root)
         return IncrementalRun(out, out["fct_orders"], out["mart_customer_lifetime"])
     # Silver orders and customers feed the full dimension, so they are stored; Silver payments stay
     # a view (what quality checks read) and the fact batch reads only its own orders' payments.
     out = _silver_and_dim(spark, bronze, as_of, root, models_=("stg_orders", "stg_customers"))
-    target_fct = spark.read.parquet(fct_path)
-    bound = fact_lookback_bound(spark, fct_path, target=target_fct)
+    bound = fact_lookback_bound(fact)
     if bound is None:   # empty target: the batch is every order
         payments = out["stg_transactions"]
     else:
         batch_orders = out["stg_orders"].where(F.col("order_timestamp") >= bound).select("order_id")
         payments = silver.stg_transactions_for_orders(bronze["raw_transactions"], batch_orders, as_of)
-    fct_batch = gold.fct_orders(out["stg_orders"], payments, out["dim_customers"], as_of, target=target_fct,
+    fct_batch = gold.fct_orders(out["stg_orders"], payments, out["dim_customers"], as_of, target=fact.read(),
                                 bound=bound)
-    upsert_partitions(spark, fct_path, fct_batch, "order_id", "order_date", target=target_fct)
-    out["fct_orders"] = spark.read.parquet(fct_path)
-    mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of,
-                                             target=mart_table.read())
-    mart_table.upsert(layout_by(mart_batch, MART_CLUSTER), "customer_id")
+    fact.upsert(fct_batch, "order_id")
+    out["fct_orders"] = fact.read()
+    previous = mart_table.read()
+    mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of, target=previous)
+    # The batch feeds both sides of the merge: it is stored once, and the merged mart is clustered.
+    stage = scratch_path(spark, "mart-batch")
+    mart_batch.write.parquet(stage)
+    mart_batch = spark.read.parquet(stage)
+    mart_table.write(layout_by(merge(previous, mart_batch, "customer_id"), MART_CLUSTER))
     out["mart_customer_lifetime"] = mart_table.read()
     return IncrementalRun(out, fct_batch, mart_batch)
 

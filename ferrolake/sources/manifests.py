@@ -1,6 +1,6 @@
 """Run manifests (JSON documents describing models, columns and dependencies) read as DataFrames.
 
-A manifest is ``{"nodes": {"<unique_id>": {resource_type, name, schema, database,
+A manifest is ``{"metadata": {"invocation_id": ...}, "nodes": {"<unique_id>": {resource_type, name, schema, database,
 depends_on: {nodes: [...]}, columns: {<name>: {description, data_type}}, tags: [...],
 description}}}``. Many projects x runs are read in parallel: one manifest per file (``wholetext``)
 or one per line.
@@ -24,11 +24,12 @@ NODE_SCHEMA = T.StructType([
     T.StructField("tags", T.ArrayType(T.StringType())),
     T.StructField("description", T.StringType()),
 ])
-MANIFEST_SCHEMA = T.StructType([T.StructField("nodes", T.MapType(T.StringType(), NODE_SCHEMA))])
+MANIFEST_SCHEMA = T.StructType([T.StructField("metadata", T.StructType([T.StructField("invocation_id", T.StringType())])),
+                                T.StructField("nodes", T.MapType(T.StringType(), NODE_SCHEMA))])
 
 
 def read_manifests(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    """``(manifest_path, nodes)``: one row per manifest."""
+    """``(run_id, nodes)``: one row per manifest; a run is named by its invocation id, else by its file."""
     raw = spark.read.text(path, wholetext=one_per_file)
-    return raw.select(F.col("_metadata.file_path").alias("manifest_path"),
-                      F.from_json("value", MANIFEST_SCHEMA).getField("nodes").alias("nodes"))
+    parsed = raw.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", MANIFEST_SCHEMA).alias("m"))
+    return parsed.select(F.coalesce("m.metadata.invocation_id", "path").alias("run_id"), F.col("m.nodes").alias("nodes"))

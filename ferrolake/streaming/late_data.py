@@ -1,9 +1,11 @@
 """Late data through the incremental look-back, driven by a stream of Bronze order files.
 
-Each micro-batch appends its rows to the Bronze order table, then rebuilds the fact for orders
-inside the look-back window (``max(fact.order_timestamp) - 3 days``) and upserts exactly the
-touched ``order_date`` partitions. Rows arriving later than the look-back are missed, as in the
-batch model; a full run repairs them.
+Each micro-batch stores its rows in Bronze under its batch id (a retried batch replaces itself), then
+rebuilds the fact for orders inside the look-back window (three days before the newest committed order)
+and upserts exactly the touched ``order_date`` partitions. Payments are narrowed to the batch's orders
+before they are deduplicated, and of the dimension only the columns the fact carries are built, which
+need no orders. Rows arriving later than the look-back are missed, as in the batch model; a full run
+repairs them.
 """
 
 from __future__ import annotations
@@ -11,26 +13,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.upsert import exists, upsert_partitions
-from ..plans import gold, silver
+from ..functions.columns import surrogate_key
+from ..operators.upsert import PartitionedTable
+from ..plans import gold, pipeline, silver
 from ..sources.bronze import RAW_ORDERS_SCHEMA
 
 
-def fact_upsert_handler(spark: SparkSession, bronze_orders_dir: str, fact_dir: str,
+def fact_upsert_handler(spark: SparkSession, bronze_orders_dir: str, fact: PartitionedTable,
                         others: Callable[[], dict[str, DataFrame]], clock: Callable[[], object]):
     """``foreachBatch`` handler. ``others()`` gives the customer and payment Bronze tables,
     ``clock()`` the run's as-of time."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(bronze_orders_dir)
+        batch.write.mode("overwrite").parquet(f"{bronze_orders_dir}/batch_id={batch_id}")
         as_of = clock()
-        raw = dict(others())
-        raw["raw_orders"] = spark.read.schema(RAW_ORDERS_SCHEMA).parquet(bronze_orders_dir)
-        s = silver.silver(raw, as_of)
-        dim = gold.dim_customers(s["stg_customers"], s["stg_orders"], as_of)
-        target = spark.read.parquet(fact_dir) if exists(spark, fact_dir) else None
-        batch_rows = gold.fct_orders(s["stg_orders"], s["stg_transactions"], dim, as_of, target=target)
-        upsert_partitions(spark, fact_dir, batch_rows, "order_id", "order_date")
+        raw = others()
+        stored = spark.read.schema(RAW_ORDERS_SCHEMA).parquet(bronze_orders_dir)
+        orders = silver.stg_orders(stored.select(*RAW_ORDERS_SCHEMA.names), as_of)
+        bound = pipeline.fact_lookback_bound(fact)
+        wanted = orders if bound is None else orders.where(F.col("order_timestamp") >= bound)
+        payments = silver.stg_transactions_for_orders(raw["raw_transactions"], wanted.select("order_id"), as_of)
+        customers = silver.stg_customers(raw["raw_customers"], as_of).select(
+            "customer_id", surrogate_key(F.col("customer_id")).alias("customer_sk"), "customer_segment", "is_premium_customer")
+        fact.upsert(gold.fct_orders(wanted, payments, customers, as_of), "order_id")
 
     return handle

@@ -57,11 +57,11 @@ def _dq_sql(tests=None) -> str:
 
 
 ORACLE["dq_report"] = _dq_sql()
-for _t in ["not_null", "unique", "accepted_values", "between", "matches_regex", "length_between", "of_type",
+for _t in ["not_null", "unique", "accepted_values", "between", "matches_regex", "length_between",
            "relationships"]:
     ORACLE[f"dq_{_t}"] = _dq_sql((_t,))
 
-ORACLE["freshness_report"] = f"""with {m.bronze(cutoff=m.AS_OF)},
+ORACLE["freshness_report"] = f"""with {m.bronze()},
 f as (
   select 'raw_orders' as source, max(_ingestion_timestamp) as max_loaded_at, count(*) as row_count, 60 as target_lag_minutes from raw_orders
   union all select 'raw_customers', max(_ingestion_timestamp), count(*), 1440 from raw_customers
@@ -69,7 +69,7 @@ f as (
 select source, max_loaded_at, row_count, lag_minutes, cast(target_lag_minutes as bigint) as target_lag_minutes,
   case when lag_minutes is null then 'error' when lag_minutes > 1440 then 'error' when lag_minutes > 360 then 'warn' else 'pass' end as status,
   coalesce(lag_minutes <= target_lag_minutes, false) as meets_target
-from (select *, cast(floor((epoch({m.ts(m.AS_OF)}) - epoch(max_loaded_at)) / 60) as bigint) as lag_minutes from f) x"""
+from (select *, cast(floor((epoch({m.ts('2001-11-04 05:00:00')}) - epoch(max_loaded_at)) / 60) as bigint) as lag_minutes from f) x"""
 
 
 def _w(select: str) -> str:
@@ -213,6 +213,9 @@ select a.customer_id, {_pub_cols} from mart_customer_lifetime a
 left join mart_customer_lifetime_p b on a.customer_id = b.customer_id
 where b.customer_id is null or {_anydiff}"""
 
+ORACLE["feature_publish_records"] = f"""select customer_id as key, 'feature-store.customer-features' as topic, * from (
+{ORACLE["feature_publish"]}) x"""
+
 _TYPED_CUST = f"""typed as (select cast(customer_id as varchar) as customer_id, {m.initcap('first_name')} as first_name,
   {m.initcap('last_name')} as last_name, lower(trim(email)) as email,
   {m.initcap('first_name')} || ' ' || {m.initcap('last_name')} as full_name, upper(trim(country_code)) as country_code,
@@ -227,6 +230,8 @@ select customer_id, first_name, last_name, email, full_name, country_code, custo
   lead(updated_at) over (partition by customer_id order by updated_at asc nulls first) is null as is_current
 from v"""
 
+# Every customer has at most one version per snapshot, so two snapshots in turn give the same history.
+ORACLE["history_from_versions"] = ORACLE["snapshot_scd2"]
 ORACLE["seed_load"] = "select cast(n_nationkey as integer) as n_nationkey, n_name, cast(n_regionkey as integer) as n_regionkey from nation"
 ORACLE["bronze_ingest_stream"] = _b("select order_id, customer_id, order_status, order_amount_eur, order_timestamp, true as has_audit_columns from raw_orders")
 
@@ -239,15 +244,21 @@ md as (select k, l, q, st, 'model.p' || cast(k as varchar) || '.line_' || cast(l
          case when k % 3 = 0 then 'main' else 'lake' end as database_name, rf as tags,
          case when l % 2 = 1 then 'line ' || cast(l as varchar) else '' end as description from pl),
 mf as (select *, database_name || '.' || schema_name || '.' || name as fqn from md)"""
-ORACLE["lineage_models"] = _LINEAGE + " select unique_id, name, schema_name, database_name, fqn, tags, description from mf"
-ORACLE["lineage_columns"] = _LINEAGE + """
-select fqn || '#quantity' as qualified_name, fqn as table_fqn, 'quantity' as column_name,
-  'qty ' || cast(cast(q as bigint) as varchar) as description, 'decimal(18,2)' as data_type from mf
+_RUNS = "(select 1 as r union all select 2) runs"
+_RUN_ID = "'run-' || cast({}k as varchar) || '-' || cast(r as varchar) as run_id"
+ORACLE["lineage_models"] = _LINEAGE + f"""
+select {_RUN_ID.format('')}, unique_id, name, schema_name, database_name, fqn, tags, description from mf, {_RUNS}"""
+ORACLE["lineage_columns"] = _LINEAGE + f"""
+select {_RUN_ID.format('')}, fqn || '#quantity' as qualified_name, fqn as table_fqn, 'quantity' as column_name,
+  'qty ' || cast(cast(q as bigint) as varchar) as description, 'decimal(18,2)' as data_type from mf, {_RUNS}
 union all
-select fqn || '#status', fqn, 'status', st, 'unknown' from mf"""
-ORACLE["lineage_edges"] = _LINEAGE + """
-select 'process://' || o.unique_id as process_name, i.fqn as input_fqn, o.fqn as output_fqn
-from mf o join mf i on i.k = o.k and i.l = o.l - 1"""
+select {_RUN_ID.format('')}, fqn || '#status', fqn, 'status', st, 'unknown' from mf, {_RUNS}"""
+ORACLE["lineage_edges"] = _LINEAGE + f"""
+, needed as (select *, case when l > 1 then 'model.p' || cast(k as varchar) || '.line_' || cast(l - 1 as varchar)
+                            when k % 5 = 0 then 'model.other.z_' || cast(k as varchar) end as need from mf)
+select {_RUN_ID.format('o.')}, 'process://' || o.unique_id as process_name, coalesce(i.fqn, o.need) as input_fqn,
+  o.fqn as output_fqn, i.fqn is not null as resolved
+from needed o left join mf i on i.unique_id = o.need, {_RUNS} where o.need is not null"""
 
 _EMAIL_FIELD = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 _EMAIL_TEXT = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"

@@ -71,7 +71,7 @@ def test_fact_lookback_bound_reads_one_partition(spark):
     from ferrolake.sources import derived
     root = scratch_path(spark, "t-bound")
     out = pipeline.run_full(spark, derived.bronze(spark, SF_SMALL, pipeline.PREV), pipeline.PREV, root)
-    fast = pipeline.fact_lookback_bound(spark, f"{root}/gold/fct_orders")
+    fast = pipeline.fact_lookback_bound(pipeline.fact_table(spark, root))
     slow = F.lit(out["fct_orders"].agg(F.max("order_timestamp")).first()[0]).cast("timestamp") - F.expr("INTERVAL 3 DAYS")
     a, b = spark.range(1).select(fast.alias("a"), slow.alias("b")).first()
     assert a == b

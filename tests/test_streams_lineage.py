@@ -33,3 +33,11 @@ def test_manifest_file_per_run(spark):
     assert (c.qualified_name, c.description, c.data_type) == ("main.silver.a#id", "key", "unknown")
     e = lineage_edges(m).collect()
     assert [(x.input_fqn, x.output_fqn) for x in e] == [("main.silver.a", "cat.gold.b")]
+    nodes["model.p.b"]["depends_on"]["nodes"].append("model.other.z")
+    for run in ("r1", "r2"):
+        with open(f"{d}/{run}.json", "w") as f:
+            json.dump({"metadata": {"invocation_id": run}, "nodes": nodes}, f)
+    m = lineage_models(read_manifests(spark, d, one_per_file=True)).where("run_id in ('r1', 'r2')")
+    assert m.count() == 4
+    e = sorted((x.run_id, x.input_fqn, x.output_fqn, x.resolved) for x in lineage_edges(m).collect())
+    assert e == [(r, i, "cat.gold.b", i.startswith("main")) for r in ("r1", "r2") for i in ("main.silver.a", "model.other.z")]

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ferrolake.operators.upsert import VersionedTable, merge, upsert_partitions
+from ferrolake.operators.upsert import PartitionedTable, VersionedTable, merge
 from ferrolake.session import scratch_path
 
 
@@ -23,17 +23,71 @@ def test_merge_replaces_inserts_and_is_idempotent(spark):
     assert _rows(merge(once, s, "order_id")) == _rows(once)
 
 
-def test_partition_upsert_moves_a_key_and_deletes_emptied_partition(spark):
-    path = scratch_path(spark, "t-fact")
-    upsert_partitions(spark, path, _fact(spark, [("a", "2001-01-01", 1), ("b", "2001-01-05", 1)]), "order_id", "order_date")
-    src = _fact(spark, [("a", "2001-01-02", 2)])
-    upsert_partitions(spark, path, src, "order_id", "order_date")
-    got = _rows(spark.read.parquet(path))
+def _fact_table(spark, name):
+    return PartitionedTable(spark, scratch_path(spark, name), "order_date", cluster=["order_id"])
+
+
+def test_partition_upsert_moves_a_key_and_drops_emptied_partition(spark):
+    fact = _fact_table(spark, "t-fact")
+    fact.upsert(_fact(spark, [("a", "2001-01-01", 1), ("b", "2001-01-05", 1)]), "order_id")
+    src = _fact(spark, [("a", "2001-01-02", 2), (None, "2001-01-07", 9)])
+    assert sorted(fact.upsert(src, "order_id")) == ["order_date=2001-01-01", "order_date=2001-01-02"]
+    got = _rows(fact.read())
     assert got == [("a", "2001-01-02", 2), ("b", "2001-01-05", 1)]
-    upsert_partitions(spark, path, src, "order_id", "order_date")   # repeated: unchanged
-    assert _rows(spark.read.parquet(path)) == got
-    import os
-    assert not os.path.exists(f"{path}/order_date=2001-01-01")
+    fact.upsert(src, "order_id")   # repeated: unchanged
+    assert _rows(fact.read()) == got and fact.partitions() == ["2001-01-02", "2001-01-05"]
+    fact.vacuum(keep=1)
+    assert _rows(fact.read()) == got and len(fact.manifests()) == 1
+
+
+def _fail_at(monkeypatch, step):
+    """Make the n-th write of an upsert fail: stage, data, manifest."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    real, seen = DataFrameWriter.parquet, []
+
+    def parquet(self, path, *a, **k):
+        seen.append(path)
+        if len(seen) == step:
+            raise RuntimeError("lost driver")
+        return real(self, path, *a, **k)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return seen
+
+
+def test_interrupted_upsert_changes_nothing_and_reruns(spark, monkeypatch):
+    import pytest
+    start = [("a", "2001-01-01", 1), ("b", "2001-01-01", 1), ("c", "2001-01-20", 1)]
+    batch = _fact(spark, [("a", "2001-01-04", 2), ("d", "2001-01-12", 2), ("c", "2001-01-20", 2)])
+    want = [("a", "2001-01-04", 2), ("b", "2001-01-01", 1), ("c", "2001-01-20", 2), ("d", "2001-01-12", 2)]
+    for step in (1, 2, 3):
+        fact = _fact_table(spark, f"t-broken-{step}")
+        fact.write(_fact(spark, start))
+        with monkeypatch.context() as m:
+            _fail_at(m, step)
+            with pytest.raises(RuntimeError):
+                fact.upsert(batch, "order_id")
+        assert _rows(fact.read()) == start and fact.partitions()[-1] == "2001-01-20"
+        fact.upsert(batch, "order_id")
+        assert _rows(fact.read()) == want
+    with monkeypatch.context() as m:   # a full rewrite that dies before its manifest
+        _fail_at(m, 2)
+        with pytest.raises(RuntimeError):
+            fact.write(_fact(spark, start))
+    assert _rows(fact.read()) == want
+
+
+def test_upsert_evaluates_its_source_once(spark):
+    fact = _fact_table(spark, "t-once")
+    fact.write(_fact(spark, [("a", "2001-01-01", 1)]))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for p in parts:
+            seen.add(len(p))
+            yield p
+    src = _fact(spark, [("a", "2001-01-02", 2), ("b", "2001-01-03", 2)])
+    fact.upsert(src.mapInPandas(count, src.schema), "order_id")
+    assert seen.value == 2
 
 
 def test_versioned_table_upsert_and_full_mode(spark):
@@ -76,7 +130,70 @@ def test_daily_run_stops_on_stale_source_then_runs(spark):
     # sf0.01 has orders and shipments every day, so all three feeds are within the error threshold.
     fresh_bronze = derived.bronze(spark, "/root/testdata/sf0.01", "2001-01-02 12:00:00")
     res = daily.run_daily(spark, fresh_bronze, "2001-01-02 12:00:00", root)
-    assert res.quality.count() == 41 and res.published.count() == res.tables["mart_customer_lifetime"].count()
+    n = res.tables["mart_customer_lifetime"].count()
+    assert res.quality.count() == 41 and res.published.count() == n == res.n_published
+    assert res.tables["customer_history"].where("is_current").count() == res.tables["stg_customers"].count()
+    from ferrolake.operators.audit import read_audit
+    again = daily.run_daily(spark, fresh_bronze, "2001-01-02 12:00:00", root)   # a rerun replaces its own reports
+    assert again.quality.count() == 41 and again.n_published == 0
+    assert read_audit(spark, f"{root}/reports/audit_log").count() == 3
+
+
+def test_failed_publish_loses_nothing(spark, monkeypatch):
+    import pytest
+    from ferrolake.plans import daily
+    mart = VersionedTable(spark, scratch_path(spark, "t-pub-mart"))
+    root = scratch_path(spark, "t-pub")
+    row = lambda v: spark.createDataFrame([("a", v), ("b", 1)], "customer_id string, x int")
+    mart.write(row(1))
+    real = daily.publish
+    for v, n in ((1, 2), (2, 1)):
+        if v > 1:
+            mart.write(row(v))
+        monkeypatch.setattr(daily, "publish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("sink")))
+        with pytest.raises(RuntimeError):
+            daily.publish_changes(spark, mart, root)
+        monkeypatch.setattr(daily, "publish", real)
+        assert daily.publish_changes(spark, mart, root)[1] == n
+        assert daily.publish_changes(spark, mart, root)[1] == 0
+
+
+def test_malformed_bronze_values_become_null(spark):
+    from ferrolake.sources.bronze import read_raw
+    path = scratch_path(spark, "t-raw")
+    spark.createDataFrame([("1", "2", "card", "abc", "x", "2001-01-01 00:00:00", "never"), ("x", "2", "card", "1.5", "x", "no", "2001-01-01")],
+                          "transaction_id string, order_id string, payment_method string, transaction_amount_eur string, "
+                          "transaction_status string, transaction_timestamp string, _ingestion_timestamp string").write.parquet(path)
+    rows = {r.transaction_id: r for r in read_raw(spark, "raw_transactions", path).collect()}
+    assert rows[1].transaction_amount_eur is None and rows[1]._ingestion_timestamp is None and rows[1].transaction_timestamp is not None
+    assert str(rows[None].transaction_amount_eur) == "1.50" and rows[None].transaction_timestamp is None
+
+
+def test_layout_narrows_string_keys_in_few_files(spark):
+    """Files cover narrow ranges of both string columns; small data makes few files whatever the shuffle setting."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from ferrolake.operators.layout import layout_by
+    df = spark.range(20000).select(F.format_string("k%05d", F.pmod(F.xxhash64("id"), F.lit(9000))).alias("k"),
+                                   F.concat(F.lit("s"), F.col("id") % 4).alias("s"))
+    path = scratch_path(spark, "t-z")
+    layout_by(df, ["k", "s"], num_partitions=16).write.parquet(path)
+    spans = []
+    for f in glob.glob(path.removeprefix("file:") + "/*.parquet"):
+        t = pq.read_table(f)
+        k = sorted(t["k"].to_pylist())
+        spans.append(int(k[-1][1:]) - int(k[0][1:]))
+    assert len(spans) >= 12 and sorted(spans)[len(spans) // 2] < 9000 / 2
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        few = scratch_path(spark, "t-few")
+        layout_by(df, ["k"]).write.parquet(few)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(glob.glob(few.removeprefix("file:") + "/*.parquet")) <= 4
 
 
 def test_partition_pruning_on_event_date(spark):
