@@ -53,33 +53,44 @@ def signatures(elements: np.ndarray, weights: np.ndarray, owners: np.ndarray, n:
     state = mix(elements[who] + _M3 * (piece + 1).astype(np.uint64))
     point, at = mix(state + _M1), _after(np.zeros(len(state)), state, width)
     owner, limit, done = owners[who].astype(np.int64), weights[who].astype(np.int64), np.zeros(len(who), dtype=bool)
-    while len(at):
-        fresh = ~done & (lo + width <= limit)
-        slot = owner[fresh] * slots + (point[fresh] % np.uint64(slots)).astype(np.int64)
-        times = at[fresh]
+    turn = 0
+
+    def put(points: np.ndarray, times: np.ndarray, owners_: np.ndarray) -> None:
+        slot = owners_ * slots + (points % np.uint64(slots)).astype(np.int64)
         np.minimum.at(first, slot, times)
         won = first[slot] == times
-        name[slot[won]] = point[fresh][won]
+        name[slot[won]] = points[won]
+
+    while len(at):
+        fresh = ~done & (lo + width <= limit)
+        put(point[fresh], at[fresh], owner[fresh])
         last = first.reshape(n, slots).max(axis=1)
         done = done | fresh
-        # Unit pieces go on to their next point; wider ones are split. One half keeps the point, the other goes on
-        # from it at half the rate. All of this depends on the element alone, never on its weight.
         live = at < last[owner]
         lo, width, state, point, at, owner, limit, done = (a[live] for a in (lo, width, state, point, at, owner, limit, done))
+        # Unit pieces give their next points, more in each turn: what is left by then has few elements to fill its slots.
         unit = width == 1
         next_state = mix(state[unit] + _M2)
+        draws = mix(next_state[:, None] + _M3 * np.arange(1, (1 << max(0, min(turn - 2, 8))) + 1, dtype=np.uint64))
+        times = at[unit][:, None] - np.cumsum(np.log(_uniform(draws)), axis=1)
+        of = np.broadcast_to(owner[unit][:, None], draws.shape)
+        early = times < last[of]
+        put(mix(draws[early] + _M1), times[early], of[early])
+        # Wider ones are split. One half keeps the point, the other goes on from it at half the rate.
+        # All of this depends on the element and the turn alone, never on a weight.
         wide = ~unit
         half = width[wide] // 2
         upper = (mix(state[wide] + _M3) & np.uint64(1)).astype(np.int64)
         keep_state, free_state = mix(state[wide] ^ _M2), mix(state[wide] ^ _M3)
         lo = np.concatenate([lo[unit], lo[wide] + upper * half, lo[wide] + (1 - upper) * half])
         width = np.concatenate([width[unit], half, half])
-        point = np.concatenate([mix(next_state + _M1), point[wide], mix(free_state + _M1)])
-        at = np.concatenate([_after(at[unit], next_state, 1), at[wide], _after(at[wide], free_state, np.maximum(half, 1))])
+        point = np.concatenate([point[unit], point[wide], mix(free_state + _M1)])
+        at = np.concatenate([times[:, -1], at[wide], _after(at[wide], free_state, np.maximum(half, 1))])
         state = np.concatenate([next_state, keep_state, free_state])
         owner = np.concatenate([owner[unit], owner[wide], owner[wide]])
         limit = np.concatenate([limit[unit], limit[wide], limit[wide]])
-        done = np.concatenate([np.zeros(len(next_state), dtype=bool), done[wide], np.zeros(len(half), dtype=bool)])
+        done = np.concatenate([np.ones(len(next_state), dtype=bool), done[wide], np.zeros(len(half), dtype=bool)])
         useful = (lo < limit) & (at < last[owner])
         lo, width, state, point, at, owner, limit, done = (a[useful] for a in (lo, width, state, point, at, owner, limit, done))
+        turn += 1
     return name.reshape(n, slots)

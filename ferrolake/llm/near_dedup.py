@@ -7,17 +7,22 @@ A text's words are its lower-cased runs without white space; its multiset holds
 1. Texts with equal words form one text class, so exact copies are worked on once.
 2. Every text class gets a BagMinHash signature of 96 slots, cut into 24 bands of 4: a pair at 0.8 shares a
    bucket with a probability of 0.999997, at 0.9 of 1 - 10^-11.
-3. Buckets are resolved with pivots. In a round each bucket that still holds several components picks a few
-   pivots, its smallest components first. Pivots are compared with all others in the bucket that are not in
-   their component yet; then they leave the bucket. So every pair of a bucket is either verified or already
-   in one component, and a group of near copies, however large, costs about one comparison per member
-   instead of one per pair. No bucket is cut or sampled. Pivots per round grow fourfold, so rounds are few.
-4. A comparison first estimates the similarity from the whole signatures (below 0.55 it can't be 0.8: six
+3. Buckets that hold the same text classes as another one are dropped; each of the others is resolved exactly,
+   without writing out its pairs. A bucket of at most ``BUCKET_TEXTS`` texts and ``BUCKET_CHARS`` characters is
+   resolved in one place: pairs in order of their estimated similarity, skipping those that are in one
+   component already and those that share an earlier bucket, so it yields a spanning forest of its verified
+   links. The first bands go first; later ones only see buckets that still hold several components.
+4. Larger buckets are resolved with pivots, in rounds of joins: each picks a few pivots, its smallest components
+   first; pivots are compared with all others in the bucket that are not in their component yet, then they leave
+   it. So every pair of a bucket is verified or already connected, and a group of near copies costs about
+   one comparison per member instead of one per pair. Pivots per round grow fourfold, so rounds are few.
+5. A comparison first estimates the similarity from the whole signatures (below 0.55 it can't be 0.8: six
    standard deviations), then counts the overlap of the texts exactly.
-5. Components are merged by distributed hooking and pointer jumping; only row counts reach the driver.
+6. Components are merged by distributed hooking and pointer jumping; only row counts reach the driver.
 
-Skew: bucket minima and counts are combined before they are shuffled; members meet pivots in equi-joins that
-adaptive execution splits; no task holds a bucket. Each round's state is stored in the shared folder.
+No bucket is cut or sampled. Skew: bucket minima and counts are combined before they are shuffled; members meet
+pivots in equi-joins that adaptive execution splits; a task holds at most one bucket of bounded size. Each
+step's state is stored in the shared folder.
 
 Defined results: null text counts as empty; texts without words are equal to each other; a null doc_id is
 smallest; class_id is the smallest doc_id of the class and ``kept`` marks one of its rows with that doc_id;
@@ -29,6 +34,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,9 +52,13 @@ BANDS, ROWS = 24, 4
 SLOTS = BANDS * ROWS
 #: Estimates below this are not verified.
 ESTIMATE = 0.55
+#: The largest bucket that is resolved in one place.
+BUCKET_TEXTS, BUCKET_CHARS = 4096, 8_000_000
+#: Bands that are resolved before the others.
+FIRST_BANDS = 4
 _BATCH_WORDS = 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-_MARK = "id long, hash long, key1 long, key2 long, signature array<int>"
+_MARK = "id long, hash long, key1 long, key2 long, chars long, signature array<int>"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -59,7 +69,7 @@ def shingle_multisets(docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np
     """(elements, weights, owners) of the documents' hashed shingles, equal ones counted together."""
     lens = np.fromiter(map(len, docs), np.int64, len(docs))
     names = {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*docs)}
-    flat = np.fromiter((names[w] for d in docs for w in d), np.uint64, int(lens.sum()))
+    flat = np.fromiter(map(names.__getitem__, chain.from_iterable(docs)), np.uint64, int(lens.sum()))
     begin = np.cumsum(lens) - lens
     n = np.where(lens >= WORDS, lens - WORDS + 1, np.minimum(lens, 1))
     owners = np.repeat(np.arange(len(docs)), n)
@@ -69,13 +79,10 @@ def shingle_multisets(docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np
     for j in range(WORDS):
         there = at + j < end
         got[there] += (flat[at[there] + j] + np.uint64(j + 1)) * _FACTORS[j]
-    got = mix(got)
-    order = np.lexsort((got, owners))
-    got, owners = got[order], owners[order]
-    lead = np.ones(len(got), dtype=bool)
-    lead[1:] = (got[1:] != got[:-1]) | (owners[1:] != owners[:-1])
-    where = np.flatnonzero(lead)
-    return got[lead], np.diff(np.append(where, len(got))), owners[lead]
+    # 44 bits of the shingle's hash below the owner's number: one plain sort brings equal ones together.
+    got = np.sort((mix(got) >> np.uint64(20)) | (owners.astype(np.uint64) << np.uint64(44)))
+    where = np.flatnonzero(np.concatenate([[True], got[1:] != got[:-1]])) if len(got) else np.zeros(0, np.int64)
+    return mix(got[where] & np.uint64(2**44 - 1)), np.diff(np.append(where, len(got))), (got[where] >> np.uint64(44)).astype(np.int64)
 
 
 def _marked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,28 +100,32 @@ def _marked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "id": rows["id"].to_numpy(), "hash": rows["hash"].to_numpy(),
                 "key1": np.array([k >> 64 for k in keys], np.uint64).astype(np.int64),
                 "key2": np.array([k & (2**64 - 1) for k in keys], np.uint64).astype(np.int64),
+                "chars": [len(t) for t in texts[at:at + len(some)]],
                 "signature": [s if w else None for s, w in zip((slots >> np.uint64(32)).astype(np.uint32).view(np.int32), some)],
             })
             at += len(some)
 
 
-@lru_cache(maxsize=64)
 def multiset(text: str) -> Counter:
     words = words_of(text)
     return Counter(zip(*(words[i:] for i in range(WORDS)))) if len(words) >= WORDS else Counter([tuple(words)] if words else [])
 
 
-def overlap(a: str, b: str) -> float:
-    """Weighted Jaccard similarity of two texts' shingle multisets."""
-    x, y = multiset(a), multiset(b)
+def similarity(x: Counter, y: Counter) -> float:
+    """Weighted Jaccard similarity of two multisets."""
     both = sum((x & y).values())
-    return both / max(1, sum(x.values()) + sum(y.values()) - both)
+    return both / max(1, x.total() + y.total() - both)
+
+
+def overlap(a: str, b: str) -> float:
+    return similarity(multiset(a), multiset(b))
 
 
 @F.pandas_udf(T.DoubleType())
 def _overlap(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    of = lru_cache(maxsize=64)(multiset)  # a pivot comes again and again
     for a, b in parts:
-        yield pd.Series([overlap(x, y) for x, y in zip(a, b)], dtype="float64")
+        yield pd.Series([similarity(of(x), of(y)) for x, y in zip(a, b)], dtype="float64")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -128,9 +139,11 @@ def _merged(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFra
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = stored(spark, both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
                        .select("node", F.least("node", "near").alias("up")), "near-hooks")
-        while True:  # pointer jumping: trees become stars
+        while True:  # pointer jumping, two hops at a time: trees become stars
             above = hooks.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            jumped = stored(spark, hooks.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), "near-jumps")
+            once = hooks.join(above, "up").select("node", F.col("top").alias("up"))
+            twice = once.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved"))
+            jumped = stored(spark, twice, "near-jumps")
             hooks = jumped.select("node", "up")
             if jumped.where("moved").isEmpty():
                 break
@@ -148,30 +161,115 @@ def _alike(a: str, b: str) -> Column:
 
 
 def text_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows: id, hash, key1, key2; classes: c, key1, key2, first_id, first_hash, signature)."""
+    """(rows: id, hash, key1, key2; classes: c, key1, key2, first_id, first_hash, chars, signature)."""
     marks = stored(spark, _texts(docs).select("id", "hash", "text").mapInPandas(_marked, _MARK), "near-marks")
-    groups = marks.groupBy("key1", "key2").agg(F.min(F.struct("id", "hash")).alias("first"), F.min("signature").alias("signature"))
-    keys = ranked(spark, groups.select("key1", "key2", F.col("first.id").alias("first_id"), F.col("first.hash").alias("first_hash"), "signature"),
+    groups = marks.groupBy("key1", "key2").agg(F.min(F.struct("id", "hash")).alias("first"), F.max("chars").alias("chars"), F.min("signature").alias("signature"))
+    keys = ranked(spark, groups.select("key1", "key2", F.col("first.id").alias("first_id"), F.col("first.hash").alias("first_hash"), "chars", "signature"),
                   ["key1", "key2"], "c", "near-classes")
     return marks.select("id", "hash", "key1", "key2"), stored(spark, keys, "near-numbered")
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(
+def _buckets(spark: SparkSession, classes: DataFrame, labels: DataFrame, low: int, high: int) -> DataFrame:
+    """(band, value, c, label, n, total): the rows of the buckets of bands low to high - 1 that hold two components
+    or more, one of equal buckets."""
+    bands = F.transform(F.sequence(F.lit(low), F.lit(high - 1)), lambda i: F.struct(
         i.alias("band"), F.xxhash64(F.slice("signature", i * ROWS + 1, ROWS)).alias("value")))
-    rows = classes.where("signature is not null").select("c", F.explode(bands).alias("at")).select("c", "at.band", "at.value")
-    shared = rows.groupBy("band", "value").count().where("count > 1").drop("count")
-    return rows.join(shared, ["band", "value"])
+    rows = (classes.where("signature is not null").join(labels, "c").select("c", "label", "chars", F.explode(bands).alias("at"))
+            .select("c", "label", "chars", "at.band", "at.value"))
+    shared = (rows.groupBy("band", "value").agg(F.count("*").alias("n"), F.sum("chars").alias("total"),
+                                                F.min("label").alias("least"), F.max("label").alias("most"),
+                                                F.bit_xor(F.xxhash64("c")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "c")).alias("y"))
+              .where("least != most").groupBy("n", "total", "x", "y").agg(F.min(F.struct("band", "value")).alias("at")))
+    one = stored(spark, shared.select("at.band", "at.value", "n", "total"), "near-buckets")
+    return stored(spark, rows.select("c", "label", "band", "value").join(one, ["band", "value"]), "near-members")
+
+
+def spanning_links(found: np.ndarray, labels: np.ndarray, texts: list[str], band: int, similar: float) -> list[tuple[int, int]]:
+    """A spanning forest of the links between components among the texts of one bucket: likely pairs first. Pairs
+    that share an earlier band's bucket are left to that one."""
+    n = len(texts)
+    pairs = []
+    for i in range(n - 1):
+        same = found[i + 1:] == found[i]
+        like = same.sum(axis=1)
+        here = np.flatnonzero((like >= ESTIMATE * SLOTS) & (labels[i + 1:] != labels[i]))
+        if len(here) and band:
+            here = here[~same[here, :band * ROWS].reshape(len(here), band, ROWS).all(axis=2).any(axis=1)]
+        if len(here):
+            pairs.append(np.stack([like[here], np.full(len(here), i), i + 1 + here]).astype(np.int32))
+    if not pairs:
+        return []
+    like, one, two = np.concatenate(pairs, axis=1)
+    labels, sets, links = labels.copy(), {}, []
+    for level in range(SLOTS, 0, -1):
+        for i, j in zip(one[like == level].tolist(), two[like == level].tolist()):
+            if labels[i] == labels[j]:
+                continue
+            for k in (i, j):
+                if k not in sets:
+                    sets[k] = multiset(texts[k])
+            if similarity(sets[i], sets[j]) >= similar:
+                labels[labels == labels[j]] = labels[i]
+                links.append((i, j))
+    return links
+
+
+def _resolved(similar: float):
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Buckets arrive as runs of rows, which may go over from one batch to the next."""
+        kept: list[pd.DataFrame] = []
+
+        def links_of(rows: pd.DataFrame) -> Iterator[tuple[int, int]]:
+            c, labels, texts, bands = rows["c"].to_numpy(), rows["label"].to_numpy(), rows["text"].tolist(), rows["band"].to_numpy()
+            found = np.stack(rows["signature"].to_numpy())
+            cut = np.flatnonzero(np.concatenate([[True], (np.diff(rows["value"].to_numpy()) != 0) | (np.diff(bands) != 0), [True]]))
+            for lo, hi in zip(cut[:-1], cut[1:]):
+                for i, j in spanning_links(found[lo:hi], labels[lo:hi], texts[lo:hi], int(bands[lo]), similar):
+                    yield int(min(c[lo + i], c[lo + j])), int(max(c[lo + i], c[lo + j]))
+
+        for p in parts:
+            if not len(p):
+                continue
+            p = pd.concat([*kept, p], ignore_index=True)
+            last = (p["value"] == p["value"].iloc[-1]) & (p["band"] == p["band"].iloc[-1])
+            kept = [p[last]]
+            if not last.all():
+                yield pd.DataFrame(links_of(p[~last].reset_index(drop=True)), columns=["a", "b"], dtype="int64")
+        if kept:
+            yield pd.DataFrame(links_of(kept[0].reset_index(drop=True)), columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _between_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    named = links.join(labels.select(F.col("c").alias("a"), F.col("label").alias("x")), "a").join(
+        labels.select(F.col("c").alias("b"), F.col("label").alias("y")), "b")
+    return named.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def component_labels(spark: SparkSession, docs: DataFrame, classes: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(c, label): the component of every text class."""
-    members = stored(spark, _buckets(classes), "near-members")
     labels = classes.select("c", F.col("c").alias("label"))
-    used = members.select("c").distinct()
-    firsts = classes.join(used, "c", "left_semi").select("c", F.col("first_id").alias("id"), F.col("first_hash").alias("hash"))
-    texts = stored(spark, _texts(docs).join(firsts, ["id", "hash"]).select("c", "text"), "near-texts")
-    sigs = stored(spark, classes.join(used, "c", "left_semi").select("c", "signature"), "near-signatures")
+    for low, high in ((0, FIRST_BANDS), (FIRST_BANDS, BANDS)):
+        members = _buckets(spark, classes, labels, low, high)
+        firsts = classes.join(members.select("c").distinct(), "c", "left_semi").select(
+            "c", F.col("first_id").alias("id"), F.col("first_hash").alias("hash"), "signature")
+        texts = _texts(docs).join(firsts, ["id", "hash"]).select("c", "signature", "text")
+        texts = stored(spark, texts.dropDuplicates(["c"]), "near-texts")  # repeated rows come once
+        fits = (F.col("n") <= BUCKET_TEXTS) & (F.col("total") <= BUCKET_CHARS)
+        small = (members.where(fits).select("band", "value", "c", "label").join(texts, "c")
+                 .repartition("band", "value").sortWithinPartitions("band", "value"))
+        links = stored(spark, small.mapInPandas(_resolved(similar), "a long, b long").distinct(), "near-links")
+        labels = _merged(spark, labels, _between_labels(labels, links))
+        over = members.where(~fits).select("band", "value", "c")
+        if not over.isEmpty():
+            labels = _pivoted(spark, texts, over, labels, similar)
+    return labels
+
+
+def _pivoted(spark: SparkSession, texts: DataFrame, members: DataFrame, labels: DataFrame, similar: float) -> DataFrame:
+    """``labels`` after all links within buckets of any size."""
+    sigs, texts = texts.select("c", "signature"), texts.select("c", "text")
     tested: DataFrame | None = None
     pivots_each = 1
     while True:
@@ -197,10 +295,7 @@ def component_labels(spark: SparkSession, docs: DataFrame, classes: DataFrame, s
         sure = (likely.join(texts.select(F.col("c").alias("a"), F.col("text").alias("ta")), "a")
                 .join(texts.select(F.col("c").alias("b"), F.col("text").alias("tb")), "b")
                 .select("a", "b", _overlap("ta", "tb").alias("s")).where(F.col("s") >= similar).select("a", "b"))
-        sure = stored(spark, sure.distinct(), "near-links")
-        named = sure.join(labels.select(F.col("c").alias("a"), F.col("label").alias("x")), "a").join(
-            labels.select(F.col("c").alias("b"), F.col("label").alias("y")), "b")
-        labels = _merged(spark, labels, named.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        labels = _merged(spark, labels, _between_labels(labels, sure.distinct()))
         active = picked.select("band", "value").distinct()
         members = now.select("band", "value", "c").join(active, ["band", "value"], "left_semi").join(
             picked.select("band", "value", F.col("pivot").alias("c")), ["band", "value", "c"], "left_anti")

@@ -95,6 +95,21 @@ def test_near_groups(spark, edge_docs, edges, no_docs):
     assert near_groups(spark, no_docs).collect() == [] and near_dedup(spark, no_docs).collect() == []
 
 
+def test_near_groups_of_large_buckets(spark, monkeypatch):
+    """Pivots find the same classes as buckets resolved in place."""
+    from ferrolake.llm import near_dedup
+    rng = random.Random(9)
+    base = [f"t{rng.randrange(10**6)}" for _ in range(150)]
+    family = []
+    for i in range(70):  # members that are alike to very different degrees
+        words = list(rng.choice(family)[1].split()) if i % 3 and family else list(base)
+        for _ in range(rng.randrange(1, 7)):
+            words[rng.randrange(150)] = f"t{rng.randrange(10**6)}"
+        family.append((i, " ".join(words)))
+    monkeypatch.setattr(near_dedup, "BUCKET_TEXTS", 3)
+    check_near(near_dedup.near_groups(spark, spark.createDataFrame(family, "doc_id long, text string")).collect(), family)
+
+
 def test_near_groups_on_the_small_table(spark):
     from ferrolake.llm.near_dedup import near_groups
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
