@@ -14,6 +14,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A write of a few megabytes into thousands of day folders is bound by folders: let all cores share it.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
