@@ -14,6 +14,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where an aggregate on the join's key follows (the mart): a hot customer's join is split, its partial
+    # aggregates are shuffled once more.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A write of a few megabytes into thousands of day folders is bound by folders: let all cores share it.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }

@@ -18,48 +18,50 @@ ORACLE["fct_orders_incremental"] = f"with {m.incremental_ctes()} select * from f
 ORACLE["mart_customer_lifetime_incremental"] = f"with {m.incremental_ctes()} select * from mart_merged"
 
 
-def _check_sql(ck) -> str:
-    from ferrolake.plans.reports import ALL_CHECKS  # noqa: F401  (the declared list, shared as data)
-    m_, c, t, a = ck.model, ck.column, ck.test, ck.args
-    head = f"select '{m_}' as model, '{c}' as column_name, '{t}' as test, "
-    if t == "not_null":
-        return head + f"count(*) filter (where {c} is null) as failing_rows from {m_}"
-    if t == "accepted_values":
-        vals = ", ".join(f"'{v}'" for v in a["values"])
-        return head + f"count(*) filter (where {c} is not null and {c} not in ({vals})) as failing_rows from {m_}"
-    if t == "between":
-        return head + (f"count(*) filter (where {c} is not null and ({c} < {a['min']} or {c} > {a['max']})) "
-                       f"as failing_rows from {m_}")
-    if t == "matches_regex":
-        return head + (f"count(*) filter (where {c} is not null and not regexp_matches({c}, '{a['regex']}')) "
-                       f"as failing_rows from {m_}")
-    if t == "length_between":
-        return head + (f"count(*) filter (where {c} is not null and (length({c}) < {a['min']} or length({c}) > {a['max']})) "
-                       f"as failing_rows from {m_}")
-    if t == "unique":
-        return head + (f"(select count(*) from (select {c} from {m_} where {c} is not null group by {c} "
-                       f"having count(*) > 1)) as failing_rows")
-    if t == "relationships":
-        return head + (f"(select count(*) from {m_} x where x.{c} is not null and not exists "
-                       f"(select 1 from {a['to']} p where p.{a['field']} = x.{c})) as failing_rows")
-    if t == "of_type":
-        return head + "0 as failing_rows"
-    raise ValueError(t)
-
-
-def _dq_sql(tests=None) -> str:
-    from ferrolake.plans.reports import ALL_CHECKS
-    parts = [_check_sql(c) for c in ALL_CHECKS if tests is None or c.test in tests]
-    body = "\nunion all\n".join(f"({p})" for p in parts)
-    return m.with_models(
-        f"select model, column_name, test, cast(failing_rows as bigint) as failing_rows, "
-        f"failing_rows = 0 as passed from (\n{body}\n) r")
+# The 41 assertions by kind, written down here a second time so that a change of the job's list is noticed.
+_STATUS = "'PENDING', 'CONFIRMED', 'SHIPPED', 'DELIVERED', 'CANCELLED', 'REFUNDED'"
+_HEALTH = "'active', 'lapsing', 'churned', 'never_ordered'"
+_BROKEN = {   # kind -> (model.column, what makes a known value fail)
+    "accepted_values": [(c, "{} not in (" + v + ")") for c, v in (
+        ("stg_orders.order_status", _STATUS), ("fct_orders.order_status", _STATUS),
+        ("stg_orders.order_size_band", "'small', 'medium', 'large', 'enterprise'"),
+        ("stg_customers.customer_segment", "'Standard', 'Premium', 'Wholesale', 'Internal'"),
+        ("stg_transactions.transaction_status", "'PENDING', 'COMPLETED', 'FAILED', 'REFUNDED', 'CHARGEBACK'"),
+        ("stg_transactions.payment_method", "'CARD', 'BANK_TRANSFER', 'APPLE_PAY', 'GOOGLE_PAY', 'VOUCHER', 'CRYPTO'"),
+        ("dim_customers.customer_status", _HEALTH), ("mart_customer_lifetime.customer_status", _HEALTH))],
+    "between": [(c, f"{{0}} < {low} or {{0}} > {high}") for c, low, high in (
+        ("stg_orders.order_amount_eur", 0, 1000000), ("stg_transactions.transaction_amount_eur", 0.01, 500000),
+        ("dim_customers.lifetime_order_count", 0, 100000), ("fct_orders.net_revenue_eur", -50000, 1000000),
+        ("mart_customer_lifetime.lifetime_orders", 0, 100000))],
+    "matches_regex": [("stg_customers.email", "not regexp_matches({}, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{{2,}}$')")],
+    "length_between": [("stg_customers.country_code", "length({}) <> 2")],
+    "relationships": [("fct_orders.customer_sk", "{} not in (select customer_sk from dim_customers)")],
+    "of_type": [("stg_orders.order_timestamp", "typeof({}) <> 'TIMESTAMP'")],
+}
+_KEYS = ["stg_orders.order_id", "stg_customers.customer_id", "stg_transactions.transaction_id", "dim_customers.customer_sk",
+         "dim_customers.customer_id", "fct_orders.order_id", "mart_customer_lifetime.customer_id"]
+_FILLED = [*_KEYS, "stg_orders.customer_id", "stg_orders.order_amount_eur", "stg_orders.order_status", "stg_orders.order_timestamp",
+           "stg_customers.email", "stg_customers.country_code", "stg_transactions.order_id", "stg_transactions.transaction_amount_eur",
+           "fct_orders.customer_sk", "fct_orders.net_revenue_eur"]
+
+
+def _dq_sql(kind: str | None = None) -> str:
+    rows = [(c, "not_null", f"count(*) - count({c.split('.')[1]})") for c in _FILLED]
+    rows += [(c, "unique", f"(select count(*) from (select 1 from {c.split('.')[0]} where {c.split('.')[1]} is not null "
+                           f"group by {c.split('.')[1]} having count(*) > 1))") for c in _KEYS]
+    rows += [(c, k, f"count(*) filter (where {c.split('.')[1]} is not null and ({bad.format(c.split('.')[1])}))")
+             for k, of in _BROKEN.items() for c, bad in of]
+    body = "\nunion all\n".join(
+        f"select '{c.split('.')[0]}' as model, '{c.split('.')[1]}' as column_name, '{k}' as test, any_value(n) as failing_rows "
+        f"from (select {n} as n from {c.split('.')[0]})" for c, k, n in rows if kind in (None, k))
+    return m.with_models(f"select model, column_name, test, cast(failing_rows as bigint) as failing_rows, "
+                         f"failing_rows = 0 as passed from (\n{body}\n) r")
 
 
 ORACLE["dq_report"] = _dq_sql()
 for _t in ["not_null", "unique", "accepted_values", "between", "matches_regex", "length_between",
            "relationships"]:
-    ORACLE[f"dq_{_t}"] = _dq_sql((_t,))
+    ORACLE[f"dq_{_t}"] = _dq_sql(_t)
 
 ORACLE["freshness_report"] = f"""with {m.bronze()},
 f as (
