@@ -19,6 +19,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A write of a few megabytes into thousands of day folders is bound by folders: let all cores share it.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # Listing thousands of day folders: each task lists many (the default starts a task for every folder).
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "128",
 }
 
 
