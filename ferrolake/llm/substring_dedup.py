@@ -15,8 +15,8 @@ same one) is removed. Suffixes need to be compared to that depth only, so naming
 
 Names are fingerprints of the named bytes: 64 bits where they only propose, 96 bits where they decide. They
 are range-partitioned by their leading bits, sorted, and adjacent ones compared, on packed numpy arrays.
-A name that occurs several times within one batch is settled there and sent on once, so a passage that fills a
-third of the corpus sends a bounded number of names per batch to its partition. Texts are shuffled once, where
+A name that occurs several times among those a task holds is settled there and sent on once, so a passage that fills a
+third of the corpus sends few names to its partition. The names of step 3 are compared in three turns, a third of their range at a time. Texts are shuffled once, where
 equal texts become one row (all their bytes are covered); those with ties only are stored. No suffix array of
 the whole corpus is ever in one place.
 
@@ -47,6 +47,10 @@ PREFIX = LENGTH - PERIOD + 1  # 94
 MIDDLE = (LENGTH + PREFIX + 1) // 2  # 247
 #: Names that one task sorts at a time.
 BUCKET_NAMES = 1_500_000
+#: Names that a task holds before it packs them.
+HELD_NAMES = 2_000_000
+#: Parts in which the names of all starts near ties are compared: they are the bulk of the shuffle.
+TURNS = 3
 _SEGMENT = 1 << 20
 _PACKED = "bucket int, keys binary, counts binary, places binary, names binary"
 _FOUND = "key long, places array<int>"
@@ -111,29 +115,40 @@ def names(data: np.ndarray, places: np.ndarray, length: int, which: int) -> np.n
     return out
 
 
-def _packed(places_of: Places, length: int, wide: bool, buckets: int) -> Callable:
-    """Names of the chosen places of (key, data, places) rows, packed by range of names."""
+def _packed(places_of: Places, length: int, wide: bool, buckets: int, turn: int, turns: int) -> Callable:
+    """Names of the chosen places of (key, data, places) rows, those of this turn's range, packed by range of names."""
+    def rows(keys: list[int], at: list[np.ndarray], one: list[np.ndarray], two: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        owner = np.repeat(np.arange(len(at), dtype=np.int32), [len(x) for x in at])
+        places, own_keys = np.concatenate(at).astype(np.uint32), np.array(keys, np.int64)
+        got = [np.concatenate(x) for x in ((one, two) if wide else (one,))]
+        tied, send = _neighbours(got)
+        yield _rows(own_keys, owner[send], places[send], [x[send] for x in got], buckets)
+        if tied.any():  # settled here; they ride along to a partition of their own keys
+            yield _rows(own_keys, owner[tied], places[tied], None, buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = b.column(0).to_numpy(zero_copy_only=False)
-            at, one, two = [], [], []
-            for raw, given in zip(b.column(1), b.column(2)):
+            keys, at, one, two, held = [], [], [], [], 0
+            for key, raw, given in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 data = np.frombuffer(raw.as_buffer(), np.uint8)
                 places = places_of(len(data), given.values.to_numpy() if given.is_valid else None)
+                if not len(places):
+                    continue
+                name = names(data, places, length, 0)
+                if turns > 1:
+                    mine = (name >> np.uint64(32)) * np.uint64(turns) >> np.uint64(32) == turn
+                    places, name = places[mine], name[mine]
+                keys.append(key)
                 at.append(places)
-                if len(places):
-                    one.append(names(data, places, length, 0))
-                    if wide:
-                        two.append((names(data, places, length, 1) >> np.uint64(32)).astype(np.uint32))
-            owner = np.repeat(np.arange(len(at), dtype=np.int32), [len(x) for x in at])
-            if not len(owner):
-                continue
-            places = np.concatenate(at).astype(np.uint32)
-            got = [np.concatenate(x) for x in ((one, two) if wide else (one,))]
-            tied, send = _neighbours(got)
-            yield _rows(keys, owner[send], places[send], [x[send] for x in got], buckets)
-            if tied.any():  # settled here; they ride along to a partition of their own keys
-                yield _rows(keys, owner[tied], places[tied], None, buckets)
+                one.append(name)
+                if wide:
+                    two.append((names(data, places, length, 1) >> np.uint64(32)).astype(np.uint32))
+                held += len(places)
+                if held >= HELD_NAMES:
+                    yield from rows(keys, at, one, two)
+                    keys, at, one, two, held = [], [], [], [], 0
+            if held:
+                yield from rows(keys, at, one, two)
 
     return run
 
@@ -204,12 +219,16 @@ def _compared(wide: bool) -> Callable:
     return run
 
 
-def repeated(spark: SparkSession, rows: DataFrame, places_of: Places, length: int, wide: bool, buckets: int, name: str) -> DataFrame:
+def repeated(spark: SparkSession, rows: DataFrame, places_of: Places, length: int, wide: bool, buckets: int, name: str,
+             turns: int = 1) -> DataFrame:
     """(key, places): the places, of those chosen in (key, data, places) rows, whose next ``length`` bytes occur at
-    another chosen place."""
-    packed = rows.select("key", "data", "places").mapInArrow(_packed(places_of, length, wide, buckets), _PACKED)
-    found = packed.groupBy("bucket").applyInArrow(_compared(wide), _FOUND)
-    return stored(spark, stored(spark, found, name + "-found").groupBy("key").agg(
+    another chosen place. Ranges of names are compared in ``turns``, so that only a part is on disk at a time."""
+    found = None
+    for turn in range(turns):
+        packed = rows.select("key", "data", "places").mapInArrow(_packed(places_of, length, wide, buckets, turn, turns), _PACKED)
+        part = stored(spark, packed.groupBy("bucket").applyInArrow(_compared(wide), _FOUND), name + "-found")
+        found = part if found is None else found.unionByName(part)
+    return stored(spark, found.groupBy("key").agg(
         F.array_sort(F.flatten(F.collect_list("places"))).alias("places")), name)  # at most the places of one text
 
 
@@ -280,7 +299,7 @@ def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<int>")
     still = tied.join(near[0], "key", "left").join(near[1], "key", "left").withColumn(
         "places", F.when(F.col("copies") > 1, F.col("places")).otherwise(F.array_union(F.coalesce("onward", none), F.coalesce("backward", none))))
-    starts = repeated(spark, still.where(F.size("places") > 0), _before, LENGTH, True, 2 * buckets, "repeat-starts")
+    starts = repeated(spark, still.where(F.size("places") > 0), _before, LENGTH, True, TURNS * buckets, "repeat-starts", TURNS)
     merged = tied.join(starts.withColumnRenamed("places", "starts"), "key", "left").where("copies > 1 or size(starts) > 0")
     return merged.select("key", "more", "data", "copies", "starts").mapInArrow(
         _removed, "key long, more long, spans array<struct<start:long,end:long>>, kept binary")
