@@ -137,13 +137,13 @@ def held_out() -> Column:
 
 
 _ROWS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("label", T.IntegerType()),
-                      T.StructField("idx", T.ArrayType(T.IntegerType())), T.StructField("val", T.ArrayType(T.FloatType()))])
+                      T.StructField("idx", T.BinaryType()), T.StructField("val", T.BinaryType())])
 
 
 def _extract(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in parts:
         found = [features(t, n) for t, n in zip(p["text"], p["n_chars"])]
-        yield pd.DataFrame({"doc_id": p["doc_id"], "label": p["label"], "idx": [f[0] for f in found], "val": [f[1] for f in found]})
+        yield pd.DataFrame({"doc_id": p["doc_id"], "label": p["label"], "idx": [f[0].tobytes() for f in found], "val": [f[1].tobytes() for f in found]})
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             .join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
             .mapInPandas(_extract, _ROWS).collect())
     rows = sorted(rows, key=lambda r: (r.doc_id, len(r.idx), r.idx))[:2 * sample]
-    return fit([(np.array(r.idx, np.int64), np.array(r.val, np.float32)) for r in rows],
+    return fit([(np.frombuffer(r.idx, np.int32).astype(np.int64), np.frombuffer(r.val, np.float32)) for r in rows],
                np.array([r.label for r in rows], np.float32))
 
 
