@@ -1,6 +1,9 @@
 """Personal data: format-preserving Feistel pseudonyms (operator 5, DataFrame functions only).
 
-One regex finds candidates; a check validates each (Luhn, IBAN remainder, octets, calendar, number ranges).
+One regex finds the places where a candidate may start; a check validates each (Luhn, IBAN remainder, octets,
+calendar, number ranges). Cards and IBANs are tried in every length that ends with a group (IBANs first in the
+length of their country, then the longest), and a place without a valid candidate takes nothing from the next,
+so digits or capitals beside a number do not hide it. From the left, the first valid candidate counts.
 Valid ones are written as mixed-radix digits and permuted by a keyed Feistel network within their format, so a
 pseudonym is a valid value of the same form, equal values get equal pseudonyms in every document, and
 different values never meet. Check digits are worked out anew.
@@ -30,18 +33,34 @@ from pyspark.sql import functions as F
 #: Jobs pass their own secret.
 KEY = "demonstration key"
 ROUNDS = 8
+# After a hyphen a card starts only where up to four groups of digits stand before it (Java wants them written out).
+_AFTER = "|".join("[0-9]{{1,12}}-" * n for n in range(1, 5))
+_CARD = (r"(?=[0-9])(?:(?<![0-9A-Za-z.-])|(?<=[0-9]-)(?<=(?<![0-9A-Za-z.-])(?:" + _AFTER + r")))[0-9](?:[ -]?[0-9]){{{}}}"
+         r"(?![0-9A-Za-z]|(?:-[0-9]{{1,12}}){{1,4}}[A-Za-z])")
+_IBAN = r"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{}}}{}(?![A-Za-z0-9])"
 # The form of each kind, in the order of preference.
 FORMS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _IBAN.format("2,7", "(?: ?[A-Z0-9]{1,3})?"),
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|-[0-9])",
+    "card": _CARD.format("12,18"),
 }
 KINDS = list(FORMS)
-_ANY = "|".join(f"(?:{x})" for x in FORMS.values())
+_START = "(?=" + "|".join(f"(?:{x})" for x in FORMS.values()) + ")"
+#: What is tried at a start, longest first.
+_TRIED = {k: [x] for k, x in FORMS.items()} | {
+    "card": [_CARD.format(n - 1) for n in range(19, 12, -1)],
+    "iban": [_IBAN.format(n, f"(?: ?[A-Z0-9]{{{t}}})" if t else "") for n in range(7, 1, -1) for t in (3, 2, 1, 0)]}
+_MAYBE = {"card": "^[0-9]", "iban": "^[A-Z]{2}[0-9]{2}"}
+#: No candidate is longer than so many code points, nor holds so many starts.
+_WINDOW, _STARTS = 700, 80
+_IBAN_SIZES = {int(n): names.split() for n, names in (x.split(":") for x in (
+    "15:NO|16:BE|18:DK FI FK FO GL NL SD|19:MK SI|20:AT BA EE KZ LT LU MN XK|21:CH HR LI LV|22:BG BH CR DE GB GE IE ME RS VA|"
+    "23:AE GI IL IQ OM SO TL|24:AD CZ ES MD PK RO SA SE SK TN VG|25:LY PT ST|26:IS TR|27:BI DJ FR GR IT MC MR SM|"
+    "28:AL AZ BY CY DO GT HN HU LB NI PL SV|29:BR EG PS QA UA|30:JO KW MU YE|31:MT SC|32:LC|33:RU").split("|"))}
 _DATES = {r"^[0-9]{4}-": "yyyy-MM-dd", r"^[0-9]{2}\.": "dd.MM.yyyy", r"^[0-9]{2}/": "MM/dd/yyyy"}
 _DAY0, _DAYS = "1800-01-01", (27, 5411)  # 400 years are 27 * 5411 days
 
@@ -161,37 +180,65 @@ _MAKERS: dict[str, Callable[[Column, str], tuple[Column, Column]]] = {
     "email": _email, "iban": _iban, "ip": _ip, "phone": _phone, "ssn": _ssn, "date": _date, "card": _card}
 
 
-def _named(m: Column, key: str) -> Column:
-    """struct(kind number or null, replacement) of one match."""
-    def pick(value: Callable[[int, Column], Column]) -> Column:
-        out = None
-        for i, kind in enumerate(KINDS):
-            valid, new = _MAKERS[kind](m, key)
-            test = F.rlike(m, F.lit(f"^(?:{FORMS[kind]})$")) & valid
-            out = F.when(test, value(i, new)) if out is None else out.when(test, value(i, new))
-        return out
+def _choice(window: Column, key: str) -> Column:
+    """struct(kind number, match) of the first valid candidate at the start of ``window``, or null."""
+    size = lambda m: F.length(F.replace(m, F.lit(" "), F.lit("")))
+    usual = lambda m: F.coalesce(*(F.when(F.substring(m, 1, 2).isin(names), F.lit(n)) for n, names in _IBAN_SIZES.items()))
+    choices = []
+    for i, kind in enumerate(KINDS):
+        tried = F.array(*(F.regexp_extract(window, f"^(?:{x})", 0) for x in _TRIED[kind]))
+        valid = F.filter(tried, lambda m: (m != "") & _MAKERS[kind](m, key)[0])  # noqa: B023
+        if kind == "iban":
+            valid = F.transform(F.array(valid), lambda v: F.concat(F.filter(v, lambda m: size(m) == usual(m)), v))[0]
+        first = F.get(valid, 0)
+        if kind in _MAYBE:
+            first = F.when(F.rlike(window, F.lit(_MAYBE[kind])), first)
+        choices.append(F.transform(F.filter(F.array(first), lambda m: m.isNotNull()),
+                                   lambda m: F.struct(F.lit(i).alias("kind"), m.alias("old"))))  # noqa: B023
+    return F.coalesce(*(F.get(c, 0) for c in choices))
 
-    return F.struct(m.alias("old"), pick(lambda i, new: F.struct(F.lit(i).alias("kind"), new.alias("new"))).alias("found"))
+
+def _named(choice: Column, key: str) -> Column:
+    """struct(kind number, size, replacement) of a choice."""
+    new = F.coalesce(*(F.when(choice["kind"] == i, _MAKERS[kind](choice["old"], key)[1]) for i, kind in enumerate(KINDS)))
+    return F.struct(choice["kind"].alias("kind"), F.length(choice["old"]).alias("size"), new.alias("new"))
 
 
 def pseudonymised(df: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
     """``df`` with ``text`` replaced, plus __found array<struct<kind, start, end>> of what was, in code points."""
     df = df.withColumn(text, F.coalesce(text, F.lit("")))
-    some = F.rlike(text, F.lit(_ANY))
-    df = df.withColumn("__hits", F.when(some, F.transform(_all(F.col(text), _ANY), lambda m: _named(m, key))))
-    df = df.withColumn("__parts", F.when(some, F.zip_with(F.split(text, _ANY, -1), "__hits", lambda gap, hit: F.struct(
-        gap.alias("gap"), F.length(gap).alias("before"), F.coalesce(F.length(hit["old"]), F.lit(0)).alias("size"),
-        hit["found"]["kind"].alias("kind"), F.coalesce(hit["found"]["new"], hit["old"], F.lit("")).alias("new")))))
+    some = F.rlike(text, F.lit(_START))
+    # Each value that a lambda uses goes through one: Spark would work out a column anew for every piece.
+    once = lambda value, use: F.get(F.transform(F.array(value), use), 0)
+
+    def hits(s: Column) -> Column:
+        def hit(piece: Column, i: Column) -> Column:
+            window = F.left(F.array_join(F.slice(s["heads"], i + 1, F.lit(_STARTS)), ""), F.lit(_WINDOW))
+            chosen = F.when(i > 0, once(window, lambda w: _choice(w, key)))
+            return F.struct(piece.alias("piece"), once(chosen, lambda c: F.when(c.isNotNull(), _named(c, key))).alias("hit"))
+
+        return F.transform(s["pieces"], hit)
+
+    # A space in front: the first piece then never is a start, all others are.
+    parts = once(F.split(F.concat(F.lit(" "), text), _START, -1), lambda pieces: once(
+        F.struct(pieces.alias("pieces"), F.transform(pieces, lambda x: F.left(x, F.lit(_WINDOW))).alias("heads")), hits))
+    df = df.withColumn("__parts", F.when(some, parts))
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["before"]
-        span = F.array(F.struct(x["kind"].alias("kind"), start.alias("start"), (start + x["size"]).alias("end")))
-        return F.struct((start + x["size"]).alias("at"), F.when(x["kind"].isNotNull(), F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+        """One piece: what the last found leaves of it, or a find at its start."""
+        found = x["hit"].isNotNull() & (acc["at"] >= acc["end"])
+        end = F.when(found, acc["at"] + x["hit"]["size"]).otherwise(acc["end"])
+        rest = F.when(end <= acc["at"], x["piece"]).otherwise(F.substr(x["piece"], end - acc["at"] + 1))
+        span = F.array(F.struct(x["hit"]["kind"].alias("kind"), acc["at"].alias("start"), end.alias("end")))
+        return F.struct((acc["at"] + F.length(x["piece"])).alias("at"), end.alias("end"),
+                        F.when(found, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"),
+                        F.concat(acc["text"], F.array(F.when(found, F.concat(x["hit"]["new"], rest)).otherwise(rest))).alias("text"))
 
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
-    found = F.aggregate("__parts", F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
-    joined = F.array_join(F.transform("__parts", lambda x: F.concat(x["gap"], x["new"])), "")
-    return df.withColumns({"__found": F.coalesce(found, none), text: F.coalesce(joined, text)}).drop("__hits", "__parts")
+    begin = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("end"), none.alias("out"), F.array().cast("array<string>").alias("text"))
+    df = df.withColumn("__all", F.aggregate("__parts", begin, step))
+    joined = F.substr(F.array_join("__all.text", ""), F.lit(2))
+    return df.withColumns({"__found": F.coalesce("__all.out", none), text: F.coalesce(joined, text)}).drop("__parts", "__all")
 
 
 def pii_report(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -75,6 +75,24 @@ def test_pseudonyms(spark, edge_docs, edges, no_docs):
     assert pii_report(no_docs).collect() == []
 
 
+def test_neighbours_do_not_hide_numbers(spark):
+    from ferrolake.llm.pii import pii_report
+    card, iban, spaced = "4111 1111 1111 1111", "BE68539007547034", "BE68 5390 0754 7034"
+    cases = [(f"{card} 12/27", card), (f"{card} 123", card), (f"2024 {card}", card), (f"{iban} EUR", iban), (f"{spaced} BIC", spaced),
+             (f"{card}-123", card), (f"0049-{card}", card), (f"4222222222222 {card}", f"4222222222222,{card}"), (f"AB13 {iban} X", iban),
+             (f"BE00 5390 {card}", card), (f"{iban} {card} ann@x.org", f"{iban},{card},ann@x.org"), (f"ü\U0001f600 {card} 123 é", card),
+             ("4111 1111 1111 1112 123", ""), ("BE68539007547035 EUR", ""), ("12345678-1234-1234-1234-44665544000a", "")]
+    rows = pii_report(spark.createDataFrame(list(enumerate(t for t, _ in cases)), "doc_id long, text string")).collect()
+    for r in rows:
+        text, want = cases[r.doc_id]
+        spans = [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x]
+        assert ",".join(text[s:e] for s, e in spans) == want and len(r.text) == len(text), text
+        for s, e in spans:
+            assert r.text[s:e] != text[s:e]
+        outside = lambda t: [c for k, c in enumerate(t) if not any(s <= k < e for s, e in spans)]  # noqa: E731, B023
+        assert outside(r.text) == outside(text)
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 
