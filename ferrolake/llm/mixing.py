@@ -3,8 +3,9 @@
 Every document is hashed into a block of its source; blocks hold about 256 documents, or the square root of
 the source's documents where that is more. A source whose target is r
 times its size is drawn floor(r) whole times; the rest is drawn from its blocks in a keyed permutation: whole
-blocks while they fit, then, inside the one block where the target falls, documents in hash order, each that
-still fits. Each (epoch, block) is one draw, so a source has an exact quota of
+blocks while they fit, then, inside the block where the target falls, documents in hash order, each that still
+fits. What is left goes on to the next blocks that hold a document small enough, until none does; then the
+smallest document left is added if that is nearer. Each (epoch, block) is one draw, so a source has an exact quota of
 draws. The quotas of all sources are split between the two halves of the output shards by a multivariate
 hypergeometric draw, and so on down to single shards; shards then own disjoint ranges of each source's
 permuted draws, and a shard's rows are shuffled by a keyed hash.
@@ -39,6 +40,8 @@ SHARD_WORDS = 4_000_000
 #: A block holds so many documents, or the square root of its source's documents where that is more.
 BLOCK_DOCS = 256
 SEED = 17
+#: So many blocks of a source are filled document by document in one task.
+FILL_BLOCKS = 4
 _NODE = "lo long, hi long, sid long, quota long"
 
 
@@ -105,19 +108,52 @@ def _split(seed: int):
     return split
 
 
-def _fill(block: pd.DataFrame) -> pd.DataFrame:
-    """The documents of one block (about sqrt of a source's) that fill ``need``, and one more if that is nearer."""
-    block = block.sort_values("key")
-    left, taken, spare = float(block["need"].iloc[0]), [], None
-    for key, size in zip(block["key"], block["size"]):
+def _fill(some: pd.DataFrame) -> pd.DataFrame:
+    """The documents of a few blocks (each about sqrt of a source's) that fit into ``need`` one after the other."""
+    some = some.sort_values(["pos", "key"])
+    left, taken = float(some["need"].iloc[0]), []
+    for at, size in enumerate(some["size"]):
         if size <= left:
             left -= size
-            taken.append(key)
-        elif spare is None or size < spare[0]:
-            spare = (size, key)
-    if spare and spare[0] - left < left:
-        taken.append(spare[1])
-    return pd.DataFrame({"sid": block["sid"].iloc[0], "block": block["block"].iloc[0], "key": taken})
+            taken.append(at)
+    return some.iloc[taken][["sid", "block", "key", "size"]]
+
+
+def _filled(spark: SparkSession, placed: DataFrame, blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(whole blocks, documents of others) that the last pass over each source takes.
+
+    Each round leaps over whole blocks while they fit and fills the next few document by document. Only blocks
+    with a document that may fit are looked at, and the rest shrinks, so a few rounds do.
+    """
+    state = blocks.groupBy("sid").agg(F.max("rest").alias("need")).withColumn("after", F.lit(0).cast("long"))
+    whole = stored(spark, blocks.where("words = 0 and epochs = 0").select("sid", "block"), "mix-whole")
+    parts = stored(spark, placed.select("sid", "block", "key", "size").limit(0), "mix-parts")
+    order = Window.partitionBy("sid").orderBy("pos")
+    sized = placed.select("sid", "block", "key", "size")
+    while True:
+        open_ = blocks.join(state, "sid").where("pos >= after and least <= need")
+        open_ = open_.withColumn("until", F.sum("words").over(order)).withColumn("fits", F.col("until") <= F.col("need"))
+        open_ = open_.withColumns({"nth": F.row_number().over(Window.partitionBy("sid", "fits").orderBy("pos")),
+                                   "leapt": F.max(F.when(F.col("fits"), F.col("until")).otherwise(0)).over(Window.partitionBy("sid"))})
+        now = stored(spark, open_.where(F.col("fits") | (F.col("nth") <= FILL_BLOCKS)).select(
+            "sid", "block", "pos", "fits", (F.col("need") - F.col("leapt")).alias("need")), "mix-open")
+        if now.isEmpty():
+            break
+        inside = (sized.join(now.where("not fits").select("sid", "block", "pos", "need"), ["sid", "block"])
+                  .groupBy("sid", "block", "pos", "need", "key").agg(F.sum("size").alias("size")))
+        more = stored(spark, inside.groupBy("sid").applyInPandas(_fill, "sid long, block long, key long, size long"), "mix-filled")
+        whole, parts = whole.unionByName(now.where("fits").select("sid", "block")), parts.unionByName(more)
+        seen = now.groupBy("sid").agg(F.min("need").alias("now"), (F.max("pos") + 1).alias("next"))
+        used = more.groupBy("sid").agg(F.sum("size").alias("used"))
+        state = stored(spark, state.join(seen, "sid", "left").join(used, "sid", "left").select(
+            "sid", (F.coalesce("now", "need") - F.coalesce("used", F.lit(0))).alias("need"), F.coalesce("next", "after").alias("after")), "mix-need")
+    # No document left fits: one more if that is nearer.
+    near = state.where("need > 0").select("sid", "need")
+    spare = (sized.join(near, "sid").join(whole, ["sid", "block"], "left_anti")
+             .groupBy("sid", "need", "block", "key").agg(F.sum("size").alias("size")).where("size > 0 and size - need < need")
+             .join(parts, ["sid", "block", "key"], "left_anti").groupBy("sid").agg(F.min(F.struct("size", "key", "block")).alias("d")))
+    parts = parts.unionByName(spare.select("sid", "d.block", "d.key", "d.size"))
+    return whole, stored(spark, parts.drop("size"), "mix-taken")
 
 
 def mix_plan(spark: SparkSession, docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS,
@@ -133,20 +169,16 @@ def mix_plan(spark: SparkSession, docs: DataFrame, weights: tuple = WEIGHTS, mos
     placed = sized.join(sources, ["no_source", "source_key"]).withColumn("block", F.pmod(F.xxhash64("key"), "n_blocks"))
 
     order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(seed), "block"), "block")
-    blocks = placed.groupBy("sid", "block", "n_blocks", "epochs", "rest").agg(F.sum("size").alias("words"))
-    blocks = blocks.withColumns({"pos": F.row_number().over(order) - 1, "until": F.sum("words").over(order),
+    least = F.min(F.when(F.col("size") > 0, F.col("size")))
+    blocks = placed.groupBy("sid", "block", "n_blocks", "epochs", "rest").agg(F.sum("size").alias("words"), least.alias("least"))
+    blocks = blocks.withColumns({"pos": F.row_number().over(order).cast("long") - 1,
                                  "held": F.count("*").over(Window.partitionBy("sid"))})
-    blocks = blocks.withColumn("before", F.col("until") - F.col("words"))
     blocks = stored(spark, blocks, "mix-blocks")
+    whole, parts = _filled(spark, placed, blocks)
 
-    # Inside the block where the target falls: documents in hash order, each that still fits.
-    edge = blocks.where("before <= rest and rest < until").select("sid", "block", (F.col("rest") - F.col("before")).alias("need"))
-    inside = (placed.select("sid", "block", "key", "size").join(edge, ["sid", "block"])
-              .groupBy("sid", "block", "need", "key").agg(F.sum("size").alias("size")))
-    parts = stored(spark, inside.groupBy("sid", "block").applyInPandas(_fill, "sid long, block long, key long"), "mix-parts")
-
-    drawn = blocks.join(parts.select("sid", "block").distinct().withColumn("partly", F.lit(True)), ["sid", "block"], "left")
-    drawn = drawn.withColumns({"whole": (F.col("until") <= F.col("rest")).cast("long"), "partly": F.coalesce("partly", F.lit(False))})
+    drawn = (blocks.join(whole.withColumn("whole", F.lit(1).cast("long")), ["sid", "block"], "left")
+             .join(parts.select("sid", "block").distinct().withColumn("partly", F.lit(True)), ["sid", "block"], "left"))
+    drawn = drawn.withColumns({"whole": F.coalesce("whole", F.lit(0).cast("long")), "partly": F.coalesce("partly", F.lit(False))})
     drawn = drawn.withColumn("n_draws", F.col("epochs") + F.col("whole") + F.col("partly").cast("long"))
     drawn = stored(spark, drawn.select("sid", "block", "pos", "held", "epochs", "n_draws", "partly"), "mix-drawn")
 

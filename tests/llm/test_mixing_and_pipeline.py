@@ -64,6 +64,18 @@ def test_mix_with_caps_and_edges(spark, edge_docs, edges, no_docs):
     assert mix_report(spark, no_docs).collect() == [] and mixed(spark, no_docs).collect() == []
 
 
+def test_mix_goes_on_behind_long_documents(spark):
+    from ferrolake.llm.mixing import mix_report
+    docs = []
+    for s, name in enumerate("abc"):  # weights 1, 2, 3: a and b are drawn in part, blocks with long documents among them
+        docs += [(10_000 * s + i, "w " * (2000 if i % 97 == 0 else 1 + i % 5), name) for i in range(1000)]
+    rows = mix_report(spark, spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
+    for s in range(3):
+        some = [r for r in rows if r.doc_id // 10_000 == s]
+        assert abs(sum(r.taken for r in some) - some[0].target) <= 5
+    check_mix(rows, docs)
+
+
 def test_splitting_tree_keeps_quotas(spark):
     from ferrolake.llm.mixing import mix_plan
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
