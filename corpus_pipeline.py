@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ferrolake.llm import exact_dedup, mixing, near_dedup, quality, sentencepieces
 from ferrolake.llm.common import stored, table
@@ -32,8 +33,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every row: doc_id, n_pieces, pieces, round_trip."""
-    return sentencepieces.encode(docs)
+    """The pieces of every row: doc_id, n_pieces, pieces, round_trip. Rows that the mix repeats are numbered (they
+    are equal, so any order will do) and cut differently."""
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    return sentencepieces.encode(docs, copy=F.row_number().over(same) - 1)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -2,12 +2,12 @@
 
 A merge-type (BPE) SentencePiece model is applied with an agenda of candidate merges, best score first, then
 leftmost. Each candidate is skipped for good with probability ``dropout``, decided by a keyed hash of the
-seed, the lane, the word, the candidate's place in it and its two pieces; so segmentations vary, and yet every
-rerun agrees. Each occurrence of a word in a document takes one of ``lanes`` lanes by a keyed hash of doc_id
-and position: the same word is cut in different ways, and each way is worked out once per chunk of text.
+occurrence (seed, doc_id, position in the text and copy of the row), the word, the candidate's place in it and
+its two pieces; so every occurrence of a word is cut on its own, and yet every rerun agrees. Without dropout
+each distinct word of a chunk is worked out once.
 
 Words (leading spaces and what follows up to the next space) never merge with each other; ``Pieces`` refuses a
-model where they could. The agendas of all distinct words of a chunk run in lockstep on flat numpy arrays:
+model where they could. The agendas of a chunk's words run in lockstep on flat numpy arrays:
 per round each word takes its best live candidate. Words of more than ``LONG`` symbols use a heap instead, so
 text without spaces costs n log n.
 
@@ -15,7 +15,7 @@ Characters that the model lacks, and a literal U+2581, become byte pieces. A spa
 is taken off when decoding, so decode(encode(text)) is the text, whatever it holds.
 
 Defined results: null and empty texts have no pieces and decode to the empty text; a null doc_id counts as -1
-in the lanes' hash; repeated rows get equal segmentations; an empty table gives an empty result. Rows are
+in the hash; repeated rows get equal segmentations unless ``copy`` tells them apart; an empty table gives an empty result. Rows are
 independent: no shuffle, and memory is bounded by a chunk of words or one text, whichever is larger.
 """
 
@@ -29,12 +29,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from .bagminhash import mix
 
 DROPOUT = 0.1
-LANES = 4
 SEED = 4
 LONG = 64
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -200,7 +200,7 @@ def _lockstep(p: Pieces, sym: np.ndarray, lens: np.ndarray, keys: np.ndarray, dr
 
 
 def encode_words(p: Pieces, words: list[str], lanes: np.ndarray, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pieces, pieces per word) of words, each in its lane."""
+    """(pieces, pieces per word) of words; ``lanes`` tells the occurrences of a word apart."""
     flat, counts = [], []
     for at in range(0, len(words), _ROUND_WORDS):
         some = words[at:at + _ROUND_WORDS]
@@ -233,8 +233,8 @@ def split_words(text: str) -> list[str]:
     return [" " + w for w in text.split(" ")]
 
 
-def encode_texts(p: Pieces, texts: list[str | None], ids: list[int | None], dropout: float = DROPOUT, lanes: int = LANES,
-                 seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(p: Pieces, texts: list[str | None], ids: list[int | None], dropout: float = DROPOUT, seed: int = SEED,
+                 copies: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(pieces of all texts back to back, pieces per text)."""
     flat, counts, at = [], [], 0
     while at < len(texts):
@@ -243,15 +243,18 @@ def encode_texts(p: Pieces, texts: list[str | None], ids: list[int | None], drop
             words = split_words(texts[at + len(sizes)] or "")
             sizes.append(len(words))
             every += words
-        words = list(dict.fromkeys(every))
-        numbers = dict(zip(words, range(len(words))))
-        number = np.fromiter(map(numbers.__getitem__, every), np.int64, len(every))
         size = np.array(sizes, np.int64)
-        doc = np.array([-1 if i is None else i for i in ids[at:at + len(sizes)]], np.int64).astype(np.uint64)
-        place = np.arange(len(number)) - np.repeat(np.cumsum(size) - size, size)
-        lane = mix(mix(np.repeat(doc, size) + _times(seed, _A)) + place.astype(np.uint64) * _B) % np.uint64(lanes)
-        ways, which = np.unique(number * lanes + lane.astype(np.int64), return_inverse=True)
-        got, n = encode_words(p, [words[w // lanes] for w in ways.tolist()], ways % lanes, dropout, seed)
+        if dropout:
+            doc = np.array([-1 if i is None else i for i in ids[at:at + len(sizes)]], np.int64).astype(np.uint64)
+            copy = np.array(copies[at:at + len(sizes)] if copies else [0] * len(sizes), np.uint64)
+            place = np.arange(len(every)) - np.repeat(np.cumsum(size) - size, size)
+            row = mix(mix(doc + _times(seed, _A)) + copy * _C)
+            words, lane, which = every, mix(np.repeat(row, size) + place.astype(np.uint64) * _B), np.arange(len(every))
+        else:
+            words = list(dict.fromkeys(every))
+            numbers = dict(zip(words, range(len(words))))
+            lane, which = np.zeros(len(words), np.uint64), np.fromiter(map(numbers.__getitem__, every), np.int64, len(every))
+        got, n = encode_words(p, words, lane, dropout, seed)
         first = np.cumsum(n) - n
         times = n[which]
         end = np.cumsum(times)
@@ -267,12 +270,12 @@ def decode(p: Pieces, ids: list[int]) -> str:
     return b"".join(map(p.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
-def _encoder(model: bytes, dropout: float, lanes: int, seed: int) -> Callable:
+def _encoder(model: bytes, dropout: float, seed: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces_of(model)
         for b in batches:
             texts, ids = b.column(1).to_pylist(), b.column(0).to_pylist()
-            flat, n = encode_texts(p, texts, ids, dropout, lanes, seed)
+            flat, n = encode_texts(p, texts, ids, dropout, seed, b.column(2).to_pylist())
             ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
             whole = [decode(p, flat[s:e].tolist()) == (t or "") for t, s, e in zip(texts, ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -282,12 +285,13 @@ def _encoder(model: bytes, dropout: float, lanes: int, seed: int) -> Callable:
     return run
 
 
-def encode(docs: DataFrame, model_path: str = MODEL_PATH, dropout: float = DROPOUT, lanes: int = LANES, seed: int = SEED) -> DataFrame:
-    """One row per input row: doc_id, n_pieces, pieces, round_trip (whether decoding gave the whole text back)."""
+def encode(docs: DataFrame, model_path: str = MODEL_PATH, dropout: float = DROPOUT, seed: int = SEED, copy: Column | None = None) -> DataFrame:
+    """One row per input row: doc_id, n_pieces, pieces, round_trip (whether decoding gave the whole text back).
+    ``copy`` (a never-null long) numbers repeated rows, which then vary too."""
     with open(model_path, "rb") as f:  # on the driver; tasks get the half megabyte with their code
         model = f.read()
-    return docs.select("doc_id", "text").mapInArrow(
-        _encoder(model, dropout, lanes, seed), "doc_id long, n_pieces long, pieces array<int>, round_trip boolean")
+    return docs.select("doc_id", "text", (F.lit(0) if copy is None else copy).cast("long").alias("copy")).mapInArrow(
+        _encoder(model, dropout, seed), "doc_id long, n_pieces long, pieces array<int>, round_trip boolean")
 
 
 def decoded(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:

@@ -87,6 +87,18 @@ def test_dropout_round_trip_and_agendas(pieces, monkeypatch):
     assert all((a == b).all() for a, b in zip(lockstep, heap))
 
 
+def test_every_occurrence_is_cut_on_its_own(pieces):
+    from ferrolake.llm.sentencepieces import encode_texts
+    word = " international"
+    text = (word * 2000)[1:]
+    ways = {tuple(x) for x in cut(*encode_texts(pieces[0], ["international"] * 2000, list(range(2000))))}
+    assert len(ways) > 20
+    a, b, c = cut(*encode_texts(pieces[0], [text] * 3, [1, 1, 1], copies=[0, 1, 0]))
+    assert a != b and a == c
+    whole = cut(*encode_texts(pieces[0], ["of"] * 4000, list(range(4000))))  # one merge or two: nearly nine in ten stay whole
+    assert 0.78 < sum(len(x) == 1 for x in whole) / 4000 < 0.93
+
+
 def test_sentencepiece_edges(spark, pieces, edge_docs, edges, no_docs):
     from ferrolake.llm.sentencepieces import decoded, encode
     out = encode(edge_docs)
