@@ -151,10 +151,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
               .groupBy("doc_id").agg(F.max("quality").alias("label"))
               .orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample))
-    rows = (docs.select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars"))
-            .join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
-            .mapInPandas(_extract, _ROWS).collect())
-    rows = sorted(rows, key=lambda r: (r.doc_id, len(r.idx), r.idx))[:2 * sample]
+    text, n_chars = F.coalesce("text", F.lit("")), F.col("n_chars").cast("double")
+    one = F.min(F.struct(F.xxhash64("text", n_chars).alias("hash"), text.alias("text"), n_chars.alias("n_chars")))
+    rows = (docs.select("doc_id", "text", "n_chars").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
+            .groupBy("doc_id", "label").agg(one.alias("one"))  # of repeated ids one text, combined in the map tasks
+            .select("doc_id", "one.text", "one.n_chars", "label").mapInPandas(_extract, _ROWS).collect())
+    rows = sorted(rows, key=lambda r: r.doc_id)
     return fit([(np.frombuffer(r.idx, np.int32).astype(np.int64), np.frombuffer(r.val, np.float32)) for r in rows],
                np.array([r.label for r in rows], np.float32))
 

@@ -40,6 +40,20 @@ def test_quality_edges(spark, edge_docs, edges, no_docs):
     assert quality_report(no_docs, labels).collect() == []
 
 
+def test_quality_sample_survives_repeated_ids(spark, monkeypatch):
+    import zlib
+
+    from ferrolake.llm import quality
+    ids = [i for i in range(30) if zlib.crc32(str(i).encode()) % 3 != 1][:6]
+    docs = [(ids[0], f"text number {i}", 10) for i in range(60)] + [(i, "another text", 10) for i in ids[1:]]
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: seen.append(labels.tolist()))
+    for parts in (1, 5):
+        quality.train(spark.createDataFrame(docs, "doc_id long, text string, n_chars long").repartition(parts),
+                      spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int"), sample=6)
+    assert seen == [[0.0, 1.0, 0.0, 1.0, 0.0, 1.0]] * 2
+
+
 @pytest.fixture(scope="module")
 def pieces():
     import os
