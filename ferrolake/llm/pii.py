@@ -14,7 +14,7 @@ different values never meet. Check digits are worked out anew.
     phone   the ten digits after the country code
     card    all digits but the check digit
     ssn     area, group and serial number
-    date    days from 1800 to 2199, written as before (Y-m-d, d.m.Y, m/d/Y)
+    date    days from 1800 to 2199, written as before (Y-m-d, also before the time of a timestamp, d.m.Y, m/d/Y)
 
 Everything is a map over rows: no shuffle, no state; a lost executor costs its tasks only.
 
@@ -45,7 +45,8 @@ FORMS = {
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
-    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])",
+    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-SU-Za-su-z]|[Tt](?![0-9]))|"
+            r"(?:[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z]))",
     "card": _CARD.format("12,18"),
 }
 KINDS = list(FORMS)

@@ -93,6 +93,14 @@ def test_neighbours_do_not_hide_numbers(spark):
         assert outside(r.text) == outside(text)
 
 
+def test_dates_of_timestamps(spark):
+    from ferrolake.llm.pii import pii_report
+    texts = ["at 2024-01-02T10:00:00Z", "2024-01-02t10:00", "2024-01-02 10:00", "2024-01-02Tea", "2024-01-02x", "02.01.2024T10:00"]
+    rows = pii_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.spans for r in rows} == {0: "date:3:13", 1: "date:0:10", 2: "date:0:10", 3: "", 4: "", 5: ""}
+    assert all(r.text != texts[r.doc_id] for r in rows if r.spans)
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 
