@@ -375,7 +375,7 @@ _feature_subset("agg_tenure", ["customer_tenure_days"])
 
 @query("agg_count_distinct")
 def _agg_count_distinct(spark, sf_dir):
-    """Genuine distinct counts per customer: order days and payment methods used."""
+    """A genuine distinct count per customer: order days (not unique in their input)."""
     from pyspark.sql import functions as F
     m = _models(spark, sf_dir)
     days = m["stg_orders"].groupBy("customer_id").agg(F.count_distinct("order_date").alias("distinct_order_days"))

@@ -109,13 +109,13 @@ stg_transactions{sfx} as (
   where transaction_id is not null and {_eur('transaction_amount_eur')} > 0)"""
 
 
-def _most_frequent(rows: str, key: str, value: str) -> str:
+def most_frequent(rows: str, key: str, value: str) -> str:
     """Per key the value seen most often, the smallest of equally frequent ones."""
     return (f"(select {key}, {value} from {rows} where {value} is not null group by {key}, {value} "
             f"qualify row_number() over (partition by {key} order by count(*) desc, {value}) = 1)")
 
 
-def _zero_eur(x: str) -> str:
+def zero_eur(x: str) -> str:
     return f"cast(coalesce({x}, 0) as decimal(38,2))"
 
 
@@ -134,7 +134,7 @@ customer_orders{sfx} as (
 dim_customers{sfx} as (
   select sha256(coalesce(p.customer_id, '__null_key__')) as customer_sk, p.customer_id, p.full_name,
     sha256(p.email) as email_hash, p.country_code, p.customer_segment, p.is_premium_customer,
-    coalesce(n, 0) as lifetime_order_count, {_zero_eur('eur')} as lifetime_order_value_eur,
+    coalesce(n, 0) as lifetime_order_count, {zero_eur('eur')} as lifetime_order_value_eur,
     earliest as first_order_at, latest as last_order_at, coalesce(days, 0) as distinct_order_days,
     case when latest is null then 'never_ordered' when latest < {now} - interval 365 day then 'churned'
          when latest < {now} - interval 90 day then 'lapsing' else 'active' end as customer_status,
@@ -156,7 +156,7 @@ payments_seen{sfx} as (select order_id, count(distinct transaction_id) as n from
 fct_orders{sfx} as (
   select o.order_id, d.customer_sk, o.customer_id, o.order_date, o.order_timestamp, o.order_status, o.order_size_band,
     o.order_amount_eur, d.customer_segment, d.is_premium_customer, coalesce(s.n, 0) as transaction_count,
-    {_zero_eur('p.eur')} as paid_amount_eur, {_zero_eur('b.eur')} as refunded_amount_eur, p.latest as last_paid_at,
+    {zero_eur('p.eur')} as paid_amount_eur, {zero_eur('b.eur')} as refunded_amount_eur, p.latest as last_paid_at,
     exists (select 1 from {t} x where x.order_id = o.order_id and x.transaction_status = 'CHARGEBACK') as has_chargeback,
     m.payment_method as primary_payment_method,
     cast(o.order_amount_eur - coalesce(b.eur, 0) as decimal(38,2)) as net_revenue_eur,
@@ -165,7 +165,7 @@ fct_orders{sfx} as (
   left join payments_seen{sfx} s on s.order_id = o.order_id
   left join paid_for{sfx} p on p.order_id = o.order_id
   left join given_back{sfx} b on b.order_id = o.order_id
-  left join {_most_frequent(t, 'order_id', 'payment_method')} m on m.order_id = o.order_id
+  left join {most_frequent(t, 'order_id', 'payment_method')} m on m.order_id = o.order_id
   left join dim_customers{sfx} d on d.customer_id = o.customer_id)"""
 
 
@@ -183,7 +183,7 @@ def mart(sfx: str = "", as_of: str = AS_OF, fct_name: str | None = None, target:
         return f"(select max({column}) from looked_back{sfx} w where w.customer_id = d.customer_id and w.days = {days})"
 
     counts = ", ".join(f"coalesce({pick('n', k)}, 0) as orders_last_{k}d" for k in (7, 30, 90, 365))
-    sums = ", ".join(f"{_zero_eur(pick('eur', k))} as revenue_last_{k}d" for k in (30, 90, 365))
+    sums = ", ".join(f"{zero_eur(pick('eur', k))} as revenue_last_{k}d" for k in (30, 90, 365))
     return f"""
 {done} as (select * from {fct_name or f"fct_orders{sfx}"} where is_fulfilled),
 looked_back{sfx} as (
@@ -196,17 +196,17 @@ spent{sfx} as (
 disputed{sfx} as (select customer_id, count(distinct order_id) as n from {done} where has_chargeback group by 1),
 mart_customer_lifetime{sfx} as (
   select d.customer_id, d.customer_sk, d.country_code, d.customer_segment, d.is_premium_customer, d.customer_status,
-    coalesce(s.n, 0) as lifetime_orders, {_zero_eur('s.eur')} as lifetime_revenue_eur,
+    coalesce(s.n, 0) as lifetime_orders, {zero_eur('s.eur')} as lifetime_revenue_eur,
     coalesce(s.eur::double / s.known, 0.0) as avg_order_value_eur, {counts}, {sums},
-    coalesce(x.n, 0) as chargeback_count, {_zero_eur('s.back')} as total_refunded_eur, x.n is not null as is_high_risk,
+    coalesce(x.n, 0) as chargeback_count, {zero_eur('s.back')} as total_refunded_eur, x.n is not null as is_high_risk,
     pm.primary_payment_method as preferred_payment_method, sb.order_size_band as typical_order_size,
     cast(coalesce(s.tenure, 0) as bigint) as customer_tenure_days, {today} - s.latest::date as days_since_last_order,
     s.earliest as first_order_at, s.latest as last_order_at, d.created_at as customer_created_at, {now} as _dbt_loaded_at
   from dim_customers{sfx} d
   left join spent{sfx} s on s.customer_id = d.customer_id
   left join disputed{sfx} x on x.customer_id = d.customer_id
-  left join {_most_frequent(done, 'customer_id', 'primary_payment_method')} pm on pm.customer_id = d.customer_id
-  left join {_most_frequent(done, 'customer_id', 'order_size_band')} sb on sb.customer_id = d.customer_id
+  left join {most_frequent(done, 'customer_id', 'primary_payment_method')} pm on pm.customer_id = d.customer_id
+  left join {most_frequent(done, 'customer_id', 'order_size_band')} sb on sb.customer_id = d.customer_id
   {where})"""
 
 

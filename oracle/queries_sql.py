@@ -120,14 +120,16 @@ ORACLE["dedup_customers"] = _b(f"select * exclude (rn, customer_id), cast(custom
 ORACLE["dedup_transactions"] = _b(f"select * exclude (rn, transaction_id, order_id), cast(transaction_id as varchar) as transaction_id, "
                                   f"cast(order_id as varchar) as order_id from {_DEDUP_T} x")
 
-ORACLE["join_customer_stats"] = _w("""select c.customer_id, c.email, o.lifetime_order_count, o.last_order_at
-  from stg_customers c left join order_stats o on c.customer_id = o.customer_id""")
-ORACLE["join_order_payments"] = _w("""select o.order_id, o.order_amount_eur, t.transaction_count, t.refunded_amount_eur
-  from stg_orders o left join payments t on o.order_id = t.order_id""")
+ORACLE["join_customer_stats"] = _w("""select customer_id, email, n as lifetime_order_count, latest as last_order_at
+  from stg_customers left join customer_orders using (customer_id)""")
+# An order without payments has neither count nor sum; one whose payments were all kept has 0 refunded.
+ORACLE["join_order_payments"] = _w(f"""select order_id, order_amount_eur, s.n as transaction_count,
+  case when s.n > 0 then {m.zero_eur('b.eur')} end as refunded_amount_eur
+  from stg_orders left join payments_seen s using (order_id) left join given_back b using (order_id)""")
 ORACLE["join_order_customer"] = _w("""select o.order_id, o.customer_id, c.customer_sk, c.customer_segment, c.is_premium_customer
   from stg_orders o left join dim_customers c on o.customer_id = c.customer_id""")
-ORACLE["join_mart"] = _w("""select c.customer_id, c.customer_status, o.lifetime_orders, o.last_order_at
-  from dim_customers c left join order_aggregates o on c.customer_id = o.customer_id""")
+ORACLE["join_mart"] = _w("""select customer_id, customer_status, n as lifetime_orders, latest as last_order_at
+  from dim_customers left join spent using (customer_id)""")
 ORACLE["semi_recent_customers"] = f"with {m.incremental_ctes()} select customer_id, lifetime_orders from mart_customer_lifetime_c"
 ORACLE["anti_orphans"] = _w("""select t.transaction_id, t.order_id from stg_transactions t
   where t.order_id is not null and not exists (select 1 from stg_orders o where o.order_id = t.order_id)""")
@@ -137,26 +139,42 @@ ORACLE["scalar_subquery_max"] = m.with_models(
 ORACLE["rolling_sum"] = _w("""select order_id, customer_id, order_date, order_amount_eur,
   cast(sum(order_amount_eur) over (partition by customer_id order by order_date
        range between interval 30 days preceding and current row) as decimal(38,2)) as order_amount_30d from stg_orders""")
-ORACLE["agg_order_stats"] = _w("""select customer_id, lifetime_order_count, cast(lifetime_order_value_eur as decimal(38,2)) as lifetime_order_value_eur,
-  first_order_at, last_order_at, distinct_order_days from order_stats""")
-ORACLE["agg_payments"] = _w("""select order_id, transaction_count, cast(paid_amount_eur as decimal(38,2)) as paid_amount_eur,
-  cast(refunded_amount_eur as decimal(38,2)) as refunded_amount_eur, last_paid_at, has_chargeback, primary_payment_method from payments""")
-_FEATS = """select customer_id, lifetime_orders, cast(lifetime_revenue_eur as decimal(38,2)) as lifetime_revenue_eur, avg_order_value_eur,
-  orders_last_7d, orders_last_30d, orders_last_90d, orders_last_365d,
-  cast(revenue_last_30d as decimal(38,2)) as revenue_last_30d, cast(revenue_last_90d as decimal(38,2)) as revenue_last_90d,
-  cast(revenue_last_365d as decimal(38,2)) as revenue_last_365d, preferred_payment_method, typical_order_size, chargeback_count,
-  cast(total_refunded_eur as decimal(38,2)) as total_refunded_eur, first_order_at, last_order_at, customer_tenure_days
-  from order_aggregates"""
-ORACLE["agg_customer_features"] = _w(_FEATS)
-ORACLE["agg_windowed_counts"] = _w(f"select customer_id, orders_last_7d, orders_last_30d, orders_last_90d, orders_last_365d from ({_FEATS}) f")
-ORACLE["agg_windowed_sums"] = _w(f"select customer_id, revenue_last_30d, revenue_last_90d, revenue_last_365d from ({_FEATS}) f")
-ORACLE["agg_basic"] = _w(f"select customer_id, lifetime_revenue_eur, avg_order_value_eur, total_refunded_eur, first_order_at, last_order_at from ({_FEATS}) f")
-ORACLE["agg_tenure"] = _w(f"select customer_id, customer_tenure_days from ({_FEATS}) f")
+# One measure at a time, each counted over the rows it is about and attached to the keys that occur.
+ORACLE["agg_order_stats"] = _w("""select customer_id, n as lifetime_order_count, eur::decimal(38,2) as lifetime_order_value_eur,
+  earliest as first_order_at, latest as last_order_at, days as distinct_order_days from customer_orders""")
+_PAYMENTS = f"""(select order_id, s.n as transaction_count, {m.zero_eur('p.eur')} as paid_amount_eur,
+    {m.zero_eur('b.eur')} as refunded_amount_eur, p.latest as last_paid_at,
+    order_id in (select order_id from stg_transactions where transaction_status = 'CHARGEBACK') as has_chargeback,
+    v.payment_method as primary_payment_method
+  from payments_seen s left join paid_for p using (order_id) left join given_back b using (order_id)
+  left join {m.most_frequent('stg_transactions', 'order_id', 'payment_method')} v using (order_id))"""
+ORACLE["agg_payments"] = _w(f"select * from {_PAYMENTS} a")
+ORACLE["agg_conditional"] = _w(f"select order_id, paid_amount_eur, refunded_amount_eur, last_paid_at from {_PAYMENTS} a")
+ORACLE["agg_bool_or"] = _w(f"select order_id, has_chargeback from {_PAYMENTS} a")
+
+
+def _windows(column: str, prefix: str, days: tuple[int, ...], cast: str) -> str:
+    """Look-back measures of every customer with delivered orders: a pivot of the long (customer, days) table."""
+    picked = ", ".join(f"coalesce(max({column}) filter (where days = {k}), 0)::{cast} as {prefix}_last_{k}d" for k in days)
+    return f"(select customer_id, {picked} from spent left join looked_back l using (customer_id) group by customer_id)"
+
+
+_N_ORDERS = _windows("l.n", "orders", (7, 30, 90, 365), "bigint")
+_REVENUE = _windows("l.eur", "revenue", (30, 90, 365), "decimal(38,2)")
+_LIFETIME = """(select customer_id, n as lifetime_orders, eur::decimal(38,2) as lifetime_revenue_eur,
+    eur::double / known as avg_order_value_eur, back::decimal(38,2) as total_refunded_eur, earliest as first_order_at,
+    latest as last_order_at, tenure::bigint as customer_tenure_days from spent)"""
+_FAVOURITES = f"""(select customer_id, a.primary_payment_method as preferred_payment_method, b.order_size_band as typical_order_size
+  from spent left join {m.most_frequent('delivered', 'customer_id', 'primary_payment_method')} a using (customer_id)
+  left join {m.most_frequent('delivered', 'customer_id', 'order_size_band')} b using (customer_id))"""
+ORACLE["agg_customer_features"] = _w(f"""select *, coalesce((select x.n from disputed x where x.customer_id = t.customer_id), 0) as chargeback_count
+  from {_LIFETIME} t join {_N_ORDERS} o using (customer_id) join {_REVENUE} r using (customer_id) join {_FAVOURITES} f using (customer_id)""")
+ORACLE["agg_windowed_counts"] = _w(f"select * from {_N_ORDERS} o")
+ORACLE["agg_windowed_sums"] = _w(f"select * from {_REVENUE} r")
+ORACLE["agg_basic"] = _w(f"select * exclude (lifetime_orders, customer_tenure_days) from {_LIFETIME} t")
+ORACLE["agg_tenure"] = _w(f"select customer_id, customer_tenure_days from {_LIFETIME} t")
+ORACLE["agg_mode"] = _w(f"select * from {_FAVOURITES} f")
 ORACLE["agg_count_distinct"] = _w("select customer_id, count(distinct order_date) as distinct_order_days from stg_orders group by customer_id")
-ORACLE["agg_conditional"] = _w("""select order_id, cast(paid_amount_eur as decimal(38,2)) as paid_amount_eur,
-  cast(refunded_amount_eur as decimal(38,2)) as refunded_amount_eur, last_paid_at from payments""")
-ORACLE["agg_bool_or"] = _w("select order_id, has_chargeback from payments")
-ORACLE["agg_mode"] = _w("select customer_id, preferred_payment_method, typical_order_size from order_aggregates")
 ORACLE["safe_divide"] = _w("""select order_id, case when cast(paid_amount_eur as double) = 0 or paid_amount_eur is null then null
   else cast(refunded_amount_eur as double) / cast(paid_amount_eur as double) end as refund_share from fct_orders""")
 ORACLE["days_between"] = _w("select customer_id, date_diff('day', cast(created_at as date), cast(updated_at as date)) as days_created_to_updated from stg_customers")
