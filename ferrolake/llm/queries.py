@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, imatch, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, tool_calls
+from . import exact_dedup, imatch, merkle, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, tool_calls
 from .common import table
 
 
@@ -49,7 +49,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op2_substring_dedup, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op8_tool_calls, op9_exact_dedup, op10_mixing)}
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_report(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_substring_dedup, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op8_tool_calls, op9_exact_dedup, op10_mixing,
+                                   op12_merkle)}
+
 
 def _secret_sql() -> str:
     """Leftmost non-overlapping matches: the gaps between them and their lengths give the positions."""
@@ -75,7 +81,48 @@ def _secret_sql() -> str:
         FROM n LEFT JOIN a USING (doc_id)"""
 
 
+# crc32 of a decimal number, bit by bit; trees climb in recursive CTEs.
+_CRC32 = """xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::UBIGINT),
+    lambda a, c: list_reduce([xor(a, c)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, (r & 1) * 3988292384 + z))), 4294967295::UBIGINT)"""
+
+
+def _merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        values = [f"{c}::VARCHAR" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+    def grown(base: str) -> str:
+        return f"""({base} UNION ALL
+          SELECT tree, level + 1, node // 16, (n + 15) // 16, sha256(string_agg('64:' || h, '' ORDER BY node))
+          FROM %s WHERE n > 1 GROUP BY tree, level, node // 16, n)"""
+
+    def runs(of: str) -> str:
+        return f"(SELECT tree, level, node // 16 AS run, list('64:' || h ORDER BY node) AS hs FROM {of} WHERE n > 1 GROUP BY ALL)"
+
+    def climb(base: str, of: str, name: str) -> str:
+        return f"""({base} UNION ALL
+          SELECT c.id, c.tree, c.level + 1, c.node // 16, sha256(array_to_string(list_transform(r.hs, lambda x, i: CASE WHEN i = c.node % 16 + 1 THEN '64:' || c.cur ELSE x END), '')),
+                 c.proof || array_to_string(list_filter(r.hs, lambda x, i: i <> c.node % 16 + 1), '')
+          FROM {name} c JOIN {of} r ON r.tree = c.tree AND r.level = c.level AND r.run = c.node // 16)"""
+
+    ended = "(SELECT * FROM {0} QUALIFY level = max(level) OVER (PARTITION BY id))"
+    return f"""
+        WITH RECURSIVE
+        d AS (SELECT doc_id, source, {leaf("text")} AS leaf, CASE WHEN {_CRC32} % 5 = 0
+                THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {leaf("text")} END AS got FROM documents),
+        s AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (ORDER BY source, doc_id, leaf) AS id,
+                row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d),
+        a AS {grown("SELECT tree, 0 AS level, pos AS node, n, leaf AS h FROM s") % "a"},
+        b AS {grown("SELECT 0::BIGINT AS tree, 0 AS level, tree AS node, (SELECT count(DISTINCT tree) FROM s) AS n, h FROM a WHERE n = 1") % "b"},
+        ra AS {runs("a")}, rb AS {runs("b")},
+        c AS {climb("SELECT id, tree, 0 AS level, pos AS node, got AS cur, '' AS proof FROM s", "ra", "c")},
+        e AS {climb(f"SELECT id, 0::BIGINT AS tree, 0 AS level, tree AS node, cur, proof FROM {ended.format('c')}", "rb", "e")}
+        SELECT s.doc_id, s.leaf, a.h AS subroot, b.h AS root, sha256(e.proof) AS proof_sha256, e.cur AS folded_root, e.cur = b.h AS verified
+        FROM s JOIN a ON a.tree = s.tree AND a.n = 1 JOIN b ON b.n = 1 JOIN {ended.format('e')} e ON e.id = s.id"""
+
+
 ORACLE = {
+    "op12_merkle": _merkle_sql(),
     "op7_secrets": _secret_sql(),
     "op9_exact_dedup": """
         WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
