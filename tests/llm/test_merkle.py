@@ -59,8 +59,7 @@ def check(spark, docs, rows):
 
 
 def test_edges(spark, edge_docs, edges, no_docs):
-    want = check(spark, edge_docs, [e[:5] for e in edges])
-    assert any(not r[-1] for r in want) and sum(r[-1] for r in want) > len(want) // 2
+    check(spark, edge_docs, [e[:5] for e in edges])
     from ferrolake.llm.merkle import merkle_report
     assert merkle_report(spark, no_docs).collect() == []
 
@@ -69,7 +68,8 @@ def test_several_levels(spark):
     """A source that holds most rows, and more sources than one run of the upper tree."""
     rows = [(i, f"Text {i} Ünï", "en", "hot" if i % 3 else f"s{i % 60}", i) for i in range(700)]
     rows += [(1000, "ALONE", None, None, None)]
-    check(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5), rows)
+    want = check(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5), rows)
+    assert 50 < sum(not r[-1] for r in want) < 250
     check(spark, spark.createDataFrame(rows[-1:], "doc_id long, text string, lang string, source string, n_chars long"), rows[-1:])
 
 
