@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, imatch, merkle, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, tool_calls
+from . import exact_dedup, imatch, merkle, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, tool_calls, vector_codes
 from .common import table
 
 
@@ -53,8 +53,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_report(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_imatch, op2_substring_dedup, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op8_tool_calls, op9_exact_dedup, op10_mixing,
-                                   op12_merkle)}
+                                   op12_merkle, op13_vector_codes)}
 
 
 def _secret_sql() -> str:
@@ -121,7 +125,34 @@ def _merkle_sql() -> str:
         FROM s JOIN a ON a.tree = s.tree AND a.n = 1 JOIN b ON b.n = 1 JOIN {ended.format('e')} e ON e.id = s.id"""
 
 
+def _codes_sql() -> str:
+    """Integers, 16 parts, two rounds of Lloyd and the last assignment, spelled out."""
+    def nearest(of: str, book: str) -> str:
+        return f"""(SELECT * FROM (SELECT r.id, r.p, r.v, c.e, list_sum(list_transform(range(1, len(r.v) + 1), lambda i: (r.v[i] - c.v[i]) * (r.v[i] - c.v[i])))::BIGINT AS dist
+            FROM {of} r JOIN {book} c ON c.p = r.p) QUALIFY row_number() OVER (PARTITION BY id, p ORDER BY dist, e) = 1)"""
+
+    def moved(near: str, book: str) -> str:
+        return f"""(SELECT c.p, c.e, coalesce(m.v, c.v) AS v FROM {book} c LEFT JOIN (
+            SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+              SELECT p, e, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM {near}) GROUP BY p, e, i) GROUP BY p, e) m
+            ON m.p = c.p AND m.e = c.e)"""
+
+    return f"""
+        WITH k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v, row_number() OVER (ORDER BY vec_id) AS id FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (SELECT id, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS v FROM k, (SELECT unnest(range(16)) AS p)),
+        b0 AS MATERIALIZED (SELECT p, id - 1 AS e, v FROM parts WHERE id <= 64),
+        n0 AS MATERIALIZED {nearest("parts", "b0")}, b1 AS MATERIALIZED {moved("n0", "b0")},
+        n1 AS MATERIALIZED {nearest("parts", "b1")}, b2 AS MATERIALIZED {moved("n1", "b1")},
+        n2 AS MATERIALIZED {nearest("parts", "b2")},
+        coded AS (SELECT id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error FROM n2 GROUP BY id)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256
+        FROM k JOIN coded USING (id)"""
+
+
 ORACLE = {
+    "op13_vector_codes": _codes_sql(),
     "op12_merkle": _merkle_sql(),
     "op7_secrets": _secret_sql(),
     "op9_exact_dedup": """
