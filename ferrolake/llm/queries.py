@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, imatch, merkle, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, tool_calls, vector_codes
+from . import exact_dedup, imatch, maxent_lm, merkle, mixing, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, tool_calls, vector_codes
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.lm_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_report(spark, table(spark, sf_dir, "documents"))
 
@@ -58,7 +62,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_imatch, op2_substring_dedup, op3_near_dedup, op4_sentencepiece, op5_pii, op6_quality, op7_secrets, op8_tool_calls, op9_exact_dedup, op10_mixing,
-                                   op12_merkle, op13_vector_codes)}
+                                   op11_maxent_lm, op12_merkle, op13_vector_codes)}
 
 
 def _secret_sql() -> str:
