@@ -49,6 +49,7 @@ FEATURES, CLASS_BITS, CELL_BITS = 4, 13, 15   # rows of each feature in the two
 BLOCK = 1024                  # rows of the weight table that travel together
 ROUNDS, RATE, START = 2, 0.5, 1.0
 STEP, TOKEN_BITS = 8192, 14   # tokens a step: from 2^13 on, less than 2^14
+FEW = 4                       # tokens of a row that are added one by one
 TOP = 60.0                    # logits stop here
 CACHED = 1 << 20              # words a task remembers
 ABSENT = -30.0                # bias of cells that hold no word
@@ -203,15 +204,17 @@ class Trainer:
         row, token = key >> TOKEN_BITS, key & ((1 << TOKEN_BITS) - 1)
         first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         size = np.diff(np.r_[first, len(row)])
-        once, more = first[size == 1], np.repeat(size > 1, size)
-        self._move(i, row[once], np.take(slope, token[once], axis=0), 1)
-        if more.any():
-            row, token, size = row[more], token[more], size[size > 1]
-            last = np.cumsum(size) - 1
-            run = np.cumsum(np.take(slope, token, axis=0), axis=0, dtype=np.float64)
-            run = np.take(run, last, axis=0)
-            run[1:] -= run[:-1].copy()
-            self._move(i, row[last], run.astype(np.float32), size)
+        for few in range(1, FEW + 1):   # most rows have few tokens
+            at = first[size == few]
+            grad = np.take(slope, token[at], axis=0)
+            for k in range(1, few):
+                grad += np.take(slope, token[at + k], axis=0)
+            self._move(i, row[at], grad, few)
+        many = size > FEW
+        if many.any():
+            held, size = np.repeat(many, size), size[many]
+            row, token, at = row[held], token[held], np.r_[0, np.cumsum(size)[:-1]]
+            self._move(i, row[at], np.add.reduceat(np.take(slope, token, axis=0), at, axis=0), size)
 
     def _move(self, i: int, row: np.ndarray, grad: np.ndarray, size) -> None:
         squares = self.squares[i][row] + np.einsum("ij,ij->i", grad, grad)
