@@ -159,11 +159,19 @@ class PartitionedTable:
         names = [d.split("=", 1)[1] for d in (self.current() or {})]
         return sorted(n for n in names if n != _NULL_PARTITION)
 
+    def versions(self) -> list[str]:
+        return self.manifests()
+
+    def version(self, name: str | None) -> DataFrame | None:
+        """The rows as one manifest committed them; None if there is no such manifest."""
+        return self._rows(self._manifest(name)) if name in self.manifests() else None
+
     def read(self, only: Sequence[str] | None = None) -> DataFrame | None:
         """The committed rows (of the given partition folders only)."""
         now = self.current()
-        if now is None:
-            return None
+        return None if now is None else self._rows(now, only)
+
+    def _rows(self, now: dict[str, int], only: Sequence[str] | None = None) -> DataFrame:
         schema = self.spark.read.parquet(f"{self.path}/schema").schema
         paths = [f"{self.path}/data/version={v}/{d}" for d, v in sorted(now.items()) if only is None or d in only]
         if not paths:
@@ -182,13 +190,16 @@ class PartitionedTable:
         version = self._next()
         if not exists(self.spark, f"{self.path}/schema/_SUCCESS"):
             df.limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")
-        partitioned_write(df, f"{self.path}/data/version={version}", self.partition_col, cluster=self.cluster)
+        self._store(df, f"{self.path}/data/version={version}")
         kept = {d: v for d, v in now.items() if d not in set(replaces or ())}
         new = {d: version for d in list_dirs(self.spark, f"{self.path}/data/version={version}") if "=" in d}
         rows = sorted({**kept, **new}.items())
         (self.spark.createDataFrame(rows, "partition string, version long").coalesce(1)
          .write.mode("overwrite").parquet(f"{self.path}/manifests/m{version:08d}"))
 
+    def _store(self, df: DataFrame, path: str) -> None:
+        partitioned_write(df, path, self.partition_col, cluster=self.cluster)
+
     def upsert(self, source: DataFrame, key: str) -> list[str]:
         """Merge ``source`` by ``key``; returns the rewritten partition folders.
 
@@ -216,12 +227,12 @@ class PartitionedTable:
         delete(self.spark, stage)
         return sorted(self.current())
 
-    def vacuum(self, keep: int = 2) -> None:
-        """Delete manifests but the newest ``keep``, and versions and partitions that none of those names."""
-        names = self.manifests()[-keep:]
+    def vacuum(self, keep: int = 2, pinned: str | None = None) -> None:
+        """Delete manifests but the newest ``keep`` and ``pinned``, and versions and partitions that none of those names."""
+        names = [n for i, n in enumerate(reversed(self.manifests())) if i < keep or n == pinned][::-1]
         used = {(v, d) for n in names for d, v in self._manifest(n).items()}
         for n in list_dirs(self.spark, f"{self.path}/manifests"):
-            if names and n < names[0]:
+            if names and n < names[-1] and n not in names:
                 delete(self.spark, f"{self.path}/manifests/{n}")
         last = int(names[-1][1:]) if names else 0
         for folder in list_dirs(self.spark, f"{self.path}/data"):

@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from ..operators.audit import audit_append, write_run
 from ..operators.history import snapshot_scd2
 from ..operators.publish import changed_rows, publish, to_records
-from ..operators.upsert import VersionedTable
-from . import pipeline
+from ..operators.upsert import PartitionedTable, VersionedTable
+from . import pipeline, silver
 from .reports import dq_report, freshness_report
+from .winners import Winners
 
-VERSIONED = ("silver/stg_orders", "silver/stg_customers", "silver/stg_transactions", "gold/dim_customers",
-             "gold/customer_history")
+VERSIONED = ("gold/dim_customers", "gold/customer_history")
 
 
 class StaleSourceError(RuntimeError):
@@ -38,7 +38,7 @@ class DailyResult:
     n_published: int
 
 
-def publish_changes(spark: SparkSession, mart_table: VersionedTable, root: str, sink: str = "parquet",
+def publish_changes(spark: SparkSession, mart_table: VersionedTable | PartitionedTable, root: str, sink: str = "parquet",
                     options: dict | None = None) -> tuple[DataFrame, int]:
     """Send the customers whose features differ from the version published last; then note the version.
 
@@ -67,7 +67,7 @@ def run_daily(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: st
     if stale:   # at most one row per source
         raise StaleSourceError(f"sources past the error threshold: {stale}")
 
-    mart_table = VersionedTable(spark, f"{root}/gold/mart_customer_lifetime")
+    mart_table = pipeline.mart_table(spark, root)
     tables = dict(pipeline.run_incremental(spark, bronze, as_of, root).tables)
     history = VersionedTable(spark, f"{root}/gold/customer_history")
     history.write(snapshot_scd2(history.read(), tables["stg_customers"], "customer_id"))
@@ -81,5 +81,7 @@ def run_daily(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: st
     for name in VERSIONED:
         VersionedTable(spark, f"{root}/{name}").vacuum(keep=2)
     pipeline.fact_table(spark, root).vacuum(keep=2)
+    for feed in silver.RANKS:
+        Winners(spark, root, feed).table.vacuum(keep=2)
     quality = spark.read.parquet(f"{root}/reports/dq_report").where(F.col("run_at") == run_at)
     return DailyResult(fresh, tables, quality, records, n)

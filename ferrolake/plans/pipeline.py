@@ -2,13 +2,14 @@
 
 ``models(...)`` returns lazy DataFrames (one plan, nothing stored). ``run_full`` and
 ``run_incremental`` are the daily jobs: each layer is written once to Parquet and read back, so
-Silver (read by two Gold models) is computed once, every later stage starts from stored files
+deduplication (read by two Gold models) is done once, every later stage starts from stored files
 (lineage is cut, a lost executor only recomputes from the last stored layer), and the previous
-run's Gold tables are real tables the incremental run merges into.
+run's tables are real tables the incremental run merges into. Silver stays a view: a projection and
+filter over the kept winners of each feed.
 
-Storage under ``root``: ``silver/<model>/v*`` and ``gold/dim_customers/v*``,
-``gold/mart_customer_lifetime/v*`` (versioned full writes), ``gold/fct_orders`` (partitioned by
-``order_date``, upserted partition by partition, each change committed by a manifest).
+Storage under ``root``: ``winners/<feed>`` (hash buckets of the key, a batch is merged into), ``gold/dim_customers/v*``
+(versioned full writes), ``gold/fct_orders`` (partitioned by ``order_date``, upserted partition by partition) and
+``gold/mart_customer_lifetime`` (hash buckets, upserted bucket by bucket); changes are committed by a manifest.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.bucketed import BucketedTable
 from ..operators.layout import layout_by
-from ..operators.upsert import PartitionedTable, VersionedTable, merge
+from ..operators.upsert import PartitionedTable, VersionedTable
 from ..session import scratch_path
 from ..sources import derived
 from . import gold, silver
+from .winners import Winners, advance
 
 # The evaluation clock of the test fixtures, and the earlier run used by incremental scenarios.
 AS_OF = "2001-07-01 00:00:00"
@@ -52,15 +55,17 @@ def _store(spark: SparkSession, df: DataFrame, path: str, cluster=()) -> DataFra
     return table.read()
 
 
-def _silver_and_dim(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str,
-                    models_: tuple[str, ...] = ("stg_orders", "stg_customers", "stg_transactions")) -> dict[str, DataFrame]:
-    views = silver.silver(bronze, as_of)
-    out = {n: (_store(spark, df, f"{root}/silver/{n}") if n in models_ else df) for n, df in views.items()}
+def _silver_and_dim(spark: SparkSession, winners: dict[str, DataFrame], as_of, root: str) -> dict[str, DataFrame]:
+    out = silver.views(winners, as_of)
     dim = gold.dim_customers(out["stg_customers"], out["stg_orders"], as_of)
     out["dim_customers"] = _store(spark, dim, f"{root}/gold/dim_customers", cluster=["customer_id"])
     return out
 
 
+def mart_table(spark: SparkSession, root: str) -> BucketedTable:
+    return BucketedTable(spark, f"{root}/gold/mart_customer_lifetime", "customer_id", within=MART_CLUSTER)
+
+
 def fact_table(spark: SparkSession, root: str) -> PartitionedTable:
     return PartitionedTable(spark, f"{root}/gold/fct_orders", "order_date", cluster=FACT_CLUSTER)
 
@@ -80,13 +85,16 @@ def fact_lookback_bound(fact: PartitionedTable, days: int = gold.LOOKBACK_DAYS):
 
 def run_full(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> dict[str, DataFrame]:
     """Full rebuild of every layer (also the cure for everything the look-back misses)."""
-    out = _silver_and_dim(spark, bronze, as_of, root)
-    fct = gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of)
+    winners = {feed: Winners(spark, root, feed) for feed in silver.RANKS}
+    for feed, kept in winners.items():
+        kept.rebuild(bronze[feed])
+    out = _silver_and_dim(spark, {feed: kept.read() for feed, kept in winners.items()}, as_of, root)
     fact = fact_table(spark, root)
-    fact.write(fct)
+    fact.write(gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of))
     out["fct_orders"] = fact.read()
-    mart = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of)
-    out["mart_customer_lifetime"] = _store(spark, mart, f"{root}/gold/mart_customer_lifetime", cluster=MART_CLUSTER)
+    mart = mart_table(spark, root)
+    mart.write(gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of))
+    out["mart_customer_lifetime"] = mart.read()
     return out
 
 
@@ -97,34 +105,30 @@ class IncrementalRun:
     mart_batch: DataFrame          # customers with recent fulfilled orders
 
 
-def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str) -> IncrementalRun:
-    """Incremental run into the tables of an earlier run under ``root`` (full mode if none)."""
-    fact = fact_table(spark, root)
-    mart_table = VersionedTable(spark, f"{root}/gold/mart_customer_lifetime")
-    if not fact.exists() or mart_table.read() is None:
+def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str,
+                    new: dict[str, DataFrame] | None = None) -> IncrementalRun:
+    """Incremental run into the tables of an earlier run under ``root`` (full mode if none).
+
+    ``new``: the Bronze rows that arrived since then, for callers that know them (a stream, a list of files); else
+    they are found by their ingestion time.
+    """
+    fact, mart = fact_table(spark, root), mart_table(spark, root)
+    if not fact.exists() or not mart.exists():
         out = run_full(spark, bronze, as_of, root)
         return IncrementalRun(out, out["fct_orders"], out["mart_customer_lifetime"])
-    # Silver orders and customers feed the full dimension, so they are stored; Silver payments stay
-    # a view (what quality checks read) and the fact batch reads only its own orders' payments.
-    out = _silver_and_dim(spark, bronze, as_of, root, models_=("stg_orders", "stg_customers"))
+    out = _silver_and_dim(spark, advance(spark, root, bronze, new), as_of, root)
     bound = fact_lookback_bound(fact)
-    if bound is None:   # empty target: the batch is every order
-        payments = out["stg_transactions"]
-    else:
-        batch_orders = out["stg_orders"].where(F.col("order_timestamp") >= bound).select("order_id")
-        payments = silver.stg_transactions_for_orders(bronze["raw_transactions"], batch_orders, as_of)
-    fct_batch = gold.fct_orders(out["stg_orders"], payments, out["dim_customers"], as_of, target=fact.read(),
+    fct_batch = gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of, target=fact.read(),
                                 bound=bound)
     fact.upsert(fct_batch, "order_id")
     out["fct_orders"] = fact.read()
-    previous = mart_table.read()
-    mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of, target=previous)
-    # The batch feeds both sides of the merge: it is stored once, and the merged mart is clustered.
+    # The batch is stored once: it is merged, and the caller may look at it.
+    mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of, target=mart.read())
     stage = scratch_path(spark, "mart-batch")
     mart_batch.write.parquet(stage)
-    mart_batch = spark.read.parquet(stage)
-    mart_table.write(layout_by(merge(previous, mart_batch, "customer_id"), MART_CLUSTER))
-    out["mart_customer_lifetime"] = mart_table.read()
+    mart_batch = spark.read.schema(mart_batch.schema).parquet(stage)
+    mart.upsert(mart_batch.where(F.col("customer_id").isNotNull()))
+    out["mart_customer_lifetime"] = mart.read()
     return IncrementalRun(out, fct_batch, mart_batch)
 
 

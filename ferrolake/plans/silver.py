@@ -42,30 +42,40 @@ def _keyed(raw: DataFrame, *keys: str) -> DataFrame:
     return raw
 
 
+# How the versions of a key are ranked, first wins; all other columns follow, ascending.
+RANKS = {"raw_orders": ("order_id", [("_ingestion_timestamp", "desc"), ("_source_file", "desc")]),
+         "raw_customers": ("customer_id", [("updated_at", "desc"), ("_ingestion_timestamp", "desc")]),
+         "raw_transactions": ("transaction_id", [("_ingestion_timestamp", "desc"), ("transaction_amount_eur", "desc"),
+                                                 ("payment_method", "asc"), ("transaction_status", "asc")])}
+_IDS = {"raw_orders": ("order_id", "customer_id"), "raw_customers": ("customer_id",), "raw_transactions": ("transaction_id", "order_id")}
+
+
+def dedup(feed: str, raw: DataFrame) -> DataFrame:
+    """The newest version of every key of a Bronze feed."""
+    key, rank = RANKS[feed]
+    order = [F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_first() for c, way in rank]
+    return keep_latest(_keyed(raw, *_IDS[feed]), key, order)
+
+
 def dedup_orders(raw_orders: DataFrame) -> DataFrame:
-    return keep_latest(_keyed(raw_orders, "order_id", "customer_id"), "order_id",
-                       [F.col("_ingestion_timestamp").desc_nulls_last(), F.col("_source_file").desc_nulls_last()])
+    return dedup("raw_orders", raw_orders)
 
 
 def dedup_customers(raw_customers: DataFrame) -> DataFrame:
-    return keep_latest(_keyed(raw_customers, "customer_id"), "customer_id",
-                       [F.col("updated_at").desc_nulls_last(), F.col("_ingestion_timestamp").desc_nulls_last()])
+    return dedup("raw_customers", raw_customers)
 
 
 def dedup_transactions(raw_transactions: DataFrame) -> DataFrame:
-    return keep_latest(_keyed(raw_transactions, "transaction_id", "order_id"), "transaction_id",
-                       [F.col("_ingestion_timestamp").desc_nulls_last(),
-                        F.col("transaction_amount_eur").desc_nulls_last(),
-                        F.col("payment_method").asc_nulls_first(), F.col("transaction_status").asc_nulls_first()])
+    return dedup("raw_transactions", raw_transactions)
 
 
-def stg_orders(raw_orders: DataFrame, as_of) -> DataFrame:
+def orders_of(winners: DataFrame, as_of) -> DataFrame:
     """One row per order: the newest ingested event, unless it is a test record or future-dated.
 
     ``NOT IN`` drops a NULL status (NULL NOT IN (...) is NULL); a NULL amount lands in the last band.
     """
     ts = F.col("order_timestamp").try_cast("timestamp")
-    return (dedup_orders(raw_orders)
+    return (winners
             .where(~norm_upper("order_status").isin(TEST_STATUSES))
             .where(ts <= _now(as_of))
             .select(
@@ -81,9 +91,9 @@ def stg_orders(raw_orders: DataFrame, as_of) -> DataFrame:
                 _now(as_of).alias("_dbt_loaded_at")))
 
 
-def stg_customers(raw_customers: DataFrame, as_of) -> DataFrame:
+def customers_of(winners: DataFrame, as_of) -> DataFrame:
     """One row per customer from the CRM snapshots: the latest ``updated_at`` wins."""
-    return (dedup_customers(raw_customers)
+    return (winners
             .where(F.col("customer_id").isNotNull() & (F.col("customer_id").cast("string") != ""))
             .select(
                 to_key("customer_id").alias("customer_id"),
@@ -100,12 +110,12 @@ def stg_customers(raw_customers: DataFrame, as_of) -> DataFrame:
                 _now(as_of).alias("_dbt_loaded_at")))
 
 
-def stg_transactions(raw_transactions: DataFrame, as_of) -> DataFrame:
+def transactions_of(winners: DataFrame, as_of) -> DataFrame:
     """One row per payment: newest ingested event, kept only with a key and a positive amount."""
     ts = F.col("transaction_timestamp").try_cast("timestamp")
     status = norm_upper("transaction_status")
     method = norm_upper("payment_method")
-    return (dedup_transactions(raw_transactions)
+    return (winners
             .where(F.col("transaction_id").isNotNull())
             .where(F.col("transaction_amount_eur").try_cast("decimal(18,2)") > 0)
             .select(
@@ -122,12 +132,26 @@ def stg_transactions(raw_transactions: DataFrame, as_of) -> DataFrame:
                 _now(as_of).alias("_dbt_loaded_at")))
 
 
+def stg_orders(raw_orders: DataFrame, as_of) -> DataFrame:
+    return orders_of(dedup_orders(raw_orders), as_of)
+
+
+def stg_customers(raw_customers: DataFrame, as_of) -> DataFrame:
+    return customers_of(dedup_customers(raw_customers), as_of)
+
+
+def stg_transactions(raw_transactions: DataFrame, as_of) -> DataFrame:
+    return transactions_of(dedup_transactions(raw_transactions), as_of)
+
+
+def views(winners: dict[str, DataFrame], as_of) -> dict[str, DataFrame]:
+    """The Silver models over the winning versions of each feed."""
+    return {"stg_orders": orders_of(winners["raw_orders"], as_of), "stg_customers": customers_of(winners["raw_customers"], as_of),
+            "stg_transactions": transactions_of(winners["raw_transactions"], as_of)}
+
+
 def silver(bronze: dict[str, DataFrame], as_of) -> dict[str, DataFrame]:
-    return {
-        "stg_orders": stg_orders(bronze["raw_orders"], as_of),
-        "stg_customers": stg_customers(bronze["raw_customers"], as_of),
-        "stg_transactions": stg_transactions(bronze["raw_transactions"], as_of),
-    }
+    return views({feed: dedup(feed, bronze[feed]) for feed in RANKS}, as_of)
 
 
 def stg_transactions_for_orders(raw_transactions: DataFrame, order_ids: DataFrame, as_of) -> DataFrame:
