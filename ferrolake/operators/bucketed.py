@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .upsert import PartitionedTable, _partition_dir, delete, exists
+from .files import delete, exists
+from .upsert import PartitionedTable, _partition_dir
 
 BUCKET, KEY = "bucket_no", "key_hashed"
 

@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+from .files import delete
+
 SAMPLE_VALUES = 4096   # distinct values from which a string column's cut points are taken
 
 
@@ -75,7 +78,8 @@ def _row_hash(df: DataFrame) -> Column:
 
 def layout_by(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None,
               within: Sequence[str] = ()) -> DataFrame:
-    """Cluster rows on one or two columns before a write (``within`` = leading partition columns)."""
+    """Cluster rows on one or two columns before a write (``within`` = leading partition columns). ``df`` is read for
+    each cut point and again for the ranges: give it stored rows, or use ``clustered_write``."""
     cols = list(cols)
     n = num_partitions
     if len(cols) == 1:
@@ -96,12 +100,28 @@ def spread_by(df: DataFrame, partition_col: str, num_partitions: int | None = No
     return _ranged(df.withColumn("__h", _row_hash(df)), num_partitions, partition_col, "__h").drop("__h")
 
 
+def clustered_write(df: DataFrame, path: str, cols: Sequence[str] = (), partition_col: str | None = None, mode: str = "overwrite") -> None:
+    """Write ``df`` clustered on ``cols`` (inside the folders of ``partition_col``).
+
+    Cut points, the sample for the ranges and the write itself all read their input. ``df`` may be a long plan, so
+    it is worked out and stored once, and the stored rows are then laid out.
+    """
+    spark = df.sparkSession
+    stage = scratch_path(spark, "layout-stage")
+    df.write.parquet(stage)
+    rows = spark.read.schema(df.schema).parquet(stage)
+    within = [partition_col] if partition_col else []
+    out = layout_by(rows, cols, within=within) if cols else spread_by(rows, partition_col)
+    writer = out.write.mode(mode)
+    (writer.partitionBy(partition_col) if partition_col else writer).parquet(path)
+    delete(spark, stage)
+
+
 def partitioned_write(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite",
                       cluster: Sequence[str] = ()) -> None:
     """``partitionBy`` write; rows are first range-grouped by the partition column so each task
     writes few partition directories (no tiny-file explosion), optionally clustered inside them."""
-    out = layout_by(df, cluster, within=[partition_col]) if cluster else spread_by(df, partition_col)
-    out.write.mode(mode).partitionBy(partition_col).parquet(path)
+    clustered_write(df, path, cluster, partition_col, mode)
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> None:

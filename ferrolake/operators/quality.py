@@ -2,9 +2,13 @@
 ``(model, column_name, test, failing_rows, passed)``.
 
 NULL passes every test but ``not_null``; ``unique`` ignores NULL and counts duplicated values;
-``relationships`` counts child rows (non-NULL key) without a parent. All row-level tests of one
-model fold into ONE aggregate of conditional counts (one scan, partial aggregation), turned into
-rows with ``stack``; ``unique`` needs a group-by per column and ``relationships`` an anti join.
+``relationships`` counts child rows (non-NULL key) without a parent.
+
+All tests of all models share one pass and one shuffle by *tagged counting*. A row becomes events (check, key): one
+for each uniqueness test and relationship it takes part in, with the value as key, and one without a key for each
+row-level test it fails. Events are counted per (check, key), first in the map tasks, so a hot key and the failures
+of a check travel as one row per task; a second count per check gives the report. A value is duplicated if its
+count is above 1, an orphan if it was seen as a child and never as a parent. Keys are compared as values, not hashes.
 """
 
 from __future__ import annotations
@@ -58,71 +62,43 @@ def failure(check: Check) -> Column:
     return c.isNotNull() & cond
 
 
-def _rows(model_name: str, pairs: list[tuple[Check, Column]], df: DataFrame) -> DataFrame:
-    aggs = [F.count_if(pred).alias(f"f{i}") for i, (_, pred) in enumerate(pairs)]
-    stacked = ", ".join(f"'{ck.column}', '{ck.test}', f{i}" for i, (ck, _) in enumerate(pairs))
-    return df.agg(*aggs).select(
-        F.lit(model_name).alias("model"),
-        F.expr(f"stack({len(pairs)}, {stacked}) as (column_name, test, failing_rows)"))
-
-
-def row_level(df: DataFrame, checks: list[Check]) -> DataFrame | None:
-    checks = [c for c in checks if c.test in ROW_LEVEL]
-    if not checks:
-        return None
-    return _rows(checks[0].model, [(c, failure(c)) for c in checks], df)
-
-
-def unique(df: DataFrame, check: Check) -> DataFrame:
-    """Number of non-NULL values that occur more than once (partial counts before the shuffle)."""
-    dup = (df.where(F.col(check.column).isNotNull()).groupBy(check.column).count()
-           .where(F.col("count") > 1))
-    return dup.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-        F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"),
-        F.lit("unique").alias("test"), "failing_rows")
-
-
-def relationships(df: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (left anti join)."""
-    to_field = check.args["field"]
-    keys = parent.select(F.col(to_field).alias("__parent_key")).distinct()
-    orphans = (df.where(F.col(check.column).isNotNull())
-               .join(keys, F.col(check.column) == F.col("__parent_key"), "left_anti"))
-    return orphans.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-        F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"),
-        F.lit("relationships").alias("test"), "failing_rows")
+def wrong_type(df: DataFrame, check: Check) -> int:
+    """Schema-level: 0 failures when the column has the expected type, else 1."""
+    return 0 if df.schema[check.column].dataType.simpleString() == check.args["type"] else 1
 
 
-def of_type(df: DataFrame, check: Check) -> DataFrame:
-    """Schema-level: 0 failures when the column has the expected type, else 1."""
-    actual = df.schema[check.column].dataType.simpleString()
-    ok = actual == check.args["type"]
-    return df.sparkSession.createDataFrame(
-        [(check.model, check.column, "of_type", 0 if ok else 1)],
-        "model string, column_name string, test string, failing_rows bigint")
+def _event(check: int, key: Column, child: int, parent: int, when: Column) -> Column:
+    return F.when(when, F.struct(F.lit(check).alias("check"), key.cast("string").alias("key"),
+                                 F.lit(child).cast("long").alias("child"), F.lit(parent).cast("long").alias("parent")))
 
 
 def run_checks(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Evaluate checks over the named models; one row per check."""
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for ck in checks:
-        by_model.setdefault(ck.model, []).append(ck)
-    for model_name, cks in by_model.items():
-        df = models[model_name]
-        rl = row_level(df, cks)
-        if rl is not None:
-            parts.append(rl)
-        for ck in cks:
-            if ck.test == "unique":
-                parts.append(unique(df, ck))
-            elif ck.test == "relationships":
-                parts.append(relationships(df, ck, models[ck.args["to"]]))
-            elif ck.test == "of_type":
-                parts.append(of_type(df, ck))
-    if not parts:
-        spark = next(iter(models.values())).sparkSession
+    """Evaluate checks over the named models; one row per check. Every model is read once."""
+    spark = next(iter(models.values())).sparkSession
+    if not checks:
         return spark.createDataFrame([], REPORT_SCHEMA)
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select("model", "column_name", "test", F.col("failing_rows").cast("bigint").alias("failing_rows"),
-                      (F.col("failing_rows") == 0).alias("passed"))
+    events: dict[str, list[Column]] = {}
+    for i, ck in enumerate(checks):
+        value = F.col(ck.column)
+        if ck.test in ROW_LEVEL:
+            events.setdefault(ck.model, []).append(_event(i, F.lit(""), 1, 0, failure(ck)))
+        elif ck.test in ("unique", "relationships"):
+            events.setdefault(ck.model, []).append(_event(i, value, 1, 0, value.isNotNull()))
+        if ck.test == "relationships":
+            key = F.col(ck.args["field"])
+            events.setdefault(ck.args["to"], []).append(_event(i, key, 0, 1, key.isNotNull()))
+    parts = [models[m].select(F.inline(F.array_compact(F.array(*cols)))) for m, cols in events.items()]
+    rows = [(i, ck.model, ck.column, ck.test, wrong_type(models[ck.model], ck) if ck.test == "of_type" else 0) for i, ck in enumerate(checks)]
+    report = spark.createDataFrame(rows, "check int, model string, column_name string, test string, schema_failures long")
+    if parts:
+        keys = reduce(DataFrame.unionAll, parts).groupBy("check", "key").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+
+        def of(kind: str) -> Column:
+            return F.col("check").isin([i for i, ck in enumerate(checks) if ck.test == kind])
+        failing = (F.when(of("unique"), F.when(F.col("child") > 1, 1).otherwise(0))
+                   .when(of("relationships"), F.when(F.col("parent") == 0, F.col("child")).otherwise(0)).otherwise(F.col("child")))
+        report = report.join(keys.groupBy("check").agg(F.sum(failing).alias("found")), "check", "left")
+    else:
+        report = report.withColumn("found", F.lit(0))
+    n = (F.coalesce("found", F.lit(0)) + F.col("schema_failures")).cast("bigint")
+    return report.select("model", "column_name", "test", n.alias("failing_rows"), (n == 0).alias("passed"))

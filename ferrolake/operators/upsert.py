@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .layout import partitioned_write
+from .files import delete, exists, list_dirs
+from .layout import clustered_write, partitioned_write
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -41,31 +42,6 @@ def merge(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> Dat
     return kept.unionByName(src.select(*target.columns))
 
 
-# ---------------------------------------------------------------- file system access
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
 # ---------------------------------------------------------------- versioned table
 
 class VersionedTable:
@@ -90,10 +66,13 @@ class VersionedTable:
         cur = self.current_path()
         return self.spark.read.parquet(cur) if cur else None
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
+    def write(self, df: DataFrame, partition_by: Sequence[str] = (), cluster: Sequence[str] = ()) -> str:
         names = [n for n in list_dirs(self.spark, self.path) if n.startswith("v")]
         nxt = (int(names[-1][1:]) + 1) if names else 1
         out = f"{self.path}/v{nxt:06d}"
+        if cluster:
+            clustered_write(df, out, cluster)
+            return out
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -440,9 +440,9 @@ def _silver_view(spark, sf_dir):
 @query("gold_overwrite")
 def _gold_overwrite(spark, sf_dir):
     """The dimension materialised as a full overwrite, clustered on customer_id, read back."""
-    from ..operators.layout import layout_by
+    from ..operators.layout import clustered_write
     path = _scratch(spark, "dim_customers")
-    layout_by(_models(spark, sf_dir)["dim_customers"], ["customer_id"]).write.mode("overwrite").parquet(path)
+    clustered_write(_models(spark, sf_dir)["dim_customers"], path, ["customer_id"])
     return spark.read.parquet(path)
 
 
@@ -462,10 +462,9 @@ def _partitioned_write(spark, sf_dir):
 @query("layout_by")
 def _layout_by(spark, sf_dir):
     """Mart clustered on (customer_segment, customer_status) by z-value, written and read back."""
-    from ..operators.layout import layout_by
+    from ..operators.layout import clustered_write
     path = _scratch(spark, "mart_layout")
-    layout_by(_models(spark, sf_dir)["mart_customer_lifetime"], ["customer_segment", "customer_status"]) \
-        .write.mode("overwrite").parquet(path)
+    clustered_write(_models(spark, sf_dir)["mart_customer_lifetime"], path, ["customer_segment", "customer_status"])
     return spark.read.parquet(path)
 
 

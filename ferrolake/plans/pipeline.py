@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.bucketed import BucketedTable
-from ..operators.layout import layout_by
 from ..operators.upsert import PartitionedTable, VersionedTable
 from ..session import scratch_path
 from ..sources import derived
@@ -51,7 +50,7 @@ def models_from_tables(spark: SparkSession, sf_dir: str, as_of=AS_OF, cutoff=Non
 
 def _store(spark: SparkSession, df: DataFrame, path: str, cluster=()) -> DataFrame:
     table = VersionedTable(spark, path)
-    table.write(layout_by(df, cluster) if cluster else df)
+    table.write(df, cluster=cluster)
     return table.read()
 
 

@@ -69,8 +69,8 @@ def with_event_date(raw_transactions: DataFrame) -> DataFrame:
 
 def write_raw_transactions(raw_transactions: DataFrame, path: str, mode: str = "append") -> None:
     """Store the payment feed partitioned by ``event_date`` so date filters prune directories."""
-    from ..operators.layout import spread_by
-    spread_by(with_event_date(raw_transactions), "event_date").write.mode(mode).partitionBy("event_date").parquet(path)
+    from ..operators.layout import partitioned_write
+    partitioned_write(with_event_date(raw_transactions), path, "event_date", mode)
 
 
 def ingested_until(raw: DataFrame, cutoff) -> DataFrame:

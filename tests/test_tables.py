@@ -41,7 +41,7 @@ def test_partition_upsert_moves_a_key_and_drops_emptied_partition(spark):
 
 
 def _fail_at(monkeypatch, step):
-    """Make the n-th write of an upsert fail: stage, data, manifest."""
+    """Make the n-th write of an upsert fail: stage, rows to be laid out, data, manifest."""
     from pyspark.sql.readwriter import DataFrameWriter
     real, seen = DataFrameWriter.parquet, []
 
@@ -59,7 +59,7 @@ def test_interrupted_upsert_changes_nothing_and_reruns(spark, monkeypatch):
     start = [("a", "2001-01-01", 1), ("b", "2001-01-01", 1), ("c", "2001-01-20", 1)]
     batch = _fact(spark, [("a", "2001-01-04", 2), ("d", "2001-01-12", 2), ("c", "2001-01-20", 2)])
     want = [("a", "2001-01-04", 2), ("b", "2001-01-01", 1), ("c", "2001-01-20", 2), ("d", "2001-01-12", 2)]
-    for step in (1, 2, 3):
+    for step in (1, 2, 3, 4):
         fact = _fact_table(spark, f"t-broken-{step}")
         fact.write(_fact(spark, start))
         with monkeypatch.context() as m:
@@ -70,7 +70,7 @@ def test_interrupted_upsert_changes_nothing_and_reruns(spark, monkeypatch):
         fact.upsert(batch, "order_id")
         assert _rows(fact.read()) == want
     with monkeypatch.context() as m:   # a full rewrite that dies before its manifest
-        _fail_at(m, 2)
+        _fail_at(m, 3)
         with pytest.raises(RuntimeError):
             fact.write(_fact(spark, start))
     assert _rows(fact.read()) == want
@@ -90,6 +90,22 @@ def test_upsert_evaluates_its_source_once(spark):
     assert seen.value == 2
 
 
+def test_clustered_writes_work_out_their_input_once(spark):
+    from ferrolake.operators.layout import clustered_write, partitioned_write
+    rows = spark.range(60).selectExpr("cast(id % 7 as string) a", "cast(id as int) b", "date'2001-01-01' + cast(id % 3 as int) d")
+    for write in (lambda df, p: clustered_write(df, p, ["a", "b"]), lambda df, p: clustered_write(df, p, ["a"]),
+                  lambda df, p: partitioned_write(df, p, "d"), lambda df, p: partitioned_write(df, p, "d", cluster=["a", "b"])):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(parts):
+            for p in parts:
+                seen.add(len(p))
+                yield p
+        path = scratch_path(spark, "t-eval")
+        write(rows.mapInPandas(count, rows.schema), path)
+        assert seen.value == 60 and spark.read.parquet(path).count() == 60
+
+
 def test_versioned_table_upsert_and_full_mode(spark):
     table = VersionedTable(spark, scratch_path(spark, "t-mart"))
     assert table.read() is None
