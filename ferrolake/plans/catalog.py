@@ -598,16 +598,17 @@ def _bronze_ingest_stream(spark, sf_dir):
 
 @query("late_data_lookback")
 def _late_data_lookback(spark, sf_dir):
-    """Two daily runs fed by a stream of Bronze order files: the previous run's files, then the
-    rest; each micro-batch upserts the look-back window of the partitioned fact."""
+    """Two daily runs fed by a stream of order files: the previous run's files, then the rest. The stream's state holds
+    the newest version of every order; each micro-batch upserts the look-back window of the partitioned fact."""
     from pyspark.sql import functions as F
 
-    from ..streaming.ingest import ingest_with
-    from ..streaming.late_data import fact_upsert_handler
+    from ..operators.upsert import PartitionedTable, VersionedTable
     from ..sources.bronze import RAW_ORDERS_SCHEMA
-    landing, bronze_dir = _scratch(spark, "landing_late"), _scratch(spark, "bronze_late")
-    from ..operators.upsert import PartitionedTable
-    fact, ckpt = PartitionedTable(spark, _scratch(spark, "fct_late"), "order_date"), _scratch(spark, "ckpt_late")
+    from ..streaming.ingest import landing_stream
+    from ..streaming.late_data import fact_upsert_handler, run_changes
+    landing, ckpt = _scratch(spark, "landing_late"), _scratch(spark, "ckpt_late")
+    fact = PartitionedTable(spark, _scratch(spark, "fct_late"), "order_date")
+    waiting = VersionedTable(spark, _scratch(spark, "late_waiting"))
     orders = derived.raw_orders(spark, sf_dir)
     prev_ts = F.lit(pipeline.PREV).cast("timestamp")
     runs = [(pipeline.PREV, orders.where(F.col("_ingestion_timestamp") <= prev_ts), pipeline.PREV),
@@ -618,8 +619,8 @@ def _late_data_lookback(spark, sf_dir):
         def others(c=cutoff):
             return {"raw_customers": derived.raw_customers(spark, sf_dir, c),
                     "raw_transactions": derived.raw_transactions(spark, sf_dir, c)}
-        handler = fact_upsert_handler(spark, bronze_dir, fact, others, lambda a=as_of: a)
-        ingest_with(spark, landing, RAW_ORDERS_SCHEMA, ckpt, handler)
+        handler = fact_upsert_handler(spark, fact, waiting, others, lambda a=as_of: a)
+        run_changes(landing_stream(spark, landing, RAW_ORDERS_SCHEMA), "raw_orders", ckpt, handler)
     return fact.read()
 
 

@@ -50,11 +50,15 @@ RANKS = {"raw_orders": ("order_id", [("_ingestion_timestamp", "desc"), ("_source
 _IDS = {"raw_orders": ("order_id", "customer_id"), "raw_customers": ("customer_id",), "raw_transactions": ("transaction_id", "order_id")}
 
 
+def keyed(feed: str, raw: DataFrame) -> DataFrame:
+    return _keyed(raw, *_IDS[feed])
+
+
 def dedup(feed: str, raw: DataFrame) -> DataFrame:
     """The newest version of every key of a Bronze feed."""
     key, rank = RANKS[feed]
     order = [F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_first() for c, way in rank]
-    return keep_latest(_keyed(raw, *_IDS[feed]), key, order)
+    return keep_latest(keyed(feed, raw), key, order)
 
 
 def dedup_orders(raw_orders: DataFrame) -> DataFrame:
