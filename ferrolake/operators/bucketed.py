@@ -84,17 +84,27 @@ class BucketedTable(PartitionedTable):
                 self.spark.sql(f"ALTER TABLE {name} ADD " + " ".join(places))
         return self.spark.table(name)
 
-    def merged(self, batch: DataFrame, touched: Sequence[int], better: Callable[[str, str], Column] | None = None) -> DataFrame:
+    def merged(self, batch: DataFrame, touched: Sequence[int], better: Callable[[str, str], Column] | None = None,
+               combine: Callable[[str, Column, Column], Column] | None = None) -> DataFrame:
         """The touched buckets after the batch (one row per key): one join, in which only the batch moves."""
         old = self.stored().where(F.col(BUCKET).isin(list(touched))).alias("o")
         new = batch.repartition(self.buckets, KEY).alias("n")   # dealt out as the stored buckets are
         wins = F.col(f"o.{KEY}").isNull() if better is None else F.col(f"o.{KEY}").isNull() | better("n", "o")
         wins = F.col(f"n.{KEY}").isNotNull() & (F.lit(True) if better is None else wins)
-        cols = [F.when(wins, F.col(f"n.`{c}`")).otherwise(F.col(f"o.`{c}`")).alias(c) for c in self.stored().columns]
+
+        def value(c: str) -> Column:
+            a, b = F.col(f"n.`{c}`"), F.col(f"o.`{c}`")
+            if combine is not None:
+                return F.coalesce(a, b) if c in (KEY, BUCKET) else combine(c, a, b)
+            return F.when(wins, a).otherwise(b)
+
+        cols = [value(c).alias(c) for c in self.stored().columns]
         return old.join(new, F.col(f"o.{KEY}") == F.col(f"n.{KEY}"), "full_outer").select(*cols)
 
-    def upsert(self, source: DataFrame, key: str | None = None, better: Callable[[str, str], Column] | None = None) -> list[str]:
-        """Merge ``source`` (one row per key), stored once first; returns the rewritten buckets."""
+    def upsert(self, source: DataFrame, key: str | None = None, better: Callable[[str, str], Column] | None = None,
+               combine: Callable[[str, Column, Column], Column] | None = None) -> list[str]:
+        """Merge ``source`` (one row per key), stored once first; returns the rewritten buckets. ``combine(name, new, stored)``
+        gives the merged value of a column where a row is not replaced as a whole (either side may be NULL)."""
         if not self.exists():
             self.write(source)
             return sorted(self.current())
@@ -104,7 +114,7 @@ class BucketedTable(PartitionedTable):
         touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())   # at most one number per bucket
         out = [_partition_dir(BUCKET, b) for b in touched]
         if touched:
-            self.write(self.merged(batch, touched, better), replaces=out)
+            self.write(self.merged(batch, touched, better, combine), replaces=out)
         delete(self.spark, stage)
         return out
 

@@ -141,9 +141,14 @@ class PartitionedTable:
     def versions(self) -> list[str]:
         return self.manifests()
 
-    def version(self, name: str | None) -> DataFrame | None:
+    def version(self, name: str | None, only: Sequence[str] | None = None) -> DataFrame | None:
         """The rows as one manifest committed them; None if there is no such manifest."""
-        return self._rows(self._manifest(name)) if name in self.manifests() else None
+        return self._rows(self._manifest(name), only) if name in self.manifests() else None
+
+    def changed_since(self, name: str) -> list[str]:
+        """Partition folders that were rewritten, added or dropped after a manifest."""
+        then, now = self._manifest(name), self.current() or {}
+        return sorted(d for d in then.keys() | now.keys() if then.get(d) != now.get(d))
 
     def read(self, only: Sequence[str] | None = None) -> DataFrame | None:
         """The committed rows (of the given partition folders only)."""

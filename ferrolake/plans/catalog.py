@@ -373,6 +373,30 @@ _feature_subset("agg_basic", ["lifetime_revenue_eur", "avg_order_value_eur", "to
 _feature_subset("agg_tenure", ["customer_tenure_days"])
 
 
+@query("agg_windowed_as_of")
+def _agg_windowed_as_of(spark, sf_dir):
+    """Look-back counts and sums at two as-of dates from kept (customer, day) totals: those of the previous run's fact,
+    brought forward by the days that an upsert of the fact rewrote. The fact is not read for the features."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from ..operators.upsert import PartitionedTable
+    from .customer_days import CustomerDays, features_as_of
+    root = _scratch(spark, "as_of")
+    fact = PartitionedTable(spark, f"{root}/fct", "order_date")
+    cols = ["order_id", "customer_id", "order_date", "net_revenue_eur", "is_fulfilled"]
+    fact.write(pipeline.models_from_tables(spark, sf_dir, pipeline.PREV, cutoff=pipeline.PREV)["fct_orders"].select(*cols))
+    days = CustomerDays(spark, root)
+    days.rebuild(fact)
+    # What is new or different now is upserted, whatever its date.
+    now = _models(spark, sf_dir)["fct_orders"].select(*cols)
+    fact.upsert(now.exceptAll(fact.read()), "order_id")
+    days.advance(fact)
+    parts = [features_as_of(days.table.read(), d).withColumn("as_of", F.lit(d).cast("timestamp")) for d in (pipeline.PREV, pipeline.AS_OF)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("agg_count_distinct")
 def _agg_count_distinct(spark, sf_dir):
     """A genuine distinct count per customer: order days (not unique in their input)."""

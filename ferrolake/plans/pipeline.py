@@ -9,7 +9,8 @@ filter over the kept winners of each feed.
 
 Storage under ``root``: ``winners/<feed>`` (hash buckets of the key, a batch is merged into), ``gold/dim_customers/v*``
 (versioned full writes), ``gold/fct_orders`` (partitioned by ``order_date``, upserted partition by partition) and
-``gold/mart_customer_lifetime`` (hash buckets, upserted bucket by bucket); changes are committed by a manifest.
+``gold/mart_customer_lifetime`` and ``gold/customer_days`` (hash buckets, upserted bucket by bucket); changes are committed
+by a manifest.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from ..operators.upsert import PartitionedTable, VersionedTable
 from ..session import scratch_path
 from ..sources import derived
 from . import gold, silver
+from .customer_days import CustomerDays
 from .winners import Winners, advance
 
 # The evaluation clock of the test fixtures, and the earlier run used by incremental scenarios.
@@ -91,6 +93,7 @@ def run_full(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str
     fact = fact_table(spark, root)
     fact.write(gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of))
     out["fct_orders"] = fact.read()
+    CustomerDays(spark, root).rebuild(fact)
     mart = mart_table(spark, root)
     mart.write(gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of))
     out["mart_customer_lifetime"] = mart.read()
@@ -121,6 +124,7 @@ def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
                                 bound=bound)
     fact.upsert(fct_batch, "order_id")
     out["fct_orders"] = fact.read()
+    CustomerDays(spark, root).advance(fact)
     # The batch is stored once: it is merged, and the caller may look at it.
     mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of, target=mart.read())
     stage = scratch_path(spark, "mart-batch")

@@ -171,6 +171,11 @@ ORACLE["agg_customer_features"] = _w(f"""select *, coalesce((select x.n from dis
   from {_LIFETIME} t join {_N_ORDERS} o using (customer_id) join {_REVENUE} r using (customer_id) join {_FAVOURITES} f using (customer_id)""")
 ORACLE["agg_windowed_counts"] = _w(f"select * from {_N_ORDERS} o")
 ORACLE["agg_windowed_sums"] = _w(f"select * from {_REVENUE} r")
+ORACLE["agg_windowed_as_of"] = _w("\nunion all\n".join(
+    f"select customer_id, " + ", ".join(f"count(*) filter (where order_date >= d - {k}) as orders_last_{k}d" for k in (7, 30, 90, 365))
+    + ", " + ", ".join(f"{m.zero_eur(f'sum(net_revenue_eur) filter (where order_date >= d - {k})')} as revenue_last_{k}d" for k in (30, 90, 365))
+    + f", {m.ts(t)} as as_of from (select *, {m.ts(t)}::date as d from delivered) x where order_date <= d group by customer_id"
+    for t in (m.PREV, m.AS_OF)))
 ORACLE["agg_basic"] = _w(f"select * exclude (lifetime_orders, customer_tenure_days) from {_LIFETIME} t")
 ORACLE["agg_tenure"] = _w(f"select customer_id, customer_tenure_days from {_LIFETIME} t")
 ORACLE["agg_mode"] = _w(f"select * from {_FAVOURITES} f")
