@@ -37,8 +37,8 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = tool_calls.from_chat(table(spark, sf_dir, "conversations"))
-    return tool_calls.linked(spark, calls, results, tool_calls.CHAT_TOOLS)
+    calls, results, messages = tool_calls.from_chat(table(spark, sf_dir, "conversations"))
+    return tool_calls.linked(spark, calls, results, tool_calls.CHAT_TOOLS, messages=messages)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

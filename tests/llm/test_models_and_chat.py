@@ -173,5 +173,82 @@ def test_chat_query_counts(spark):
     turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").collect()
     users = {(r.conv_id, r.turn) for r in turns if r.role == "user"}
     answers = {(r.conv_id, r.turn - 1) for r in turns if r.role == "assistant"}
-    got = Counter(r.status for r in op8_tool_calls(spark, SF_SMALL).collect())
-    assert got == Counter({k: v for k, v in {"answered": len(users & answers), "unanswered": len(users - answers), "orphan": len(answers - users)}.items() if v})
+    others = sum(r.role not in ("user", "assistant") for r in turns)
+    rows = op8_tool_calls(spark, SF_SMALL).collect()
+    got = Counter(r.status for r in rows)
+    assert got == Counter({k: v for k, v in {"answered": len(users & answers), "unanswered": len(users - answers), "orphan": len(answers - users),
+                                             "message": others}.items() if v})
+    calls = [r for r in rows if r.status in ("answered", "unanswered")]
+    assert any(r.step != r.turn for r in calls) and any(r.missing for r in calls)   # it sorts, and some needs name no call
+
+
+def brute_levels(needs):
+    """Longest chain of known needs below each call; None on or behind a cycle."""
+    known = {i: {x for x in of if x in needs} for i, of in needs.items()}
+    level, rounds = {i: 0 for i, of in known.items() if not of}, True
+    while rounds:
+        more = {i: 1 + max(level[x] for x in of) for i, of in known.items() if i not in level and of <= level.keys()}
+        level |= more
+        rounds = bool(more)
+    return {i: level.get(i) for i in needs}
+
+
+@pytest.mark.parametrize("group_calls", [50_000, 0])
+def test_steps_are_longest_ways(spark, group_calls):
+    rng = random.Random(group_calls + 1)
+    graphs = {}
+    for conv in range(8):   # single needs, several, unknown ones, and cycles
+        n = rng.randrange(3, 25)
+        graphs[conv] = {f"c{i}": [f"c{rng.randrange(n + 1 if conv % 3 == 0 else max(i, 1))}" for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))] if i else [] for i in range(n)}
+    graphs[100] = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(300)}      # a chain
+    graphs[101] = {f"c{i}": [f"c{(i + 1) % 40}"] for i in range(40)} | {"tail": ["c7"], "both": ["c7", "free"], "free": []}
+    calls = [(conv, 500 - i, c, "f", '{"a":1}', of) for conv, g in graphs.items() for i, (c, of) in enumerate(g.items())]
+    rows = linked_rows(spark, calls, [], group_calls=group_calls)
+    got = {}
+    for r in rows:
+        got.setdefault(r.conv_id, {})[r.call_id] = r.step
+    backward = {conv for conv, g in graphs.items() if not any(x in g and list(g).index(x) <= list(g).index(c) for c, of in g.items() for x in of)}
+    for conv, g in graphs.items():
+        if conv not in backward:
+            assert got[conv] == brute_levels(g), conv
+
+
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
+    from ferrolake.llm import tool_calls
+    names, real = [], tool_calls.stored
+    monkeypatch.setattr(tool_calls, "stored", lambda spark, df, name: names.append(name) or real(spark, df, name))
+    calls = [(1, 300 - i, f"c{i}", "f", '{"a":1}', [f"c{i - 1}"]) for i in range(300)]
+    rows = linked_rows(spark, calls, [], group_calls=0)
+    assert max(r.step for r in rows) == 299 and names.count("calls-chain") <= 11 and "calls-left" not in names
+
+
+def test_odd_arguments_never_stop_the_job(spark):
+    from ferrolake.llm.tool_calls import linked
+    schema = {"f": {"type": "object", "properties": {"a": {"type": ["string", "null"]}, "n": {"type": "integer"}, "e": {"enum": [1, "x"]}}}}
+    odd = {"deep": ("[" * 3000 + "]" * 3000, "malformed arguments"), "nested": ('{"a":' * 150 + "1" + "}" * 150, "$.a: not string or null"),
+           "infinite": ('{"n": 1e999}', "malformed arguments"), "long": ('{"n": ' + "7" * 400 + "}", ""), "endless": ('{"n": ' + "7" * 9000 + "}", "malformed arguments"),
+           "half": ('{"a": "\\ud800"}', ""), "key": ('{"\\udfff": 1}', ""), "null": ('{"a": null}', ""), "union": ('{"a": 5}', "$.a: not string or null"),
+           "true": ('{"e": true}', "$.e: not in enum"), "one": ('{"e": 1.0}', ""), "float": ('{"n": 1.5}', "$.n: not integer")}
+    calls = spark.createDataFrame([(1, i, k, "f", a, [], "x", 1) for i, (k, (a, _)) in enumerate(odd.items())], CALLS)
+    rows = {r.call_id: r for r in linked(spark, calls, spark.createDataFrame([], RESULTS), schema).collect()}
+    assert {k: r.errors for k, r in rows.items()} == {k: e for k, (_, e) in odd.items()}
+    assert all(r.valid == (not r.errors) and json.loads(r.json)["id"] == k for k, r in rows.items())
+    assert json.loads(rows["half"].json)["arguments"] == {"a": "\ud800"} and "\\ud800" in rows["half"].json
+
+
+def test_schemas_with_unknown_keywords_are_refused(spark):
+    from ferrolake.llm.tool_calls import checked
+    for bad in ({"pattern": "x"}, {"properties": {"a": {"anyOf": []}}}, {"items": {"const": 1}}, {"type": "whole"}, {"additionalProperties": {}}):
+        with pytest.raises(ValueError):
+            checked(bad)
+    checked({"type": ["object", "null"], "description": "d", "properties": {"a": {"type": "string", "default": "x"}}})
+
+
+def test_messages_of_other_roles_are_kept(spark):
+    from ferrolake.llm.tool_calls import CHAT_TOOLS, from_chat, linked
+    turns = [(1, 0, "system", "be brief"), (1, 1, "user", "hi"), (1, 2, "assistant", "yes"), (1, 3, None, None), (None, None, "tool", "x"), (2, None, "user", None)]
+    rows = linked(spark, *from_chat(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))[:2], CHAT_TOOLS,
+                  messages=from_chat(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))[2]).collect()
+    assert Counter(r.status for r in rows) == {"message": 3, "answered": 1, "unanswered": 1}
+    assert {(r.conv_id, r.turn, r.json) for r in rows if r.status == "message"} == {
+        (1, 0, '{"content":"be brief","role":"system"}'), (1, 3, '{"content":null,"role":null}'), (None, None, '{"content":"x","role":"tool"}')}
