@@ -1,6 +1,6 @@
 """The daily run as one plain function: freshness -> Silver -> dimension -> customer history -> fact
--> mart -> statistics -> quality -> audit -> feature publish. A freshness ``error`` stops the run
-before any model is built. Outputs go below ``root`` (a folder on shared storage).
+-> mart -> quality -> audit with column statistics -> feature publish -> lineage. A freshness ``error``
+stops the run before any model is built. Outputs go below ``root`` (a folder on shared storage).
 
 Reruns after a failure are safe: tables change only when their marker is committed, reports are
 written per run and a rerun replaces its own rows, and features are compared with the version that was
@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 
 from ..operators.audit import audit_append, write_run
 from ..operators.history import snapshot_scd2
+from ..operators.layout import column_stats
 from ..operators.publish import changed_rows, publish, to_records
 from ..operators.upsert import PartitionedTable, VersionedTable
+from ..sources.manifests import read_manifests
 from . import pipeline, silver
+from .fact_sketches import FactSketches
+from .lineage import lineage_columns, lineage_edges, lineage_models, public
 from .reports import dq_report, freshness_report
 from .winners import Winners
 
@@ -58,8 +62,27 @@ def publish_changes(spark: SparkSession, mart_table: VersionedTable | Partitione
     return records, n
 
 
+def write_statistics(spark: SparkSession, tables: dict[str, DataFrame], root: str, environment: str, run_at) -> None:
+    """Column statistics of the Gold tables beside the audit log. The fact's are merged from the sketches of its partitions,
+    of which only changed ones are read; dimension and mart are counted in one pass each."""
+    sketches = FactSketches(spark, root)
+    sketches.advance(pipeline.fact_table(spark, root))
+    found = {"fct_orders": sketches.statistics()} | {n: column_stats(tables[n]) for n in ("dim_customers", "mart_customer_lifetime")}
+    for name, stats in found.items():
+        row = stats.withColumns({"run_at": run_at, "environment": F.lit(environment), "model_name": F.lit(name)}).coalesce(1)
+        write_run(row, f"{root}/reports/column_statistics", ["run_at", "environment", "model_name"])
+
+
+def write_lineage(spark: SparkSession, manifests: str, root: str, run_at) -> None:
+    """The lineage tables of the run's manifests, the last step of a run."""
+    models = lineage_models(read_manifests(spark, manifests))
+    for name, df in {"models": public(models), "columns": lineage_columns(models), "edges": lineage_edges(models)}.items():
+        write_run(df.withColumn("run_at", run_at), f"{root}/reports/lineage_{name}", ["run_at"])
+
+
 def run_daily(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: str, environment: str = "prod",
-              publish_sink: str = "parquet", publish_options: dict | None = None) -> DailyResult:
+              publish_sink: str = "parquet", publish_options: dict | None = None, manifests: str | None = None) -> DailyResult:
+    """``manifests``: the folder of the run's manifests, if lineage is to be written."""
     run_at = F.lit(as_of).cast("timestamp")
     fresh = freshness_report(bronze, as_of)
     write_run(fresh.withColumn("run_at", run_at), f"{root}/reports/freshness", ["run_at"])
@@ -76,7 +99,10 @@ def run_daily(spark: SparkSession, bronze: dict[str, DataFrame], as_of, root: st
     write_run(dq_report(tables).withColumn("run_at", run_at), f"{root}/reports/dq_report", ["run_at"])
     for name in ("dim_customers", "fct_orders", "mart_customer_lifetime"):
         audit_append(tables[name], f"{root}/reports/audit_log", name, environment, as_of)
+    write_statistics(spark, tables, root, environment, run_at)
     records, n = publish_changes(spark, mart_table, root, publish_sink, publish_options)
+    if manifests:
+        write_lineage(spark, manifests, root, run_at)
     # Retention: the current and the previous version of each table stay.
     for name in VERSIONED:
         VersionedTable(spark, f"{root}/{name}").vacuum(keep=2)

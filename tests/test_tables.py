@@ -145,7 +145,9 @@ def test_daily_run_stops_on_stale_source_then_runs(spark):
         daily.run_daily(spark, derived.bronze(spark, SF_SMALL, pipeline.AS_OF), pipeline.AS_OF, root)
     # sf0.01 has orders and shipments every day, so all three feeds are within the error threshold.
     fresh_bronze = derived.bronze(spark, "/root/testdata/sf0.01", "2001-01-02 12:00:00")
-    res = daily.run_daily(spark, fresh_bronze, "2001-01-02 12:00:00", root)
+    manifests = scratch_path(spark, "t-manifests")
+    derived.run_manifests(spark, SF_SMALL).limit(40).write.text(manifests)
+    res = daily.run_daily(spark, fresh_bronze, "2001-01-02 12:00:00", root, manifests=manifests)
     n = res.tables["mart_customer_lifetime"].count()
     assert res.quality.count() == 41 and res.published.count() == n == res.n_published
     assert res.tables["customer_history"].where("is_current").count() == res.tables["stg_customers"].count()
@@ -153,6 +155,10 @@ def test_daily_run_stops_on_stale_source_then_runs(spark):
     again = daily.run_daily(spark, fresh_bronze, "2001-01-02 12:00:00", root)   # a rerun replaces its own reports
     assert again.quality.count() == 41 and again.n_published == 0
     assert read_audit(spark, f"{root}/reports/audit_log").count() == 3
+    stats = spark.read.parquet(f"{root}/reports/column_statistics")   # a rerun replaces them
+    tables = {"dim_customers": 16, "fct_orders": 19, "mart_customer_lifetime": 27}   # the fact's day is its partition
+    assert {r.model_name: r["count"] for r in stats.groupBy("model_name").count().collect()} == tables
+    assert spark.read.parquet(f"{root}/reports/lineage_models").count() > 0
 
 
 def test_failed_publish_loses_nothing(spark, monkeypatch):
