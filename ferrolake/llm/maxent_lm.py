@@ -7,16 +7,16 @@ The probability of a token given what stands before it is factored by classes,
 The first two are softmaxes over 32 outcomes. Their features are the last word, the last two words, and the
 words two and three places back with the words between skipped, each hashed into its own part of a weight table; the
 biases are the unigram counts. The most frequent words (991 and the end of a text) are cells of their own, binned into
-classes by frequency; all others share the 32 hashed cells of the last class, in which a word has its smoothed share of
-the training counts, (c + 1) / (S + n + 1) with S tokens and n distinct words in the cell, as in the base model.
+classes by frequency. All others make up the last class, which has no cells: a word has its smoothed share of the
+training counts there, (c + 1) / (S + n + 1) with S tokens and n distinct words in the class, as in the base model.
 
 Training goes over all training texts: in each round every task takes AdaGrad steps over its share from the same
 weights, and the rows of the weight table are averaged over tasks by the number of tokens that moved them. At most one
 weight table per core and round is shuffled, whatever the corpus. Scoring works in numpy batches on the rows that
 a batch names.
 
-Counts are exact for all words. A word that makes up 1 / 2^18 of the training tokens or more is *known*: there can
-be at most 2^18 of them, so they go to all tasks with their counts. All other (document, word) pairs are joined with the
+Counts are exact for all words. A word that makes up 1 / 2^19 of the training tokens or more is *known*: there can
+be at most 2^19 of them, so they go to all tasks with their counts. All other (document, word) pairs are joined with the
 table of counts, which therefore has no hot key.
 
 Defined results: a null text counts as empty, and an empty text is one end token. A null doc_id is not held out. Rows
@@ -29,7 +29,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
+from contextlib import contextmanager
+from itertools import compress, repeat
 from math import log10
 
 import numpy as np
@@ -44,14 +45,14 @@ END = b""                     # no word is empty
 CLASSES = CELLS = 32
 REST = CLASSES - 1            # the class of the hashed cells
 SINGLE = REST * CELLS         # words with a cell of their own
-KNOWN = 1 << 18
+KNOWN = 1 << 19
 FEATURES, CLASS_BITS, CELL_BITS = 4, 13, 15   # rows of each feature in the two weight tables: 2^13 and 2^15
 BLOCK = 1024                  # rows of the weight table that travel together
 ROUNDS, RATE, START = 2, 0.5, 1.0
 STEP, TOKEN_BITS = 8192, 14   # tokens a step: from 2^13 on, less than 2^14
 FEW = 4                       # tokens of a row that are added one by one
 TOP = 60.0                    # logits stop here
-CACHED = 1 << 20              # words a task remembers
+COUNTED = 1 << 17             # distinct words a task counts before it sends them on
 ABSENT = -30.0                # bias of cells that hold no word
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -81,7 +82,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for text in b.column("text").to_pylist():
             seen.update(words_of(text))
-            if len(seen) > CACHED // 2:
+            if len(seen) > COUNTED:
                 yield out()
                 seen.clear()
     yield out()
@@ -106,50 +107,43 @@ class Vocabulary:
         end = [(n, w) for n, w in rows if w == END] or [(0, END)]
         single = sorted([*single, *end], key=lambda r: (-r[0], r[1]))
         self.single = {w: i for i, (_, w) in enumerate(single)}
-        self.known = {w: n for n, w in rows}
-        rest = np.zeros((CELLS, 2))
-        cell = F.crc32("word") % CELLS
-        for r in counts.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():   # 32 rows
-            rest[r.cell] = r.n, r.v
-        for n, w in single:
-            if n:
-                rest[zlib.crc32(w) % CELLS] -= n, 1
+        self.known = {w: n for n, w in [*rows, *end]}
+        rest = self.tokens - sum(n for n, _ in single)
         mass = np.zeros((CLASSES, CELLS))
         mass.ravel()[:len(single)] = [n for n, _ in single]
-        mass[REST] = rest[:, 0]
+        mass[REST, 0] = rest
         there = np.arange(CLASSES * CELLS).reshape(CLASSES, CELLS) < len(single)
-        there[REST] = True
+        there[REST, 0] = True
         self.cell_bias = np.where(there, np.log((mass + 1) / (mass.max() + 1)), ABSENT).astype(np.float32)
         self.class_bias = np.where(there.any(1), np.log((mass.sum(1) + 1) / (mass.sum() + 1)), ABSENT).astype(np.float32)
-        self.rest_share = np.log10(rest[:, 0] + rest[:, 1] + 1)   # of a cell: what (c + 1) is divided by
+        self.rest_share = log10(rest + self.distinct - sum(n > 0 for n, _ in single) + 1)   # what (c + 1) is divided by
 
 
 class Codes(dict):
-    """word -> its hash (32 bits), cell (10 bits) and place among the known words (0: not known)."""
+    """word -> its hash (32 bits), cell (10 bits) and place among the known words (0: not known, worked out anew)."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.single = vocabulary.single
-        self.place = {w: i + 1 for i, w in enumerate(vocabulary.known)}
+        for i, w in enumerate(vocabulary.known, 1):
+            crc = zlib.crc32(w)
+            self[w] = crc | vocabulary.single.get(w, SINGLE) << 32 | i << 42
         self.log_count = np.log10(np.r_[0, list(vocabulary.known.values())].astype(np.float64) + 1)
         self.n_known = np.r_[0, [1 if n else 0 for n in vocabulary.known.values()]].astype(np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED:
-            self.clear()
-        crc = zlib.crc32(word)
-        cell = self.single.get(word, REST * CELLS + crc % CELLS)
-        code = self[word] = crc | cell << 32 | self.place.get(word, 0) << 42
-        return code
-
     def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        out = np.fromiter(map(self.get, words, repeat(0)), np.int64, len(words))
+        rare = out == 0   # a known word has a place, so its code is not 0
+        if rare.any():
+            crc = np.fromiter(map(zlib.crc32, compress(words, rare.tolist())), np.int64)
+            out[rare] = crc | SINGLE << 32
+        return out
 
 
 # ---------------------------------------------------------------- model
 
-def _rows(codes: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Class, cell and the rows of the two weight tables (4, tokens). ``codes`` starts with the three tokens before."""
+def _rows(codes: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Class and rows of the first weight table (4, tokens); then, of the tokens that have a cell, which they are, their cell
+    and rows of the second table. ``codes`` starts with the three tokens before."""
     n = len(pos)
     word = codes[3:]
     cell = (word >> 32) & 1023
@@ -160,17 +154,30 @@ def _rows(codes: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     at ^= at >> np.uint64(29)
     own = np.arange(FEATURES, dtype=np.int64)[:, None]
     rows1 = (own << CLASS_BITS) + ((at * _M1) >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
-    at = (at ^ ((kind.astype(np.uint64) + np.uint64(1)) * _M2)) * _M3
+    held = np.flatnonzero(kind < REST)
+    at = (at[:, held] ^ ((kind[held].astype(np.uint64) + np.uint64(1)) * _M2)) * _M3
     at ^= at >> np.uint64(31)
     rows2 = (own << CELL_BITS) + ((at * _M1) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-    return kind, cell % CELLS, rows1, rows2
+    return kind, rows1, held, cell[held] % CELLS, rows2
+
+
+class Room:
+    """Arrays that steps work in: taking rows into memory that is there already costs half as much."""
+
+    def __init__(self, n: int = 1 << TOKEN_BITS):
+        self.logits, self.more = (np.empty((n, CELLS), np.float32) for _ in range(2))
+        self.grad, self.rows = (np.empty((FEATURES * n, CELLS), np.float32) for _ in range(2))
 
 
-def _softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities of all outcomes, and the natural logarithm of that of the outcome ``of``."""
-    logits = np.take(weights, rows[0], axis=0)
+def _taken(table: np.ndarray, at: np.ndarray, room: np.ndarray) -> np.ndarray:
+    return np.take(table, at, axis=0, out=room[:len(at)], mode="clip")
+
+
+def _softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, of: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of all outcomes (in ``room.logits``), and the natural logarithm of that of the outcome ``of``."""
+    logits = _taken(weights, rows[0], room.logits)
     for r in rows[1:]:
-        logits += np.take(weights, r, axis=0)
+        logits += _taken(weights, r, room.more)
     logits += bias
     np.minimum(logits, TOP, out=logits)   # no sum can overflow
     own = logits[np.arange(len(of)), of]
@@ -180,12 +187,14 @@ def _softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, of: np.nda
     return power, own.astype(np.float64) - np.log(total)
 
 
-def log10_probabilities(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray], codes: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    """log10 P(class | h) P(cell | class, h) of every token."""
-    kind, cell, rows1, rows2 = _rows(codes, pos)
-    _, first = _softmax(weights[0], vocabulary.class_bias, rows1, kind)
-    _, second = _softmax(weights[1], np.take(vocabulary.cell_bias, kind, axis=0), rows2, cell)
-    return (first + second) / np.log(10)
+def log10_probabilities(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray], codes: np.ndarray, pos: np.ndarray,
+                        room: Room | None = None) -> np.ndarray:
+    """log10 of P(class | h) P(cell | class, h) of every token; of P(class | h) in the last class."""
+    room = room or Room()
+    kind, rows1, held, cell, rows2 = _rows(codes, pos)
+    _, found = _softmax(weights[0], vocabulary.class_bias, rows1, kind, room)
+    found[held] += _softmax(weights[1], _taken(vocabulary.cell_bias, kind[held], room.rows), rows2, cell, room)[1]
+    return found / np.log(10)
 
 
 class Trainer:
@@ -196,6 +205,7 @@ class Trainer:
         self.weights = [w.copy() for w in weights]
         self.squares = [np.full(len(w), START, np.float32) for w in weights]
         self.moved = [np.zeros(len(w), np.float32) for w in weights]
+        self.room = Room()
 
     def _update(self, i: int, slope: np.ndarray, of: np.ndarray, rows: np.ndarray) -> None:
         slope[np.arange(len(of)), of] -= 1
@@ -206,27 +216,30 @@ class Trainer:
         size = np.diff(np.r_[first, len(row)])
         for few in range(1, FEW + 1):   # most rows have few tokens
             at = first[size == few]
-            grad = np.take(slope, token[at], axis=0)
+            grad = _taken(slope, token[at], self.room.grad)
             for k in range(1, few):
-                grad += np.take(slope, token[at + k], axis=0)
+                grad += _taken(slope, token[at + k], self.room.rows)
             self._move(i, row[at], grad, few)
         many = size > FEW
         if many.any():
             held, size = np.repeat(many, size), size[many]
             row, token, at = row[held], token[held], np.r_[0, np.cumsum(size)[:-1]]
-            self._move(i, row[at], np.add.reduceat(np.take(slope, token, axis=0), at, axis=0), size)
+            self._move(i, row[at], np.add.reduceat(_taken(slope, token, self.room.grad), at, axis=0), size)
 
     def _move(self, i: int, row: np.ndarray, grad: np.ndarray, size) -> None:
         squares = self.squares[i][row] + np.einsum("ij,ij->i", grad, grad)
         self.squares[i][row] = squares
         grad *= (RATE / np.sqrt(squares))[:, None]
-        self.weights[i][row] = np.take(self.weights[i], row, axis=0) - grad
+        moved = _taken(self.weights[i], row, self.room.rows)
+        moved -= grad
+        self.weights[i][row] = moved
         self.moved[i][row] += size
 
     def step(self, vocabulary: Vocabulary, codes: np.ndarray, pos: np.ndarray) -> None:
-        kind, cell, rows1, rows2 = _rows(codes, pos)
-        self._update(0, _softmax(self.weights[0], vocabulary.class_bias, rows1, kind)[0], kind, rows1)
-        self._update(1, _softmax(self.weights[1], np.take(vocabulary.cell_bias, kind, axis=0), rows2, cell)[0], cell, rows2)
+        kind, rows1, held, cell, rows2 = _rows(codes, pos)
+        self._update(0, _softmax(self.weights[0], vocabulary.class_bias, rows1, kind, self.room)[0], kind, rows1)
+        bias = _taken(vocabulary.cell_bias, kind[held], self.room.rows)
+        self._update(1, _softmax(self.weights[1], bias, rows2, cell, self.room)[0], cell, rows2)
 
     def blocks(self) -> Iterator[tuple[int, bytes]]:
         """Blocks of moved rows: the change times the tokens that made it, and those tokens."""
@@ -288,7 +301,7 @@ def train(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, rounds:
             for block, data in trainer.blocks():
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], names=["block", "data"])
 
-        share = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == turn).select("text")
+        share = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == turn).select("text")
         moved = share.mapInArrow(run, "block int, data binary").repartition("block").mapInArrow(_summed, "block int, data binary")
         blocks = {r.block: np.frombuffer(r.data, np.float32).reshape(-1, CELLS + 1) for r in moved.collect()}   # one weight table
         whole = np.concatenate(weights)
@@ -307,7 +320,7 @@ _SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 
 def _score_rows(shared, now):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weights = shared.value, now.value
+        known, weights, room = shared.value, now.value, Room()
         codes, row = Codes(known), TaskContext.get().partitionId() << 40
 
         def scored(ids: list, out: list, texts: list[list[bytes]]) -> pa.RecordBatch:
@@ -316,23 +329,25 @@ def _score_rows(shared, now):
             coded = [codes.of(t) for t in texts]
             token = np.concatenate(coded)
             start = np.r_[0, np.cumsum([len(c) for c in coded])[:-1]]
-            logp = np.concatenate([log10_probabilities(known, weights, *s) for s in _steps(iter(coded))])
+            logp = np.concatenate([log10_probabilities(known, weights, *s, room) for s in _steps(iter(coded))])
             cell, place = (token >> 32) & 1023, token >> 42
             logs = codes.log_count[place]
-            # The share of a word in its hashed cell; log10(c + 1) of words that are not known comes from the join.
-            logp += np.where(cell >= REST * CELLS, logs - known.rest_share[cell % CELLS], 0.0)
-            pairs = []
-            for i, (t, c) in enumerate(zip(texts, coded)):
+            # The share of a word in the last class; log10(c + 1) of words that are not known comes from the join.
+            logp += np.where(cell >= SINGLE, logs - known.rest_share, 0.0)
+            words, counts, many = [], [], []
+            for t, c in zip(texts, coded):
                 rare = Counter(compress(t, (c >> 42 == 0).tolist()))
-                pairs += [(row + i, w, n) for w, n in rare.items()]
-            k, m = len(texts), len(pairs)
-            at, words, counts = zip(*pairs) if pairs else ((), (), ())
+                words += rare
+                counts += rare.values()
+                many.append(len(rare))
+            k, m = len(texts), len(words)
+            number = np.arange(row, row + k)
             numbers = [pa.array(np.r_[x, np.zeros(m, x.dtype)], t) for x, t in (
                 (np.array([len(t) for t in texts], np.int64), pa.int64()), (np.add.reduceat(codes.n_known[place], start), pa.int64()),
                 (np.add.reduceat(logs, start), pa.float64()), (np.add.reduceat(logp, start), pa.float64()))]
             batch = pa.RecordBatch.from_arrays(
-                [pa.array([*range(row, row + k), *at], pa.int64()), pa.array([*ids, *[None] * m], pa.int64()), pa.array([*out, *[None] * m], pa.bool_()),
-                 *numbers, pa.array([*[None] * k, *words], pa.binary()), pa.array([*[0] * k, *counts], pa.int64())],
+                [pa.array(np.r_[number, np.repeat(number, many)], pa.int64()), pa.array([*ids, *[None] * m], pa.int64()), pa.array([*out, *[None] * m], pa.bool_()),
+                 *numbers, pa.array([None] * k + words, pa.binary()), pa.array([0] * k + counts, pa.int64())],
                 names=["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "word", "n"])
             row += k
             return batch
@@ -359,7 +374,8 @@ def score(spark: SparkSession, docs: DataFrame, counts: DataFrame, vocabulary: V
     rows = stored(spark, _inputs(docs).mapInArrow(_score_rows(shared, now), _SCORED), "lm-scored")
     rare = rows.where(F.col("word").isNotNull()).select("row", "word", "n")
     seen = counts.where(F.col("n") * KNOWN < vocabulary.tokens).select("word", F.col("n").alias("c"))
-    more = rare.join(seen, "word").groupBy("row").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
+    # The counts are dealt out over all tasks, one row per word: a hash table of a task's share spares two sorts.
+    more = rare.join(seen.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
     out = rows.where(F.col("word").isNull()).join(more, "row", "left")
     gained = F.coalesce("more", F.lit(0.0))
     each = F.lit(log10(vocabulary.tokens + vocabulary.distinct + 1))
@@ -368,8 +384,21 @@ def score(spark: SparkSession, docs: DataFrame, counts: DataFrame, vocabulary: V
                       (F.col("logs") + gained - F.col("n_tokens") * each).alias("base_score"), (F.col("score") + gained).alias("score"))
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Texts reach Python 1,000 at a time: less memory per task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def lm_report(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Counts, training and scores over all documents."""
-    counts = word_counts(spark, docs)
-    vocabulary = Vocabulary(counts)
-    return score(spark, docs, counts, vocabulary, train(spark, docs, vocabulary))
+    with _small_batches(spark):
+        counts = word_counts(spark, docs)
+        vocabulary = Vocabulary(counts)
+        return score(spark, docs, counts, vocabulary, train(spark, docs, vocabulary))

@@ -79,16 +79,16 @@ def model():
 
 
 def test_cell_probabilities_add_up_to_one():
-    """For one history, the probabilities of a word of every cell add up to 1; so do the shares within a hashed cell."""
+    """For one history, the probabilities of all cells and of the class without cells add up to 1."""
     m, v, weights, words = model()
     codes = m.Codes(v)
     one_of_each = {}
     for w in [m.END, *words]:
-        one_of_each.setdefault((codes[w] >> 32) & 1023, w)
-    assert len(one_of_each) == m.CLASSES * m.CELLS
+        one_of_each.setdefault((codes.of([w])[0] >> 32) & 1023, w)
+    assert len(one_of_each) == m.SINGLE + 1
     total = 0.0
     for w in one_of_each.values():
-        got = m.log10_probabilities(v, weights, np.r_[codes.of([b"a", b"b", b"c"]), codes[w]], np.array([3]))
+        got = m.log10_probabilities(v, weights, codes.of([b"a", b"b", b"c", w]), np.array([3]))
         total += 10 ** got[0]
     assert total == pytest.approx(1, abs=1e-4)
 
@@ -100,7 +100,7 @@ def test_steps_cut_long_texts_alike():
     rng = np.random.default_rng(4)
     texts = [codes.of([words[i] for i in rng.integers(0, 1500, n)]) for n in (3, 1, 20_000, 5, 9000)]
     got = np.concatenate([m.log10_probabilities(v, weights, *s) for s in m._steps(iter(texts))])
-    alone = np.concatenate([m.log10_probabilities(v, weights, np.r_[0, 0, 0, t], np.arange(len(t))) for t in texts])
+    alone = np.concatenate([m.log10_probabilities(v, weights, np.r_[0, 0, 0, t], np.arange(len(t)), m.Room(20_000)) for t in texts])
     assert np.allclose(got, alone, atol=1e-4)
 
 
@@ -111,7 +111,7 @@ def test_update_is_the_gradient():
     token = np.r_[0, 0, 0, codes.of(words[:6] * 9)]
     pos = np.arange(len(token) - 3)
     t = m.Trainer(m.empty_weights())
-    kind, _, rows, _ = m._rows(token, pos)
+    kind, rows, *_ = m._rows(token, pos)
     p = np.exp(v.class_bias) / np.exp(v.class_bias).sum()
     grad = {}
     for i, k in enumerate(kind):
