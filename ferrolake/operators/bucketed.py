@@ -49,7 +49,7 @@ class BucketedTable(PartitionedTable):
         if exists(self.spark, f"{spec}/_SUCCESS"):
             return self.spark.read.parquet(spec).first()["n"]
         n = self._given or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.spark.createDataFrame([(n,)], "n int").coalesce(1).write.mode("overwrite").parquet(spec)
+        self.spark.range(1).select(F.lit(n).cast("int").alias("n")).coalesce(1).write.mode("overwrite").parquet(spec)
         return n
 
     def _placed(self, df: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ class CustomerDays:
         self._mark = VersionedTable(spark, f"{root}/gold/customer_days_mark")
 
     def _note(self, manifest: str) -> None:
-        self._mark.write(self.spark.createDataFrame([(manifest,)], "manifest string").coalesce(1))
+        self._mark.write(self.spark.range(1).select(F.lit(manifest).alias("manifest")).coalesce(1))
         self._mark.vacuum()
 
     def rebuild(self, fact: PartitionedTable) -> None:

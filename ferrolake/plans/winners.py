@@ -39,7 +39,7 @@ class Winners:
         top = raw.agg(F.max(F.unix_micros(F.col("_ingestion_timestamp").try_cast("timestamp"))).alias("m")).first()["m"]
         before = self.mark()
         if top is not None and (before is None or top > before):
-            self._mark.write(self.spark.createDataFrame([(top,)], "m long").coalesce(1))
+            self._mark.write(self.spark.range(1).select(F.lit(top).cast("long").alias("m")).coalesce(1))
             self._mark.vacuum()
 
     def mark(self) -> int | None:
