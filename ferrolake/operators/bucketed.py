@@ -65,7 +65,9 @@ class BucketedTable(PartitionedTable):
         self.spark.sql(f"DROP TABLE {name}")   # external: the files stay
 
     def write(self, df: DataFrame, replaces: Sequence[str] | None = None) -> None:
-        super().write(df if BUCKET in df.columns else self._placed(df), replaces)
+        """Rows that are not yet in buckets are dealt out first: each task then writes one bucket, so a write makes as many
+        files as there are buckets, however many tasks its input has."""
+        super().write(df if BUCKET in df.columns else self._placed(df).repartition(self.buckets, KEY), replaces)
 
     def _rows(self, now: dict[str, int], only: Sequence[str] | None = None) -> DataFrame:
         return super()._rows(now, only).drop(KEY, BUCKET)
