@@ -20,7 +20,8 @@ Everything is a map over rows: no shuffle, no state; a lost executor costs its t
 
 Defined results: null text counts as empty; numbers that fail their check and all other text stay as they
 are; repeated rows get equal results; an empty table gives an empty result. Columns other than doc_id and
-text are passed through by ``pseudonymised`` and not read by the report.
+text are passed through by ``pseudonymised`` (but for __found, __parts and __all, which it uses itself) and not
+read by the report.
 """
 
 from __future__ import annotations
@@ -58,6 +59,9 @@ _TRIED = {k: [x] for k, x in FORMS.items()} | {
 _MAYBE = {"card": "^[0-9]", "iban": "^[A-Z]{2}[0-9]{2}"}
 #: No candidate is longer than so many code points, nor holds so many starts.
 _WINDOW, _STARTS = 700, 80
+#: Pieces of a text that are gone through before their finds are appended.
+_BLOCK = 256
+_PIECE = "struct<hit:struct<kind:int,old:string>,start:int,end:int,rest:string>"
 _IBAN_SIZES = {int(n): names.split() for n, names in (x.split(":") for x in (
     "15:NO|16:BE|18:DK FI FK FO GL NL SD|19:MK SI|20:AT BA EE KZ LT LU MN XK|21:CH HR LI LV|22:BG BH CR DE GB GE IE ME RS VA|"
     "23:AE GI IL IQ OM SO TL|24:AD CZ ES MD PK RO SA SE SK TN VG|25:LY PT ST|26:IS TR|27:BI DJ FR GR IT MC MR SM|"
@@ -200,46 +204,58 @@ def _choice(window: Column, key: str) -> Column:
 
 
 def _named(choice: Column, key: str) -> Column:
-    """struct(kind number, size, replacement) of a choice."""
-    new = F.coalesce(*(F.when(choice["kind"] == i, _MAKERS[kind](choice["old"], key)[1]) for i, kind in enumerate(KINDS)))
-    return F.struct(choice["kind"].alias("kind"), F.length(choice["old"]).alias("size"), new.alias("new"))
+    """The replacement of a choice."""
+    return F.coalesce(*(F.when(choice["kind"] == i, _MAKERS[kind](choice["old"], key)[1]) for i, kind in enumerate(KINDS)))
 
 
 def pseudonymised(df: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
-    """``df`` with ``text`` replaced, plus __found array<struct<kind, start, end>> of what was, in code points."""
+    """``df`` with ``text`` replaced, plus __found array<struct<kind, start, end>> of what was, in code points.
+
+    Three passes over the pieces between places where a candidate may start: the first valid candidate of each; the
+    finds, from the left, that no earlier find covers; the pseudonyms of those alone. The second goes through blocks
+    of ``_BLOCK`` pieces, so that no array is copied once for every piece.
+    """
     df = df.withColumn(text, F.coalesce(text, F.lit("")))
     some = F.rlike(text, F.lit(_START))
     # Each value that a lambda uses goes through one: Spark would work out a column anew for every piece.
     once = lambda value, use: F.get(F.transform(F.array(value), use), 0)
 
-    def hits(s: Column) -> Column:
-        def hit(piece: Column, i: Column) -> Column:
+    def chosen(s: Column) -> Column:
+        def at(piece: Column, i: Column) -> Column:
             window = F.left(F.array_join(F.slice(s["heads"], i + 1, F.lit(_STARTS)), ""), F.lit(_WINDOW))
-            chosen = F.when(i > 0, once(window, lambda w: _choice(w, key)))
-            return F.struct(piece.alias("piece"), once(chosen, lambda c: F.when(c.isNotNull(), _named(c, key))).alias("hit"))
+            return F.struct(piece.alias("piece"), F.when(i > 0, once(window, lambda w: _choice(w, key))).alias("hit"))
 
-        return F.transform(s["pieces"], hit)
+        return F.transform(s["pieces"], at)
 
     # A space in front: the first piece then never is a start, all others are.
     parts = once(F.split(F.concat(F.lit(" "), text), _START, -1), lambda pieces: once(
-        F.struct(pieces.alias("pieces"), F.transform(pieces, lambda x: F.left(x, F.lit(_WINDOW))).alias("heads")), hits))
+        F.struct(pieces.alias("pieces"), F.transform(pieces, lambda x: F.left(x, F.lit(_WINDOW))).alias("heads")), chosen))
     df = df.withColumn("__parts", F.when(some, parts))
+    none = F.array().cast(f"array<{_PIECE}>")
 
     def step(acc: Column, x: Column) -> Column:
-        """One piece: what the last found leaves of it, or a find at its start."""
+        """One piece: what the last find leaves of it, or a find at its start."""
         found = x["hit"].isNotNull() & (acc["at"] >= acc["end"])
-        end = F.when(found, acc["at"] + x["hit"]["size"]).otherwise(acc["end"])
+        end = F.when(found, acc["at"] + F.length(x["hit"]["old"])).otherwise(acc["end"])
         rest = F.when(end <= acc["at"], x["piece"]).otherwise(F.substr(x["piece"], end - acc["at"] + 1))
-        span = F.array(F.struct(x["hit"]["kind"].alias("kind"), acc["at"].alias("start"), end.alias("end")))
-        return F.struct((acc["at"] + F.length(x["piece"])).alias("at"), end.alias("end"),
-                        F.when(found, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"),
-                        F.concat(acc["text"], F.array(F.when(found, F.concat(x["hit"]["new"], rest)).otherwise(rest))).alias("text"))
-
-    none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
-    begin = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("end"), none.alias("out"), F.array().cast("array<string>").alias("text"))
-    df = df.withColumn("__all", F.aggregate("__parts", begin, step))
-    joined = F.substr(F.array_join("__all.text", ""), F.lit(2))
-    return df.withColumns({"__found": F.coalesce("__all.out", none), text: F.coalesce(joined, text)}).drop("__parts", "__all")
+        out = F.struct(F.when(found, x["hit"]).alias("hit"), acc["at"].alias("start"), end.alias("end"), rest.alias("rest"))
+        return F.struct((acc["at"] + F.length(x["piece"])).alias("at"), end.alias("end"), F.concat(acc["out"], F.array(out)).alias("out"))
+
+    def block(acc: Column, i: Column) -> Column:
+        begin = F.struct(acc["at"].alias("at"), acc["end"].alias("end"), none.alias("out"))
+        return once(F.aggregate(F.slice("__parts", i * _BLOCK + 1, F.lit(_BLOCK)), begin, step), lambda now: F.struct(
+            now["at"].alias("at"), now["end"].alias("end"), F.concat(acc["out"], F.array(now["out"])).alias("out")))
+
+    begin = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("end"), F.array().cast(f"array<array<{_PIECE}>>").alias("out"))
+    blocks = F.sequence(F.lit(0), F.floor((F.size("__parts") - 1) / _BLOCK).cast("int"))
+    df = df.withColumn("__all", F.when(some, F.flatten(F.aggregate(blocks, begin, block)["out"])))
+    # A null choice gives a null name.
+    new = lambda x: F.concat(F.when(x["hit"].isNotNull(), F.coalesce(_named(x["hit"], key), F.lit(""))).otherwise(F.lit("")), x["rest"])
+    spans = F.transform(F.filter("__all", lambda x: x["hit"].isNotNull()),
+                        lambda x: F.struct(x["hit"]["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    joined = F.substr(F.array_join(F.transform("__all", new), ""), F.lit(2))
+    return df.withColumns({"__found": F.coalesce(spans, F.array().cast("array<struct<kind:int,start:int,end:int>>")),
+                           text: F.coalesce(joined, text)}).drop("__parts", "__all")
 
 
 def pii_report(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -113,3 +113,20 @@ def test_feistel_is_a_permutation(spark):
             rest, n = F.floor(rest / s).cast("int"), n * s
         out = spark.range(n).select(permuted(F.array(*values), F.array(*(F.lit(s) for s in sizes)), "t", "k").alias("p")).collect()
         assert len({tuple(r.p) for r in out}) == n and all(0 <= x < s for r in out for x, s in zip(r.p, sizes))
+
+
+def test_pii_finds_do_not_depend_on_blocks(spark, monkeypatch):
+    """A text of digit groups only: finds that cross the borders of blocks hide what they cover, and the text keeps its form."""
+    import re
+
+    from ferrolake.llm import pii
+    rows = [(1, "12 34 " * 60), (2, "4111 1111 1111 1111 123 " * 10), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(tuple, pii.pii_report(docs).collect()))
+    monkeypatch.setattr(pii, "_BLOCK", 3)
+    assert sorted(map(tuple, pii.pii_report(docs).collect())) == whole
+    for (_, text), (_, found, spans, new) in zip(rows, whole):
+        assert re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", text or "")
+        ends = [tuple(map(int, s.split(":")[1:])) for s in spans.split(",") if s]
+        assert len(ends) == found and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert [r[1] for r in whole][1:] == [10, 0, 0] and whole[0][1] > 0
