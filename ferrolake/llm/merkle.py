@@ -8,7 +8,7 @@ contain one another, and a node's siblings are its parent's interval without its
 and those that begin after it. Paths are handed down from the root, a level at a time, so the joins touch
 N/16 + N/256 + ... rows before the one over the leaves, and a hot source is split like any other rows.
 
-Defined results: a null field is hashed as ``-``, an empty text as ``0:``. Rows with the same doc_id are leaves of
+Defined results: a null field is hashed as ``-``, an empty text as ``0:``; a node's hash is that of its children's hex digests, one after the other. Rows with the same doc_id are leaves of
 their own, ordered by their hash; a null doc_id comes first and is never tampered with. The null source is a source.
 An empty table gives no rows (and no root). Other columns of the input, whatever their names, are ignored.
 """
@@ -38,7 +38,8 @@ def leaf_hash(**instead: Column) -> Column:
 
 
 def _inputs(nodes: Column) -> Column:
-    return F.array_join(F.transform(nodes, lambda k: F.concat(F.lit("64:"), k["hash"])), "")
+    """Digests are concatenated as they are: they are all of one length, so nothing has to part them."""
+    return F.array_join(F.transform(nodes, lambda k: k["hash"]), "")
 
 
 def leaves_of(spark: SparkSession, docs: DataFrame, candidate: Column | None) -> tuple[DataFrame, DataFrame]:
@@ -110,7 +111,7 @@ def paths_of(spark: SparkSession, levels: list[DataFrame], seeds: DataFrame) ->
 
 def folded(leaf: Column, above: Column) -> Column:
     """The root that follows from a leaf and its siblings."""
-    return F.aggregate(above, leaf, lambda h, x: F.sha2(F.concat(x["left"], F.lit("64:"), h, x["right"]), 256))
+    return F.aggregate(above, leaf, lambda h, x: F.sha2(F.concat(x["left"], h, x["right"]), 256))
 
 
 def manifest(spark: SparkSession, docs: DataFrame, candidate: Column | None = None) -> DataFrame:

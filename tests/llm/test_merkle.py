@@ -8,12 +8,12 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COLUMNS = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
 
 
-def H(*values):
-    data = b""
-    for v in values:
-        raw = None if v is None else str(v).encode()
-        data += b"-" if raw is None else b"%d:%s" % (len(raw), raw)
-    return hashlib.sha256(data).hexdigest()
+def H(*inputs):
+    return hashlib.sha256("".join(inputs).encode()).hexdigest()
+
+
+def leaf_of(*values):
+    return H(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
 
 
 def climb(nodes):
@@ -32,8 +32,8 @@ def brute(rows):
     by_source = {}
     for i, text, lang, source, n in rows:
         hit = i is not None and zlib.crc32(str(i).encode()) % 5 == 0
-        leaf = H(i, source, lang, n, text)
-        got = H(i, source, lang, n, text.translate(LOWER) if text is not None else None) if hit else leaf
+        leaf = leaf_of(i, source, lang, n, text)
+        got = leaf_of(i, source, lang, n, text.translate(LOWER) if text is not None else None) if hit else leaf
         by_source.setdefault(source, []).append((first(i), leaf, got, i))
     sources = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
     trees = [climb([leaf for _, leaf, _, _ in sorted(by_source[s])]) for s in sources]
@@ -81,3 +81,24 @@ def test_a_moved_or_changed_leaf_is_found(spark):
     m = manifest(spark, docs, F.when(F.col("doc_id") == 7, leaf_hash(text=F.lit("t8"))))
     bad = m.where(folded(F.coalesce("candidate", "leaf"), F.col("above")) != F.col("root"))
     assert [r.doc_id for r in bad.collect()] == [7]
+
+
+def test_nodes_are_hashes_of_bare_digests(spark):
+    """The contract's figures for 17 leaves of one source and one of another, written out."""
+    from ferrolake.llm.merkle import merkle_report
+    rows = [(i, f"T{i}", None, "a", 2) for i in range(17)] + [(99, None, "en", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    leaves = [sha(f"{len(str(i))}:{i}1:a-1:2{len(t)}:{t}") for i, t, _, s, _ in rows if s]
+    alone = sha("2:99-2:en--")
+    first, last = sha("".join(leaves[:16])), sha(leaves[16])
+    subroot = sha(first + last)
+    root = sha(alone + subroot)
+    got = {r.doc_id: r for r in merkle_report(spark, docs).collect()}
+    assert {r.root for r in got.values()} == {root}
+    assert (got[99].leaf, got[99].subroot, got[99].proof_sha256) == (alone, alone, sha(subroot))
+    assert (got[16].leaf, got[16].subroot, got[16].proof_sha256) == (leaves[16], subroot, sha(first + alone))
+    assert got[3].proof_sha256 == sha("".join(leaves[:3] + leaves[4:16]) + last + alone)
