@@ -650,30 +650,31 @@ def _late_data_lookback(spark, sf_dir):
 
 # ---------------------------------------------------------------- lineage and classification (§2.11)
 
-def _lineage(spark, sf_dir):
+def _lineage(spark, sf_dir, without):
     from ..sources.manifests import read_manifests
     from .lineage import lineage_models
     path = _scratch(spark, "manifests")
-    derived.run_manifests(spark, sf_dir).write.text(path)
-    return lineage_models(read_manifests(spark, path, one_per_file=False))
+    # Manifests repeat the same few words: compressed, and in files that tasks can share as no task can start inside one.
+    derived.run_manifests(spark, sf_dir).write.option("maxRecordsPerFile", 50_000).text(path, compression="lz4")
+    return lineage_models(read_manifests(spark, path, one_per_file=False, without=without))
 
 
 @query("lineage_models")
 def _lineage_models(spark, sf_dir):
     from .lineage import public
-    return public(_lineage(spark, sf_dir)).drop("entity_id")
+    return public(_lineage(spark, sf_dir, ("columns", "depends_on"))).drop("entity_id")
 
 
 @query("lineage_columns")
 def _lineage_columns(spark, sf_dir):
     from .lineage import lineage_columns
-    return lineage_columns(_lineage(spark, sf_dir))
+    return lineage_columns(_lineage(spark, sf_dir, ("tags", "description", "depends_on")))
 
 
 @query("lineage_edges")
 def _lineage_edges(spark, sf_dir):
     from .lineage import lineage_edges
-    return lineage_edges(_lineage(spark, sf_dir))
+    return lineage_edges(_lineage(spark, sf_dir, ("tags", "description", "columns")))
 
 
 @query("classify_columns")

@@ -8,7 +8,7 @@ model that no manifest of the run describes keeps its raw id, with ``resolved``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_DATABASE = "main"
@@ -16,18 +16,19 @@ UNKNOWN_TYPE = "unknown"
 
 
 def lineage_models(manifests: DataFrame) -> DataFrame:
+    """One row per model; what was left out of the manifests (``read_manifests(without=...)``) gives no columns here."""
     nodes = manifests.select("run_id", F.explode("nodes").alias("unique_id", "n"))
     db = F.coalesce(F.col("n.database"), F.lit(DEFAULT_DATABASE))
     schema = F.coalesce(F.col("n.schema"), F.lit(""))
     fqn = F.concat_ws(".", db, schema, F.col("n.name"))
+    out = {"run_id": F.col("run_id"), "unique_id": F.col("unique_id"), "name": F.col("n.name"), "schema_name": schema, "database_name": db,
+           "fqn": fqn, "tags": F.array_join(F.coalesce(F.col("n.tags"), F.array()), ","),
+           "description": F.coalesce(F.col("n.description"), F.lit("")), "entity_id": F.xxhash64(fqn),
+           "_depends_on": F.col("n.depends_on.nodes"), "_columns": F.col("n.columns")}
+    read = nodes.schema["n"].dataType.fieldNames()
+    fields = {"tags": "tags", "description": "description", "_depends_on": "depends_on", "_columns": "columns"}
     return (nodes.where(F.col("n.resource_type") == "model")
-            .select("run_id", "unique_id", F.col("n.name").alias("name"), schema.alias("schema_name"),
-                    db.alias("database_name"), fqn.alias("fqn"),
-                    F.array_join(F.coalesce(F.col("n.tags"), F.array()), ",").alias("tags"),
-                    F.coalesce(F.col("n.description"), F.lit("")).alias("description"),
-                    F.xxhash64(fqn).alias("entity_id"),
-                    F.col("n.depends_on.nodes").alias("_depends_on"),
-                    F.col("n.columns").alias("_columns")))
+            .select([c.alias(name) for name, c in out.items() if fields.get(name, "name") in read]))
 
 
 def lineage_columns(models: DataFrame) -> DataFrame:
@@ -39,13 +40,19 @@ def lineage_columns(models: DataFrame) -> DataFrame:
 
 
 def lineage_edges(models: DataFrame) -> DataFrame:
-    deps = (models.select("run_id", F.col("unique_id").alias("output_id"), F.col("fqn").alias("output_fqn"),
-                          F.explode("_depends_on").alias("input_id"))
-            .where(F.col("input_id").startswith("model.")).distinct())
-    known = (models.groupBy("run_id", F.col("unique_id").alias("input_id")).agg(F.min("fqn").alias("known_fqn")))
-    return (deps.join(known, ["run_id", "input_id"], "left")
+    """Every model gives one entry that defines its id and one for each id it needs. Entries meet by (run, id) in one
+    shuffle, so the manifests are read and parsed once and what defines and what needs an id are not shuffled apart."""
+    entry = "array<struct<id:string,output_id:string,fqn:string>>"
+    own = F.array(F.struct(F.col("unique_id").alias("id"), F.lit(None).cast("string").alias("output_id"), "fqn")).cast(entry)
+    needs = F.filter(F.array_distinct("_depends_on"), lambda d: d.startswith("model."))
+    needs = F.transform(needs, lambda d: F.struct(d.alias("id"), F.col("unique_id").alias("output_id"), F.col("fqn").alias("fqn"))).cast(entry)
+    entries = models.select("run_id", F.explode(F.concat(own, F.coalesce(needs, F.array().cast(entry)))).alias("e")).select("run_id", "e.*")
+    defines = F.col("output_id").isNull()
+    found = entries.withColumn("known_fqn", F.min(F.when(defines, F.col("fqn"))).over(Window.partitionBy("run_id", "id")))
+    # The partitioning of the window also serves to drop edges given twice.
+    return (found.where(~defines).distinct()
             .select("run_id", F.concat(F.lit("process://"), F.col("output_id")).alias("process_name"),
-                    F.coalesce("known_fqn", "input_id").alias("input_fqn"), "output_fqn",
+                    F.coalesce("known_fqn", "id").alias("input_fqn"), F.col("fqn").alias("output_fqn"),
                     F.col("known_fqn").isNotNull().alias("resolved")))
 
 

@@ -8,6 +8,8 @@ or one per line.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +30,13 @@ MANIFEST_SCHEMA = T.StructType([T.StructField("metadata", T.StructType([T.Struct
                                 T.StructField("nodes", T.MapType(T.StringType(), NODE_SCHEMA))])
 
 
-def read_manifests(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    """``(run_id, nodes)``: one row per manifest; a run is named by its invocation id, else by its file."""
+def read_manifests(spark: SparkSession, path: str, one_per_file: bool = True, without: Sequence[str] = ()) -> DataFrame:
+    """``(run_id, nodes)``: one row per manifest; a run is named by its invocation id, else by its file. ``without``: fields
+    of a node that the caller does not use; they are skipped, not turned into values."""
+    node = T.StructType([f for f in NODE_SCHEMA.fields if f.name not in without])
+    schema = T.StructType([MANIFEST_SCHEMA["metadata"], T.StructField("nodes", T.MapType(T.StringType(), node))])
     raw = spark.read.text(path, wholetext=one_per_file)
-    parsed = raw.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", MANIFEST_SCHEMA).alias("m"))
+    # A generator's output is a column of its own: as a plain expression the document would be parsed again for each of
+    # its fields and for the filter that an explode brings along.
+    parsed = raw.select(F.col("_metadata.file_path").alias("path"), F.explode_outer(F.array(F.from_json("value", schema))).alias("m"))
     return parsed.select(F.coalesce("m.metadata.invocation_id", "path").alias("run_id"), F.col("m.nodes").alias("nodes"))

@@ -41,3 +41,36 @@ def test_manifest_file_per_run(spark):
     assert m.count() == 4
     e = sorted((x.run_id, x.input_fqn, x.output_fqn, x.resolved) for x in lineage_edges(m).collect())
     assert e == [(r, i, "cat.gold.b", i.startswith("main")) for r in ("r1", "r2") for i in ("main.silver.a", "model.other.z")]
+
+
+def test_lineage_of_manifests_is_small_and_read_once(spark):
+    """What the queries store of the manifests is a small part of their text; a document is parsed once per query, and the
+    edges come from one scan and one shuffle. Edges given twice count once; a model described twice has its first name."""
+    import glob
+    import os
+
+    from ferrolake.plans import catalog
+    from ferrolake.plans.lineage import lineage_edges, lineage_models
+    from ferrolake.session import scratch_path
+    from ferrolake.sources import derived
+    from ferrolake.sources.manifests import read_manifests
+
+    sf = scratch_path(spark, "t-sf")
+    spark.range(4000).selectExpr("id div 4 as l_orderkey", "cast(id % 4 + 1 as int) as l_linenumber", "cast(id % 50 as double) as l_quantity",
+                                 "'O' as l_linestatus", "'N' as l_returnflag").write.parquet(f"{sf}/lineitem.parquet")
+    edges = catalog.QUERIES["lineage_edges"](spark, sf)
+    path = edges.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    stored = sum(os.path.getsize(f) for f in glob.glob(f"{path}/part-*"))
+    text = derived.run_manifests(spark, sf).selectExpr("sum(octet_length(value))").first()[0]
+    assert stored < text / 5
+    for name in ("lineage_models", "lineage_columns", "lineage_edges"):
+        plan = catalog.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1 and plan.count("FileScan text") == 1
+        assert plan.count("Exchange") == (name == "lineage_edges")
+
+    d = scratch_path(spark, "t-manifests")
+    b = '{"metadata": {"invocation_id": "r"}, "nodes": {"model.b": {"resource_type": "model", "name": "b", "schema": "%s", "depends_on": {"nodes": ["model.a", "model.a"]}}}}'
+    a = '{"metadata": {"invocation_id": "r"}, "nodes": {"model.a": {"resource_type": "model", "name": "a", "schema": "%s"}}}'
+    spark.createDataFrame([(b % "s",), (b % "s",), (a % "y",), (a % "x",)], "value string").write.text(d)
+    got = lineage_edges(lineage_models(read_manifests(spark, d, one_per_file=False, without=("columns", "tags", "description")))).collect()
+    assert [tuple(r) for r in got] == [("r", "process://model.b", "main.x.a", "main.s.b", True)]
