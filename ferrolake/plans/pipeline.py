@@ -56,6 +56,12 @@ def _store(spark: SparkSession, df: DataFrame, path: str, cluster=()) -> DataFra
     return table.read()
 
 
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _silver_and_dim(spark: SparkSession, winners: dict[str, DataFrame], as_of, root: str) -> dict[str, DataFrame]:
     out = silver.views(winners, as_of)
     dim = gold.dim_customers(out["stg_customers"], out["stg_orders"], as_of)
@@ -122,14 +128,13 @@ def run_incremental(spark: SparkSession, bronze: dict[str, DataFrame], as_of, ro
     bound = fact_lookback_bound(fact)
     fct_batch = gold.fct_orders(out["stg_orders"], out["stg_transactions"], out["dim_customers"], as_of, target=fact.read(),
                                 bound=bound)
+    # Both batches are stored once: they are merged, and the caller may look at them.
+    fct_batch = _staged(spark, fct_batch, "fct-batch")
     fact.upsert(fct_batch, "order_id")
     out["fct_orders"] = fact.read()
     CustomerDays(spark, root).advance(fact)
-    # The batch is stored once: it is merged, and the caller may look at it.
     mart_batch = gold.mart_customer_lifetime(out["dim_customers"], out["fct_orders"], as_of, target=mart.read())
-    stage = scratch_path(spark, "mart-batch")
-    mart_batch.write.parquet(stage)
-    mart_batch = spark.read.schema(mart_batch.schema).parquet(stage)
+    mart_batch = _staged(spark, mart_batch, "mart-batch")
     mart.upsert(mart_batch.where(F.col("customer_id").isNotNull()))
     out["mart_customer_lifetime"] = mart.read()
     return IncrementalRun(out, fct_batch, mart_batch)

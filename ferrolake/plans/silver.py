@@ -7,6 +7,8 @@ the wall clock so reruns repeat; ``_dbt_loaded_at`` is ``as_of``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,11 +56,15 @@ def keyed(feed: str, raw: DataFrame) -> DataFrame:
     return _keyed(raw, *_IDS[feed])
 
 
-def dedup(feed: str, raw: DataFrame) -> DataFrame:
-    """The newest version of every key of a Bronze feed."""
+def dedup(feed: str, raw: DataFrame, placed: Callable[[DataFrame], tuple[DataFrame, str]] | None = None) -> DataFrame:
+    """The newest version of every key of a Bronze feed. ``placed`` puts another column in the place of the key and
+    names it; there must be one value of it for each key."""
     key, rank = RANKS[feed]
     order = [F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_first() for c, way in rank]
-    return keep_latest(keyed(feed, raw), key, order)
+    rows = keyed(feed, raw)
+    if placed is not None:
+        rows, key = placed(rows)
+    return keep_latest(rows, key, order)
 
 
 def dedup_orders(raw_orders: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.bucketed import BucketedTable, newer
+from ..operators.bucketed import KEY, BucketedTable, _key, newer
 from ..operators.upsert import VersionedTable
 from . import silver
 
@@ -47,8 +47,16 @@ class Winners:
         return None if seen is None else seen.first()["m"]
 
     def rebuild(self, raw: DataFrame) -> None:
-        """Deduplicate the whole feed."""
-        self.table.write(silver.dedup(self.feed, raw))
+        """Deduplicate the whole feed. Where the session has as many shuffle partitions as the table buckets, versions meet by
+        the hashed key that deals rows into buckets, so the window's exchange is the only one (with the top-1 limit before it)."""
+        if self.table.buckets == int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            columns = silver.keyed(self.feed, raw).columns
+            best = silver.dedup(self.feed, raw, lambda rows: (rows.withColumn(KEY, _key(self.key)).drop(self.key), KEY))
+            # The hashed key is '-' for NULL, else '=' and the key, which therefore need not be moved beside it.
+            best = best.withColumn(self.key, F.when(F.col(KEY) != "-", F.expr(f"substring({KEY}, 2)"))).select(*columns)
+            self.table.write(self.table._placed(best))
+        else:
+            self.table.write(silver.dedup(self.feed, raw))
         self._note(raw)
 
     def new_rows(self, raw: DataFrame) -> DataFrame:
