@@ -7,7 +7,7 @@ its two pieces; so every occurrence of a word is cut on its own, and yet every r
 each distinct word of a chunk is worked out once.
 
 Words (leading spaces and what follows up to the next space) never merge with each other; ``Pieces`` refuses a
-model where they could. The agendas of a chunk's words run in lockstep on flat numpy arrays:
+model where they could. The agendas of a chunk's words run in lockstep on numpy matrices, a column for each word:
 per round each word takes its best live candidate. Words of more than ``LONG`` symbols use a heap instead, so
 text without spaces costs n log n.
 
@@ -40,6 +40,8 @@ LONG = 64
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK_WORDS = 1_000_000
 _ROUND_WORDS = 100_000
+_HEIGHTS = (*range(1, 13), 16, 24, 40, LONG)   # words of at most so many symbols are worked on side by side
+_COLUMNS = 8192
 _NEVER = np.int32(2**31 - 1)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _WORD = re.compile(r" *[^ ]+| +")
@@ -65,9 +67,20 @@ class Pieces:
         ranks = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in normal.values()}, reverse=True))}
         merges = [(normal[p[:k]] << 32 | normal[p[k:]], i, ranks[sp.get_score(i)])
                   for p, i in normal.items() for k in range(1, len(p)) if p[:k] in normal and p[k:] in normal]
-        merges.sort()
-        self.pair, self.into, self.rank = (np.array(x, t) for x, t in zip(zip(*merges), (np.int64, np.int32, np.int32)))
-        self.merge = {p: (r, i) for p, i, r in merges}
+        pair, into, rank = (np.array(x, t) for x, t in zip(zip(*merges), (np.int64, np.int32, np.int32)))
+        # A hash table with linear probing, at most a quarter full.
+        self.slots = (1 << int(4 * len(merges)).bit_length()) - 1
+        self.pair, self.into, self.rank = np.full(self.slots + 1, -1), np.zeros(self.slots + 1, np.int32), np.full(self.slots + 1, _NEVER)
+        rest, at = np.arange(len(pair)), self._slot(pair)
+        while len(rest):
+            free = np.flatnonzero(self.pair[at] < 0)
+            slot, first = np.unique(at[free], return_index=True)
+            put = rest[free[first]]
+            self.pair[slot], self.into[slot], self.rank[slot] = pair[put], into[put], rank[put]
+            left = np.ones(len(rest), dtype=bool)
+            left[free[first]] = False
+            rest, at = rest[left], (at[left] + 1) & self.slots
+        self.merge, self.ranks = {p: (r, i) for p, i, r in merges}, len(ranks)
         self.single = np.full(0x110000, -1, np.int32)
         for p, i in normal.items():
             if len(p) == 1:
@@ -103,9 +116,17 @@ class Pieces:
     def candidates(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged piece) of neighbours, _NEVER where they don't merge."""
         want = left.astype(np.int64) << 32 | right
-        at = np.minimum(np.searchsorted(self.pair, want), len(self.pair) - 1)
-        there = self.pair[at] == want
-        return np.where(there, self.rank[at], _NEVER), self.into[at]
+        at = self._slot(want)
+        found = self.pair[at]
+        on = np.flatnonzero((found != want) & (found >= 0))
+        while len(on):   # the slot holds another pair: the next ones, up to an empty one
+            at[on] = (at[on] + 1) & self.slots
+            found = self.pair[at[on]]
+            on = on[(found != want[on]) & (found >= 0)]
+        return np.where(self.pair[at] == want, self.rank[at], _NEVER), self.into[at]
+
+    def _slot(self, pair: np.ndarray) -> np.ndarray:
+        return ((pair.view(np.uint64) * _A) >> np.uint64(40)).astype(np.int64) & self.slots
 
 
 @lru_cache(maxsize=4)
@@ -149,54 +170,74 @@ def _heap_word(p: Pieces, symbols: np.ndarray, key: np.uint64, dropout: float) -
     return [s for s in sym if s >= 0]
 
 
-def _lockstep(p: Pieces, sym: np.ndarray, lens: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """All words' agendas at once: (pieces, pieces per word)."""
-    word = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
-    place = (np.arange(len(sym)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32)
-    ended_sym, ended_word, ended_place = [], [], []
-
-    def scored(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and merged piece of symbols i and their right neighbours."""
-        rank, into = p.candidates(sym[i], sym[np.minimum(i + 1, len(sym) - 1)])
-        last = (i + 1 >= len(sym)) | (word[np.minimum(i + 1, len(sym) - 1)] != word[i])
-        rank[last] = _NEVER
+def _agendas(p: Pieces, sym: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+    """The agendas of words of like length at once. ``sym`` has a column for each word, its symbols down, the rest and
+    the last row -1; it is worked on in place and keeps the pieces, -1 where a symbol went into the one before it."""
+    top, n = sym.shape[0] - 1, sym.shape[1]
+    bits = top.bit_length()
+    order = np.int32 if p.ranks << bits < _NEVER else np.int64
+    row = np.arange(top + 1, dtype=np.int32)[:, None]
+    after, before = (np.repeat(r, n, axis=1).ravel() for r in (row + np.int32(1), row - np.int32(1)))
+    before[:n] = top   # the last row stands for what lies outside of a word
+    flat, into, never = sym.ravel(), np.empty(sym.size, np.int32), order(np.iinfo(order).max)
+
+    def scored(place, cell: np.ndarray, left: np.ndarray, right: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Rank and place in one number, the smaller the earlier, of symbols and their right neighbours."""
+        rank, into[cell] = p.candidates(left, right)
         live = np.flatnonzero(rank < _NEVER)
-        if dropout and len(live):
-            at = i[live]
-            rank[live[_skipped(keys[word[at]], place[at], sym[at], sym[at + 1], dropout)]] = _NEVER
-        return rank, into
-
-    rank, into = scored(np.arange(len(sym)))
-    while len(sym):
-        begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        best = np.minimum.reduceat(rank, begin)
-        sizes = np.diff(np.append(begin, len(sym)))
-        over = np.repeat(best == _NEVER, sizes)
-        if over.any():
-            ended_sym.append(sym[over])
-            ended_word.append(word[over])
-            ended_place.append(place[over])
-            sym, word, place, rank, into = (a[~over] for a in (sym, word, place, rank, into))
-            sizes, best = sizes[best != _NEVER], best[best != _NEVER]
-            if not len(sym):
-                break
-        at = np.flatnonzero(rank == np.repeat(best, sizes))
-        at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]  # the leftmost of each word
-        sym[at] = into[at]
-        stay = np.ones(len(sym), dtype=bool)
-        stay[at + 1] = False
-        at = at - np.arange(len(at))  # one symbol went for each word before
-        sym, word, place, rank, into = (a[stay] for a in (sym, word, place, rank, into))
-        touched = np.zeros(len(sym), dtype=bool)
-        touched[at] = True
-        touched[at[at > 0] - 1] = True
-        near = np.flatnonzero(touched)
-        rank[near], into[near] = scored(near)
-    if not ended_sym:
-        return sym, np.zeros(len(lens), np.int64)
-    sym, word, place = (np.concatenate(x) for x in (ended_sym, ended_word, ended_place))
-    order = np.lexsort((place, word))
-    return sym[order], np.bincount(word, minlength=len(lens))
+        out = np.full(len(rank), never)
+        out[live] = (rank[live].astype(order) << bits) + place[live]
+        if dropout:
+            out[live[_skipped(keys[column[live]], place[live], left[live], right[live], dropout)]] = never
+        return out
+
+    column = np.arange(n)
+    agenda = np.full((top + 1, n), never)
+    if top > 1:
+        agenda[:top - 1] = scored(np.repeat(row[:top - 1, 0], n), np.arange((top - 1) * n), flat[:(top - 1) * n],
+                                  flat[n:top * n], np.tile(column, top - 1)).reshape(top - 1, n)
+    while True:
+        best = agenda.min(axis=0)
+        live = np.flatnonzero(best < never)
+        if not len(live):
+            return sym
+        best = best[live]
+        if 4 * len(live) < 3 * agenda.shape[1]:
+            agenda, column = np.take(agenda, live, axis=1), column[live]
+            live = np.arange(len(live))
+        word, cells, m = column[live], agenda.reshape(-1), agenda.shape[1]
+        i = (best & order((1 << bits) - 1)).astype(np.int64)
+        at = i * n + word
+        j = after[at].astype(np.int64)
+        gone = j * n + word
+        k = after[gone]
+        following = k.astype(np.int64) * n + word
+        h = before[at].astype(np.int64)
+        leading = h * n + word
+        flat[at] = piece = into[at]
+        flat[gone] = -1
+        after[at], before[following] = k, i
+        cells[j * m + live] = never
+        cells[i * m + live] = scored(i, at, piece, flat[following], word)
+        cells[h * m + live] = scored(h, leading, flat[leading], piece, word)
+
+
+def _lockstep(p: Pieces, sym: np.ndarray, lens: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """All words' agendas, side by side in matrices of words of like length: (pieces, pieces per word)."""
+    out, start = sym.astype(np.int32), np.cumsum(lens) - lens
+    order = np.argsort(lens, kind="stable")
+    heights = [*_HEIGHTS, int(lens.max(initial=0))]
+    ends = np.searchsorted(lens[order], heights, "right")
+    for begin, end, height in zip([0, *ends], ends, heights):
+        for lo in range(begin, end, _COLUMNS):
+            words = order[lo:min(lo + _COLUMNS, end)]
+            cell = start[words] + np.arange(height)[:, None]
+            there = np.arange(height)[:, None] < lens[words]
+            columns = np.full((height + 1, len(words)), -1, np.int32)
+            columns[:height][there] = sym[cell[there]]
+            out[cell[there]] = _agendas(p, columns, keys[words], dropout)[:height][there]
+    kept = out >= 0
+    return out[kept], np.add.reduceat(kept, start, dtype=np.int64) if len(start) else np.zeros(0, np.int64)
 
 
 def encode_words(p: Pieces, words: list[str], lanes: np.ndarray, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:

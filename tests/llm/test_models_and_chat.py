@@ -101,6 +101,26 @@ def test_dropout_round_trip_and_agendas(pieces, monkeypatch):
     assert all((a == b).all() for a, b in zip(lockstep, heap))
 
 
+def test_candidates_and_agendas_side_by_side(pieces):
+    """Candidates are found by hashing, and words of like length share matrices, whose height no word need reach."""
+    from ferrolake.llm import sentencepieces as s
+    pieces = pieces[0]
+    assert len(pieces.pair) >= 4 * len(pieces.merge)
+    pairs = np.array([*pieces.merge, *(k + 1 for k in pieces.merge)], np.int64)
+    rank, into = pieces.candidates((pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32))
+    want = [pieces.merge.get(k) for k in pairs.tolist()]
+    assert [(r, i) if r < s._NEVER else None for r, i in zip(rank.tolist(), into.tolist())] == want
+    rng = random.Random(8)
+    words = [" " + "".join(rng.choices("aeinrst\u00e9", k=k % s.LONG)) for k in range(3 * s.LONG)]
+    sym, lens, hashed = pieces.symbols(words)
+    start = np.cumsum(lens) - lens
+    short = lens <= s.LONG
+    for dropout in (0, 0.3):
+        got, n = s._lockstep(pieces, sym[np.repeat(short, lens)], lens[short], hashed[short], dropout)
+        own = [s._heap_word(pieces, sym[a:a + k], key, dropout) for a, k, key in zip(start[short], lens[short], hashed[short])]
+        assert n.tolist() == list(map(len, own)) and got.tolist() == [x for w in own for x in w]
+
+
 def test_every_occurrence_is_cut_on_its_own(pieces):
     from ferrolake.llm.sentencepieces import encode_texts
     word = " international"
