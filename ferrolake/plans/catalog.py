@@ -383,15 +383,24 @@ def _agg_windowed_as_of(spark, sf_dir):
 
     from ..operators.upsert import PartitionedTable
     from .customer_days import CustomerDays, features_as_of
+    from .gold import fct_orders
     root = _scratch(spark, "as_of")
     fact = PartitionedTable(spark, f"{root}/fct", "order_date")
     cols = ["order_id", "customer_id", "order_date", "net_revenue_eur", "is_fulfilled"]
-    fact.write(pipeline.models_from_tables(spark, sf_dir, pipeline.PREV, cutoff=pipeline.PREV)["fct_orders"].select(*cols))
+
+    def built(as_of, cutoff=None):
+        # The dimension gives none of these columns. Told that it has one row per customer, Spark leaves its join out.
+        m = pipeline.models_from_tables(spark, sf_dir, as_of, cutoff=cutoff)
+        return fct_orders(m["stg_orders"], m["stg_transactions"], m["dim_customers"].dropDuplicates(["customer_id"]), as_of).select(*cols)
+
+    fact.write(built(pipeline.PREV, pipeline.PREV))
     days = CustomerDays(spark, root)
     days.rebuild(fact)
-    # What is new or different now is upserted, whatever its date.
-    now = _models(spark, sf_dir)["fct_orders"].select(*cols)
-    fact.upsert(now.exceptAll(fact.read()), "order_id")
+    # What is new or different now is upserted, whatever its date. Both have one row per order and meet by it: what was built
+    # is not moved again. Orders without a key are never upserted.
+    now, then = built(pipeline.AS_OF).alias("n"), fact.read().alias("t")
+    same = reduce(lambda a, b: a & b, [F.col(f"n.{c}").eqNullSafe(F.col(f"t.{c}")) for c in cols[1:]])
+    fact.upsert(now.join(then, (F.col("n.order_id") == F.col("t.order_id")) & same, "left_anti"), "order_id")
     days.advance(fact)
     parts = [features_as_of(days.table.read(), d).withColumn("as_of", F.lit(d).cast("timestamp")) for d in (pipeline.PREV, pipeline.AS_OF)]
     return reduce(lambda a, b: a.unionByName(b), parts)

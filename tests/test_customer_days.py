@@ -4,6 +4,8 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pytest
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from ferrolake.operators.upsert import PartitionedTable
@@ -69,3 +71,20 @@ def test_a_run_that_dies_is_caught_up(spark, monkeypatch):
     days.advance(fact)
     as_of = "2002-05-01 00:00:00"
     assert sorted((tuple(r) for r in features_as_of(days.table.read(), as_of).collect()), key=str) == _want(fact.read(), as_of)
+
+
+def test_as_of_query_leaves_out_the_dimension(spark, monkeypatch):
+    """The fact's columns that the look-back totals need come from orders and payments: no join moves the orders to customers."""
+    from ferrolake.operators.upsert import PartitionedTable
+    from ferrolake.plans import catalog
+
+    class Stop(Exception):
+        pass
+
+    def stop(table, df, *a):
+        raise Stop(df._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(PartitionedTable, "write", stop)
+    with pytest.raises(Stop) as plan:
+        catalog.QUERIES["agg_windowed_as_of"](spark, SF_SMALL)
+    assert "l_orderkey" in str(plan.value) and "c_custkey" not in str(plan.value)
