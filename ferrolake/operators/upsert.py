@@ -193,23 +193,20 @@ class PartitionedTable:
            the number of partitions.
         3. Old rows of those partitions only are merged with the source and written, clustered, as a new version.
         """
+        source, target = source.where(F.col(key).isNotNull()), self.read()
+        if target is None:   # the first write stores its input once by itself
+            self.write(source)
+            return sorted(self.current())
         stage = scratch_path(self.spark, "upsert-stage")
-        source.where(F.col(key).isNotNull()).write.parquet(stage)
-        src = self.spark.read.parquet(stage)
-        target = self.read()
-        if target is None:
-            self.write(src)
-        else:
-            src = src.select(*target.columns)
-            col = self.partition_col
-            moved = target.select(key, col).join(src.select(key), key, "left_semi").select(col)
-            touched = [_partition_dir(col, r[0]) for r in moved.unionByName(src.select(col)).distinct().collect()]
-            if touched:
-                self.write(merge(self.read(touched), src, key), replaces=touched)
-            delete(self.spark, stage)
-            return touched
+        source.write.parquet(stage)
+        src = self.spark.read.parquet(stage).select(*target.columns)
+        col = self.partition_col
+        moved = target.select(key, col).join(src.select(key), key, "left_semi").select(col)
+        touched = [_partition_dir(col, r[0]) for r in moved.unionByName(src.select(col)).distinct().collect()]
+        if touched:
+            self.write(merge(self.read(touched), src, key), replaces=touched)
         delete(self.spark, stage)
-        return sorted(self.current())
+        return touched
 
     def vacuum(self, keep: int = 2, pinned: str | None = None) -> None:
         """Delete manifests but the newest ``keep`` and ``pinned``, and versions and partitions that none of those names."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import full_name, money, norm_lower, norm_title, norm_upper, size_band, to_key
@@ -79,15 +79,20 @@ def dedup_transactions(raw_transactions: DataFrame) -> DataFrame:
     return dedup("raw_transactions", raw_transactions)
 
 
-def orders_of(winners: DataFrame, as_of) -> DataFrame:
-    """One row per order: the newest ingested event, unless it is a test record or future-dated.
+def order_shows(as_of) -> Column:
+    """Whether Silver shows an order's newest event: neither a test record nor future-dated (NULL counts as no).
 
-    ``NOT IN`` drops a NULL status (NULL NOT IN (...) is NULL); a NULL amount lands in the last band.
+    ``NOT IN`` drops a NULL status (NULL NOT IN (...) is NULL).
     """
+    return ~norm_upper("order_status").isin(TEST_STATUSES) & (F.col("order_timestamp").try_cast("timestamp") <= _now(as_of))
+
+
+def orders_of(winners: DataFrame, as_of) -> DataFrame:
+    """One row per order: the newest ingested event, unless it is a test record or future-dated (``order_shows``);
+    a NULL amount lands in the last band."""
     ts = F.col("order_timestamp").try_cast("timestamp")
     return (winners
-            .where(~norm_upper("order_status").isin(TEST_STATUSES))
-            .where(ts <= _now(as_of))
+            .where(order_shows(as_of))
             .select(
                 to_key("order_id").alias("order_id"),
                 to_key("customer_id").alias("customer_id"),

@@ -9,7 +9,8 @@ The handler then rebuilds what the look-back model rebuilds, from rows of the wi
 the other orders of the fact inside the look-back (three days before its newest committed order), read from the touched
 ``order_date`` partitions. Orders that Silver does not show (yet) - a test status, a date in the future - wait in a small
 table as long as they are inside the window. Rows later than the look-back are missed, as in the batch model; a full run
-repairs them. Payments and customers are narrowed to the batch's keys before they are deduplicated.
+repairs them. Payments and customers are narrowed to the batch's keys before they are deduplicated, unless the fact is empty: then the
+batch is not bounded by a window, and all of them are deduplicated as they are.
 """
 
 from __future__ import annotations
@@ -73,11 +74,16 @@ def run_changes(stream: DataFrame, feed: str, checkpoint_dir: str, handler: Call
     q.awaitTermination()
 
 
+def fact_customers(raw_customers: DataFrame, as_of) -> DataFrame:
+    """The customers' columns of the fact."""
+    return silver.stg_customers(raw_customers, as_of).select(
+        "customer_id", surrogate_key(F.col("customer_id")).alias("customer_sk"), "customer_segment", "is_premium_customer")
+
+
 def customers_for(raw_customers: DataFrame, ids: DataFrame, as_of) -> DataFrame:
-    """The fact's columns of the given customers only: all versions of theirs are kept, then deduplicated."""
+    """The same of the given customers only: all versions of theirs are kept, then deduplicated."""
     wanted = silver.keyed("raw_customers", raw_customers).join(ids.select("customer_id").distinct(), "customer_id", "left_semi")
-    return silver.stg_customers(wanted, as_of).select(
-        "customer_id", surrogate_key(F.col("customer_id")).alias("customer_sk"), "customer_segment", "is_premium_customer")
+    return fact_customers(wanted, as_of)
 
 
 def fact_upsert_handler(spark: SparkSession, fact: PartitionedTable, waiting: VersionedTable,
@@ -99,15 +105,19 @@ def fact_upsert_handler(spark: SparkSession, fact: PartitionedTable, waiting: Ve
         if parked is not None:
             known = kept(known.unionByName(parked.join(known.select("order_id"), "order_id", "left_anti")), stages[1])
         shown = silver.orders_of(known, as_of).where(inside).select(*ORDER_COLUMNS)
-        orders, hidden = shown, known.join(shown.select("order_id"), "order_id", "left_anti").withColumn("__stale", F.lit(False))
+        shows = F.coalesce(silver.order_shows(as_of) & inside, F.lit(False)) & F.col("order_id").isNotNull()
+        orders, hidden = shown, known.where(~shows).withColumn("__stale", F.lit(False))
         if bound is not None:
             first = str(spark.range(1).select(F.to_date(bound)).first()[0])
             recent = fact.read([f"order_date={d}" for d in fact.partitions() if d >= first]).where(inside).select(*ORDER_COLUMNS)
             orders = orders.unionByName(recent.join(known.select("order_id"), "order_id", "left_anti"))
             stale = recent.select("order_id", F.lit(True).alias("__stale"))
             hidden = hidden.drop("__stale").join(stale, "order_id", "left")
-        payments = silver.stg_transactions_for_orders(raw["raw_transactions"], orders.select("order_id"), as_of)
-        customers = customers_for(raw["raw_customers"], orders.select("customer_id"), as_of)
+        if bound is None:   # an empty fact takes orders of any age: there is nothing to narrow payments and customers to
+            payments, customers = silver.stg_transactions(raw["raw_transactions"], as_of), fact_customers(raw["raw_customers"], as_of)
+        else:
+            payments = silver.stg_transactions_for_orders(raw["raw_transactions"], orders.select("order_id"), as_of)
+            customers = customers_for(raw["raw_customers"], orders.select("customer_id"), as_of)
         # Those that may show later, and those whose row in the fact is no longer true but has no successor.
         waits = hidden.where((inside & F.col("order_timestamp").isNotNull()) | F.coalesce("__stale", F.lit(False)))
         rest = kept(waits.select(*known.columns), scratch_path(spark, "late-waiting"))

@@ -84,3 +84,26 @@ def test_window_is_rebuilt_and_hidden_orders_wait(spark):
     assert _run(spark, fact, waiting, later, "2001-06-21 00:00:00", pays) == want
     assert sorted(r.order_id for r in waiting.read().collect()) == ["3", "5"]
     assert _run(spark, fact, waiting, later, "2001-06-21 00:00:00", pays) == want   # a retried batch changes nothing
+
+
+def test_first_run_narrows_and_moves_nothing_twice(spark, monkeypatch):
+    """An empty fact takes all orders: payments and customers are not semi-joined, the batch is stored once by the write, and
+    what waits is told by a filter. A NULL key still waits, as it never reaches the fact."""
+    from ferrolake.operators import upsert
+    from ferrolake.streaming import late_data
+    staged, plans = [], []
+    path = upsert.scratch_path
+    monkeypatch.setattr(upsert, "scratch_path", lambda s, name: staged.append(name) or path(s, name))
+    write = VersionedTable.write
+    monkeypatch.setattr(VersionedTable, "write", lambda t, df, *a: plans.append(df._jdf.queryExecution().toString()) or write(t, df, *a))
+    refuse = lambda *a: (_ for _ in ()).throw(AssertionError("narrowed"))
+    fact = PartitionedTable(spark, scratch_path(spark, "l-one"), "order_date")
+    waiting = VersionedTable(spark, scratch_path(spark, "l-onew"))
+    o = lambda k, status="DELIVERED", at="2001-06-01": (k, 1, status, 10, f"{at} 00:00:00", f"{at} 06:00:00", "f")
+    with monkeypatch.context() as m:
+        m.setattr(late_data.silver, "stg_transactions_for_orders", refuse)
+        m.setattr(late_data, "customers_for", refuse)
+        got = _run(spark, fact, waiting, [o(1), o(2, "TEST"), o(3, at="2001-07-01"), o(None), o(4, None)], "2001-06-11 00:00:00")
+    assert got == {"1": (10, 0, "2001-06-11")} and "upsert-stage" not in staged
+    assert {r.order_id for r in waiting.read().collect()} == {"2", "3", None, "4"}
+    assert not any("Join" in p for p in plans)
