@@ -53,6 +53,7 @@ STEP, TOKEN_BITS = 8192, 14   # tokens a step: from 2^13 on, less than 2^14
 FEW = 4                       # tokens of a row that are added one by one
 TOP = 60.0                    # logits stop here
 COUNTED = 1 << 17             # distinct words a task counts before it sends them on
+SPAN = 64                     # words that are not known in a row
 ABSENT = -30.0                # bias of cells that hold no word
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -315,7 +316,7 @@ def train(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, rounds:
 
 # ---------------------------------------------------------------- scores
 
-_SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, word binary, n long"
+_SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, rare array<struct<word:binary,n:bigint>>"
 
 
 def _score_rows(shared, now):
@@ -324,7 +325,7 @@ def _score_rows(shared, now):
         codes, row = Codes(known), TaskContext.get().partitionId() << 40
 
         def scored(ids: list, out: list, texts: list[list[bytes]]) -> pa.RecordBatch:
-            """Documents and, as rows of their own, their words that are not known."""
+            """Documents and, up to SPAN in a row of their own (n_tokens 0), their words that are not known."""
             nonlocal row
             coded = [codes.of(t) for t in texts]
             token = np.concatenate(coded)
@@ -340,15 +341,20 @@ def _score_rows(shared, now):
                 words += rare
                 counts += rare.values()
                 many.append(len(rare))
-            k, m = len(texts), len(words)
+            many = np.array(many, np.int64)
+            spans = -(-many // SPAN)
+            k, m = len(texts), int(spans.sum())
+            lens = np.minimum(SPAN, np.repeat(many, spans) - SPAN * (np.arange(m) - np.repeat(np.cumsum(spans) - spans, spans)))
+            ends = pa.array(np.r_[np.zeros(k + 1, np.int64), np.cumsum(lens)].astype(np.int32))
+            listed = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(counts, pa.int64())], names=["word", "n"])
             number = np.arange(row, row + k)
             numbers = [pa.array(np.r_[x, np.zeros(m, x.dtype)], t) for x, t in (
                 (np.array([len(t) for t in texts], np.int64), pa.int64()), (np.add.reduceat(codes.n_known[place], start), pa.int64()),
                 (np.add.reduceat(logs, start), pa.float64()), (np.add.reduceat(logp, start), pa.float64()))]
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[number, np.repeat(number, many)], pa.int64()), pa.array([*ids, *[None] * m], pa.int64()), pa.array([*out, *[None] * m], pa.bool_()),
-                 *numbers, pa.array([None] * k + words, pa.binary()), pa.array([0] * k + counts, pa.int64())],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "word", "n"])
+                [pa.array(np.r_[number, np.repeat(number, spans)], pa.int64()), pa.array([*ids, *[None] * m], pa.int64()), pa.array([*out, *[None] * m], pa.bool_()),
+                 *numbers, pa.ListArray.from_arrays(ends, listed)],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rare"])
             row += k
             return batch
 
@@ -372,11 +378,11 @@ def score(spark: SparkSession, docs: DataFrame, counts: DataFrame, vocabulary: V
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     shared, now = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(weights)
     rows = stored(spark, _inputs(docs).mapInArrow(_score_rows(shared, now), _SCORED), "lm-scored")
-    rare = rows.where(F.col("word").isNotNull()).select("row", "word", "n")
+    rare = rows.where(F.col("n_tokens") == 0).select("row", F.inline("rare"))   # a document has one token or more, its end
     seen = counts.where(F.col("n") * KNOWN < vocabulary.tokens).select("word", F.col("n").alias("c"))
     # The counts are dealt out over all tasks, one row per word: a hash table of a task's share spares two sorts.
     more = rare.join(seen.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
-    out = rows.where(F.col("word").isNull()).join(more, "row", "left")
+    out = rows.where(F.col("n_tokens") > 0).join(more, "row", "left")
     gained = F.coalesce("more", F.lit(0.0))
     each = F.lit(log10(vocabulary.tokens + vocabulary.distinct + 1))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),

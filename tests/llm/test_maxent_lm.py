@@ -54,6 +54,21 @@ def test_rare_words_take_the_join(spark, edge_docs, edges, monkeypatch):
     assert sorted((r.doc_id or -1, r.n_tokens, round(r.base_score, 6)) for r in rows) == want
 
 
+def test_rare_words_travel_in_spans(spark, monkeypatch):
+    """Words that are not known are stored up to SPAN in a row, not in a row each; nothing changes."""
+    from ferrolake.llm import maxent_lm
+    pairs = [(i, " ".join(f"w{j % 90}" for j in range(7 * i, 16 * i))) for i in range(40)]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    kept, store = {}, maxent_lm.stored
+    monkeypatch.setattr(maxent_lm, "stored", lambda s, df, name: kept.setdefault(name, store(s, df, name)))
+    monkeypatch.setattr(maxent_lm, "KNOWN", 4)
+    monkeypatch.setattr(maxent_lm, "SPAN", 8)
+    check(spark, docs, pairs)
+    rows = kept["lm-scored"].where("n_tokens = 0").collect()
+    spans = sum(-(-len(set(t.split())) // 8) for _, t in pairs)
+    assert len(rows) == spans and all(0 < len(r.rare) <= 8 for r in rows)
+
+
 def test_texts_and_gain(spark):
     from ferrolake.llm.maxent_lm import lm_report
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
