@@ -10,6 +10,9 @@ biases are the unigram counts. The most frequent words (991 and the end of a tex
 classes by frequency. All others make up the last class, which has no cells: a word has its smoothed share of the
 training counts there, (c + 1) / (S + n + 1) with S tokens and n distinct words in the class, as in the base model.
 
+Texts are split and lower-cased by Arrow, a few megabytes at a time, and each distinct word of such a piece is looked up
+once.
+
 Training goes over all training texts: in each round every task takes AdaGrad steps over its share from the same
 weights, and the rows of the weight table are averaged over tasks by the number of tokens that moved them. At most one
 weight table per core and round is shuffled, whatever the corpus. Scoring works in numpy batches on the rows that
@@ -27,7 +30,6 @@ of the input are ignored, whatever their names.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from itertools import compress, repeat
@@ -35,6 +37,7 @@ from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +53,10 @@ FEATURES, CLASS_BITS, CELL_BITS = 4, 13, 15   # rows of each feature in the two
 BLOCK = 1024                  # rows of the weight table that travel together
 ROUNDS, RATE, START = 2, 0.5, 1.0
 STEP, TOKEN_BITS = 8192, 14   # tokens a step: from 2^13 on, less than 2^14
-FEW = 4                       # tokens of a row that are added one by one
+PIECE = 1 << 22               # bytes of texts that are split at once, unless one text is longer
+FEW, RUN = 4, 8               # tokens of a row that are added one by one; above, that many at a time
 TOP = 60.0                    # logits stop here
-COUNTED = 1 << 17             # distinct words a task counts before it sends them on
+COUNTED = 1 << 24             # bytes of words, distinct in their piece, a task holds before it adds up their counts and sends them on
 SPAN = 64                     # words that are not known in a row
 ABSENT = -30.0                # bias of cells that hold no word
 
@@ -63,9 +67,34 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Lower-cased (A-Z) words between the bytes 20 and 09 to 0D, then the end."""
-    return [*(text or b"").lower().split(), END]   # bytes are lower-cased and split as ASCII
+def pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with PIECE bytes or less, or one text."""
+    ends, lo = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64), 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, PIECE + (ends[lo - 1] if lo else 0), "right")))
+        yield lo, hi
+        lo = hi
+
+
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words, the end first and then the distinct ones of these texts; which of them every token is; the tokens of each text.
+
+    A text is its lower-cased (A-Z) words between the bytes 20 and 09 to 0D, then the end.
+    """
+    raw = pc.fill_null(texts.cast(pa.binary()), b"").view(pa.string())   # both functions go byte by byte, as ASCII
+    split = pc.ascii_split_whitespace(pc.ascii_lower(raw))
+    listed = pc.dictionary_encode(split.flatten())
+    words = listed.dictionary.view(pa.binary())
+    at = listed.indices.to_numpy() + 1
+    # White space at either end of a text leaves empty words there.
+    kept = (pc.binary_length(words).to_numpy() > 0)[at - 1]
+    before = np.r_[0, np.cumsum(kept)]
+    size = np.diff(before[split.offsets.to_numpy()]) + 1
+    token = np.zeros(int(size.sum()), np.int32)
+    inner = np.ones(len(token), bool)
+    inner[np.cumsum(size) - 1] = False
+    token[inner] = at[kept]
+    return pa.concat_arrays([pa.array([END], pa.binary()), words]), token, size
 
 
 def _inputs(docs: DataFrame) -> DataFrame:
@@ -75,18 +104,25 @@ def _inputs(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- counts
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+    words, counts, held = [], [], 0
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+        listed = pc.dictionary_encode(pa.concat_arrays(words))
+        n = np.bincount(listed.indices.to_numpy(), weights=np.concatenate(counts), minlength=len(listed.dictionary))
+        return pa.RecordBatch.from_arrays([listed.dictionary, pa.array(n.astype(np.int64))], names=["word", "n"])
 
     for b in batches:
-        for text in b.column("text").to_pylist():
-            seen.update(words_of(text))
-            if len(seen) > COUNTED:
+        texts = b.column("text")
+        for lo, hi in pieces(texts):
+            distinct, token, _ = tokens_of(texts.slice(lo, hi - lo))
+            words.append(distinct)
+            counts.append(np.bincount(token, minlength=len(distinct)))
+            held += distinct.nbytes
+            if held > COUNTED:
                 yield out()
-                seen.clear()
-    yield out()
+                words, counts, held = [], [], 0
+    if held:
+        yield out()
 
 
 def word_counts(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -131,6 +167,12 @@ class Codes(dict):
         self.log_count = np.log10(np.r_[0, list(vocabulary.known.values())].astype(np.float64) + 1)
         self.n_known = np.r_[0, [1 if n else 0 for n in vocabulary.known.values()]].astype(np.int64)
 
+    def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The codes of the tokens of each text."""
+        for lo, hi in pieces(column):
+            words, token, size = tokens_of(column.slice(lo, hi - lo))
+            yield from np.split(self.of(words.to_numpy(zero_copy_only=False).tolist())[token], np.cumsum(size)[:-1])
+
     def of(self, words: list[bytes]) -> np.ndarray:
         out = np.fromiter(map(self.get, words, repeat(0)), np.int64, len(words))
         rare = out == 0   # a known word has a place, so its code is not 0
@@ -174,17 +216,26 @@ def _taken(table: np.ndarray, at: np.ndarray, room: np.ndarray) -> np.ndarray:
     return np.take(table, at, axis=0, out=room[:len(at)], mode="clip")
 
 
-def _softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, of: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities of all outcomes (in ``room.logits``), and the natural logarithm of that of the outcome ``of``."""
+def _put(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """``table[at] = rows``, a row as one item: that takes a third of the time."""
+    item = f"V{table.itemsize * table.shape[1]}"
+    np.put(table.view(item), at, rows.view(item), mode="clip")
+
+
+def _softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, of: np.ndarray, room: Room, scaled: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of all outcomes (in ``room.logits``; up to a factor if not ``scaled``), and the natural logarithm of that of
+    the outcome ``of``."""
     logits = _taken(weights, rows[0], room.logits)
     for r in rows[1:]:
         logits += _taken(weights, r, room.more)
     logits += bias
-    np.minimum(logits, TOP, out=logits)   # no sum can overflow
-    own = logits[np.arange(len(of)), of]
+    if len(of) and logits.max() > TOP:
+        np.minimum(logits, TOP, out=logits)   # no sum can overflow
+    own = logits.ravel()[np.arange(0, logits.size, CELLS) + of]
     power = np.exp(logits, out=logits)
     total = power @ np.ones(power.shape[1], np.float32)
-    power /= total[:, None]
+    if scaled:
+        power /= total[:, None]
     return power, own.astype(np.float64) - np.log(total)
 
 
@@ -193,8 +244,8 @@ def log10_probabilities(vocabulary: Vocabulary, weights: tuple[np.ndarray, np.nd
     """log10 of P(class | h) P(cell | class, h) of every token; of P(class | h) in the last class."""
     room = room or Room()
     kind, rows1, held, cell, rows2 = _rows(codes, pos)
-    _, found = _softmax(weights[0], vocabulary.class_bias, rows1, kind, room)
-    found[held] += _softmax(weights[1], _taken(vocabulary.cell_bias, kind[held], room.rows), rows2, cell, room)[1]
+    _, found = _softmax(weights[0], vocabulary.class_bias, rows1, kind, room, scaled=False)
+    found[held] += _softmax(weights[1], _taken(vocabulary.cell_bias, kind[held], room.rows), rows2, cell, room, scaled=False)[1]
     return found / np.log(10)
 
 
@@ -210,10 +261,11 @@ class Trainer:
 
     def _update(self, i: int, slope: np.ndarray, of: np.ndarray, rows: np.ndarray) -> None:
         slope[np.arange(len(of)), of] -= 1
+        self.room.logits[len(of)] = 0   # ``slope`` is what stands before
         # Row and token in one number: sorted, the tokens of a row stand together.
-        key = np.sort((rows << TOKEN_BITS | np.arange(len(of))).ravel())
-        row, token = key >> TOKEN_BITS, key & ((1 << TOKEN_BITS) - 1)
-        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        key = np.sort((rows << TOKEN_BITS | np.arange(len(of))).astype(np.uint32).ravel())
+        row, token = (key >> TOKEN_BITS).astype(np.int64), (key & ((1 << TOKEN_BITS) - 1)).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]][:len(row)])
         size = np.diff(np.r_[first, len(row)])
         for few in range(1, FEW + 1):   # most rows have few tokens
             at = first[size == few]
@@ -223,9 +275,14 @@ class Trainer:
             self._move(i, row[at], grad, few)
         many = size > FEW
         if many.any():
-            held, size = np.repeat(many, size), size[many]
-            row, token, at = row[held], token[held], np.r_[0, np.cumsum(size)[:-1]]
-            self._move(i, row[at], np.add.reduceat(_taken(slope, token, self.room.grad), at, axis=0), size)
+            first, size = first[many], size[many]
+            runs = -(-size // RUN)
+            start = np.cumsum(runs) - runs
+            at, end = np.repeat(first - RUN * start, runs) + RUN * np.arange(int(runs.sum())), np.repeat(first + size, runs)
+            grad = _taken(slope, token[at], self.room.grad)
+            for k in range(1, RUN):   # the last run of a row may be shorter: zeros stand behind the slopes
+                grad += _taken(self.room.logits, np.where(at + k < end, token[np.minimum(at + k, len(token) - 1)], len(of)), self.room.rows)
+            self._move(i, row[first], np.add.reduceat(grad, start, axis=0), size)
 
     def _move(self, i: int, row: np.ndarray, grad: np.ndarray, size) -> None:
         squares = self.squares[i][row] + np.einsum("ij,ij->i", grad, grad)
@@ -233,7 +290,7 @@ class Trainer:
         grad *= (RATE / np.sqrt(squares))[:, None]
         moved = _taken(self.weights[i], row, self.room.rows)
         moved -= grad
-        self.weights[i][row] = moved
+        _put(self.weights[i], row, moved)
         self.moved[i][row] += size
 
     def step(self, vocabulary: Vocabulary, codes: np.ndarray, pos: np.ndarray) -> None:
@@ -296,7 +353,7 @@ def train(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, rounds:
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             known = shared.value
             codes, trainer = Codes(known), Trainer(now.value)
-            read = (codes.of(words_of(t)) for b in batches for t in b.column("text").to_pylist())
+            read = (text for b in batches for text in codes.texts(b.column("text")))
             for step in _steps(read):
                 trainer.step(known, *step)
             for block, data in trainer.blocks():
@@ -324,52 +381,42 @@ def _score_rows(shared, now):
         known, weights, room = shared.value, now.value, Room()
         codes, row = Codes(known), TaskContext.get().partitionId() << 40
 
-        def scored(ids: list, out: list, texts: list[list[bytes]]) -> pa.RecordBatch:
+        def scored(ids: pa.Array, out: pa.Array, texts: pa.Array) -> pa.RecordBatch:
             """Documents and, up to SPAN in a row of their own (n_tokens 0), their words that are not known."""
             nonlocal row
-            coded = [codes.of(t) for t in texts]
-            token = np.concatenate(coded)
-            start = np.r_[0, np.cumsum([len(c) for c in coded])[:-1]]
-            logp = np.concatenate([log10_probabilities(known, weights, *s, room) for s in _steps(iter(coded))])
+            distinct, at, size = tokens_of(texts)
+            coded = codes.of(distinct.to_numpy(zero_copy_only=False).tolist())
+            token = coded[at]
+            end = np.cumsum(size)
+            start = end - size
+            logp = np.concatenate([log10_probabilities(known, weights, *s, room) for s in _steps(iter(np.split(token, end[:-1])))])
             cell, place = (token >> 32) & 1023, token >> 42
             logs = codes.log_count[place]
             # The share of a word in the last class; log10(c + 1) of words that are not known comes from the join.
             logp += np.where(cell >= SINGLE, logs - known.rest_share, 0.0)
-            words, counts, many = [], [], []
-            for t, c in zip(texts, coded):
-                rare = Counter(compress(t, (c >> 42 == 0).tolist()))
-                words += rare
-                counts += rare.values()
-                many.append(len(rare))
-            many = np.array(many, np.int64)
+            rare = np.flatnonzero(place == 0)
+            pair, counts = np.unique(np.repeat(np.arange(len(size)) * len(distinct), size)[rare] + at[rare], return_counts=True)
+            words = distinct.take(pa.array(pair % len(distinct)))
+            many = np.bincount(pair // len(distinct), minlength=len(size))
             spans = -(-many // SPAN)
-            k, m = len(texts), int(spans.sum())
+            k, m = len(size), int(spans.sum())
             lens = np.minimum(SPAN, np.repeat(many, spans) - SPAN * (np.arange(m) - np.repeat(np.cumsum(spans) - spans, spans)))
             ends = pa.array(np.r_[np.zeros(k + 1, np.int64), np.cumsum(lens)].astype(np.int32))
-            listed = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(counts, pa.int64())], names=["word", "n"])
+            listed = pa.StructArray.from_arrays([words, pa.array(counts, pa.int64())], names=["word", "n"])
             number = np.arange(row, row + k)
             numbers = [pa.array(np.r_[x, np.zeros(m, x.dtype)], t) for x, t in (
-                (np.array([len(t) for t in texts], np.int64), pa.int64()), (np.add.reduceat(codes.n_known[place], start), pa.int64()),
+                (size.astype(np.int64), pa.int64()), (np.add.reduceat(codes.n_known[place], start), pa.int64()),
                 (np.add.reduceat(logs, start), pa.float64()), (np.add.reduceat(logp, start), pa.float64()))]
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[number, np.repeat(number, spans)], pa.int64()), pa.array([*ids, *[None] * m], pa.int64()), pa.array([*out, *[None] * m], pa.bool_()),
+                [pa.array(np.r_[number, np.repeat(number, spans)], pa.int64()), pa.concat_arrays([ids.cast(pa.int64()), pa.nulls(m, pa.int64())]), pa.concat_arrays([out, pa.nulls(m, pa.bool_())]),
                  *numbers, pa.ListArray.from_arrays(ends, listed)],
                 names=["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rare"])
             row += k
             return batch
 
         for b in batches:
-            ids, out, texts, n = [], [], [], 0
-            for i, h, t in zip(*(b.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))):
-                ids.append(i)
-                out.append(h)
-                texts.append(words_of(t))
-                n += len(texts[-1])
-                if n >= 4 * STEP:
-                    yield scored(ids, out, texts)
-                    ids, out, texts, n = [], [], [], 0
-            if ids:
-                yield scored(ids, out, texts)
+            for lo, hi in pieces(b.column("text")):
+                yield scored(*(b.column(c).slice(lo, hi - lo) for c in ("doc_id", "held_out", "text")))
 
     return run
 

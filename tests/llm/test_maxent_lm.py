@@ -119,6 +119,49 @@ def test_steps_cut_long_texts_alike():
     assert np.allclose(got, alone, atol=1e-4)
 
 
+def test_words_are_looked_up_once_a_piece(monkeypatch):
+    """Tokens are those of the words of each text, whatever the pieces; a word is looked up once for a piece, not for every token."""
+    import pyarrow as pa
+    m, v, *_ = model()
+    texts = [b"  W1 w2\tW1\x0b\x0c\r\nw2 ", None, b"", b" \n ", b"w3", b"\xc3\x89 w1 \x1c a\x85b \xff\xc2 W\x00", b"w2 new New " * 500]
+    want = [[*(t or b"").lower().split(), b""] for t in texts]
+    column = pa.array([b"left out", *texts], pa.binary()).slice(1)
+    assert all((len(t) + 1 == k) for t, k in zip([WORD.findall((t or b"").decode("latin-1")) for t in texts], m.tokens_of(column)[2]))
+    for size, most in ((1 << 20, 12), (16, 30)):
+        monkeypatch.setattr(m, "PIECE", size)
+        looked = []
+        codes = m.Codes(v)
+        of = codes.of
+        codes.of = lambda words: looked.append(len(words)) or of(words)
+        got = list(codes.texts(column))
+        assert [g.tolist() for g in got] == [of(w).tolist() for w in want]
+        assert sum(looked) <= most
+    monkeypatch.setattr(m, "COUNTED", 3)
+    batch = pa.RecordBatch.from_arrays([column], names=["text"])
+    counts = Counter()
+    for b in m._counted(iter([batch, batch])):
+        counts.update(dict(zip(b.column("word").to_pylist(), b.column("n").to_pylist())))
+    assert counts == Counter(w for t in want * 2 for w in t)
+    assert list(m._counted(iter([]))) == []
+
+
+def test_update_adds_long_runs():
+    """Rows that 1 to 40 tokens move get the sum of their slopes, however many are added at a time."""
+    m, v, *_ = model()
+    rng = np.random.default_rng(5)
+    size = np.arange(1, 41)
+    rows = np.repeat(np.arange(40), size)[None]
+    n = rows.shape[1]
+    t = m.Trainer(m.empty_weights())
+    slope = t.room.logits[:n]
+    slope[:] = rng.random((n, m.CELLS))
+    of = rng.integers(0, m.CELLS, n)
+    grad = np.add.reduceat(slope - np.eye(m.CELLS, dtype=np.float32)[of], np.cumsum(size) - size, axis=0)
+    t._update(0, slope, of, rows)
+    assert np.allclose(t.weights[0][:40], -m.RATE * grad / np.sqrt(m.START + (grad * grad).sum(1))[:, None], atol=1e-5)
+    assert t.moved[0][:40].tolist() == size.tolist() and not t.weights[0][40:].any()
+
+
 def test_update_is_the_gradient():
     """One step from zero moves every row against the summed slope of its tokens, at the row's own rate."""
     m, v, _, words = model()
